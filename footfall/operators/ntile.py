@@ -29,7 +29,7 @@ def quantile_edges(df: DataFrame, column: str, cells: int = CELLS) -> dict[float
     then, so a recomputed task meets the same cells.
     """
     shares = [i / cells for i in range(1, cells)]
-    edges = df.agg(F.percentile_approx(column, shares, cells * 10)).first()[0] or []
+    edges = df.agg(F.percentile_approx(column, shares, 2 * cells)).first()[0] or []
     return dict(sorted(Counter(e for e in edges if not math.isnan(e)).items()))
 
 

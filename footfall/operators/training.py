@@ -147,7 +147,7 @@ def fit(
     prepare = preprocessing().fit(training)
     vectors = prepare.transform(training).select(LABEL, "features")
     n_features = len(feature_names(vectors))
-    vectors = materialize(vectors)
+    vectors = materialize(vectors, "vectors")
     n_rows = vectors.count()
     models = {}
     for model_type in model_types:

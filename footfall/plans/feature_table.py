@@ -57,7 +57,7 @@ def _inside_windows(base: DataFrame, params: FeatureParams) -> DataFrame:
     )
     users = labels.drop_first_session_buyers(labeled.where("had_visit"))
     windows = labels.lookback_window(labels.anchor_timestamp(labels.with_timestamps(users)), params)
-    windows = materialize(windows.select(*labels.USER_COLUMNS, "n_sessions"))
+    windows = materialize(windows.select(*labels.USER_COLUMNS, "n_sessions"), "windows")
     behaviour = (
         _with_buckets(within_window(base, windows), params)
         .groupBy(VISITOR)

@@ -251,11 +251,9 @@ def oracle_sql() -> dict[str, str]:
 SELECT "fullVisitorId", date AS table_suffix, "visitStartTime", "channelGrouping",
   visits, pageviews, "timeOnSite", bounces, transactions, "deviceCategory", browser, region, metro
 FROM base""",
-        "state_lookup": _with(_STATES) + """
-SELECT state_name, timezone, dst, coalesce(n, 0) AS customers
-FROM states
-LEFT JOIN (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1) AS counted
-  ON ascii(state_name) % 25 = c_nationkey""",
+        "state_lookup": base + "," + _STATES + """
+SELECT state_name, timezone, dst, count(date) AS sessions
+FROM states LEFT JOIN base ON state_name = region GROUP BY ALL""",
         "users_labeled": labeled + "\nSELECT * FROM labeled",
         "anchor_timestamp": labeled
         + '\nSELECT "fullVisitorId", labels, last_timestamp FROM anchored',

@@ -75,13 +75,13 @@ def sessions_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers per region of the lookup, regions without customers included."""
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    nations = customers.groupBy("c_nationkey").agg(F.count("*").alias("customers"))
-    states = lookup(spark).withColumn("place", F.ascii(F.substring("state_name", 1, 1)) % 25)
+    """Sessions per region of the lookup, regions without any included."""
+    sessions = select_sessions(_sessions(spark, sf_dir), TRAINING)
+    counts = sessions.groupBy("geoNetwork.region").agg(F.count("*").alias("n"))
     return (
-        states.join(nations, F.col("place") == F.col("c_nationkey"), "left")
-        .select("state_name", "timezone", "dst", F.coalesce("customers", F.lit(0)).alias("customers"))
+        lookup(spark)
+        .join(counts, F.col("state_name") == F.col("region"), "left")
+        .select("state_name", "timezone", "dst", F.coalesce("n", F.lit(0)).alias("sessions"))
     )
 
 
@@ -239,7 +239,7 @@ def train_eval_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def feature_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = correlate(_features(spark, sf_dir))
+    pairs = correlate(materialize(_features(spark, sf_dir), "features"))
     return pairs.withColumn("correlation", F.round("correlation", 6) + 0.0)
 
 
@@ -271,7 +271,8 @@ def _linear_probability() -> Column:
 
 def _linear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _features(spark, sf_dir)
-    return materialize(rows.select(VISITOR, "labels", _linear_probability().alias("probability")))
+    scores = rows.select(VISITOR, "labels", _linear_probability().alias("probability"))
+    return materialize(scores, "scores")
 
 
 @query
@@ -319,7 +320,7 @@ def evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _split_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = materialize(split(_features(spark, sf_dir)))
+    rows = materialize(split(_features(spark, sf_dir)), "features")
     return rows.where("not is_eval"), rows.where("is_eval")
 
 
@@ -362,7 +363,7 @@ def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 def predicted_deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training, scoring and deciles in one go."""
     probabilities = scoring.positive_class_probability(predict(spark, sf_dir))
-    return scoring.score_deciles(materialize(probabilities))
+    return scoring.score_deciles(materialize(probabilities, "scores"))
 
 
 @query

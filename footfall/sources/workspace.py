@@ -8,33 +8,38 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="footfall-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach; sets up checkpointing in it."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="footfall-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(folder)
-    return folder
+    """The folder every executor can reach."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return _local_folder()
 
 
 def table_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a table; a rerun never collides with an earlier one."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, name: str = "rows") -> DataFrame:
     """Compute ``df`` once, for consumers that read it several times.
 
-    A reliable checkpoint: the rows survive the loss of an executor, and no
-    later step goes back to the lineage.
+    The rows become a table in the shared folder: they survive the loss of an
+    executor, nothing later goes back to the lineage, and every reader takes
+    only the columns it needs.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    path = table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
