@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.flags import has_hits, mask_names, mask_words, unpack_words
+from footfall.functions.flags import fold_words, has_hits, unpack_words, with_page_levels
 from footfall.params import FeatureParams
 from footfall.sources.sessions import select_sessions
 from footfall.vocabulary import INDICATORS, VISITOR, Indicator
@@ -18,14 +18,6 @@ def indicators_of(*groups: str) -> list[Indicator]:
     return [ind for ind in INDICATORS if ind.group in groups]
 
 
-def indicator_aggregates(indicators: Sequence[Indicator]) -> list[Column]:
-    """Folded mask words. Sessions without hits add nothing."""
-    return [
-        F.bit_or(F.when(has_hits(), word)).alias(name)
-        for name, word in zip(mask_names(indicators), mask_words(indicators), strict=True)
-    ]
-
-
 def visitor_flags(
     sessions: DataFrame, params: FeatureParams, indicators: Sequence[Indicator] = tuple(INDICATORS)
 ) -> DataFrame:
@@ -34,8 +26,8 @@ def visitor_flags(
     Hits are never unnested: session fields are tested once per session, page
     paths inside the array.
     """
-    hit_sessions = select_sessions(sessions, params).where(has_hits())
-    folded = hit_sessions.groupBy(VISITOR).agg(*indicator_aggregates(indicators))
+    hit_sessions = with_page_levels(select_sessions(sessions, params)).where(has_hits())
+    folded = hit_sessions.groupBy(VISITOR).agg(*fold_words(indicators))
     return folded.select(VISITOR, *unpack_words(indicators))
 
 

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.flags import unpack_words
-from footfall.operators import engagement, habits, indicators, labels
+from footfall.functions.flags import fold_words, unpack_words, with_page_levels
+from footfall.operators import engagement, habits, labels
 from footfall.operators.lookback import within_window
 from footfall.params import FeatureParams
 from footfall.sources.sessions import select_sessions
@@ -41,7 +41,7 @@ def feature_table(sessions: DataFrame, params: FeatureParams) -> DataFrame:
     if params.lookback_filter:
         return _inside_windows(base, params)
     folded = (
-        _with_buckets(base, params)
+        _prepared(base, params)
         .groupBy(VISITOR)
         .agg(_had_visit(), *labels.label_aggregates(), *_behaviour_aggregates())
     )
@@ -59,7 +59,7 @@ def _inside_windows(base: DataFrame, params: FeatureParams) -> DataFrame:
     windows = labels.lookback_window(labels.anchor_timestamp(labels.with_timestamps(users)), params)
     windows = materialize(windows.select(*labels.USER_COLUMNS, "n_sessions"), "windows")
     behaviour = (
-        _with_buckets(within_window(base, windows), params)
+        _prepared(within_window(base, windows), params)
         .groupBy(VISITOR)
         .agg(*_behaviour_aggregates())
         .select(VISITOR, *_behaviour_columns())
@@ -67,8 +67,10 @@ def _inside_windows(base: DataFrame, params: FeatureParams) -> DataFrame:
     return windows.drop("n_sessions").join(behaviour, VISITOR, "left")
 
 
-def _with_buckets(sessions: DataFrame, params: FeatureParams) -> DataFrame:
-    return habits.with_weekday_bucket(habits.with_daypart_bucket(sessions, params))
+def _prepared(sessions: DataFrame, params: FeatureParams) -> DataFrame:
+    """Sessions with everything the behaviour aggregates read, computed once per row."""
+    local = habits.with_daypart_bucket(sessions, params)
+    return with_page_levels(habits.with_weekday_bucket(local))
 
 
 def _had_visit() -> Column:
@@ -78,7 +80,7 @@ def _had_visit() -> Column:
 def _behaviour_aggregates() -> list[Column]:
     return [
         *engagement.engagement_aggregates(),
-        *indicators.indicator_aggregates(INDICATORS),
+        *fold_words(INDICATORS),
         *habits.weekday_aggregates(),
         *habits.daypart_aggregates(),
     ]

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions import clock
-from footfall.functions.flags import has_hits
 from footfall.operators import engagement, habits, labels
 from footfall.params import FeatureParams
 from footfall.sources.sessions import select_sessions
@@ -34,7 +33,7 @@ def _flag(ind: Indicator) -> F.Column:
 
 def flags_by_hit(sessions: DataFrame, params: FeatureParams) -> DataFrame:
     """Indicators over unnested hits, one conditional maximum each."""
-    hits = select_sessions(sessions, params).where(has_hits()).withColumn("hit", F.explode("hits"))
+    hits = select_sessions(sessions, params).withColumn("hit", F.explode("hits"))
     return hits.groupBy(VISITOR).agg(*[_flag(ind) for ind in INDICATORS])
 
 
