@@ -72,7 +72,7 @@ def fold_words(indicators: Sequence[Indicator]) -> list[Column]:
 def unpack_words(indicators: Sequence[Indicator]) -> list[Column]:
     """One int column per indicator, read off the folded words; NULL words give NULL."""
     return [
-        F.expr(f"cast(shiftrightunsigned({name}, {bit}) & 1 AS int) AS {ind.column}")
+        F.expr(f"cast(getbit({name}, {bit}) AS int) AS {ind.column}")
         for name, _, group in _words(indicators)
         for bit, ind in enumerate(group)
     ]
