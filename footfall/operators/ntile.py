@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterable
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -20,6 +21,11 @@ from footfall.vocabulary import VISITOR
 CELLS = 1024
 
 
+def _array(numbers: Iterable[float]) -> Column:
+    """A literal array, as one expression instead of one call per number."""
+    return F.expr(f"array({', '.join(f'{n!r}D' for n in numbers)})")
+
+
 def quantile_edges(df: DataFrame, column: str, cells: int = CELLS) -> dict[float, int]:
     """About ``cells`` values that split ``column`` evenly, smallest first.
 
@@ -28,9 +34,9 @@ def quantile_edges(df: DataFrame, column: str, cells: int = CELLS) -> dict[float
     the cells; ranks computed from them are exact. They are plain numbers by
     then, so a recomputed task meets the same cells.
     """
-    shares = [i / cells for i in range(1, cells)]
+    shares = _array(i / cells for i in range(1, cells))
     edges = df.agg(F.percentile_approx(column, shares, 2 * cells)).first()[0] or []
-    return dict(sorted(Counter(e for e in edges if not math.isnan(e)).items()))
+    return dict(sorted(Counter(e for e in edges if math.isfinite(e)).items()))
 
 
 def with_cell(df: DataFrame, column: str, edges: dict[float, int]) -> DataFrame:
@@ -45,8 +51,8 @@ def with_cell(df: DataFrame, column: str, edges: dict[float, int]) -> DataFrame:
         splits=bounds, inputCol=column, outputCol="bucket", handleInvalid="keep"
     )
     below = F.col("bucket").cast("int") - 1
-    on_edge = F.col(column) == F.get(F.lit(values), below)
-    weight = F.get(F.lit(list(edges.values()) or [1]), below)
+    on_edge = F.col(column) == F.get(_array(values), below)
+    weight = F.get(_array(edges.values() or [1]), below).cast("int")
     cell = 2 * F.col("bucket").cast("int") + F.when(on_edge, 0).otherwise(1)
     return (
         bucketizer.transform(df)
@@ -60,6 +66,23 @@ def with_cell(df: DataFrame, column: str, edges: dict[float, int]) -> DataFrame:
     )
 
 
+def _digest(id_col: str) -> Column:
+    return F.md5(F.col(id_col).cast("string"))
+
+
+def placed_in_cells(df: DataFrame, order_by: str, id_col: str, cells: int) -> DataFrame:
+    """Add ``cell`` and ``sub``, its part: a range of hashed ids.
+
+    Only cells that hold a single value (or NULL) are parted, as only there
+    the order of the hashes is the order of the rows.
+    """
+    placed = with_cell(df, order_by, quantile_edges(df, order_by, cells))
+    head = F.conv(F.substring(_digest(id_col), 1, 8), 16, 10).cast("bigint")
+    parts = F.when(F.col("cell") == -1, cells).otherwise(F.coalesce("edge_weight", F.lit(1)))
+    sub = F.when(parts > 1, F.shiftright(head * parts, 32)).otherwise(0).cast("int")
+    return placed.withColumn("sub", sub).drop("edge_weight")
+
+
 def _div(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
@@ -91,12 +114,7 @@ def exact_ntile(
 
     ``df`` is read three times; pass a materialised one if it is dear.
     """
-    digest = F.md5(F.col(id_col).cast("string"))
-    head = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-    parts = F.when(F.col("cell") == -1, cells).otherwise(F.coalesce("edge_weight", F.lit(1)))
-    sub = F.when(parts > 1, F.shiftright(head * parts, 32)).otherwise(0).cast("int")
-    edges = quantile_edges(df, order_by, cells)
-    placed = with_cell(df, order_by, edges).withColumn("sub", sub).drop("edge_weight")
+    placed = placed_in_cells(df, order_by, id_col, cells)
 
     in_order = Window.orderBy(F.desc("cell"), F.asc("sub"))
     counts = placed.groupBy("cell", "sub").agg(F.count("*").alias("n"))
@@ -119,7 +137,7 @@ def exact_ntile(
     located = placed.join(F.broadcast(spans), ["cell", "sub"])
     inside = located.where("first_tile = last_tile").withColumn(output, F.col("first_tile"))
     in_cell = Window.partitionBy("cell", "sub").orderBy(
-        F.desc_nulls_last(order_by), digest, F.col(id_col)
+        F.desc_nulls_last(order_by), _digest(id_col), F.col(id_col)
     )
     rank = F.col("first_rank") + F.row_number().over(in_cell) - 1
     cut = located.where("first_tile < last_tile").withColumn(

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from footfall.operators.ntile import exact_ntile
+from footfall.operators.ntile import exact_ntile, placed_in_cells
 from footfall.operators.scoring import score_deciles
 
 
@@ -58,10 +58,13 @@ def test_deciles_are_even_and_ordered(spark):
     assert rows[0][2] == 0.9
 
 
-def test_hot_value_is_spread_over_cells(spark):
+@pytest.mark.parametrize("hot", [0.25, None])
+def test_hot_value_is_spread_over_cells(spark, hot):
     """A value a third of the rows share must not end up in one group."""
-    values = [0.25] * 3000 + [i / 7000 for i in range(6000)]
-    plan = exact_ntile(_scores(spark, values), 10, cells=64)
-    located = plan._jdf.queryExecution().toString()
-    assert "first_tile" in located
-    _same(_scores(spark, values), 10, 64)
+    df = _scores(spark, [hot] * 3000 + [i / 7000 for i in range(6000)])
+    cells = placed_in_cells(df, "probability", "fullVisitorId", 64).groupBy("cell", "sub").count()
+    sizes = [r[2] for r in cells.collect()]
+    assert sum(sizes) == 9000
+    assert len(sizes) <= 3 * 64
+    assert max(sizes) < 3 * 9000 / 64
+    _same(df, 10, 64)
