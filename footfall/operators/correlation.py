@@ -10,7 +10,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.plans.feature_table import FLAGS, RATIOS
+from footfall.columns import FLAGS, RATIOS
 
 
 def feature_correlation(features: DataFrame, columns: Sequence[str] = (*RATIOS, *FLAGS)) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall.columns import USER_COLUMNS
 from footfall.params import FeatureParams
 from footfall.sources.sessions import select_sessions
 from footfall.vocabulary import VISITOR
@@ -82,17 +83,6 @@ def drop_first_session_buyers(labeled: DataFrame) -> DataFrame:
     )
 
 
-USER_COLUMNS = [
-    VISITOR,
-    "labels",
-    "first_conversion_session",
-    "last_visit_timestamp",
-    "last_conversion_timestamp",
-    "front_lookback_window",
-    "end_lookback_window",
-]
-
-
 def filtered_users(labeled: DataFrame, params: FeatureParams) -> DataFrame:
     """The visitors of the feature table with their windows."""
     kept = drop_first_session_buyers(labeled)

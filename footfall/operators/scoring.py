@@ -40,8 +40,13 @@ def predict(model: Transformer, visitors: DataFrame, threshold: float = THRESHOL
 
 
 def positive_class_probability(predictions: DataFrame, id_col: str = VISITOR) -> DataFrame:
-    """One row per visitor: the probability of class 1."""
-    classes = predictions.select(id_col, F.inline("predicted_labels_probs"))
+    """One row per visitor: the probability of class 1.
+
+    The outer form of the unnesting, as the filter drops its NULL rows anyway:
+    for the inner one Spark adds a filter on the array's size and computes the
+    whole prediction a second time for it.
+    """
+    classes = predictions.select(id_col, F.inline_outer("predicted_labels_probs"))
     return classes.where("label = 1").select(id_col, F.col("prob").alias("probability"))
 
 

@@ -10,11 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
+    LogisticRegressionModel,
+    MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
@@ -30,13 +33,12 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.columns import FLAGS, LABEL, RATIOS
 from footfall.functions.clock import DAYPART_NAMES
 from footfall.operators.metrics import evaluate
-from footfall.plans.feature_table import FLAGS, RATIOS
 from footfall.sources.workspace import materialize
 from footfall.vocabulary import WEEKDAYS
 
-LABEL = "labels"
 NUMBERS = [*RATIOS, *FLAGS]
 CATEGORIES = {"day": WEEKDAYS, "daypart": DAYPART_NAMES}
 L1_STRENGTHS = (0, 1, 10, 50, 100, 1000)
@@ -154,16 +156,26 @@ def fit(
         for l1 in l1_strengths:
             estimator = make_classifier(model_type, l1, n_rows, n_features, max_iter, seed)
             fitted = estimator.fit(vectors)
-            summary = fitted.summary if model_type == "logistic_reg" else None
-            losses = [float(v) for v in summary.objectiveHistory] if summary else []
             pipeline = PipelineModel([*prepare.stages, fitted])
-            models[model_type, l1] = FittedModel(pipeline, model_type, l1, losses)
+            models[model_type, l1] = FittedModel(pipeline, model_type, l1, _losses(fitted))
     return models
 
 
+def _losses(fitted: Model) -> list[float]:
+    """Loss after each iteration; tree ensembles keep none."""
+    if isinstance(fitted, LogisticRegressionModel):
+        return [float(v) for v in fitted.summary.objectiveHistory]
+    if isinstance(fitted, MultilayerPerceptronClassificationModel):
+        return [float(v) for v in fitted.summary().objectiveHistory]
+    return []
+
+
 def score(model: FittedModel, visitors: DataFrame) -> DataFrame:
     """True label and P(label = 1) per row."""
-    scored = model.pipeline.transform(visitors)
+    return _probabilities(model.pipeline.transform(visitors))
+
+
+def _probabilities(scored: DataFrame) -> DataFrame:
     return scored.select(LABEL, vector_to_array("probability").getItem(1).alias("probability"))
 
 
@@ -224,14 +236,19 @@ def _name_and_category(name: str) -> tuple[str, str | None]:
 
 
 def compare(models: dict[tuple[str, float], FittedModel], holdout: DataFrame) -> DataFrame:
-    """One evaluation row per model, tagged with family and L1 strength."""
-    reports = [
-        evaluate(score(model, holdout)).select(
-            F.lit(model_type).alias("model_type"), F.lit(f"{l1:g}").alias("L1"), "*"
-        )
-        for (model_type, l1), model in models.items()
-    ]
-    union = reports[0]
-    for report in reports[1:]:
-        union = union.unionByName(report)
-    return union
+    """One evaluation row per model, tagged with family and L1 strength.
+
+    Models of one fit share their preprocessing; it runs once over ``holdout``.
+    """
+    vectors: dict[tuple[str, ...], DataFrame] = {}
+    reports = []
+    for (model_type, l1), model in models.items():
+        prepare = model.pipeline.stages[:-1]
+        key = tuple(stage.uid for stage in prepare)
+        if key not in vectors:
+            prepared = PipelineModel(prepare).transform(holdout).select(LABEL, "features")
+            vectors[key] = materialize(prepared, "vectors")
+        report = evaluate(_probabilities(model.classifier.transform(vectors[key])))
+        tags = F.lit(model_type).alias("model_type"), F.lit(f"{l1:g}").alias("L1")
+        reports.append(report.select(*tags, "*"))
+    return reduce(DataFrame.unionByName, reports)

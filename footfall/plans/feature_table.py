@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall.columns import NOT_FOR_TRAINING, RATIOS, USER_COLUMNS
 from footfall.functions.flags import fold_words, unpack_words, with_page_levels
 from footfall.operators import engagement, habits, labels
 from footfall.operators.lookback import within_window
@@ -19,21 +20,6 @@ from footfall.sources.sessions import select_sessions
 from footfall.sources.workspace import materialize
 from footfall.vocabulary import INDICATORS, VISITOR
 
-RATIOS = ["timeOnSite_per_visit", "timeOnSite_per_page"]
-FLAGS = [ind.column for ind in INDICATORS]
-HABITS = ["day", "daypart"]
-FEATURES = [*RATIOS, *FLAGS, *HABITS]
-
-# Known only afterwards, or no property of the visitor: not for training.
-NOT_FOR_TRAINING = [
-    VISITOR,
-    "first_conversion_session",
-    "last_visit_timestamp",
-    "last_conversion_timestamp",
-    "front_lookback_window",
-    "end_lookback_window",
-]
-
 
 def feature_table(sessions: DataFrame, params: FeatureParams) -> DataFrame:
     """One row per visitor: label, windows, ratios, indicators, habits."""
@@ -47,7 +33,7 @@ def feature_table(sessions: DataFrame, params: FeatureParams) -> DataFrame:
     )
     users = labels.drop_first_session_buyers(folded.where("had_visit"))
     windows = labels.lookback_window(labels.anchor_timestamp(labels.with_timestamps(users)), params)
-    return windows.select(*labels.USER_COLUMNS, *_behaviour_columns())
+    return windows.select(*USER_COLUMNS, *_behaviour_columns())
 
 
 def _inside_windows(base: DataFrame, params: FeatureParams) -> DataFrame:
@@ -57,7 +43,7 @@ def _inside_windows(base: DataFrame, params: FeatureParams) -> DataFrame:
     )
     users = labels.drop_first_session_buyers(labeled.where("had_visit"))
     windows = labels.lookback_window(labels.anchor_timestamp(labels.with_timestamps(users)), params)
-    windows = materialize(windows.select(*labels.USER_COLUMNS, "n_sessions"), "windows")
+    windows = materialize(windows.select(*USER_COLUMNS, "n_sessions"), "windows")
     behaviour = (
         _prepared(within_window(base, windows), params)
         .groupBy(VISITOR)

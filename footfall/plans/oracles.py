@@ -6,8 +6,8 @@ the way the Spark plans compute the same rows.
 
 from __future__ import annotations
 
+from footfall.columns import FLAGS, RATIOS
 from footfall.params import FeatureParams
-from footfall.plans.feature_table import FLAGS, RATIOS
 from footfall.plans.queries import HOLDOUT, TRAINING, linear_logit
 from footfall.sources import event_log as log
 from footfall.vocabulary import DAYPARTS, DST_RANGES, INDICATORS, STATES, WEEKDAYS

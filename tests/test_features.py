@@ -4,7 +4,7 @@ from datetime import timedelta
 import pytest
 
 from footfall import FeatureParams, feature_table, training_projection
-from footfall.plans.feature_table import FEATURES, FLAGS
+from footfall.columns import FEATURES, FLAGS
 from footfall.plans.staged import feature_table_staged
 from footfall.vocabulary import VISITOR
 from tests.hand_made import PARAMS, random_sessions, session, sessions

@@ -8,7 +8,7 @@ from footfall import feature_table
 from footfall.operators import metrics, scoring, training
 from footfall.operators.correlation import feature_correlation
 from footfall.operators.split import train_eval_split
-from footfall.plans.feature_table import FEATURES
+from footfall.columns import FEATURES
 from footfall.vocabulary import BROWSERS, VISITOR
 from tests.hand_made import PARAMS, session, sessions
 
