@@ -71,19 +71,18 @@ def lookback_window(anchored: DataFrame, params: FeatureParams) -> DataFrame:
     )
 
 
-def drop_first_session_buyers(labeled: DataFrame) -> DataFrame:
-    """Drop buyers whose first visit already converted.
+def bought_later_or_never() -> Column:
+    """False for buyers whose first visit already converted.
 
     Without a conversion time there is nothing to compare: that holds for all
     non-buyers, so one predicate covers both classes.
     """
-    return labeled.where(
-        F.col("first_conversion_session").isNull()
-        | (F.col("first_visit") < F.col("first_conversion_session"))
+    return F.col("first_conversion_session").isNull() | (
+        F.col("first_visit") < F.col("first_conversion_session")
     )
 
 
 def filtered_users(labeled: DataFrame, params: FeatureParams) -> DataFrame:
     """The visitors of the feature table with their windows."""
-    kept = drop_first_session_buyers(labeled)
+    kept = labeled.where(bought_later_or_never())
     return lookback_window(anchor_timestamp(kept), params).select(*USER_COLUMNS)

@@ -13,29 +13,34 @@ HEAVY_SHARE = 1000
 SALTS = 64
 
 
-def within_window(sessions: DataFrame, windows: DataFrame) -> DataFrame:
-    """Sessions with ``visitStartTime`` inside the visitor's window.
-
-    ``windows`` has one row per visitor: ``front_lookback_window``,
-    ``end_lookback_window`` and ``n_sessions``; it is read several times, so
-    pass a materialised one. The sessions of heavy visitors are spread over
-    salted copies of their single window row; everyone else joins unsalted.
+def within_window(sessions: DataFrame, visitors: DataFrame) -> DataFrame:
+    """Sessions of kept visitors with ``visitStartTime`` inside the visitor's window.
+
+    ``visitors`` has one row for every visitor of ``sessions``: ``kept``,
+    ``front_lookback_window``, ``end_lookback_window`` and ``n_sessions``. It
+    is read several times, so pass a materialised one. The sessions of heavy
+    visitors are spread over salted copies of their single window row, or drop
+    out before the join if the visitor is not kept; everyone else joins
+    unsalted.
     """
-    total = windows.agg(F.sum("n_sessions")).first()[0] or 0
+    total = visitors.agg(F.sum("n_sessions")).first()[0] or 0
     is_heavy = F.col("n_sessions") * HEAVY_SHARE > F.lit(total)
-    heavy = windows.where(is_heavy).select(VISITOR, F.lit(True).alias("heavy"))
+    heavy = visitors.where(is_heavy).select(VISITOR, F.col("kept").alias("heavy_kept"))
     spread = F.pmod(F.xxhash64("visitStartTime"), F.lit(SALTS)).cast("int")
     salts = F.when(is_heavy, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
 
-    salted = sessions.join(F.broadcast(heavy), VISITOR, "left").withColumn(
-        "salt", F.when(F.col("heavy"), spread).otherwise(0)
+    salted = (
+        sessions.join(F.broadcast(heavy), VISITOR, "left")
+        .where("heavy_kept IS NULL OR heavy_kept")
+        .withColumn("salt", F.when(F.col("heavy_kept"), spread).otherwise(0))
+        .drop("heavy_kept")
     )
-    targets = windows.select(
+    windows = visitors.where("kept").select(
         VISITOR, "front_lookback_window", "end_lookback_window", F.explode(salts).alias("salt")
     )
     start = F.timestamp_seconds("visitStartTime")
     return (
-        salted.join(targets, [VISITOR, "salt"])
+        salted.join(windows, [VISITOR, "salt"])
         .where(start.between(F.col("front_lookback_window"), F.col("end_lookback_window")))
-        .drop("heavy", "salt", "front_lookback_window", "end_lookback_window")
+        .drop("salt", "front_lookback_window", "end_lookback_window")
     )

@@ -31,8 +31,7 @@ def feature_table(sessions: DataFrame, params: FeatureParams) -> DataFrame:
         .groupBy(VISITOR)
         .agg(_had_visit(), *labels.label_aggregates(), *_behaviour_aggregates())
     )
-    users = labels.drop_first_session_buyers(folded.where("had_visit"))
-    windows = labels.lookback_window(labels.anchor_timestamp(labels.with_timestamps(users)), params)
+    windows = _with_windows(folded.where(_kept()), params)
     return windows.select(*USER_COLUMNS, *_behaviour_columns())
 
 
@@ -41,16 +40,25 @@ def _inside_windows(base: DataFrame, params: FeatureParams) -> DataFrame:
     labeled = base.groupBy(VISITOR).agg(
         _had_visit(), F.count("*").alias("n_sessions"), *labels.label_aggregates()
     )
-    users = labels.drop_first_session_buyers(labeled.where("had_visit"))
-    windows = labels.lookback_window(labels.anchor_timestamp(labels.with_timestamps(users)), params)
-    windows = materialize(windows.select(*USER_COLUMNS, "n_sessions"), "windows")
+    visitors = _with_windows(labeled, params).select(
+        *USER_COLUMNS, "n_sessions", _kept().alias("kept")
+    )
+    visitors = materialize(visitors, "windows")
     behaviour = (
-        _prepared(within_window(base, windows), params)
+        _prepared(within_window(base, visitors), params)
         .groupBy(VISITOR)
         .agg(*_behaviour_aggregates())
         .select(VISITOR, *_behaviour_columns())
     )
-    return windows.drop("n_sessions").join(behaviour, VISITOR, "left")
+    return visitors.where("kept").select(*USER_COLUMNS).join(behaviour, VISITOR, "left")
+
+
+def _kept() -> Column:
+    return F.col("had_visit") & labels.bought_later_or_never()
+
+
+def _with_windows(labeled: DataFrame, params: FeatureParams) -> DataFrame:
+    return labels.lookback_window(labels.anchor_timestamp(labels.with_timestamps(labeled)), params)
 
 
 def _prepared(sessions: DataFrame, params: FeatureParams) -> DataFrame:

@@ -154,6 +154,13 @@ def test_lookback_filter_against_python(spark, seed, monkeypatch):
     assert found == expected
 
 
+def test_heavy_visitor_that_is_not_kept(spark):
+    """Left out of the table, whatever their number of sessions."""
+    rows = [session("hot", "20170101", h, bounces=1) for h in range(20)] + BUYER
+    params = replace(PARAMS, lookback_filter=True)
+    assert [r[VISITOR] for r in feature_table(sessions(spark, rows), params).collect()] == ["v"]
+
+
 def _as_plain_visit(row):
     """Same behaviour, but kept in the table: no bounce, no purchase."""
     visits, views, seconds, _, _ = row[4]

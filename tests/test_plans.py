@@ -95,7 +95,8 @@ def test_events_are_filtered_in_the_scan(spark):
 def test_ntile_gathers_cells_not_rows(spark, tmp_path):
     """The only single-partition exchange is fed by the counts per cell."""
     path = str(tmp_path / "scores")
-    spark.range(5000).selectExpr("cast(id as string) AS fullVisitorId", "id / 5000D AS probability").write.parquet(path)
+    scores = spark.range(5000).selectExpr("cast(id as string) AS fullVisitorId", "id / 5000D AS probability")
+    scores.write.parquet(path)
     plan = exact_ntile(spark.read.parquet(path), 10)._jdf.queryExecution().sparkPlan().toString()
     for window in re.findall(r"Window \[.*?\], \[(.*?)\]", plan):
         assert window == "" or "cell" in window

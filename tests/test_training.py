@@ -70,7 +70,8 @@ def test_weights_are_standardised(features, models):
 
 
 def test_training_info(models):
-    losses = [r.loss for r in training.training_info(models["logistic_reg", 1]).orderBy("iteration").collect()]
+    info = training.training_info(models["logistic_reg", 1]).orderBy("iteration")
+    losses = [r.loss for r in info.collect()]
     assert len(losses) > 2
     assert losses[-1] < losses[0]
 
@@ -130,8 +131,14 @@ def test_vector_layout(features, models):
 
 
 def test_correlation(features):
-    columns = ["timeOnSite_per_page", "device_deviceCategory_mobile", "device_deviceCategory_desktop", "geoNetworkmetro_AtlantaGA"]
-    found = {(r.feature_a, r.feature_b): r.correlation for r in feature_correlation(features, columns).collect()}
+    columns = [
+        "timeOnSite_per_page",
+        "device_deviceCategory_mobile",
+        "device_deviceCategory_desktop",
+        "geoNetworkmetro_AtlantaGA",
+    ]
+    pairs = feature_correlation(features, columns).collect()
+    found = {(r.feature_a, r.feature_b): r.correlation for r in pairs}
     assert len(found) == 6
     assert found[columns[1], columns[2]] == pytest.approx(-1)
     assert found[columns[1], columns[3]] is None
