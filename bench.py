@@ -106,7 +106,7 @@ def comparisons(spark: SparkSession, sf_dir: str, runs: int) -> dict[str, float]
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = session(cpus)
     times = {
         name: seconds(lambda query=QUERIES[name]: query(spark, sf_dir), runs) for name in HEADLINE
