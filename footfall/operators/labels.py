@@ -61,11 +61,15 @@ def anchor_timestamp(labeled: DataFrame) -> DataFrame:
 
 
 def lookback_window(anchored: DataFrame, params: FeatureParams) -> DataFrame:
-    """Add the window of ``lookback_days`` that ends at the anchor."""
-    days = F.make_dt_interval(F.lit(params.lookback_days))
+    """Add the window of ``lookback_days`` (of 24 hours) that ends at the anchor.
+
+    By microseconds: subtracting an interval counts days on the session's own
+    calendar, which may skip or repeat an hour.
+    """
+    days = F.lit(params.lookback_days * 86_400_000_000).cast("bigint")
     return anchored.withColumns(
         {
-            "front_lookback_window": F.col("last_timestamp") - days,
+            "front_lookback_window": F.timestamp_micros(F.unix_micros("last_timestamp") - days),
             "end_lookback_window": F.col("last_timestamp"),
         }
     )

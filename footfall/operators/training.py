@@ -144,7 +144,8 @@ def fit(
     """One model per family and L1 strength, keyed by both.
 
     The rows are turned into vectors once and written down; every iteration of
-    every fit reads those.
+    every fit reads those. ``training`` itself is read twice, for the means
+    and for the vectors.
     """
     prepare = preprocessing().fit(training)
     vectors = prepare.transform(training).select(LABEL, "features")

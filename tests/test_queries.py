@@ -29,6 +29,16 @@ def test_same_rows(spark, duck, name):
     assert found == oracle_rows(duck, ORACLES[name])
 
 
+@pytest.mark.parametrize("name", ["feature_table", "daypart_local_hour", "users_labeled"])
+def test_any_session_time_zone(spark, duck, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        found = spark_rows(registered.queries()[name](spark, TABLES))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found == oracle_rows(duck, ORACLES[name])
+
+
 def test_models_need_fitting():
     assert FITTED == [
         "l1_sweep",
