@@ -84,7 +84,8 @@ def test_sessions_without_hits_lose_their_flags(spark):
 
 def test_null_fields_give_zero(spark):
     empty = session(device=None, browser=None, channel=None, metro=None, hits=[(None, None)])
-    assert {_one(spark, [empty])[c] for c in FLAGS} == {0}
+    row = _one(spark, [empty])
+    assert {row[c] for c in FLAGS} == {0}
 
 
 def test_flags_are_multi_hot_and_paths_not_normalised(spark):
