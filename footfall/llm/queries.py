@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import quality_rules, url_filter
+from footfall.llm import ngram_jaccard, quality_rules, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,3 +47,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(m.char_distance, 9).alias("char_distance"),
         F.round(m.word_distance, 9).alias("word_distance"),
     )
+
+
+@query
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    found = ngram_jaccard.near_duplicates(docs)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id")
+    )
