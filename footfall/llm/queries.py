@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import ngram_jaccard, quality_rules, url_filter
+from footfall.llm import decontamination, ngram_jaccard, quality_rules, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,3 +56,19 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id")
     )
+
+
+@query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontamination.decontaminate(
+        docs.select("doc_id", "text"), items.select("item_id", "text")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
+        "contaminated",
+    )
