@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import decontamination, ngram_jaccard, quality_rules, url_filter
+from footfall.llm import decontamination, ngram_jaccard, pii, quality_rules, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,3 +72,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+# A real run takes its key from the operator's caller; this one makes results repeatable.
+DEMO_KEY = "a key for repeatable results"
+
+
+@query
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.replace_pii(docs, DEMO_KEY).select("doc_id", "text", "n_entities")
