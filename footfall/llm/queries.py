@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import decontamination, ngram_jaccard, pii, quality_rules, url_filter
+from footfall.llm import decontamination, ngram_jaccard, packing, pii, quality_rules, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,3 +82,19 @@ DEMO_KEY = "a key for repeatable results"
 def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii.replace_pii(docs, DEMO_KEY).select("doc_id", "text", "n_entities")
+
+
+def packing_params() -> packing.PackingParams:
+    """The installed public vocabulary: the ranks are those of ``byte_bpe_50k.json``."""
+    import public_tokenizers
+
+    return packing.PackingParams(
+        ranks_path=public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        pattern=public_tokenizers.PATTERN,
+    )
+
+
+@query
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, packing_params())
