@@ -2,4 +2,124 @@
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+OP4 = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h FROM pages
+), d AS (
+  SELECT page_id, octet_length(encode(h)) AS n, sha256(h) AS s FROM p
+), f AS (
+  SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY s) ELSE page_id END AS first
+  FROM d
+)
+SELECT page_id, n AS payload_bytes, s AS payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f
+"""
+
+OP7 = r"""
+WITH a AS (
+  SELECT page_id,
+         CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), b AS (
+  SELECT page_id, coalesce(rest, '') AS rest FROM a
+), c AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM b
+), r(rh, rp, v) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+         ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), m AS (
+  SELECT c.*, r.rh || r.rp AS rule, r.v,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(r.rh || r.rp) DESC NULLS LAST) AS k
+  FROM c LEFT JOIN r
+    ON (c.host = r.rh OR ends_with(c.host, '.' || r.rh)) AND starts_with(c.path, r.rp)
+)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM m WHERE k = 1
+"""
+
+OP3 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+  FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'),
+                   (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), n AS (
+  SELECT *,
+         row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS last,
+         sum(length(role) + length(regexp_replace(role, '[^<|\[\\]', '', 'g'))
+             + length(text) + length(regexp_replace(text, '[^<|\[\\]', '', 'g')) + 11) OVER w AS upto
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text
+                      ROWS UNBOUNDED PRECEDING)
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), ''))
+         AS loss_sha256,
+       (sum(upto) FILTER (role = 'assistant' OR k = last))::BIGINT AS formatted_chars
+FROM n GROUP BY conv_id
+"""
+
+OP1 = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS n, unnest(list_transform(
+    range(1, len(w) - least(13, len(w)) + 2), lambda i: list_slice(w, i, i + least(13, len(w)) - 1))) AS g
+  FROM iw WHERE len(w) > 0
+), lens AS (SELECT DISTINCT n FROM win), dg AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM dw, lens WHERE len(w) >= n
+), hit AS (
+  SELECT doc_id, i, dg.n, item_id FROM dg JOIN win ON dg.n = win.n AND list_slice(w, i, i + dg.n - 1) = g
+), pos AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (
+    SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM hit)) GROUP BY 1
+), its AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY 1
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+OP5 = r"""
+WITH RECURSIVE dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 2, 2)),
+    lambda i: array_to_string(list_slice(w, i, i + 3), ' '))) AS s
+  FROM dw WHERE len(w) > 0
+), n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o
+  FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+  WHERE 100 * o >= 85 * (p.n + q.n - o)
+), edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM dw UNION SELECT a, y FROM reach JOIN edges ON b = x
+), low AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id
+FROM low LEFT JOIN n USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontamination": OP1,
+    "op3_chat_format": OP3,
+    "op4_warc": OP4,
+    "op5_ngram_jaccard": OP5,
+    "op7_url_filter": OP7,
+}

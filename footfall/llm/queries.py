@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import decontamination, ngram_jaccard, packing, pii, quality_rules, url_filter
+from footfall.llm import (
+    chat,
+    decontamination,
+    ngram_jaccard,
+    packing,
+    pii,
+    quality_rules,
+    url_filter,
+    warc,
+)
+from footfall.sources.workspace import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,3 +108,67 @@ def packing_params() -> packing.PackingParams:
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, packing_params())
+
+
+# A conversation made of control strings of a common chat template.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+@query
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = [(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)]
+    extra = spark.createDataFrame(added, "conv_id long, turn long, role string, text string")
+    written = materialize(chat.format_examples(own.unionAll(extra)), "examples")
+    replies = F.array_sort(
+        F.collect_list(
+            F.when(
+                F.col("loss_start").isNotNull(),
+                F.struct("example", chat.trainable_text(written).alias("text")),
+            )
+        )
+    )
+    by_conversation = written.groupBy("conv_id").agg(
+        F.max_by("formatted", "example").alias("longest"),
+        F.array_join(F.transform(replies, lambda r: r.text), "").alias("loss"),
+        F.sum(F.char_length("formatted")).cast("long").alias("formatted_chars"),
+    )
+    turns = by_conversation.withColumn("turns", chat.read_turns(F.col("longest")))
+    text = F.array_join(
+        F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), ""
+    )
+    return turns.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(text, 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    folder, index = warc.write_archives(pages)
+    read = warc.read_records(folder, index)
+    facts = materialize(
+        read.select(
+            "page_id",
+            "record_type",
+            "refers_to",
+            F.octet_length("payload").cast("long").alias("bytes"),
+            F.sha2("payload", 256).alias("sha"),
+        ),
+        "records",
+    )
+    full = facts.where("record_type = 'response'").select(
+        F.col("page_id").alias("full_id"), F.col("bytes").alias("n"), F.col("sha").alias("s")
+    )
+    return facts.join(full, F.coalesce("refers_to", "page_id") == F.col("full_id")).select(
+        "page_id",
+        F.col("n").alias("payload_bytes"),
+        F.col("s").alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
