@@ -1,7 +1,8 @@
 """The corpus pipeline: stages on documents, each calling one operator.
 
 ``run`` applies them in order; what a stage returns is written as Parquet in the
-shared folder and read again as the documents of the next one.
+shared folder and read again as the documents of the next one. Documents are told
+apart by ``doc_id``.
 """
 
 from __future__ import annotations
@@ -11,23 +12,64 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import quality_rules
+from footfall.llm import decontamination, ngram_jaccard, packing, pii, quality_rules
+from footfall.llm.queries import DEMO_KEY, packing_params
+from footfall.llm.words import fresh_name
 from footfall.sources.workspace import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# Near duplicates here: shingles of five words, a similarity of 0.8 or more.
+NEAR = ngram_jaccard.JaccardParams(shingle=5, percent=80)
+
+
+def _columns(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     judged, name = quality_rules.quality_rules(docs)
-    return judged.where(F.col(name).kept).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return judged.where(F.col(name).kept).select(*_columns(docs))
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of every group of near duplicates."""
+    found = ngram_jaccard.near_duplicates(docs.select(F.col("doc_id").alias("id"), "text"), NEAR)
+    first = found.where("id = component").select(F.col("id").alias("doc_id"))
+    return docs.join(materialize(first, "first"), "doc_id", "left_semi").select(*_columns(docs))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without too much of the benchmark in them."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.decontaminate(
+        docs.select("doc_id", "text"), items.select("item_id", "text")
+    )
+    bad = materialize(found.where("contaminated").select("doc_id"), "contaminated")
+    return docs.join(bad, "doc_id", "left_anti").select(*_columns(docs))
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by surrogates."""
+    count = fresh_name(docs, "n_entities")
+    return pii.replace_pii(docs, DEMO_KEY).drop(count)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in the training sequences."""
+    return packing.pack_documents(docs, packing_params())
 
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", keep_good),
+    ("ngram_jaccard", keep_one_of_each_group),
+    ("decontamination", drop_contaminated),
+    ("pii_surrogates", replace_personal_data),
+    ("best_fit_packing", pack),
 ]
 
-#: The tokenizer of the last stage and the keyed surrogates have no SQL.
+#: Keyed surrogates and the tokenizer have no SQL; ``tests/llm`` has a plain twin.
 ORACLE_SQL = None
 
 
