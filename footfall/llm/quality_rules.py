@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.words import SPACE_CHARS, SPACES, ascii_lower, fresh_name, space_words
+from footfall.llm.words import SPACE_CHARS, SPACES, fresh_name, space_words
 from footfall.sources.workspace import materialize
 
 # Common words by language.
@@ -63,10 +63,6 @@ class QualityParams:
     max_word_distance: float = 0.28
 
 
-def _without(text: Column, pattern: str) -> Column:
-    return F.char_length(F.regexp_replace(text, pattern, ""))
-
-
 def _numbered(keys: Column) -> Column:
     """The windows' hashes with their positions, equal ones side by side."""
     return F.array_sort(F.transform(keys, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -95,10 +91,13 @@ def with_measures(df: DataFrame, params: QualityParams = QualityParams()) -> tup
     """``df`` with a struct of counts and histograms; also the struct's name."""
     text, lang = F.coalesce("text", F.lit("")), F.col("lang")
     name = fresh_name(df, "quality")
-    words, common, keys, shape = (fresh_name(df, x) for x in ("w_", "c_", "k_", "s_"))
+    words, common, keys = (fresh_name(df, x) for x in ("w_", "c_", "k_"))
     numbered, places = fresh_name(df, "n_"), fresh_name(df, "p_")
-    listed = [w for ws in COMMON_WORDS.values() for w in ws]
-    w, c, k, s = F.col(words), F.col(common), F.col(keys), F.col(shape)
+    rest, lines = fresh_name(df, "t_"), fresh_name(df, "l_")
+    steps: list[str] = []
+    every = {w for its_words in COMMON_WORDS.values() for w in its_words}
+    listed = sorted({form for w in every for form in (w, w.capitalize(), w.upper())})
+    w, c, k, shown = F.col(words), F.col(common), F.col(keys), F.col(lines)
 
     listed_of_lang = F.lit(None).cast("array<string>")
     for code, its_words in COMMON_WORDS.items():
@@ -106,54 +105,65 @@ def with_measures(df: DataFrame, params: QualityParams = QualityParams()) -> tup
             listed_of_lang
         )
 
-    lines = F.filter(F.split(text, "\n"), lambda x: F.trim(x, F.lit(SPACE_CHARS)) != "")
     last = F.size(w) - params.window + 1
     windows = F.transform(
         F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
-        lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(-1, params.window - 1)]),
+        lambda i: F.xxhash64(*[F.get(k, i + j) for j in range(-1, params.window - 1)]),
     )
-    counts = [F.char_length(text) - _without(text, p) for p in CHAR_CLASSES.values()]
     # Columns of earlier steps are used several times below, so each is computed once.
     df = df.withColumn(words, space_words(F.col("text")))
     df = df.withColumns(
         {
-            common: F.filter(
-                F.transform(w, lambda x: ascii_lower(x)), lambda x: x.isin(listed)
-            ),
-            keys: F.when(last >= 2, windows),
-            shape: F.struct(
-                F.size(w).cast("long").alias("n_words"),
-                F.array(*[x.cast("long") for x in counts]).alias("chars"),
-                F.char_length(text).cast("long").alias("n_chars"),
-                (F.char_length(text) - _without(text, SYMBOLS)).cast("long").alias("n_symbols"),
-                lines.alias("lines"),
-            ),
+            common: F.transform(F.filter(w, lambda x: x.isin(listed)), lambda x: F.lower(x)),
+            keys: F.transform(w, lambda x: F.xxhash64(x)),
+            rest: F.regexp_replace(text, CHAR_CLASSES["lower"], ""),
+            lines: F.filter(F.split(text, "\n"), lambda x: F.trim(x, F.lit(SPACE_CHARS)) != ""),
         }
     )
+    # Each class is counted on what is left of the text by the ones before it.
+    r = F.col(rest)
+    counts = [F.char_length(text) - F.char_length(r)]
+    df = df.withColumn(keys, F.when(last >= 2, windows))
+    for pattern in list(CHAR_CLASSES.values())[1:]:
+        after = F.regexp_replace(r, pattern, "")
+        if pattern == CHAR_CLASSES["mark"]:
+            n_symbols = F.char_length(r) - F.char_length(F.regexp_replace(r, SYMBOLS, ""))
+        else:
+            n_symbols = F.lit(0)
+        step = F.struct(
+            after.alias("text"),
+            (F.char_length(r) - F.char_length(after)).alias("n"),
+            n_symbols.alias("n_symbols"),
+        )
+        name_of_step = fresh_name(df, "r_")
+        df = df.withColumn(name_of_step, step)
+        counts.append(F.col(name_of_step).n)
+        steps.append(name_of_step)
+        r = F.col(name_of_step).text
     # Most documents repeat nothing and skip the sorting.
     repeated = F.size(F.array_distinct(k)) < F.size(k)
     df = df.withColumn(numbered, F.when(repeated, _numbered(k)))
     df = df.withColumn(places, _places(F.col(numbered)))
-    in_class = F.aggregate(s.chars, F.lit(0).cast("long"), lambda a, x: a + x)
+    n_chars = F.char_length(text).cast("long")
     per_word = [
-        (F.size(c) - F.size(F.array_remove(c, F.get(listed_of_lang, F.lit(i))))).cast("long")
+        F.size(c) - F.size(F.array_remove(c, F.get(listed_of_lang, F.lit(i))))
         for i in range(N_COMMON)
     ]
+    n_space = counts[list(CHAR_CLASSES).index("space")]
     measures = F.struct(
-        s.n_words.alias("n_words"),
-        (s.n_chars - s.chars[list(CHAR_CLASSES).index("space")]).alias("word_chars"),
-        s.n_symbols.alias("n_symbols"),
-        (F.size(s.lines) - F.size(F.array_distinct(s.lines))).cast("long").alias("n_dup_lines"),
+        F.size(w).cast("long").alias("n_words"),
+        (n_chars - n_space).alias("word_chars"),
+        F.col(steps[-1]).n_symbols.cast("long").alias("n_symbols"),
+        (F.size(shown) - F.size(F.array_distinct(shown))).cast("long").alias("n_dup_lines"),
         F.coalesce(_n_covered(F.col(places), params.window), F.lit(0))
         .cast("long")
         .alias("n_repeat_words"),
-        s.n_chars.alias("n_chars"),
-        F.concat(s.chars, F.array(s.n_chars - in_class)).alias("chars"),
-        F.when(listed_of_lang.isNotNull(), F.array(*per_word)).alias("common"),
+        n_chars.alias("n_chars"),
+        F.array(*counts, F.char_length(r)).cast("array<long>").alias("chars"),
+        F.when(listed_of_lang.isNotNull(), F.array(*per_word).cast("array<long>")).alias("common"),
     )
-    return df.withColumn(name, measures).drop(
-        words, common, keys, shape, numbered, places
-    ), name
+    helpers = [words, common, keys, numbered, places, rest, lines, *steps]
+    return df.withColumn(name, measures).drop(*helpers), name
 
 
 def base_failed(measures: Column, params: QualityParams = QualityParams()) -> Column:
@@ -162,19 +172,16 @@ def base_failed(measures: Column, params: QualityParams = QualityParams()) -> Co
     )
 
 
-def _shares(counts: Column, total: Column, n: int) -> list[Column]:
-    """Whole millionths of ``total`` for each of ``n`` bins."""
-    return [F.floor(F.get(counts, F.lit(i)) * UNIT / total).cast("long") for i in range(n)]
+def _histograms(measures: Column) -> tuple[Column, Column]:
+    """Shares of the character classes; of the common words and of all others."""
 
+    def shares(counts: Column, total: Column) -> Column:
+        total = F.greatest(total, F.lit(1).cast("long"))
+        return F.transform(counts, lambda n: F.floor(n * UNIT / total).cast("long"))
 
-def _histograms(measures: Column) -> tuple[list[Column], list[Column]]:
-    """Shares of the character classes; of the common words and of all others."""
-    chars = _shares(measures.chars, F.greatest(measures.n_chars, F.lit(1)), len(CHAR_CLASSES) + 1)
-    words = _shares(measures.common, F.greatest(measures.n_words, F.lit(1)), N_COMMON)
-    others = F.lit(UNIT).cast("long")
-    for share in words:
-        others = others - share
-    return chars, [*words, others]
+    of_words = shares(measures.common, measures.n_words)
+    rest = F.aggregate(of_words, F.lit(UNIT).cast("long"), lambda left, x: left - x)
+    return shares(measures.chars, measures.n_chars), F.concat(of_words, F.array(rest))
 
 
 def language_references(
@@ -182,33 +189,35 @@ def language_references(
 ) -> DataFrame:
     """One row per language: sums of the shares over its acceptable documents."""
     m = F.col(measures)
-    chars, words = _histograms(m)
     long_enough = (m.n_chars >= params.min_chars_compared) & (
         m.n_words >= params.min_words_compared
     )
-    return (
-        df.where(F.col("lang").isNotNull() & ~base_failed(m, params) & long_enough)
-        .groupBy(F.col("lang").alias("ref_lang"))
-        .agg(
-            F.array(*[F.sum(x) for x in chars]).alias("ref_chars"),
-            F.array(*[F.sum(x) for x in words]).alias("ref_words"),
-        )
+    chars, words = _histograms(m)
+    good = df.where(F.col("lang").isNotNull() & ~base_failed(m, params) & long_enough)
+    shares = good.select(F.col("lang").alias("ref_lang"), chars.alias("c"), words.alias("w"))
+
+    def sums(column: str, n: int) -> Column:
+        return F.array(*[F.sum(F.get(F.col(column), F.lit(i))) for i in range(n)])
+
+    return shares.groupBy("ref_lang").agg(
+        sums("c", len(CHAR_CLASSES) + 1).alias("ref_chars"),
+        sums("w", N_COMMON + 1).alias("ref_words"),
     )
 
 
-def _distance(shares: list[Column], reference: Column) -> Column:
-    """Jensen-Shannon distance (base 2, so from 0 to 1) of two histograms."""
-    n = len(shares)
-    mine = sum((x for x in shares[1:]), shares[0]).cast("double")
-    theirs = F.aggregate(reference, F.lit(0).cast("long"), lambda a, x: a + x).cast("double")
+def _normalised(shares: Column) -> Column:
+    total = F.aggregate(shares, F.lit(0).cast("long"), lambda a, x: a + x).cast("double")
+    return F.transform(shares, lambda x: x / total)
+
+
+def _distance(mine: Column, theirs: Column) -> Column:
+    """Jensen-Shannon distance (base 2, so from 0 to 1) of two distributions."""
 
     def against_middle(p: Column, q: Column) -> Column:
         return F.when(p > 0, p * F.log2(2 * p / (p + q))).otherwise(F.lit(0.0))
 
-    total = F.lit(0.0)
-    for i in range(n):
-        p, q = shares[i] / mine, F.get(reference, F.lit(i)) / theirs
-        total = total + against_middle(p, q) + against_middle(q, p)
+    parts = F.zip_with(mine, theirs, lambda p, q: against_middle(p, q) + against_middle(q, p))
+    total = F.aggregate(parts, F.lit(0.0), lambda a, x: a + x)
     return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
 
 
@@ -219,18 +228,32 @@ def judge(
     m = F.col(measures)
     chars, words = _histograms(m)
     cols = [c for c in df.columns if c != measures]
-    by_chars = F.when(
-        m.n_chars >= params.min_chars_compared, _distance(chars, F.col("ref_chars"))
+    far, mine = fresh_name(df, "far_"), fresh_name(df, "mine_")
+    references = references.select(
+        "ref_lang",
+        _normalised(F.col("ref_chars")).alias("ref_chars"),
+        _normalised(F.col("ref_words")).alias("ref_words"),
+    )
+    joined = df.join(references, F.col("lang") == F.col("ref_lang"), "left").withColumn(
+        mine, F.struct(chars.alias("chars"), words.alias("words"))
     )
-    by_words = F.when(
-        m.n_words >= params.min_words_compared, _distance(words, F.col("ref_words"))
+    joined = joined.withColumn(
+        mine,
+        F.struct(
+            _normalised(F.col(mine).chars).alias("chars"),
+            _normalised(F.col(mine).words).alias("words"),
+        ),
     )
-    failed = fresh_name(df, "far_")
-    judged = (
-        df.join(references, F.col("lang") == F.col("ref_lang"), "left")
-        .withColumn(failed, F.struct(by_chars.alias("chars"), by_words.alias("words")))
+    by_chars = _distance(F.col(mine).chars, F.col("ref_chars"))
+    by_words = _distance(F.col(mine).words, F.col("ref_words"))
+    judged = joined.withColumn(
+        far,
+        F.struct(
+            F.when(m.n_chars >= params.min_chars_compared, by_chars).alias("chars"),
+            F.when(m.n_words >= params.min_words_compared, by_words).alias("words"),
+        ),
     )
-    d = F.col(failed)
+    d = F.col(far)
     too_far = (F.coalesce(d.chars, F.lit(0.0)) > params.max_char_distance) | (
         F.coalesce(d.words, F.lit(0.0)) > params.max_word_distance
     )
