@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from footfall.llm import (
     chat,
     decontamination,
+    licenses,
     ngram_jaccard,
     packing,
     pii,
@@ -172,3 +173,12 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         "refers_to",
     )
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = licenses.scan_documents(docs)
+    return found.select(
+        "doc_id", F.concat_ws(",", "families").alias("families"), "n_paragraphs"
+    )
