@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from footfall.llm import (
     chat,
     decontamination,
+    language_model,
     licenses,
     ngram_jaccard,
     packing,
@@ -182,3 +183,8 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.concat_ws(",", "families").alias("families"), "n_paragraphs"
     )
+
+
+@query
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
