@@ -23,3 +23,10 @@ FEATURES = [*RATIOS, *FLAGS, *HABITS]
 
 # Known only afterwards, or no property of the visitor: not for training.
 NOT_FOR_TRAINING = [c for c in USER_COLUMNS if c != LABEL]
+
+# Column names that are kept as they always were, and how they should be spelt.
+CORRECT_NAMES = {
+    "channelGrouping_Referal": "channelGrouping_Referral",
+    "geoNetworkmetro_ButteBozemannMt": "geoNetworkmetro_ButteBozemanMT",
+    "geoNetworkmetro_OdahoFallsPocatelloID": "geoNetworkmetro_IdahoFallsPocatelloID",
+}

@@ -53,6 +53,12 @@ def local_hour(visit_start: Column, offset: Column) -> Column:
     return F.pmod(utc_hour + offset, F.lit(24)).cast("int")
 
 
+def hour_in_zone(visit_start: Column, zone: Column) -> Column:
+    """Hour of day (0-23) of an epoch second on the clocks of a named zone."""
+    wall = F.from_utc_timestamp(F.timestamp_seconds(visit_start), zone)
+    return local_hour(F.unix_seconds(wall), F.lit(0))
+
+
 def daypart_number(hour: Column) -> Column:
     """Position in ``DAYPART_NAMES`` of the bucket an hour falls in."""
     return F.get(F.lit(_DAYPART_BY_HOUR), hour)

@@ -63,12 +63,23 @@ def _bits(field: str, indicators: Sequence[Indicator]) -> str:
 
 def fold_words(indicators: Sequence[Indicator]) -> list[Column]:
     """Aggregates: the words of all sessions with hits; NULL if there are none."""
+    words = zip(_words(indicators), session_words(indicators), strict=True)
+    return [F.bit_or(bits).alias(name) for (name, _, _), bits in words]
+
+
+def session_words(indicators: Sequence[Indicator]) -> list[Column]:
+    """The words of each session; NULL for one without hits."""
     return [
-        F.bit_or(F.when(has_hits(), F.expr(_bits(field, group)))).alias(name)
+        F.when(has_hits(), F.expr(_bits(field, group))).alias(name)
         for name, field, group in _words(indicators)
     ]
 
 
+def fold_session_words(indicators: Sequence[Indicator]) -> list[Column]:
+    """Aggregates over the columns of ``session_words``."""
+    return [F.bit_or(name).alias(name) for name, _, _ in _words(indicators)]
+
+
 def unpack_words(indicators: Sequence[Indicator]) -> list[Column]:
     """One int column per indicator, read off the folded words; NULL words give NULL."""
     return [

@@ -2,34 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Imputer
-from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from footfall.columns import FLAGS, RATIOS
+from footfall.operators.training import CATEGORIES, NUMBERS, feature_names, fit_preprocessing
 
 
-def feature_correlation(features: DataFrame, columns: Sequence[str] = (*RATIOS, *FLAGS)) -> DataFrame:
-    """Pearson correlation of each pair of columns, as rows of a heat map.
+def feature_correlation(
+    features: DataFrame,
+    numbers: Sequence[str] = NUMBERS,
+    categories: Mapping[str, Sequence[str]] = CATEGORIES,
+) -> DataFrame:
+    """Pearson correlation of each pair of model inputs, as rows of a heat map.
 
-    NULL counts as the column's mean, as it does in training; a column that
-    never varies has no correlation. Only the matrix of columns by columns
-    reaches the driver.
+    The inputs are the entries of the vector a model is trained on: numbers, with the
+    mean for NULL, and one 0/1 entry per weekday and daypart (``day=Monday``). An
+    entry that never varies, one without any value included, has no correlation.
+    Only the matrix of entries by entries reaches the driver.
     """
-    columns = list(columns)
-    doubles = features.select(*[F.col(c).cast("double") for c in columns])
-    filled = [f"filled__{c}" for c in columns]
-    imputed = Imputer(strategy="mean", inputCols=columns, outputCols=filled).fit(doubles)
-    vectors = imputed.transform(doubles).select(array_to_vector(F.array(*filled)).alias("v"))
-    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+    vectors = fit_preprocessing(features, numbers, categories).transform(features)
+    names = feature_names(vectors)
+    matrix = Correlation.corr(vectors.select("features"), "features").first()[0].toArray()
     rows = [
         (a, b, None if matrix[i, j] != matrix[i, j] else float(matrix[i, j]))
-        for i, a in enumerate(columns)
-        for j, b in enumerate(columns)
+        for i, a in enumerate(names)
+        for j, b in enumerate(names)
         if i < j
     ]
     return features.sparkSession.createDataFrame(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions import clock
 from footfall.params import FeatureParams
-from footfall.sources.lookup import state_lookup
+from footfall.sources.lookup import state_lookup, zone_lookup
 from footfall.sources.sessions import select_sessions
 from footfall.vocabulary import VISITOR, WEEKDAYS
 
@@ -24,6 +24,14 @@ def with_local_hour(sessions: DataFrame, params: FeatureParams) -> DataFrame:
 
     The lookup is a literal of the parameters, 54 rows, hence the broadcast.
     """
+    if params.zones is not None:
+        zones = F.broadcast(zone_lookup(sessions.sparkSession, params.zones))
+        hour = clock.hour_in_zone(F.col("visitStartTime"), F.col("zone"))
+        return (
+            sessions.join(zones, F.col("geoNetwork.region") == F.col("state_name"), "left")
+            .withColumn("hour_of_day_localized", hour)
+            .drop("state_name", "zone")
+        )
     states = F.broadcast(state_lookup(sessions.sparkSession, params.states))
     offset = clock.utc_offset(F.col("date"), F.col("timezone"), F.col("dst"), params.dst_ranges)
     return (

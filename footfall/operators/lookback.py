@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.vocabulary import VISITOR
 
-# A visitor is heavy with more than 1/HEAVY_SHARE of all sessions, so there
-# are fewer than HEAVY_SHARE heavy visitors whatever the data.
-HEAVY_SHARE = 1000
-SALTS = 64
+# Sessions of one visitor that share a join key.
+ROWS_PER_KEY = 100_000
 
 
 def within_window(sessions: DataFrame, visitors: DataFrame) -> DataFrame:
@@ -18,29 +16,41 @@ def within_window(sessions: DataFrame, visitors: DataFrame) -> DataFrame:
 
     ``visitors`` has one row for every visitor of ``sessions``: ``kept``,
     ``front_lookback_window``, ``end_lookback_window`` and ``n_sessions``. It
-    is read several times, so pass a materialised one. The sessions of heavy
-    visitors are spread over salted copies of their single window row, or drop
-    out before the join if the visitor is not kept; everyone else joins
-    unsalted.
+    is read twice, so pass a materialised one.
+
+    A visitor's sessions are dealt to as many salted copies of their window row as it
+    takes to keep every join key near ``ROWS_PER_KEY`` sessions, so a visitor with any
+    share of all sessions is spread in proportion. Those that need more than one
+    salt are few, at most one in ``ROWS_PER_KEY`` of all sessions; the planner sees
+    the size of their table and broadcasts it where it may.
     """
-    total = visitors.agg(F.sum("n_sessions")).first()[0] or 0
-    is_heavy = F.col("n_sessions") * HEAVY_SHARE > F.lit(total)
-    heavy = visitors.where(is_heavy).select(VISITOR, F.col("kept").alias("heavy_kept"))
-    spread = F.pmod(F.xxhash64("visitStartTime"), F.lit(SALTS)).cast("int")
-    salts = F.when(is_heavy, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-
-    salted = (
-        sessions.join(F.broadcast(heavy), VISITOR, "left")
-        .where("heavy_kept IS NULL OR heavy_kept")
-        .withColumn("salt", F.when(F.col("heavy_kept"), spread).otherwise(0))
-        .drop("heavy_kept")
-    )
+    salts = F.sequence(F.lit(0), F.greatest(_n_salts(), F.lit(1)) - 1)
     windows = visitors.where("kept").select(
         VISITOR, "front_lookback_window", "end_lookback_window", F.explode(salts).alias("salt")
     )
     start = F.timestamp_seconds("visitStartTime")
     return (
-        salted.join(windows, [VISITOR, "salt"])
+        salted(sessions, visitors)
+        .join(windows, [VISITOR, "salt"])
         .where(start.between(F.col("front_lookback_window"), F.col("end_lookback_window")))
         .drop("salt", "front_lookback_window", "end_lookback_window")
     )
+
+
+def _n_salts() -> Column:
+    return F.ceil(F.col("n_sessions") / ROWS_PER_KEY).cast("int")
+
+
+def salted(sessions: DataFrame, visitors: DataFrame) -> DataFrame:
+    """Sessions with their ``salt``; those of split visitors that aren't kept are left out."""
+    n_salts = _n_salts()
+    several = visitors.where(n_salts > 1).select(
+        VISITOR, n_salts.alias("n_salts"), F.col("kept").alias("several_kept")
+    )
+    spread = F.pmod(F.xxhash64(*sessions.columns), F.col("n_salts"))
+    return (
+        sessions.join(several, VISITOR, "left")
+        .where("several_kept IS NULL OR several_kept")
+        .withColumn("salt", F.coalesce(spread.cast("int"), F.lit(0)))
+        .drop("several_kept", "n_salts")
+    )

@@ -1,17 +1,25 @@
-"""Quality of a classifier, from rows of true label and predicted probability."""
+"""Quality of a classifier, from rows of true label and predicted probability.
+
+Rows without a label or a probability say nothing and are left out everywhere.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROC_THRESHOLDS = tuple(i / 100 for i in range(101))
 
 
+def _known(scored: DataFrame, label: str, probability: str) -> DataFrame:
+    return scored.select(label, probability).where(
+        F.col(label).isNotNull() & F.col(probability).isNotNull()
+    )
+
+
 def confusion_matrix(
     scored: DataFrame,
     label: str = "labels",
@@ -21,7 +29,8 @@ def confusion_matrix(
     """Rows: true label; columns: how often each label was predicted."""
     predicted = F.when(F.col(probability) >= threshold, 1).otherwise(0)
     return (
-        scored.select(F.col(label).alias("expected_label"), predicted.alias("predicted"))
+        _known(scored, label, probability)
+        .select(F.col(label).alias("expected_label"), predicted.alias("predicted"))
         .groupBy("expected_label")
         .pivot("predicted", [0, 1])
         .count()
@@ -50,7 +59,7 @@ def roc_curve(
     )
     positive = F.col(label) == 1
     per_step = (
-        split.transform(scored.select(label, probability))
+        split.transform(_known(scored, label, probability))
         .groupBy(F.col("step").cast("int").alias("step"))
         .agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
     )
@@ -80,38 +89,67 @@ def roc_curve(
     )
 
 
-def roc_auc(scored: DataFrame, label: str = "labels", probability: str = "probability") -> float:
-    """Area under the exact ROC curve (no binning of the scores)."""
-    evaluator = BinaryClassificationEvaluator(
-        rawPredictionCol=probability, labelCol=label, metricName="areaUnderROC", numBins=0
-    )
-    return evaluator.evaluate(scored.select(F.col(label).cast("double"), probability))
-
-
 def evaluate(
     scored: DataFrame,
     label: str = "labels",
     probability: str = "probability",
     threshold: float = 0.5,
 ) -> DataFrame:
-    """One row: precision, recall, accuracy, F1, log loss, area under ROC."""
+    """One row: precision, recall, accuracy, F1, log loss, area under ROC.
+
+    All come from one table of positives and negatives per distinct score. The area
+    is exact: each positive counts the negatives below it, and half of those
+    at the same score. It is NULL where one of the classes is absent.
+    """
     y, p = F.col(label) == 1, F.col(probability)
+    per_score = (
+        _known(scored, label, probability)
+        .groupBy(p.alias("p"))
+        .agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
+    )
+    p, pos, neg = F.col("p"), F.col("pos"), F.col("neg")
     called = p >= threshold
     inside = F.greatest(F.lit(1e-15), F.least(F.lit(1 - 1e-15), p))
-    loss = -F.when(y, F.ln(inside)).otherwise(F.ln(1 - inside))
-    counts = scored.agg(
-        F.count_if(y & called).alias("tp"),
-        F.count_if(~y & called).alias("fp"),
-        F.count_if(y & ~called).alias("fn"),
-        F.count("*").alias("n"),
-        F.avg(loss).alias("log_loss"),
+    loss = -(pos * F.ln(inside) + neg * F.ln(1 - inside))
+
+    def total(count: Column) -> Column:
+        return F.coalesce(F.sum(count), F.lit(0))
+
+    counts = negatives_below(per_score).agg(
+        total(F.when(called, pos)).alias("tp"),
+        total(F.when(called, neg)).alias("fp"),
+        total(F.when(~called, pos)).alias("fn"),
+        total(pos).alias("positives"),
+        total(neg).alias("negatives"),
+        F.sum(loss).alias("loss"),
+        F.sum(pos * (F.col("below") + neg / 2)).alias("wins"),
     )
-    tp, fp, fn, n = (F.col(c) for c in ("tp", "fp", "fn", "n"))
+    tp, fp, fn = (F.col(c) for c in ("tp", "fp", "fn"))
+    positives, negatives = F.col("positives"), F.col("negatives")
+    n = positives + negatives
     return counts.select(
         F.try_divide(tp, tp + fp).alias("precision"),
         F.try_divide(tp, tp + fn).alias("recall"),
         F.try_divide(n - fp - fn, n).alias("accuracy"),
         F.try_divide(2 * tp, 2 * tp + fp + fn).alias("f1_score"),
-        "log_loss",
-        F.lit(roc_auc(scored, label, probability)).alias("roc_auc"),
+        F.try_divide(F.col("loss"), n).alias("log_loss"),
+        F.try_divide(F.col("wins"), positives.cast("double") * negatives).alias("roc_auc"),
+    )
+
+
+def negatives_below(per_score: DataFrame, cells: int = 4096) -> DataFrame:
+    """``p``, ``pos``, ``neg`` and how many negatives have a smaller score.
+
+    The running sum goes over ``cells`` ranges of scores, and within each of them.
+    """
+    cell = F.least(F.floor(F.col("p") * cells), F.lit(cells - 1)).cast("int")
+    placed = per_score.withColumn("cell", cell)
+    before = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("cell").agg(F.sum("neg").alias("n"))
+    starts = starts.select("cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("cell").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        placed.join(F.broadcast(starts), "cell")
+        .withColumn("below", F.col("start") + F.coalesce(F.sum("neg").over(inside), F.lit(0)))
+        .drop("cell", "start")
     )

@@ -1,14 +1,17 @@
 """Fit classifiers on the feature table.
 
-Choices the features leave open: NULL numbers become the training mean, an
-unknown weekday or daypart is a category of its own, and features are scaled
-inside the fit. An L1 strength is spread over the training rows, because Spark
+Choices the features leave open: NULL numbers become the training mean (0 where
+there is no value at all), an unknown weekday or daypart is a category of its own,
+and features are scaled inside the fit. Fits end by their tolerance; one that
+reaches its limit of iterations says so (``converged``). An L1 strength is spread over the training rows, because Spark
 minimises the mean loss and not the summed one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import time
+import uuid
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -22,7 +25,6 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import (
-    Imputer,
     OneHotEncoder,
     SQLTransformer,
     StringIndexerModel,
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 from footfall.columns import FLAGS, LABEL, RATIOS
 from footfall.functions.clock import DAYPART_NAMES
 from footfall.operators.metrics import evaluate
-from footfall.sources.workspace import materialize
+from footfall.sources.workspace import delete_folder, folder_exists, materialize
 from footfall.vocabulary import WEEKDAYS
 
 NUMBERS = [*RATIOS, *FLAGS]
@@ -49,7 +51,7 @@ MODEL_TYPES = (
     "dnn_classifier",
 )
 
-_AS_DOUBLE, _IMPUTED, _INDEX, _ONE_HOT = "double__", "imputed__", "index__", "onehot__"
+_FILLED, _INDEX, _ONE_HOT = "filled__", "index__", "onehot__"
 
 
 @dataclass
@@ -60,44 +62,46 @@ class FittedModel:
     model_type: str
     l1: float
     losses: list[float] = field(default_factory=list)
+    #: False if the fit ended at its limit of iterations; trees have no such limit.
+    converged: bool = True
 
     @property
     def classifier(self) -> Model:
         return self.pipeline.stages[-1]
 
 
-def preprocessing() -> Pipeline:
-    """Feature columns to one vector column ``features``.
+def fit_preprocessing(
+    training: DataFrame,
+    numbers: Sequence[str] = NUMBERS,
+    categories: Mapping[str, Sequence[str]] = CATEGORIES,
+) -> PipelineModel:
+    """Feature columns to one vector column ``features``, means taken from ``training``.
 
     The category lists are fixed, so the vector has the same layout in every
     fit and indexing needs no pass over the data.
     """
-    doubles = ", ".join(f"CAST({c} AS DOUBLE) AS {_AS_DOUBLE}{c}" for c in NUMBERS)
-    return Pipeline(
-        stages=[
-            SQLTransformer(statement=f"SELECT *, {doubles} FROM __THIS__"),
-            Imputer(
-                strategy="mean",
-                inputCols=[_AS_DOUBLE + c for c in NUMBERS],
-                outputCols=[_IMPUTED + c for c in NUMBERS],
-            ),
+    means = training.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in numbers]).first()
+    filled = ", ".join(
+        f"coalesce(CAST(`{c}` AS DOUBLE), {means[c] or 0.0!r}D) AS `{_FILLED}{c}`" for c in numbers
+    )
+    stages = [SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")]
+    one_hot = [_ONE_HOT + c for c in categories]
+    if categories:
+        stages += [
             StringIndexerModel.from_arrays_of_labels(
-                list(CATEGORIES.values()),
-                inputCols=list(CATEGORIES),
-                outputCols=[_INDEX + c for c in CATEGORIES],
+                [list(names) for names in categories.values()],
+                inputCols=list(categories),
+                outputCols=[_INDEX + c for c in categories],
                 handleInvalid="keep",
             ),
             OneHotEncoder(
-                inputCols=[_INDEX + c for c in CATEGORIES],
-                outputCols=[_ONE_HOT + c for c in CATEGORIES],
-                dropLast=False,
-            ),
-            VectorAssembler(
-                inputCols=[_IMPUTED + c for c in NUMBERS] + [_ONE_HOT + c for c in CATEGORIES],
-                outputCol="features",
+                inputCols=[_INDEX + c for c in categories], outputCols=one_hot, dropLast=False
             ),
         ]
+    stages.append(
+        VectorAssembler(inputCols=[_FILLED + c for c in numbers] + one_hot, outputCol="features")
     )
+    return Pipeline(stages=stages).fit(training)
 
 
 def feature_names(vectors: DataFrame) -> list[str]:
@@ -111,25 +115,46 @@ def _readable(name: str) -> str:
     if name.startswith(_ONE_HOT):
         column, _, category = name.removeprefix(_ONE_HOT).partition("_")
         return f"{column}={category}"
-    return name.removeprefix(_IMPUTED)
+    return name.removeprefix(_FILLED)
+
+
+@dataclass(frozen=True)
+class FitOptions:
+    """What a family needs to know besides its L1 strength.
+
+    ``max_iter`` is a guard against a fit that never settles, not a way to end one.
+    """
+
+    max_iter: int = 10_000
+    tolerance: float = 1e-6
+    boosted_trees: int = 20
+    forest_trees: int = 20
+    forest_bootstrap: bool = True
+    tree_depth: int = 5
+    hidden: int = 32
+    seed: int = 0
 
 
 def make_classifier(
-    model_type: str, l1: float, n_rows: int, n_features: int, max_iter: int, seed: int
+    model_type: str, l1: float, n_rows: int, n_features: int, options: FitOptions
 ) -> Estimator:
     """The estimator of a classifier family; only the logistic one takes an L1 strength."""
     columns = {"featuresCol": "features", "labelCol": LABEL}
+    trees = {"seed": options.seed, "maxDepth": options.tree_depth}
+    iterations = {"maxIter": options.max_iter, "tol": options.tolerance}
     if model_type == "logistic_reg":
         return LogisticRegression(
-            **columns, maxIter=max_iter, elasticNetParam=1.0, regParam=l1 / max(n_rows, 1)
+            **columns, **iterations, elasticNetParam=1.0, regParam=l1 / max(n_rows, 1)
         )
     if model_type == "boosted_tree_classifier":
-        return GBTClassifier(**columns, maxIter=max_iter, seed=seed)
+        return GBTClassifier(**columns, **trees, maxIter=options.boosted_trees)
     if model_type == "random_forest_classifier":
-        return RandomForestClassifier(**columns, seed=seed)
+        return RandomForestClassifier(
+            **columns, **trees, numTrees=options.forest_trees, bootstrap=options.forest_bootstrap
+        )
     if model_type == "dnn_classifier":
         return MultilayerPerceptronClassifier(
-            **columns, maxIter=max_iter, seed=seed, layers=[n_features, 32, 2]
+            **columns, **iterations, seed=options.seed, layers=[n_features, options.hidden, 2]
         )
     raise ValueError(f"unknown model type {model_type!r}, expected one of {MODEL_TYPES}")
 
@@ -138,8 +163,9 @@ def fit(
     training: DataFrame,
     model_types: Iterable[str] = ("logistic_reg",),
     l1_strengths: Iterable[float] = (1,),
-    max_iter: int = 20,
-    seed: int = 0,
+    options: FitOptions = FitOptions(),
+    numbers: Sequence[str] = NUMBERS,
+    categories: Mapping[str, Sequence[str]] = CATEGORIES,
 ) -> dict[tuple[str, float], FittedModel]:
     """One model per family and L1 strength, keyed by both.
 
@@ -147,7 +173,7 @@ def fit(
     every fit reads those. ``training`` itself is read twice, for the means
     and for the vectors.
     """
-    prepare = preprocessing().fit(training)
+    prepare = fit_preprocessing(training, numbers, categories)
     vectors = prepare.transform(training).select(LABEL, "features")
     n_features = len(feature_names(vectors))
     vectors = materialize(vectors, "vectors")
@@ -155,10 +181,12 @@ def fit(
     models = {}
     for model_type in model_types:
         for l1 in l1_strengths:
-            estimator = make_classifier(model_type, l1, n_rows, n_features, max_iter, seed)
+            estimator = make_classifier(model_type, l1, n_rows, n_features, options)
             fitted = estimator.fit(vectors)
             pipeline = PipelineModel([*prepare.stages, fitted])
-            models[model_type, l1] = FittedModel(pipeline, model_type, l1, _losses(fitted))
+            losses = _losses(fitted)
+            converged = len(losses) <= options.max_iter
+            models[model_type, l1] = FittedModel(pipeline, model_type, l1, losses, converged)
     return models
 
 
@@ -181,30 +209,55 @@ def _probabilities(scored: DataFrame) -> DataFrame:
 
 
 def save_model(model: FittedModel, path: str) -> None:
-    """Write the model, replacing one already there, with its training log."""
-    model.pipeline.write().overwrite().save(f"{path}/pipeline")
-    _training_rows(model).write.mode("overwrite").parquet(f"{path}/training")
+    """Write the model with its training log, replacing one already there.
+
+    Both go to a fresh version folder. A line appended to the list of versions makes it
+    the current one, in a single commit; only then are former versions deleted.
+    A save that fails leaves the former model as it was.
+    """
+    spark = SparkSession.active()
+    former = _versions(spark, path)
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    model.pipeline.write().save(f"{path}/{version}/pipeline")
+    _training_rows(model).write.parquet(f"{path}/{version}/training")
+    listed = spark.createDataFrame([(version,)], "value string").coalesce(1)
+    listed.write.mode("append").text(f"{path}/versions")
+    for old in former:
+        delete_folder(spark, f"{path}/{old}")
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Versions ever saved, oldest first."""
+    if not folder_exists(spark, f"{path}/versions"):
+        return []
+    return sorted(r.value for r in spark.read.text(f"{path}/versions").collect())
 
 
 def load_model(spark: SparkSession, path: str) -> FittedModel:
-    log = spark.read.parquet(f"{path}/training").orderBy("iteration").collect()
+    folder = f"{path}/{_versions(spark, path)[-1]}"
+    log = spark.read.parquet(f"{folder}/training").orderBy("iteration").collect()
     return FittedModel(
-        PipelineModel.load(f"{path}/pipeline"),
+        PipelineModel.load(f"{folder}/pipeline"),
         log[0].model_type,
         log[0].l1,
         [row.loss for row in log if row.loss is not None],
+        log[0].converged,
     )
 
 
 def _training_rows(model: FittedModel) -> DataFrame:
-    rows = [(model.model_type, float(model.l1), i, v) for i, v in enumerate(model.losses or [None])]
-    spark = SparkSession.active()
-    return spark.createDataFrame(rows, "model_type string, l1 double, iteration int, loss double")
+    rows = [
+        (model.model_type, float(model.l1), i, v, model.converged)
+        for i, v in enumerate(model.losses or [None])
+    ]
+    return SparkSession.active().createDataFrame(
+        rows, "model_type string, l1 double, iteration int, loss double, converged boolean"
+    )
 
 
 def training_info(model: FittedModel) -> DataFrame:
-    """Loss (with penalty) after each iteration."""
-    return _training_rows(model).where("loss IS NOT NULL").select("iteration", "loss")
+    """Loss (with penalty) after each iteration, and whether the fit came to its end."""
+    return _training_rows(model).where("loss IS NOT NULL").select("iteration", "loss", "converged")
 
 
 def model_weights(model: FittedModel, training: DataFrame, standardize: bool = True) -> DataFrame:
@@ -251,5 +304,5 @@ def compare(models: dict[tuple[str, float], FittedModel], holdout: DataFrame) ->
             vectors[key] = materialize(prepared, "vectors")
         report = evaluate(_probabilities(model.classifier.transform(vectors[key])))
         tags = F.lit(model_type).alias("model_type"), F.lit(f"{l1:g}").alias("L1")
-        reports.append(report.select(*tags, "*"))
+        reports.append(report.select(*tags, F.lit(model.converged).alias("converged"), "*"))
     return reduce(DataFrame.unionByName, reports)

@@ -15,6 +15,10 @@ class FeatureParams:
     ``lookback_days`` sets the window that is reported per visitor. It filters
     sessions only with ``lookback_filter=True``; by default every session in
     the day range counts, also those after the visitor's last conversion.
+
+    ``states`` and ``dst_ranges`` give local time by offsets and listed summers, which
+    end in 2020. ``zones`` (pairs of region and zone name, like ``America/Chicago``)
+    replaces both, for any year.
     """
 
     session_start: str = "20160801"
@@ -24,6 +28,7 @@ class FeatureParams:
     lookback_filter: bool = False
     states: tuple[tuple[str, int, int], ...] = tuple(STATES)
     dst_ranges: tuple[tuple[str, str], ...] = tuple(DST_RANGES)
+    zones: tuple[tuple[str, str], ...] | None = None
 
 
 TRAINING = FeatureParams()

@@ -8,11 +8,19 @@ sessions the visitor has.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.columns import NOT_FOR_TRAINING, RATIOS, USER_COLUMNS
-from footfall.functions.flags import fold_words, unpack_words, with_page_levels
+from footfall.columns import CORRECT_NAMES, NOT_FOR_TRAINING, RATIOS, USER_COLUMNS
+from footfall.functions.flags import (
+    fold_session_words,
+    fold_words,
+    session_words,
+    unpack_words,
+    with_page_levels,
+)
 from footfall.operators import engagement, habits, labels
 from footfall.operators.lookback import within_window
 from footfall.params import FeatureParams
@@ -20,6 +28,9 @@ from footfall.sources.sessions import select_sessions
 from footfall.sources.workspace import materialize
 from footfall.vocabulary import INDICATORS, VISITOR
 
+# Fields of the totals that the behaviour aggregates sum.
+SUMMED = ("visits", "pageviews", "timeOnSite")
+
 
 def feature_table(sessions: DataFrame, params: FeatureParams) -> DataFrame:
     """One row per visitor: label, windows, ratios, indicators, habits."""
@@ -29,14 +40,18 @@ def feature_table(sessions: DataFrame, params: FeatureParams) -> DataFrame:
     folded = (
         _prepared(base, params)
         .groupBy(VISITOR)
-        .agg(_had_visit(), *labels.label_aggregates(), *_behaviour_aggregates())
+        .agg(_had_visit(), *labels.label_aggregates(), *_behaviour_aggregates(fold_words(INDICATORS)))
     )
     windows = _with_windows(folded.where(_kept()), params)
     return windows.select(*USER_COLUMNS, *_behaviour_columns())
 
 
 def _inside_windows(base: DataFrame, params: FeatureParams) -> DataFrame:
-    """The variant that counts only sessions inside the visitor's window."""
+    """The variant that counts only sessions inside the visitor's window.
+
+    Sessions are packed before they join their windows: the shuffle carries words,
+    bucket numbers and three numbers to sum, rows of one size whatever the hits.
+    """
     labeled = base.groupBy(VISITOR).agg(
         _had_visit(), F.count("*").alias("n_sessions"), *labels.label_aggregates()
     )
@@ -44,10 +59,19 @@ def _inside_windows(base: DataFrame, params: FeatureParams) -> DataFrame:
         *USER_COLUMNS, "n_sessions", _kept().alias("kept")
     )
     visitors = materialize(visitors, "windows")
+    packed = _prepared(base, params).select(
+        VISITOR,
+        "visitStartTime",
+        *session_words(INDICATORS),
+        "weekday_bucket",
+        "daypart_bucket",
+        *[F.col(f"totals.{c}") for c in SUMMED],
+    )
     behaviour = (
-        _prepared(within_window(base, visitors), params)
+        within_window(packed, visitors)
+        .withColumn("totals", F.struct(*SUMMED))
         .groupBy(VISITOR)
-        .agg(*_behaviour_aggregates())
+        .agg(*_behaviour_aggregates(fold_session_words(INDICATORS)))
         .select(VISITOR, *_behaviour_columns())
     )
     return visitors.where("kept").select(*USER_COLUMNS).join(behaviour, VISITOR, "left")
@@ -71,10 +95,10 @@ def _had_visit() -> Column:
     return F.bool_or(labels.is_visit()).alias("had_visit")
 
 
-def _behaviour_aggregates() -> list[Column]:
+def _behaviour_aggregates(words: list[Column]) -> list[Column]:
     return [
         *engagement.engagement_aggregates(),
-        *fold_words(INDICATORS),
+        *words,
         *habits.weekday_aggregates(),
         *habits.daypart_aggregates(),
     ]
@@ -89,6 +113,11 @@ def _behaviour_columns() -> list[Column]:
     ]
 
 
+def with_names(features: DataFrame, names: Mapping[str, str] = CORRECT_NAMES) -> DataFrame:
+    """Columns renamed; by default the misspelt ones are put right."""
+    return features.withColumnsRenamed(dict(names))
+
+
 def training_projection(features: DataFrame) -> DataFrame:
     """Label and model inputs only."""
     return features.drop(*NOT_FOR_TRAINING)

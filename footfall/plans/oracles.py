@@ -8,7 +8,13 @@ from __future__ import annotations
 
 from footfall.columns import FLAGS, RATIOS
 from footfall.params import FeatureParams
-from footfall.plans.queries import HOLDOUT, TRAINING, linear_logit
+from footfall.plans.queries import (
+    HOLDOUT,
+    LONG_DOCUMENT,
+    SWEPT_STRENGTHS,
+    TRAINING,
+    linear_logit,
+)
 from footfall.sources import event_log as log
 from footfall.vocabulary import DAYPARTS, DST_RANGES, INDICATORS, STATES, WEEKDAYS
 
@@ -43,7 +49,7 @@ visits AS (
 sessions AS (
   SELECT CAST(user_id AS VARCHAR) AS "fullVisitorId", started AS "visitStartTime", day AS date,
     CAST(1 AS BIGINT) AS visits,
-    CASE WHEN user_id % 50 <> 11 THEN views END AS pageviews,
+    views AS pageviews,
     CASE WHEN n > 1 THEN ended - started END AS "timeOnSite",
     CASE WHEN n = 1 THEN CAST(1 AS BIGINT) END AS bounces,
     sales AS transactions,
@@ -53,7 +59,7 @@ sessions AS (
     CASE WHEN r_name = 'MIDDLE EAST' THEN r_name ELSE 'United States' END AS country,
     {_list(log.REGIONS)}[n_nationkey + 1] AS region,
     {_list(log.METRO_NAMES)}[n_nationkey + 1] AS metro,
-    CASE WHEN user_id % 50 <> 7 THEN pages END AS pages
+    pages
   FROM visits
   JOIN customer ON user_id = c_custkey
   JOIN nation ON c_nationkey = n_nationkey
@@ -214,7 +220,14 @@ scored AS (
 
 def _correlation_sql() -> str:
     numbers = [*RATIOS, *FLAGS]
-    filled = ", ".join(f'coalesce(CAST("{c}" AS DOUBLE), avg("{c}") OVER ()) AS "{c}"' for c in numbers)
+    filled = [f'coalesce(CAST("{c}" AS DOUBLE), avg("{c}") OVER (), 0) AS "{c}"' for c in numbers]
+    for column, names in (("day", WEEKDAYS), ("daypart", sorted(DAYPARTS))):
+        for name in names:
+            numbers.append(f"{column}={name}")
+            filled.append(f"CAST(coalesce({column} = '{name}', FALSE) AS DOUBLE) AS \"{numbers[-1]}\"")
+        numbers.append(f"{column}=__unknown")
+        filled.append(f'CAST({column} IS NULL AS DOUBLE) AS "{numbers[-1]}"')
+    filled = ", ".join(filled)
     places = ", ".join(f"('{c}', {i})" for i, c in enumerate(numbers))
     return _feature_ctes(TRAINING) + f""",
 filled AS (SELECT "fullVisitorId", {filled} FROM features),
@@ -233,6 +246,121 @@ SELECT feature_a, feature_b, CASE WHEN varies THEN round(r, 6) + 0.0 END AS corr
 FROM pairs"""
 
 
+_LABELED_DOCUMENTS = f"""
+document_rows AS (
+  SELECT CAST(doc_id AS VARCHAR) AS id, quality AS y, ln(1 + n_chars) AS x,
+    CAST(n_chars >= {LONG_DOCUMENT} AS INT) AS is_long,
+    CAST('0x' || substr(md5('0:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 10000 < 2000
+      AS is_eval
+  FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL
+),
+tr AS (SELECT * FROM document_rows WHERE NOT is_eval),
+held AS (SELECT * FROM document_rows WHERE is_eval),
+facts AS (
+  SELECT count(*) AS n, avg(y) AS rate, stddev_samp(x) AS deviation,
+    sum(x * (y - rate0)) AS pull
+  FROM tr, (SELECT avg(y) AS rate0 FROM tr) AS base
+)"""
+
+
+def _newton(l1: float) -> str:
+    """A one-input logistic model by Newton's method, its weight's sign held.
+
+    A penalty as strong as the pull of the data at weight 0 leaves the base rate.
+    """
+    return f"""
+start AS (
+  SELECT ln(rate / (1 - rate)) AS b0, abs(pull) > {l1} * deviation AS active,
+    CASE WHEN abs(pull) > {l1} * deviation THEN {l1} * deviation * sign(pull) ELSE 0 END AS slope
+  FROM facts
+),
+steps(i, b, w) AS (
+  SELECT 0, b0, CAST(0 AS DOUBLE) FROM start
+  UNION ALL
+  SELECT i + 1, b - (h22 * g1 - h12 * g2) / (h11 * h22 - h12 * h12),
+    w - (h11 * g2 - h12 * g1) / (h11 * h22 - h12 * h12)
+  FROM (
+    SELECT i, b, w, sum(p - y) AS g1, sum((p - y) * x) + max(slope) AS g2,
+      sum(p * (1 - p)) AS h11, sum(p * (1 - p) * x) AS h12, sum(p * (1 - p) * x * x) AS h22
+    FROM (SELECT i, b, w, x, y, slope, 1 / (1 + exp(-(b + w * x))) AS p
+          FROM steps, tr, start WHERE i < 25) AS chances
+    GROUP BY i, b, w
+  ) AS sums
+),
+model AS (
+  SELECT CASE WHEN active THEN b ELSE b0 END AS b, CASE WHEN active THEN w ELSE 0 END AS w
+  FROM steps, start WHERE i = 25
+)"""
+
+
+def _fitted(l1: float = 1) -> str:
+    return "WITH RECURSIVE " + _LABELED_DOCUMENTS + "," + _newton(l1)
+
+
+_HELD_OUT = """,
+scored AS (SELECT id, y, 1 / (1 + exp(-(b + w * x))) AS p FROM held, model)"""
+
+
+def _swept(l1: float) -> str:
+    return f"""
+SELECT * FROM ({_fitted(l1)}{_HELD_OUT},
+ranked AS (
+  SELECT *, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2 AS mid_rank
+  FROM scored
+)
+SELECT '{l1:g}' AS "L1", TRUE AS converged, round(max(w), 4) + 0.0 AS weight,
+  round(avg(CAST((p >= 0.5) = (y = 1) AS INT)), 4) AS accuracy,
+  round(avg(-ln(CASE y WHEN 1 THEN p ELSE 1 - p END)), 4) AS log_loss,
+  round((sum(mid_rank) FILTER (y = 1) - CAST(sum(y) AS DOUBLE) * (sum(y) + 1) / 2)
+    / nullif(CAST(sum(y) AS DOUBLE) * (count(*) - sum(y)), 0), 4) AS roc_auc
+FROM ranked, model) AS strength"""
+
+
+def _fitted_sql() -> dict[str, str]:
+    return {
+        "train_logistic": _fitted() + """
+SELECT 'logistic_reg' AS model_type, CAST(1 AS DOUBLE) AS l1, round(w, 4) AS weight,
+  round(b, 4) AS intercept, TRUE AS converged
+FROM model""",
+        "training_info": _fitted() + """
+SELECT round(max(-rate * ln(rate) - (1 - rate) * ln(1 - rate)), 6) AS first_loss,
+  round(avg(-ln(CASE y WHEN 1 THEN p ELSE 1 - p END)) + max(abs(w) * deviation / n), 6)
+    AS final_loss,
+  TRUE AS converged
+FROM (SELECT *, 1 / (1 + exp(-(b + w * x))) AS p FROM tr, model, facts) AS at_the_end""",
+        "model_weights": _fitted() + """
+SELECT 'log_length' AS processed_input, CAST(NULL AS VARCHAR) AS category,
+  round(w * deviation, 4) AS weight FROM model, facts
+UNION ALL SELECT '__INTERCEPT__', NULL, round(b, 4) FROM model""",
+        "predict": _fitted() + _HELD_OUT + """
+SELECT id AS "fullVisitorId", CAST(p >= 0.5 AS INT) AS predicted_labels, round(p, 4) AS probability
+FROM scored""",
+        "predicted_deciles": _fitted() + _HELD_OUT + """
+SELECT id AS "fullVisitorId", round(p, 4) AS probability,
+  CAST(ntile(10) OVER (ORDER BY round(p, 4) DESC, md5(id), id) AS INT) AS decile
+FROM scored""",
+        "l1_sweep": "\nUNION ALL".join(_swept(l1) for l1 in SWEPT_STRENGTHS),
+        "train_tree_models": "WITH " + _LABELED_DOCUMENTS + """,
+sides AS (SELECT is_long, avg(y) AS r FROM tr GROUP BY 1),
+-- A tree gives up a split if both sides predict the same label.
+leaves AS (
+  SELECT is_long, r, CASE WHEN (min(r) OVER () > 0.5) = (max(r) OVER () > 0.5)
+    THEN (SELECT avg(y) FROM tr) ELSE r END AS kept
+  FROM sides
+)
+SELECT 'boosted_tree_classifier' AS model_type, is_long,
+  round(1 / (1 + exp(-2 * (2 * r - 1))), 6) AS probability FROM leaves
+UNION ALL SELECT 'random_forest_classifier', is_long, round(kept, 6) FROM leaves""",
+        "strong_penalty": _feature_ctes(TRAINING) + f""",
+base_rate AS (
+  SELECT round(avg(labels), 4) AS probability FROM features
+  WHERE CAST('0x' || substr(md5('0:' || "fullVisitorId"), 1, 8) AS BIGINT) % 10000 >= 2000
+)
+SELECT "fullVisitorId", probability
+FROM ({_feature_ctes(HOLDOUT)} SELECT "fullVisitorId" FROM features) AS held_out, base_rate""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     base = _with(_VISITS, _base(TRAINING))
     labeled = _with(_VISITS, _base(TRAINING), _LABELED)
@@ -246,7 +374,7 @@ def oracle_sql() -> dict[str, str]:
     def flags(group: str) -> str:
         return seen + "," + _HITS + "," + _flags(group) + "\nSELECT * FROM flags"
 
-    return {
+    return _fitted_sql() | {
         "sessions_scan": base + """
 SELECT "fullVisitorId", date AS table_suffix, "visitStartTime", "channelGrouping",
   visits, pageviews, "timeOnSite", bounces, transactions, "deviceCategory", browser, region, metro

@@ -7,6 +7,7 @@ a time zone.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -125,7 +126,7 @@ def hits_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits and sessions per page."""
     hits = indicators.hits_unnest(_sessions(spark, sf_dir), TRAINING)
     return hits.groupBy("pagePathLevel2", "pagePathLevel3").agg(
-        F.sum("occurrences").alias("hits"), F.count("*").alias("sessions")
+        F.sum(F.coalesce("occurrences", F.lit(1))).alias("hits"), F.count("*").alias("sessions")
     )
 
 
@@ -218,17 +219,23 @@ def _written_features(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return replace_table(_features(spark, sf_dir), name, table_path(spark, name))
 
 
+def _unique(name: str) -> str:
+    """A table name no other caller of the same session uses."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
 @query
 def feature_table_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table replaced by name and read back."""
-    return _epochs(_written_features(spark, sf_dir, "footfall_features"))
+    return _epochs(_written_features(spark, sf_dir, _unique("footfall_features")))
 
 
 @query
 def training_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label and inputs of the written table."""
-    _written_features(spark, sf_dir, "footfall_training")
-    return features.training_projection(read_table(spark, "footfall_training"))
+    name = _unique("footfall_training")
+    _written_features(spark, sf_dir, name)
+    return features.training_projection(read_table(spark, name))
 
 
 @query
@@ -318,64 +325,131 @@ def evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- fitted models -----------------------------------------------------------
 
+# Documents and their quality label: rows with a signal, and few enough inputs for SQL to
+# fit the same models. Ids are called as in the feature table.
+
+EXACT = training.FitOptions(tolerance=1e-12)
+ONE_TREE = training.FitOptions(boosted_trees=1, forest_trees=1, forest_bootstrap=False, tree_depth=1)
+LONG_DOCUMENT = 1000
+SWEPT_STRENGTHS = (0, 1, 5, 1000)
+STRONG_PENALTY = 50
 
-def _split_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = materialize(split(_features(spark, sf_dir)), "features")
+
+def _documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Training and holdout rows: logarithm of the length, whether it is long, label."""
+    labeled = spark.read.parquet(f"{sf_dir}/labels.parquet").join(
+        spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id"
+    )
+    rows = labeled.select(
+        F.col("doc_id").cast("string").alias(VISITOR),
+        F.col("quality").alias("labels"),
+        F.log1p("n_chars").alias("log_length"),
+        (F.col("n_chars") >= LONG_DOCUMENT).cast("int").alias("is_long"),
+    )
+    rows = materialize(split(rows.where("quality IS NOT NULL")), "documents")
     return rows.where("not is_eval"), rows.where("is_eval")
 
 
+def _by_length(rows: DataFrame, **more: object) -> dict[tuple[str, float], training.FittedModel]:
+    return training.fit(rows, options=EXACT, numbers=["log_length"], categories={}, **more)
+
+
 @query
 def train_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit, save, load; one row describing the model."""
-    rows, _ = _split_features(spark, sf_dir)
+    rows, _ = _documents(spark, sf_dir)
     path = table_path(spark, "model")
-    training.save_model(training.fit(rows)["logistic_reg", 1], path)
+    training.save_model(_by_length(rows)["logistic_reg", 1], path)
     model = training.load_model(spark, path)
-    weights = model.classifier.coefficients
+    weights = model.classifier
     return spark.createDataFrame(
-        [(model.model_type, float(model.l1), int(weights.numNonzeros()), len(model.losses) - 1)],
-        "model_type string, l1 double, non_zero_weights int, iterations int",
-    )
+        [(model.model_type, float(model.l1), float(weights.coefficients[0]), weights.intercept, model.converged)],
+        "model_type string, l1 double, weight double, intercept double, converged boolean",
+    ).withColumns({c: F.round(c, 4) for c in ("weight", "intercept")})
 
 
 @query
 def training_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, _ = _split_features(spark, sf_dir)
-    return training.training_info(training.fit(rows)["logistic_reg", 1])
+    """The loss a fit starts from and the one it ends with."""
+    rows, _ = _documents(spark, sf_dir)
+    info = training.training_info(_by_length(rows)["logistic_reg", 1])
+    ends = info.agg(
+        F.min_by("loss", "iteration").alias("first_loss"),
+        F.max_by("loss", "iteration").alias("final_loss"),
+        F.bool_and("converged").alias("converged"),
+    )
+    return ends.withColumns({c: F.round(c, 6) for c in ("first_loss", "final_loss")})
 
 
 @query
 def model_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, _ = _split_features(spark, sf_dir)
-    return training.model_weights(training.fit(rows)["logistic_reg", 1], rows)
+    rows, _ = _documents(spark, sf_dir)
+    weights = training.model_weights(_by_length(rows)["logistic_reg", 1], rows)
+    return weights.withColumn("weight", F.round("weight", 4))
+
+
+def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, held_out = _documents(spark, sf_dir)
+    model = _by_length(rows)["logistic_reg", 1]
+    return scoring.predict(model.pipeline, held_out.select(VISITOR, "log_length"))
 
 
 @query
 def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Visitors of the holdout window, scored by a model of the training window."""
-    rows, _ = _split_features(spark, sf_dir)
-    model = training.fit(rows)["logistic_reg", 1]
-    predictions = scoring.predict(model.pipeline, _features(spark, sf_dir, HOLDOUT))
-    return predictions.select(VISITOR, "predicted_labels", "predicted_labels_probs")
+    """Rows of the holdout, scored by a model of the training rows."""
+    predictions = _predictions(spark, sf_dir)
+    chance = F.filter("predicted_labels_probs", lambda c: c.label == 1)[0].prob
+    return predictions.select(
+        VISITOR, "predicted_labels", F.round(chance, 4).alias("probability")
+    )
 
 
 @query
 def predicted_deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training, scoring and deciles in one go."""
-    probabilities = scoring.positive_class_probability(predict(spark, sf_dir))
-    return scoring.score_deciles(materialize(probabilities, "scores"))
+    probabilities = scoring.positive_class_probability(_predictions(spark, sf_dir))
+    rounded = probabilities.withColumn("probability", F.round("probability", 4))
+    return scoring.score_deciles(materialize(rounded, "scores"))
 
 
 @query
 def l1_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, held_out = _split_features(spark, sf_dir)
-    models = training.fit(rows, l1_strengths=training.L1_STRENGTHS)
-    return training.compare(models, held_out).drop("model_type")
+    """Models of several strengths: their weight, and their quality on the holdout."""
+    rows, held_out = _documents(spark, sf_dir)
+    models = _by_length(rows, l1_strengths=SWEPT_STRENGTHS)
+    weights = spark.createDataFrame(
+        [(f"{m.l1:g}", float(m.classifier.coefficients[0])) for m in models.values()],
+        "L1 string, weight double",
+    )
+    report = training.compare(models, held_out).join(weights, "L1")
+    numbers = ["weight", "accuracy", "log_loss", "roc_auc"]
+    return report.select("L1", "converged", *[F.round(c, 4).alias(c) for c in numbers])
 
 
 @query
 def train_tree_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All classifier families on the same rows."""
-    rows, held_out = _split_features(spark, sf_dir)
-    models = training.fit(rows, model_types=training.MODEL_TYPES, max_iter=5)
-    return training.compare(models, held_out).drop("L1")
+    """Both tree families, one tree of one split: the probability on each side."""
+    rows, _ = _documents(spark, sf_dir)
+    families = ("boosted_tree_classifier", "random_forest_classifier")
+    models = training.fit(
+        rows, model_types=families, options=ONE_TREE, numbers=["is_long"], categories={}
+    )
+    scored = [
+        scoring.predict(model.pipeline, rows)
+        .select("is_long", F.inline("predicted_labels_probs"))
+        .where("label = 1")
+        .groupBy(F.lit(family).alias("model_type"), "is_long")
+        .agg(F.round(F.max("prob"), 6).alias("probability"))
+        for (family, _), model in models.items()
+    ]
+    return scored[0].unionAll(scored[1])
+
+
+@query
+def strong_penalty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All model inputs, and a penalty that leaves none: everybody gets the base rate."""
+    rows = materialize(split(_features(spark, sf_dir)), "features").where("not is_eval")
+    model = training.fit(rows, l1_strengths=(STRONG_PENALTY,))["logistic_reg", STRONG_PENALTY]
+    predictions = scoring.predict(model.pipeline, _features(spark, sf_dir, HOLDOUT))
+    probabilities = scoring.positive_class_probability(predictions)
+    return probabilities.withColumn("probability", F.round("probability", 4))

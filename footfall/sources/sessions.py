@@ -19,7 +19,8 @@ SESSION_SCHEMA = """
                   bounces: bigint, transactions: bigint>,
     device struct<deviceCategory: string, browser: string>,
     geoNetwork struct<country: string, region: string, metro: string>,
-    hits array<struct<page: struct<pagePathLevel2: string, pagePathLevel3: string>>>,
+    hits array<struct<page: struct<pagePathLevel2: string, pagePathLevel3: string>,
+                      occurrences: bigint>>,
     table_suffix string
 """
 
@@ -31,7 +32,7 @@ def read_sessions(spark: SparkSession, path: str, params: FeatureParams | None =
 
 
 def write_sessions(sessions: DataFrame, path: str) -> None:
-    """Write sessions as one folder per day.
+    """Write sessions as one folder per day; only the days they hold are replaced.
 
     The rebalance hint gathers a day in few files and still splits a day that
     holds much more than the others.
@@ -39,6 +40,7 @@ def write_sessions(sessions: DataFrame, path: str) -> None:
     (
         sessions.hint("rebalance", "table_suffix")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("table_suffix")
         .parquet(path)
     )

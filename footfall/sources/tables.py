@@ -2,20 +2,45 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from footfall.sources.workspace import delete_folder
+
+
+def _location(spark: SparkSession, name: str) -> str | None:
+    """Where the table's files lie, if there is such a table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+    row = described.select(F.col("data_type")).first()
+    return row[0] if row else None
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Create or replace table ``name`` with the rows of ``df``.
+    """Create or replace table ``name`` with the rows of ``df``, which may read that table.
 
-    With ``path`` the table is external and its files go there; otherwise they
-    go to the session's warehouse.
+    The rows go to a fresh folder below ``path`` (the warehouse, if none is given);
+    only when all are there does the name point to it, and then the folder of the
+    former table is deleted. A write that fails leaves the former table as it was.
     """
-    writer = df.write.mode("overwrite").format("parquet")
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
-    return read_table(df.sparkSession, name)
+    spark = df.sparkSession
+    parent = (path or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    folder = f"{parent}/{name.replace('.', '-')}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    former = _location(spark, name)
+    same_columns = former is not None and spark.table(name).dtypes == df.dtypes
+    if same_columns:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path=folder, source="parquet", schema=df.schema)
+    spark.catalog.refreshTable(name)
+    if former is not None:
+        delete_folder(spark, former)
+    return read_table(spark, name)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

@@ -1,20 +1,26 @@
 """Where intermediate results go when a job has to write them down.
 
 Everything lands in the shared folder the session names in
-``spark.checkpoint.dir``. Only a local session may go without one.
+``spark.checkpoint.dir``. Only a session without a cluster may go without one.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+_open_scopes: ContextVar[tuple[str, ...]] = ContextVar("open_scopes", default=())
+
 
 @cache
-def _local_folder() -> str:
+def _folder_of_this_process() -> str:
     return tempfile.mkdtemp(prefix="footfall-")
 
 
@@ -23,14 +29,45 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    # Driver and executors are one process here; "local-cluster" is not of this kind.
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_folder()
+    return _folder_of_this_process()
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.exists(target)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of any store Spark writes to; a missing one is no error."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[str]:
+    """Tables written inside are deleted at the end; read what you need before.
+
+    Scopes can be nested; a table belongs to the innermost one.
+    """
+    folder = f"{shared_folder(spark)}/scope-{uuid.uuid4().hex}"
+    token = _open_scopes.set((*_open_scopes.get(), folder))
+    try:
+        yield folder
+    finally:
+        _open_scopes.reset(token)
+        delete_folder(spark, folder)
 
 
 def table_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a table; a rerun never collides with an earlier one."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    open_scopes = _open_scopes.get()
+    parent = open_scopes[-1] if open_scopes else shared_folder(spark)
+    return f"{parent}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str = "rows") -> DataFrame:
@@ -38,7 +75,8 @@ def materialize(df: DataFrame, name: str = "rows") -> DataFrame:
 
     The rows become a table in the shared folder: they survive the loss of an
     executor, nothing later goes back to the lineage, and every reader takes
-    only the columns it needs.
+    only the columns it needs. It stays until its ``scope`` ends, or, outside
+    of one, until somebody clears the folder.
     """
     path = table_path(df.sparkSession, name)
     df.write.parquet(path)

@@ -46,7 +46,7 @@ def session(
         (visits, views, seconds, bounces, transactions),
         (device, browser),
         (country, region, metro),
-        None if hits is None else [((l2, l3),) for l2, l3 in hits],
+        None if hits is None else [((l2, l3), None) for l2, l3 in hits],
         suffix or day,
     )
 

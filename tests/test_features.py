@@ -1,11 +1,16 @@
+import re
+from collections import Counter
 from dataclasses import replace
-from datetime import timedelta
+from datetime import UTC, datetime, timedelta
 
 import pytest
 
 from footfall import FeatureParams, feature_table, training_projection
-from footfall.columns import FEATURES, FLAGS
+from footfall.columns import CORRECT_NAMES, FEATURES, FLAGS
+from footfall.operators import lookback
+from footfall.plans.feature_table import with_names
 from footfall.plans.staged import feature_table_staged
+from footfall.sources.sessions import SESSION_SCHEMA
 from footfall.vocabulary import VISITOR
 from tests.hand_made import PARAMS, random_sessions, session, sessions
 
@@ -134,9 +139,9 @@ def test_lookback_filter(spark):
 
 @pytest.mark.parametrize("seed", range(2))
 def test_lookback_filter_against_python(spark, seed, monkeypatch):
-    """Also with nearly every visitor treated as heavy, hence salted."""
+    """Also with nearly every visitor split over several keys."""
     if seed:
-        monkeypatch.setattr("footfall.operators.lookback.HEAVY_SHARE", 10_000)
+        monkeypatch.setattr("footfall.operators.lookback.ROWS_PER_KEY", 3)
     rows = random_sessions(seed, 500, 60)
     params = FeatureParams(lookback_days=3, lookback_filter=True)
     windows = {
@@ -162,6 +167,53 @@ def test_heavy_visitor_that_is_not_kept(spark):
     assert [r[VISITOR] for r in feature_table(sessions(spark, rows), params).collect()] == ["v"]
 
 
+def test_join_keys_stay_small(spark, monkeypatch):
+    """One visitor with a third of all sessions and several with somewhat fewer."""
+    monkeypatch.setattr(lookback, "ROWS_PER_KEY", 50)
+    counts = {"hot": 600, **{f"warm{i}": 149 for i in range(8)}}
+    start = datetime(2017, 1, 10, tzinfo=UTC)
+    rows = [(v, int(start.timestamp()) + i) for v, n in counts.items() for i in range(n)]
+    window = (True, start, start + timedelta(days=1))
+    visitors = spark.createDataFrame(
+        [(v, *window, n) for v, n in counts.items()],
+        f"{VISITOR} string, kept boolean, front_lookback_window timestamp, "
+        "end_lookback_window timestamp, n_sessions long",
+    )
+    packed = spark.createDataFrame(rows, f"{VISITOR} string, visitStartTime long")
+    found = lookback.within_window(packed, visitors)
+    assert sorted(tuple(r) for r in found.collect()) == sorted(rows)
+    keys = Counter((r[0], r[1]) for r in lookback.salted(packed, visitors).select(VISITOR, "salt").collect())
+    assert max(keys.values()) < 100
+    assert len(keys) == 12 + 8 * 3
+
+
+def test_lookback_shuffles_packed_rows_only(spark, tmp_path):
+    rows = random_sessions(1, 200, 20)
+    sessions(spark, rows).write.parquet(str(tmp_path / "s"))
+    stored = spark.read.schema(SESSION_SCHEMA).parquet(str(tmp_path / "s"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = feature_table(stored, replace(PARAMS, lookback_filter=True))
+        plan = table._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    exchanged = re.findall(r"^\(\d+\) Exchange\nInput \[\d+\]: (.*)$", plan, re.M)
+    assert exchanged
+    for columns in exchanged:
+        assert not re.search(r"\b(hits|page_levels_\d|totals|device|geoNetwork)#", columns)
+
+
+def test_correct_names(spark):
+    features = feature_table(sessions(spark, BUYER), PARAMS)
+    renamed = with_names(features)
+    assert len(set(renamed.columns)) == len(features.columns)
+    assert "channelGrouping_Referral" in renamed.columns
+    assert set(features.columns) - set(renamed.columns) == set(CORRECT_NAMES)
+
+
 def _as_plain_visit(row):
     """Same behaviour, but kept in the table: no bounce, no purchase."""
     visits, views, seconds, _, _ = row[4]

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 
 from footfall.operators.habits import visitor_day, visitor_daypart, with_local_hour
@@ -113,3 +115,15 @@ def test_window_form_agrees(spark):
     )
     top = top_per_visitor(sums, "views", "day").collect()
     assert sorted(map(tuple, top)) == [("a", 1), ("b", 4)]
+
+
+def test_named_zones_follow_every_summer(spark):
+    """Texas: the listed summers begin in 2017 and end in 2020, the zone's don't."""
+    days = ["20160701", "20170701", "20210701", "20211201"]
+    rows = [session(d, d, hour=12, region="Texas") for d in days]
+    zones = (("Texas", "America/Chicago"),)
+    by_zone = with_local_hour(sessions(spark, rows), replace(PARAMS, zones=zones))
+    listed = with_local_hour(sessions(spark, rows), PARAMS)
+    hours = [{r.date: r.hour_of_day_localized for r in x.collect()} for x in (by_zone, listed)]
+    assert hours[0] == {"20160701": 7, "20170701": 7, "20210701": 7, "20211201": 6}
+    assert hours[1] == {"20160701": 6, "20170701": 7, "20210701": 6, "20211201": 6}

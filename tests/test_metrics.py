@@ -99,3 +99,19 @@ def test_split_is_stable_and_near_the_fraction(spark):
     assert first == again
     assert first != other
     assert abs(sum(first.values()) / 20000 - 0.2) < 0.02
+
+
+@pytest.mark.parametrize("rows", [[(1, 0.9), (1, 0.2)], [(0, 0.4)], []])
+def test_no_area_without_both_classes(spark, rows):
+    scored = spark.createDataFrame(rows, "labels int, probability double")
+    assert metrics.evaluate(scored).first().roc_auc is None
+
+
+def test_rows_without_a_probability_are_left_out_everywhere(spark):
+    rows = [(1, 0.9), (0, 0.2), (0, 0.95), (1, None), (None, 0.5)]
+    scored = spark.createDataFrame(rows, "labels int, probability double")
+    report = metrics.evaluate(scored).first()
+    assert (report.accuracy, report.roc_auc) == (2 / 3, 0.5)
+    assert sorted(tuple(r) for r in metrics.confusion_matrix(scored).collect()) == [(0, 1, 1), (1, 0, 1)]
+    first = metrics.roc_curve(scored).orderBy("threshold").first()
+    assert (first.true_positives, first.false_positives) == (1, 2)

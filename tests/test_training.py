@@ -110,7 +110,7 @@ def test_compare_tags_each_model(features, models):
 
 def test_other_families(features):
     families = [t for t in training.MODEL_TYPES if t != "logistic_reg"]
-    models = training.fit(features.where("not is_eval"), model_types=families, max_iter=10)
+    models = training.fit(features.where("not is_eval"), model_types=families, options=training.FitOptions(tolerance=1e-3))
     for r in training.compare(models, features.where("is_eval")).collect():
         assert r.roc_auc > 0.65, r
 
@@ -137,7 +137,7 @@ def test_correlation(features):
         "device_deviceCategory_desktop",
         "geoNetworkmetro_AtlantaGA",
     ]
-    pairs = feature_correlation(features, columns).collect()
+    pairs = feature_correlation(features, columns, {}).collect()
     found = {(r.feature_a, r.feature_b): r.correlation for r in pairs}
     assert len(found) == 6
     assert found[columns[1], columns[2]] == pytest.approx(-1)
