@@ -63,7 +63,8 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
 
 def token_pieces(docs: DataFrame, params: PackingParams) -> DataFrame:
     """``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32`` and, if kept, ``ids``."""
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
+    # Ids travel as text: pandas would turn those of a batch with a NULL into doubles.
+    schema = "doc_id string, piece int, start long, length long, ids_crc32 long"
     if params.keep_ids:
         schema += ", ids array<int>"
 
@@ -81,7 +82,8 @@ def token_pieces(docs: DataFrame, params: PackingParams) -> DataFrame:
                     rows.append([*row, own.astype("int32")] if params.keep_ids else row)
             yield pd.DataFrame(rows, columns=columns)
 
-    return docs.select("doc_id", "text").mapInPandas(tokenize, schema)
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    return rows.mapInPandas(tokenize, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 Pattern = tuple[int, dict[int, int]]  # how many sequences, pieces by length in each

@@ -218,7 +218,8 @@ def _distance(mine: Column, theirs: Column) -> Column:
 
     parts = F.zip_with(mine, theirs, lambda p, q: against_middle(p, q) + against_middle(q, p))
     total = F.aggregate(parts, F.lit(0.0), lambda a, x: a + x)
-    return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
+    # NULL if there is nothing to compare; rounding may leave equal ones just below 0.
+    return F.sqrt(F.when(total > 0, total / 2).when(total <= 0, 0.0))
 
 
 def judge(
