@@ -16,10 +16,11 @@ shingles in the global order (``n``: size, ``o``: least overlap, ``k``: 3 % of
    ``t`` of these, the ``t - 1`` most frequent can be left out: frequent passages
    mostly fall away here.
 3. Texts that share a shingle now are pairs to be counted. Where many texts share
-   one, all are compared with the most typical of them first; later rounds only
-   compare texts that no chain of links joins yet, and only those that enough
-   shared shingles leave a chance. So a group of copies costs about one pair per
-   copy, and no link between components is lost.
+   one, all are compared with the most typical of them. Groups that this leaves in
+   several components are joined once more on the shingles in which their
+   texts differ from a reference: texts that link, but not both with the
+   reference, must have differences in common (``_pairs_across``). So a group of
+   copies costs a few pairs per copy, and no link between components is lost.
 
 Copies of one text are one text throughout. Hashes have 64 bits; a collision could
 change a decision only at the very threshold.
@@ -125,7 +126,8 @@ def _pairs_of_small_groups(postings: DataFrame, params: JaccardParams) -> DataFr
 
 def _segments(docs: DataFrame, ids: DataFrame, params: JaccardParams) -> DataFrame:
     """``id``, ``n``, ``fragment`` and the shingles of the set in it."""
-    sets = shingle_sets(docs.join(ids, "id", "left_semi"), params)
+    # The ids grow with the corpus, so they aren't to be broadcast at any size.
+    sets = shingle_sets(docs.join(ids.hint("shuffle_hash"), "id", "left_semi"), params)
     n_fragments = 1 << params.fragment_bits
     fragment = lambda h: F.shiftrightunsigned(h, 64 - params.fragment_bits)
     cut = F.transform(
@@ -134,7 +136,7 @@ def _segments(docs: DataFrame, ids: DataFrame, params: JaccardParams) -> DataFra
     )
     return sets.select(
         "id", F.size("hashes").alias("n"), F.posexplode(cut).alias("fragment", "segment")
-    ).where(F.size("segment") > 0)
+    )
 
 
 def _links(pairs: DataFrame, segments: DataFrame, params: JaccardParams) -> DataFrame:
@@ -190,39 +192,117 @@ def _pairs_with_leaders(groups: DataFrame, params: JaccardParams) -> DataFrame:
     return _ordered_pairs(led.where("x != y").where(_near_in_size("nx", "ny", params)))
 
 
-def _pairs_across(
-    groups: DataFrame, segments: DataFrame, params: JaccardParams
-) -> DataFrame:
-    """All pairs of unlinked components within a group that can still link.
+def _able(groups: DataFrame, segments: DataFrame, params: JaccardParams) -> DataFrame:
+    """Postings of the texts that can still link with something in an open group.
 
     A shingle in no other text of an open group can't be part of any overlap that
-    matters here, so the rest of the set bounds every overlap.
+    matters here, so the rest of the set (``most``) bounds every overlap. Half of the
+    fragments tell already of most texts that they have too many such shingles.
     """
+    half = 1 << (params.fragment_bits - 1)
     ids = groups.select("id").distinct()
-    rows = segments.join(ids, "id", "left_semi").select("id", F.explode("segment").alias("s"))
-    common = rows.groupBy("s").agg(F.count("*").alias("c")).where("c > 1").select("s")
-    most = rows.join(common, "s", "left_semi").groupBy("id").agg(F.count("*").alias("most"))
-    able = groups.join(most, "id").where(F.col("most") * 100 >= F.col("n") * params.percent)
+    rows = segments.where(F.col("fragment") < half).join(ids, "id", "left_semi")
+    rows = rows.select("id", F.explode("segment").alias("s"))
+    several = rows.groupBy("s").agg(F.count("*").alias("c")).where("c > 1").select("s")
+    alone = rows.join(several, "s", "left_anti").groupBy("id").agg(F.count("*").alias("alone"))
+    most = F.col("n") - F.coalesce("alone", F.lit(0))
+    able = groups.join(alone, "id", "left").withColumn("most", most).drop("alone")
+    return materialize(able.where(F.col("most") * 100 >= F.col("n") * params.percent), "able")
+
+
+def _differences(groups: DataFrame, segments: DataFrame) -> DataFrame:
+    """What each text of a group has that the group's reference lacks, and the reverse.
+
+    The reference is the text with the largest share of common shingles, so
+    groups of the same texts mostly have the same one. One row per
+    ``reference``, ``id`` and fragment with the differing shingles.
+    """
+    share = F.floor(F.col("most") * 1000 / F.col("n"))
+    chosen = F.max_by(F.struct("id", "n"), F.struct(share, -F.col("id"))).alias("ref")
+    references = groups.groupBy("h").agg(chosen)
+    members = (
+        groups.join(references, "h")
+        .select("id", F.col("ref.id").alias("reference"))
+        .distinct()
+    )
+    own = segments.select("id", "n", "fragment", "segment")
+    theirs = segments.select(
+        F.col("id").alias("reference"),
+        F.col("n").alias("ref_n"),
+        "fragment",
+        F.col("segment").alias("other"),
+    )
+    differing = F.concat(F.array_except("segment", "other"), F.array_except("other", "segment"))
+    rows = (
+        members.join(own, "id")
+        .join(theirs, ["reference", "fragment"])
+        .select("reference", "ref_n", "id", "n", "fragment", differing.alias("differing"))
+    )
+    return materialize(rows, "differences")
+
+
+def _pairs_across(
+    groups: DataFrame, segments: DataFrame, params: JaccardParams
+) -> tuple[DataFrame, DataFrame]:
+    """Links with the references, and the other pairs of groups that can link.
+
+    ``d`` is the number of shingles in which a text and the reference differ. Two texts
+    link if they differ in at most ``t = r * (nx + ny)`` shingles, ``r`` being
+    ``(100 - p) / (100 + p)``; and they differ in ``dx + dy`` less twice the number of
+    differing shingles they share. Two texts that both link with the reference are
+    in one component already, so one of a pair doesn't, and its ``d`` is large. From
+    that follows how many differing shingles (``least``) any pair has to share;
+    all but the rarest of them, in the order of their frequency, can be left out. So
+    copies with changes of their own don't meet, though they share nearly all of their text.
+    """
+    differences = _differences(groups, segments)
+    sizes = differences.groupBy("reference", "ref_n", "id", "n").agg(
+        F.sum(F.size("differing")).alias("d")
+    )
+    p = params.percent
+    # In whole numbers: they link if (100 + p) * d <= (100 - p) * (n + ref_n).
+    linked = (100 + p) * F.col("d") <= (100 - p) * (F.col("n") + F.col("ref_n"))
+    sizes = materialize(sizes.withColumn("linked", linked), "sizes")
+
+    elements = differences.select("reference", "id", F.explode("differing").alias("e"))
+    common = elements.groupBy("reference", "e").agg(F.count("*").alias("df")).where("df > 1")
+    shared = elements.join(common, ["reference", "e"]).join(sizes, ["reference", "id"])
+    own = Window.partitionBy("reference", "id")
+    r = (100 - p) / (100 + p)
+    half = F.floor((F.col("d") + r * (F.col("ref_n") - F.col("n"))) / 2 - 1e-9) + 1
+    beyond = F.col("d") - F.floor(F.col("n") * (100 - p) / F.lit(float(p)) + 1e-9)
+    least = F.greatest(
+        F.lit(1), F.when(F.col("linked"), half).otherwise(F.least(half, beyond))
+    )
+    kept = (
+        shared.withColumn("shared", F.count("*").over(own))
+        .withColumn("rank", F.row_number().over(own.orderBy("df", "e")))
+        .where(F.col("rank") <= F.col("shared") - least + 1)
+        .select("reference", "e", "id", "n", "d", "shared", "linked")
+    )
+    kept = materialize(kept, "elements")
     left, right = (
-        able.select(
-            "h",
-            F.col("id").alias(i),
-            F.col("n").alias(f"n{i}"),
-            F.col("most").alias(f"m{i}"),
-            F.col("component").alias(f"c{i}"),
+        kept.select(
+            "reference",
+            "e",
+            *[F.col(c).alias(f"{c}{i}") for c in ("id", "n", "d", "shared", "linked")],
         )
         for i in ("x", "y")
     )
-    both = F.col("nx") + F.col("ny")
-    least = F.least("mx", "my") * (100 + params.percent)
+    apart = F.col("dx") + F.col("dy") - 2 * F.least("sharedx", "sharedy")
     pairs = (
-        left.join(right, "h")
-        .where("cx != cy")
-        .where("x < y")
+        left.where("not linkedx")
+        .join(right, ["reference", "e"])
+        .where("idx != idy")
+        .where("linkedy OR idx < idy")
         .where(_near_in_size("nx", "ny", params))
-        .where(least >= both * params.percent)
+        .where((100 + p) * apart <= (100 - p) * (F.col("nx") + F.col("ny")))
     )
-    return pairs.select("x", "y").distinct()
+    pairs = pairs.select(F.col("idx").alias("x"), F.col("idy").alias("y"))
+    links = sizes.where("linked AND id != reference").select(
+        F.col("id").alias("x"), F.col("reference").alias("y")
+    )
+    return _ordered_pairs(links), _ordered_pairs(pairs)
 
 
 def near_duplicates(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFrame:
@@ -243,14 +323,16 @@ def near_duplicates(docs: DataFrame, params: JaccardParams = JaccardParams()) ->
         _pairs_of_small_groups(postings, params).unionAll(_pairs_with_leaders(large, params))
     )
     pairs = materialize(pairs, "pairs")
-    ids = postings.select("id").distinct()
+    ids = pairs.select(F.col("x").alias("id")).unionAll(pairs.select("y"))
+    ids = ids.unionAll(large.select("id")).distinct()
     segments = materialize(_segments(docs, ids, params), "segments")
     links = materialize(_links(pairs, segments, params), "links")
 
-    still_open = _open_groups(large, links)
+    still_open = _able(_open_groups(large, links), segments, params)
     if not still_open.isEmpty():
-        across = _pairs_across(still_open, segments, params)
+        with_references, across = _pairs_across(still_open, segments, params)
         across = materialize(across.join(pairs, ["x", "y"], "left_anti"), "pairs")
+        links = links.unionAll(materialize(with_references, "links"))
         links = links.unionAll(materialize(_links(across, segments, params), "links"))
 
     texts = _with_component(texts.withColumnRenamed("text_id", "id"), links)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from footfall.llm.quality_rules import COMMON_WORDS, UNIT, QualityParams
+
 OP4 = r"""
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS h FROM pages
@@ -116,10 +118,91 @@ SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id
 FROM low LEFT JOIN n USING (doc_id)
 """
 
+
+
+def _op9(params: QualityParams = QualityParams()) -> str:
+    """The rules once more; histograms are lists here, references are sums of lists."""
+    by_lang = " ".join(
+        f"WHEN '{lang}' THEN [{', '.join(repr(w) for w in words)}]"
+        for lang, words in COMMON_WORDS.items()
+    )
+
+    def sums(column: str, n: int) -> str:
+        return "[" + ", ".join(f"sum({column}[{i + 1}])" for i in range(n)) + "]"
+
+    def distance(mine: str, theirs: str) -> str:
+        one = f"list_transform({mine}, lambda x: x / list_sum({mine})::DOUBLE)"
+        two = f"list_transform({theirs}, lambda x: x / list_sum({theirs})::DOUBLE)"
+        part = "CASE WHEN {0} > 0 THEN {0} * log2(2 * {0} / ({0} + {1})) ELSE 0 END"
+        terms = f"{part.format('z[1]', 'z[2]')} + {part.format('z[2]', 'z[1]')}"
+        pairs = f"list_transform(list_zip({one}, {two}), lambda z: [z[1], z[2]])"
+        return f"sqrt(greatest(list_sum(list_transform({pairs}, lambda z: {terms})) / 2, 0))"
+
+    return rf"""
+WITH t AS (
+  SELECT doc_id, lang, coalesce(text, '') AS x,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)),
+      lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines,
+    CASE lang {by_lang} END AS listed
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, list_slice(w, i, i + {params.window - 1}) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {params.window - 2})) AS i FROM t) AS s
+), places AS (
+  SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1
+), steps AS (
+  SELECT doc_id, least({params.window}, coalesce(
+    lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, {params.window})) AS step
+  FROM places
+), repeats AS (SELECT doc_id, sum(step)::BIGINT AS n FROM steps GROUP BY 1
+), counted AS (
+  SELECT doc_id, lang, listed, len(w)::BIGINT AS n_words, length(x)::BIGINT AS n_chars,
+    length(regexp_replace(x, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(x, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    coalesce(repeats.n, 0)::BIGINT AS n_repeat_words,
+    list_transform(['a-z', 'A-Z', '0-9', '\x20\x09-\x0D', '\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E'],
+      lambda c: length(regexp_replace(x, '[^' || c || ']', '', 'g'))) AS classes,
+    list_transform(listed, lambda v: len(list_filter(w,
+      lambda y: y IN (v, upper(v), upper(v[1]) || v[2:])))) AS common
+  FROM t LEFT JOIN repeats USING (doc_id)
+), judged AS (
+  SELECT *, n_words < {params.min_words}
+      OR 100 * n_repeat_words > {params.max_repeat_percent} * n_words AS base_failed,
+    list_transform(list_append(classes, n_chars - list_sum(classes)),
+      lambda n: (n * {UNIT} // greatest(n_chars, 1))::BIGINT) AS chars,
+    list_transform(common, lambda n: (n * {UNIT} // greatest(n_words, 1))::BIGINT) AS words
+  FROM counted
+), full_words AS (
+  SELECT * REPLACE (list_append(words, ({UNIT} - list_sum(words))::BIGINT) AS words) FROM judged
+), refs AS (
+  SELECT lang, {sums('chars', 6)} AS ref_chars, {sums('words', 13)} AS ref_words
+  FROM full_words
+  WHERE NOT base_failed AND n_chars >= {params.min_chars_compared}
+    AND n_words >= {params.min_words_compared}
+  GROUP BY 1
+), far AS (
+  SELECT f.*,
+    CASE WHEN n_chars >= {params.min_chars_compared}
+      THEN {distance('chars', 'ref_chars')} END AS cd,
+    CASE WHEN n_words >= {params.min_words_compared}
+      THEN {distance('words', 'ref_words')} END AS wd
+  FROM full_words AS f LEFT JOIN refs USING (lang)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(cd, 0) <= {params.max_char_distance}
+    AND coalesce(wd, 0) <= {params.max_word_distance} AS kept,
+  round(cd, 6) AS char_distance, round(wd, 6) AS word_distance
+FROM far
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": OP1,
     "op3_chat_format": OP3,
     "op4_warc": OP4,
     "op5_ngram_jaccard": OP5,
     "op7_url_filter": OP7,
+    "op9_quality_rules": _op9(),
 }

@@ -90,25 +90,21 @@ def _letter(digest: Column, at: Column, letters: str) -> Column:
     return F.substring(F.lit(letters), (_number(digest, at, len(letters)) + 1).cast("int"), F.lit(1))
 
 
-def _same_shape(entity: Column, digest: Column) -> Column:
-    """Letters and digits drawn anew, all other characters kept."""
+def _same_shape(text: Column, digest: Column, is_hex: Column) -> Column:
+    """Letters and digits drawn anew, all other characters kept; hexadecimal stays so."""
     lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
     def drawn(c: Column, i: Column) -> Column:
+        hex_digit = F.substring(digest, (i % 128) + 1, F.lit(1))
         return (
-            F.when(c.rlike("[0-9]"), _number(digest, i, 10).cast("string"))
+            F.when(is_hex, F.when(c.rlike("[A-F]"), F.upper(hex_digit)).otherwise(hex_digit))
+            .when(c.rlike("[0-9]"), _number(digest, i, 10).cast("string"))
             .when(c.rlike("[a-z]"), _letter(digest, i, lower))
             .when(c.rlike("[A-Z]"), _letter(digest, i, upper))
             .otherwise(c)
         )
 
-    return F.array_join(F.transform(F.split(entity, ""), drawn), "")
-
-
-def _hex_key(entity: Column, digest: Column) -> Column:
-    n = F.char_length(entity)
-    drawn = F.substring(F.concat(digest, F.reverse(digest)), F.lit(1), n)
-    return F.when(entity.rlike("[A-F]"), F.upper(drawn)).otherwise(drawn)
+    return F.array_join(F.transform(F.split(text, ""), drawn), "")
 
 
 def _luhn_sum(digits: Column, doubled_parity: Column) -> Column:
@@ -123,19 +119,17 @@ def _luhn_sum(digits: Column, doubled_parity: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, x: a + x)
 
 
-def _card(entity: Column, digest: Column) -> Column:
-    """First digit and separators kept; the last digit makes the check sum right again."""
+def _with_check_digit(entity: Column, drawn: Column) -> Column:
+    """The last digit replaced by the right check digit, if the entity had the right one."""
     own = F.regexp_replace(entity, "[^0-9]", "")
     parity = F.char_length(own) % 2
-    was_valid = _luhn_sum(own, parity) % 10 == 0
-    drawn = F.concat(F.substring(entity, 1, 1), F.expr("substring(shape, 2)"))
-    digits = F.regexp_replace(F.col("drawn"), "[^0-9]", "")
+    digits = F.regexp_replace(drawn, "[^0-9]", "")
     body = F.concat(F.substring(digits, F.lit(1), F.char_length(digits) - 1), F.lit("0"))
     check = (10 - _luhn_sum(body, parity) % 10) % 10
     valid = F.concat(
-        F.substring("drawn", F.lit(1), F.char_length("drawn") - 1), check.cast("string")
+        F.substring(drawn, F.lit(1), F.char_length(drawn) - 1), check.cast("string")
     )
-    return drawn, F.when(was_valid, valid).otherwise(F.col("drawn"))
+    return F.when(_luhn_sum(own, parity) % 10 == 0, valid).otherwise(drawn)
 
 
 def _name(entity: Column, digest: Column, attempt: Column) -> Column:
@@ -166,57 +160,58 @@ def _name(entity: Column, digest: Column, attempt: Column) -> Column:
     )
 
 
+# What of an entity is kept in front of the part that is drawn anew, by type.
+KEPT = {
+    "phone": r"^\+[0-9]{1,3}(?=[ .-])",
+    "iban": r"^[A-Z]{2}",
+    "card": r"^[0-9]",
+    "key": r"^(?:AKIA|ASIA|gh[pousr][_-]|sk[_-]|pk[_-]|xox[abp][_-])",
+}
+
+
 def with_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """``surrogate`` for every row of ``type``, ``entity``, ``gender`` and ``attempt``."""
-    entity, digest = F.col("entity"), F.col("digest")
-    domain = F.substring_index(entity, "@", -1)
-    labels = F.regexp_replace(domain, r"\.[^.]*$", "")
+    entity, kind, digest = F.col("entity"), F.col("type"), F.col("digest")
+    kept = F.lit("")
+    for name, pattern in KEPT.items():
+        kept = F.when(kind == name, F.regexp_extract(entity, f"({pattern})?", 1)).otherwise(kept)
+    domain = F.lower(F.substring_index(entity, "@", -1))
+    parts = entities.withColumns(
+        {
+            "digest": _digest(F.lit(key), kind, entity, F.col("attempt").cast("string")),
+            # Addresses of one domain stay in one domain.
+            "domain_digest": _digest(F.lit(key), F.lit("domain"), domain),
+            "kept": kept,
+            "is_hex": (kind == "key") & entity.rlike(r"\A(?:[0-9a-f]+|[0-9A-F]+)\z"),
+        }
+    )
+    core = (
+        F.when(kind.isin("name", "ipv4"), "")
+        .when(kind == "email", F.substring_index(entity, "@", 1))
+        .otherwise(F.expr("substring(entity, char_length(kept) + 1)"))
+    )
+    labels = F.when(kind == "email", F.regexp_replace(domain, r"\.[^.]*$", "")).otherwise("")
+    drawn = parts.withColumns({"core": core, "labels": labels}).withColumns(
+        {
+            "drawn": F.concat("kept", _same_shape(F.col("core"), digest, F.col("is_hex"))),
+            "domain": _same_shape(F.col("labels"), F.col("domain_digest"), F.lit(False)),
+        }
+    )
     ip = F.concat_ws(
         ".",
         (_number(digest, 0, 14) + 241).cast("string"),
-        *[_number(digest, i, 254 if i == 3 else 256).cast("string") for i in (1, 2)],
+        *[_number(digest, i, 256).cast("string") for i in (1, 2)],
         (_number(digest, 3, 254) + 1).cast("string"),
     )
-    drawn, card = _card(entity, digest)
-    attempt = F.col("attempt").cast("string")
-    known = entities.withColumns(
-        {
-            "digest": _digest(F.lit(key), F.col("type"), entity, attempt),
-            # Addresses of one domain stay in one domain.
-            "domain_digest": _digest(F.lit(key), F.lit("domain"), F.lower(domain)),
-        }
-    )
-    known = known.withColumn(
-        "shape", F.when(F.col("type").isin("key", "name", "ipv4"), "").otherwise(
-            F.when(F.col("type") == "email", _same_shape(F.substring_index(entity, "@", 1), digest))
-            .when(F.col("type") == "phone", F.concat(
-                F.regexp_extract(entity, r"^(\+[0-9]{1,3}(?=[ .-]))?", 1),
-                _same_shape(F.regexp_replace(entity, r"^\+[0-9]{1,3}(?=[ .-])", ""), digest),
-            ))
-            .when(F.col("type") == "iban", F.concat(
-                F.substring(entity, 1, 2), _same_shape(F.expr("substring(entity, 3)"), digest)
-            ))
-            .otherwise(_same_shape(entity, digest))
-        ),
-    ).withColumn("drawn", drawn)
     surrogate = (
-        F.when(F.col("type") == "email", F.concat(
-            F.col("shape"),
-            F.lit("@"),
-            _same_shape(F.lower(labels), F.col("domain_digest")),
-            F.lit(".example"),
-        ))
-        .when(F.col("type") == "ipv4", ip)
-        .when(F.col("type") == "card", card)
-        .when((F.col("type") == "key") & entity.rlike(r"\A(?:[0-9a-f]+|[0-9A-F]+)\z"), _hex_key(entity, digest))
-        .when(F.col("type") == "key", F.concat(
-            F.regexp_extract(entity, r"^((?:AKIA|ASIA)|[a-z]+[_-])?", 1),
-            _same_shape(F.regexp_replace(entity, r"^(?:AKIA|ASIA|[a-z]+[_-])", ""), digest),
-        ))
-        .when(F.col("type") == "name", _name(entity, digest, F.col("attempt")))
-        .otherwise(F.col("shape"))
+        F.when(kind == "email", F.concat("drawn", F.lit("@"), "domain", F.lit(".example")))
+        .when(kind == "ipv4", ip)
+        .when(kind == "card", _with_check_digit(entity, F.col("drawn")))
+        .when(kind == "name", _name(entity, digest, F.col("attempt")))
+        .otherwise(F.col("drawn"))
     )
-    return known.withColumn("surrogate", surrogate).drop("digest", "domain_digest", "shape", "drawn")
+    helpers = ["digest", "domain_digest", "kept", "is_hex", "core", "labels", "drawn", "domain"]
+    return drawn.withColumn("surrogate", surrogate).drop(*helpers)
 
 
 def found_entities(docs: DataFrame) -> DataFrame:

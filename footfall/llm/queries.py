@@ -56,8 +56,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         m.n_repeat_words.alias("n_repeat_words"),
         m.base_failed.alias("base_failed"),
         m.kept.alias("kept"),
-        F.round(m.char_distance, 9).alias("char_distance"),
-        F.round(m.word_distance, 9).alias("word_distance"),
+        F.round(m.char_distance, 6).alias("char_distance"),
+        F.round(m.word_distance, 6).alias("word_distance"),
     )
 
 
@@ -166,7 +166,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     full = facts.where("record_type = 'response'").select(
         F.col("page_id").alias("full_id"), F.col("bytes").alias("n"), F.col("sha").alias("s")
-    )
+    ).distinct()
     return facts.join(full, F.coalesce("refers_to", "page_id") == F.col("full_id")).select(
         "page_id",
         F.col("n").alias("payload_bytes"),

@@ -1,31 +1,36 @@
 """WARC archives with an index that is written first and read by ranges.
 
-Pages are dealt to archives by a hash of their id and sorted by it there. The index
-has one row per record: archive, offset, length, URL and digest, computed from the
-records' lengths. Spark's text writer writes the archives, one record per line with
-the blank line that ends a WARC record as line separator, so they can lie in any
-store Spark writes to.
+Every task writes its pages to archives of its own, one gzip member per record, as is
+usual for WARC files, and returns the index: archive, offset, length, page, URL and digest
+of each record. Pages are not shuffled for it. An archive is named after the task's
+attempt; a task that is run again writes another one, and the index, committed with the
+rows of the attempts that succeeded, never points to what a lost one left behind.
 
 To read records back, their index rows are sorted by archive and offset; neighbouring
 ranges are read with one request, as long as the gap between them is small, and no
-more than a bounded number of bytes is held at a time.
+more than a bounded number of bytes is held at a time. Both ways go through
+``pyarrow.fs``, so the folder can lie in any store it knows.
 
 Of pages with equal payloads of some size, that with the smallest id is a response
 and all others are revisits that refer to it.
 
 Defined cases: NULL payloads are empty, NULL URLs are the empty string; control
-characters and spaces in a URL are percent-encoded in the record. Repeated rows with
-large payloads: the first is the response, the others revisit it. Pages without an id are
-records with an empty id. An empty table gives no archive and an empty index.
+characters and spaces in a URL are percent-encoded in the record. Repeated rows of the
+page with the smallest id are all responses. Pages without an id are records with an empty
+id, and no page refers to them unless no page with the payload has one. An empty table
+gives no archive and an empty index.
 """
 
 from __future__ import annotations
 
+import gzip
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.sources.workspace import materialize, table_path
@@ -88,64 +93,74 @@ def records(pages: DataFrame, params: WarcParams = WarcParams()) -> DataFrame:
         .where("n > 1")
         .drop("n")
     )
-    # Repeated rows of the first page: all but one refer to it as well.
-    again = Window.partitionBy("page_id", "digest").orderBy("url")
-    numbered = rows.withColumn("again", F.row_number().over(again))
-    revisit = large & F.col("of").isNotNull() & (
-        (F.col("page_id") != F.col("first")) | (F.col("again") > 1)
-    )
+    revisit = large & F.col("of").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return (
-        numbered.join(materialize(twice, "twice"), F.col("digest") == F.col("of"), "left")
+        rows.join(materialize(twice, "twice"), F.col("digest") == F.col("of"), "left")
         .withColumn("record_type", F.when(revisit, "revisit").otherwise("response"))
         .withColumn("refers_to", F.when(revisit, F.col("first")))
-        .drop("of", "first", "again")
+        .drop("of", "first")
     )
 
 
+INDEX = (
+    "archive string, offset long, length long, page_id string, url string, digest string,"
+    " record_type string"
+)
+
+
+def _store(uri: str):
+    """The file system of a path or URI, and the path in it."""
+    from pyarrow import fs
+
+    if "://" not in uri:  # also Hadoop's short form of a local path
+        uri = "file://" + uri.removeprefix("file:")
+    return fs.FileSystem.from_uri(uri)
+
+
 def write_archives(
     pages: DataFrame, params: WarcParams = WarcParams()
 ) -> tuple[str, DataFrame]:
     """Writes all pages (``page_id``, ``url``, ``html``); the folder and the index."""
-    spark = pages.sparkSession
-    total = pages.agg(F.sum(F.octet_length("html") + 600)).first()[0] or 0
-    n_archives = int(total // params.archive_bytes + 1)
-    archive = F.pmod(F.xxhash64("page_id"), F.lit(n_archives)).cast("int")
+    folder = table_path(pages.sparkSession, "archives")
     made = records(pages, params).select(
-        archive.alias("archive"), "page_id", "url", "digest", "record_type", _record(DATE).alias("record")
-    )
-    made = made.withColumn("tie", F.xxhash64("record"))
-    index_rows = made.select(
-        "archive", "page_id", "url", "digest", "record_type", "tie",
-        (F.octet_length("record") + len(END_OF_RECORD)).cast("long").alias("length"),
-    )
-    # The order within an archive, of the file and the index alike.
-    order = ["page_id", "record_type", "tie"]
-    before = Window.partitionBy("archive").orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    index = index_rows.select(
-        "archive",
-        F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset"),
-        "length",
-        "page_id",
+        F.col("page_id").cast("string").alias("page_id"),
         "url",
         "digest",
         "record_type",
+        F.concat(_record(DATE), F.lit(END_OF_RECORD)).alias("record"),
     )
-    index = materialize(index, "index")
-    folder = table_path(spark, "archives")
-    (
-        made.repartition(n_archives, "archive")
-        .sortWithinPartitions("archive", *order)
-        .select("archive", "record")
-        .write.partitionBy("archive")
-        .option("lineSep", END_OF_RECORD)
-        .text(folder)
-    )
-    return folder, index
-
-
-def _parsed(raw: bytes) -> tuple:
+    columns = [part.split()[0] for part in INDEX.split(",")]
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, top = _store(folder)
+        store.create_dir(top, recursive=True)
+        archive, name, offset = None, "", 0
+        try:
+            for batch in batches:
+                rows = []
+                for page_id, url, digest, kind, record in batch.itertuples(index=False):
+                    if archive is None or offset >= params.archive_bytes:
+                        if archive is not None:
+                            archive.close()
+                        attempt = TaskContext.get().taskAttemptId()
+                        name, offset = f"{attempt}-{uuid.uuid4().hex}.warc.gz", 0
+                        archive = store.open_output_stream(f"{top}/{name}", compression=None)
+                    member = gzip.compress(record.encode(), 6, mtime=0)
+                    archive.write(member)
+                    rows.append([name, offset, len(member), page_id, url, digest, kind])
+                    offset += len(member)
+                yield pd.DataFrame(rows, columns=columns)
+        finally:
+            if archive is not None:
+                archive.close()
+
+    index = made.mapInPandas(write, INDEX)
+    index = index.withColumn("page_id", F.col("page_id").cast("long"))
+    return folder, materialize(index, "index")
+
+
+def _parsed(member: bytes) -> tuple:
+    raw = gzip.decompress(member)
     head, _, rest = raw.partition(END_OF_RECORD.encode())
     fields = dict(line.split(": ", 1) for line in head.decode().split(CRLF)[1:])
     block = rest[: int(fields["Content-Length"])]
@@ -156,10 +171,10 @@ def _parsed(raw: bytes) -> tuple:
         for name in ("WARC-Record-ID", "WARC-Refers-To")
     )
     return (
-        int(page) if page else None,
+        page or None,
         fields["WARC-Type"],
         fields["WARC-Payload-Digest"].removeprefix("sha256:"),
-        int(refers) if refers else None,
+        refers or None,
         fields["WARC-Target-URI"],
         block.partition(END_OF_RECORD.encode())[2],
     )
@@ -185,36 +200,28 @@ def read_records(folder: str, selected: DataFrame, params: WarcParams = WarcPara
 
     ``page_id``, ``record_type``, ``digest``, ``refers_to``, ``uri`` and ``payload``.
     """
-    spark = selected.sparkSession
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    files = files.select(
-        F.regexp_extract("path", r"archive=(\d+)", 1).cast("int").alias("archive"), "path"
-    )
-    rows = selected.join(files, "archive").select("archive", "path", "offset", "length")
-    n = selected.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    rows = rows.repartition(int(n), "archive").sortWithinPartitions("archive", "offset")
+    n = int(selected.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = selected.select("archive", "offset", "length").repartition(n, "archive")
+    rows = rows.sortWithinPartitions("archive", "offset")
+    # Ids travel as text: pandas would turn those of a batch with a NULL into doubles.
     schema = (
-        "page_id long, record_type string, digest string, refers_to long, uri string, payload binary"
+        "page_id string, record_type string, digest string, refers_to string, uri string,"
+        " payload binary"
     )
-    columns = [part.split()[0] for part in schema.split(", ")]
+    columns = [part.split()[0] for part in schema.split(",")]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
+        store, top = _store(folder)
         for batch in batches:
-            for path, group in batch.groupby("path", sort=False):
-                uri = path if "://" in path else path.replace(":/", ":///", 1)
-                store, name = fs.FileSystem.from_uri(uri)
+            for name, group in batch.groupby("archive", sort=False):
                 ranges = list(zip(group["offset"], group["length"]))
-                with store.open_input_file(name) as archive:
+                with store.open_input_file(f"{top}/{name}") as archive:
                     for request in coalesced(ranges, params.max_gap, params.max_read):
                         begin = ranges[request[0]][0]
-                        end = sum(ranges[request[-1]])
-                        data = archive.read_at(end - begin, begin)
+                        data = archive.read_at(sum(ranges[request[-1]]) - begin, begin)
                         starts = [(ranges[i][0] - begin, ranges[i][1]) for i in request]
-                        parts = [data[at : at + n] for at, n in starts]
-                        yield pd.DataFrame([_parsed(p) for p in parts], columns=columns).astype(
-                            {"page_id": "Int64", "refers_to": "Int64"}
-                        )
+                        parts = [_parsed(data[at : at + n]) for at, n in starts]
+                        yield pd.DataFrame(parts, columns=columns)
 
-    return rows.drop("archive").mapInPandas(read, schema)
+    ids = {c: F.col(c).cast("long") for c in ("page_id", "refers_to")}
+    return rows.mapInPandas(read, schema).withColumns(ids)
