@@ -9,7 +9,8 @@ one, a valid check digit; mail domains end in ``.example`` and IPv4 addresses li
 in the range that is never routed.
 
 The surrogate is a function of the key, the type, the entity and an attempt
-number, so an entity gets the same one in every document and run (coreference). No
+number, so an entity gets the same one in every document and run (coreference), also
+where case or separators differ. No
 two entities may share a surrogate and none may be given one that is itself an entity of
 the corpus: the distinct entities are listed once, collisions are
 found by grouping their surrogates, and all but the first entity of each group go on
@@ -91,10 +92,16 @@ def _letter(digest: Column, at: Column, letters: str) -> Column:
 
 
 def _same_shape(text: Column, digest: Column, is_hex: Column) -> Column:
-    """Letters and digits drawn anew, all other characters kept; hexadecimal stays so."""
+    """Letters and digits drawn anew, all other characters kept; hexadecimal stays so.
+
+    What is drawn depends on the place among letters and digits alone, so a number
+    written with other separators gets the same digits.
+    """
     lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-    def drawn(c: Column, i: Column) -> Column:
+    def drawn(c: Column, place: Column) -> Column:
+        before = F.substring(text, F.lit(1), place)
+        i = F.char_length(F.regexp_replace(before, "[^A-Za-z0-9]", ""))
         hex_digit = F.substring(digest, (i % 128) + 1, F.lit(1))
         return (
             F.when(is_hex, F.when(c.rlike("[A-F]"), F.upper(hex_digit)).otherwise(hex_digit))
@@ -176,9 +183,15 @@ def with_surrogates(entities: DataFrame, key: str) -> DataFrame:
     for name, pattern in KEPT.items():
         kept = F.when(kind == name, F.regexp_extract(entity, f"({pattern})?", 1)).otherwise(kept)
     domain = F.lower(F.substring_index(entity, "@", -1))
+    # Case and separators don't make another entity.
+    same = F.when(kind.isin("name", "email"), F.lower(entity)).when(
+        kind.isin("card", "phone", "ssn", "iban"), F.regexp_replace(entity, "[^A-Z0-9]", "")
+    )
     parts = entities.withColumns(
         {
-            "digest": _digest(F.lit(key), kind, entity, F.col("attempt").cast("string")),
+            "digest": _digest(
+                F.lit(key), kind, F.coalesce(same, entity), F.col("attempt").cast("string")
+            ),
             # Addresses of one domain stay in one domain.
             "domain_digest": _digest(F.lit(key), F.lit("domain"), domain),
             "kept": kept,

@@ -64,6 +64,8 @@ def test_gender_script_and_case(found):
 def test_coreference(found):
     assert found[3][0] in found[1][0]
     assert re.search(r"^Mr\. (.*) met", found[2][0])[1] == re.search(r"Mr (.*)\. ", found[5][0])[1]
+    cards = [re.search(r"card (\d{16})", found[1][0])[1], re.search(r"[\d-]{19}$", found[5][0])[0]]
+    assert cards[0] == cards[1].replace("-", "")
     domains = {re.search(r"@(\S+)", found[i][0])[1] for i in (3, 6)}
     assert len(domains) == 1
 
