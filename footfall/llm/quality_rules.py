@@ -57,9 +57,9 @@ class QualityParams:
     min_words: int = 10
     max_repeat_percent: int = 20
     window: int = 5
-    min_chars_compared: int = 200
+    min_chars_compared: int = 400
     min_words_compared: int = 100
-    max_char_distance: float = 0.24
+    max_char_distance: float = 0.27
     max_word_distance: float = 0.28
 
 
