@@ -59,7 +59,7 @@ class QualityParams:
     window: int = 5
     min_chars_compared: int = 400
     min_words_compared: int = 100
-    max_char_distance: float = 0.27
+    max_char_distance: float = 0.29
     max_word_distance: float = 0.28
 
 
