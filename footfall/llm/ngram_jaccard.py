@@ -7,7 +7,7 @@ text and a text with many partners is spread over all fragments.
 
 Only pairs that can link are counted. Linking takes an overlap of 85 % of the
 larger set, so the two texts share at least ``k`` of the first ``n - o + k``
-shingles in the global order (``n``: size, ``o``: least overlap, ``k``: 3 % of
+shingles in the global order (``n``: size, ``o``: least overlap, ``k``: 8 % of
 ``n``). That start of every set is the only part that is shuffled for all texts:
 
 1. Shingles of the starts are counted; those in one text only are dropped. Texts
@@ -46,7 +46,7 @@ from footfall.sources.workspace import materialize
 class JaccardParams:
     shingle: int = 4
     percent: int = 85
-    slack_percent: int = 3
+    slack_percent: int = 8
     small_group: int = 12
     fragment_bits: int = 4
 
@@ -192,6 +192,11 @@ def _pairs_with_leaders(groups: DataFrame, params: JaccardParams) -> DataFrame:
     return _ordered_pairs(led.where("x != y").where(_near_in_size("nx", "ny", params)))
 
 
+def _segments_of(groups: DataFrame, segments: DataFrame) -> DataFrame:
+    ids = groups.select("id").distinct()
+    return materialize(segments.join(ids, "id", "left_semi"), "open_segments")
+
+
 def _able(groups: DataFrame, segments: DataFrame, params: JaccardParams) -> DataFrame:
     """Postings of the texts that can still link with something in an open group.
 
@@ -200,8 +205,7 @@ def _able(groups: DataFrame, segments: DataFrame, params: JaccardParams) -> Data
     fragments tell already of most texts that they have too many such shingles.
     """
     half = 1 << (params.fragment_bits - 1)
-    ids = groups.select("id").distinct()
-    rows = segments.where(F.col("fragment") < half).join(ids, "id", "left_semi")
+    rows = segments.where(F.col("fragment") < half)
     rows = rows.select("id", F.explode("segment").alias("s"))
     several = rows.groupBy("s").agg(F.count("*").alias("c")).where("c > 1").select("s")
     alone = rows.join(several, "s", "left_anti").groupBy("id").agg(F.count("*").alias("alone"))
@@ -251,8 +255,10 @@ def _pairs_across(
     ``(100 - p) / (100 + p)``; and they differ in ``dx + dy`` less twice the number of
     differing shingles they share. Two texts that both link with the reference are
     in one component already, so one of a pair doesn't, and its ``d`` is large. From
-    that follows how many differing shingles (``least``) any pair has to share;
-    all but the rarest of them, in the order of their frequency, can be left out. So
+    that follows how many differing shingles any pair has to share: more than about half
+    of those of each text whose partner doesn't link with the reference (``half``), and
+    of a text that doesn't, whatever its partner, those beyond the most it may differ in
+    (``beyond``). All but the rarest, in the order of their frequency, can be left out. So
     copies with changes of their own don't meet, though they share nearly all of their text.
     """
     differences = _differences(groups, segments)
@@ -271,33 +277,35 @@ def _pairs_across(
     r = (100 - p) / (100 + p)
     half = F.floor((F.col("d") + r * (F.col("ref_n") - F.col("n"))) / 2 - 1e-9) + 1
     beyond = F.col("d") - F.floor(F.col("n") * (100 - p) / F.lit(float(p)) + 1e-9)
-    least = F.greatest(
-        F.lit(1), F.when(F.col("linked"), half).otherwise(F.least(half, beyond))
-    )
+
+    def up_to(least: Column) -> Column:
+        return F.col("rank") <= F.col("shared") - F.greatest(least, F.lit(1)) + 1
+
     kept = (
         shared.withColumn("shared", F.count("*").over(own))
         .withColumn("rank", F.row_number().over(own.orderBy("df", "e")))
-        .where(F.col("rank") <= F.col("shared") - least + 1)
-        .select("reference", "e", "id", "n", "d", "shared", "linked")
+        .withColumns({"few": up_to(half), "many": ~F.col("linked") & up_to(beyond)})
+        .where("few OR many")
+        .select("reference", "e", "id", "n", "d", "shared", "linked", "few", "many")
     )
     kept = materialize(kept, "elements")
-    left, right = (
-        kept.select(
-            "reference",
-            "e",
-            *[F.col(c).alias(f"{c}{i}") for c in ("id", "n", "d", "shared", "linked")],
-        )
-        for i in ("x", "y")
-    )
+
+    def side(rows: DataFrame, i: str) -> DataFrame:
+        facts = [F.col(c).alias(f"{c}{i}") for c in ("id", "n", "d", "shared")]
+        return rows.select("reference", "e", *facts)
+
     apart = F.col("dx") + F.col("dy") - 2 * F.least("sharedx", "sharedy")
-    pairs = (
-        left.where("not linkedx")
-        .join(right, ["reference", "e"])
-        .where("idx != idy")
-        .where("linkedy OR idx < idy")
-        .where(_near_in_size("nx", "ny", params))
-        .where((100 + p) * apart <= (100 - p) * (F.col("nx") + F.col("ny")))
+    can_link = _near_in_size("nx", "ny", params) & (
+        (100 + p) * apart <= (100 - p) * (F.col("nx") + F.col("ny"))
+    )
+    unlinked = kept.where("NOT linked")
+    both = side(unlinked.where("few"), "x").join(
+        side(unlinked.where("few"), "y"), ["reference", "e"]
+    )
+    one = side(unlinked.where("many"), "x").join(
+        side(kept.where("linked AND few"), "y"), ["reference", "e"]
     )
+    pairs = both.where("idx < idy").unionByName(one).where(can_link)
     pairs = pairs.select(F.col("idx").alias("x"), F.col("idy").alias("y"))
     links = sizes.where("linked AND id != reference").select(
         F.col("id").alias("x"), F.col("reference").alias("y")
@@ -328,12 +336,14 @@ def near_duplicates(docs: DataFrame, params: JaccardParams = JaccardParams()) ->
     segments = materialize(_segments(docs, ids, params), "segments")
     links = materialize(_links(pairs, segments, params), "links")
 
-    still_open = _able(_open_groups(large, links), segments, params)
+    still_open = _open_groups(large, links)
+    open_segments = _segments_of(still_open, segments)
+    still_open = _able(still_open, open_segments, params)
     if not still_open.isEmpty():
-        with_references, across = _pairs_across(still_open, segments, params)
+        with_references, across = _pairs_across(still_open, open_segments, params)
         across = materialize(across.join(pairs, ["x", "y"], "left_anti"), "pairs")
         links = links.unionAll(materialize(with_references, "links"))
-        links = links.unionAll(materialize(_links(across, segments, params), "links"))
+        links = links.unionAll(materialize(_links(across, open_segments, params), "links"))
 
     texts = _with_component(texts.withColumnRenamed("text_id", "id"), links)
     texts = texts.select("digest", "component")
