@@ -37,7 +37,9 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """The document with the smallest id of every group of near duplicates."""
     found = ngram_jaccard.near_duplicates(docs.select(F.col("doc_id").alias("id"), "text"), NEAR)
     first = found.where("id = component").select(F.col("id").alias("doc_id"))
-    return docs.join(materialize(first, "first"), "doc_id", "left_semi").select(*_columns(docs))
+    # Nearly as many ids as documents: not to be broadcast at any size.
+    first = materialize(first, "first").hint("shuffle_hash")
+    return docs.join(first, "doc_id", "left_semi").select(*_columns(docs))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
