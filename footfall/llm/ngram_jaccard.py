@@ -19,7 +19,7 @@ shingles in the global order (``n``: size, ``o``: least overlap, ``k``: 8 % of
    one, all are compared with the most typical of them. Groups that this leaves in
    several components are joined once more on the shingles in which their
    texts differ from a reference: texts that link, but not both with the
-   reference, must have differences in common (``_pairs_across``). So a group of
+   reference, must have differences in common (``_links_across``). So a group of
    copies costs a few pairs per copy, and no link between components is lost.
 
 Copies of one text are one text throughout. Hashes have 64 bits; a collision could
@@ -245,10 +245,10 @@ def _differences(groups: DataFrame, segments: DataFrame) -> DataFrame:
     return materialize(rows, "differences")
 
 
-def _pairs_across(
+def _links_across(
     groups: DataFrame, segments: DataFrame, params: JaccardParams
-) -> tuple[DataFrame, DataFrame]:
-    """Links with the references, and the other pairs of groups that can link.
+) -> DataFrame:
+    """The links of the groups: with the references, and among the other texts.
 
     ``d`` is the number of shingles in which a text and the reference differ. Two texts
     link if they differ in at most ``t = r * (nx + ny)`` shingles, ``r`` being
@@ -306,11 +306,39 @@ def _pairs_across(
         side(kept.where("linked AND few"), "y"), ["reference", "e"]
     )
     pairs = both.where("idx < idy").unionByName(one).where(can_link)
-    pairs = pairs.select(F.col("idx").alias("x"), F.col("idy").alias("y"))
+    pairs = pairs.groupBy(F.col("idx").alias("x"), F.col("idy").alias("y")).agg(
+        F.min("reference").alias("reference")
+    )
     links = sizes.where("linked AND id != reference").select(
         F.col("id").alias("x"), F.col("reference").alias("y")
     )
-    return _ordered_pairs(links), _ordered_pairs(pairs)
+    found = _links_by_differences(materialize(pairs, "pairs"), differences, params)
+    return _ordered_pairs(links.unionAll(found))
+
+
+def _links_by_differences(
+    pairs: DataFrame, differences: DataFrame, params: JaccardParams
+) -> DataFrame:
+    """The pairs that link, from what each differs in from their reference.
+
+    That is far less than the texts' sets, so the parts of all fragments travel as one.
+    """
+    whole = differences.groupBy("reference", "id", "n").agg(
+        F.flatten(F.collect_list("differing")).alias("differing")
+    )
+    whole = materialize(whole, "whole")
+    one, two = (
+        whole.select("reference", *[F.col(a).alias(b) for a, b in (("id", i), ("n", f"n{i}"), ("differing", f"d{i}"))])
+        for i in ("x", "y")
+    )
+    apart = F.size("dx") + F.size("dy") - 2 * F.size(F.array_intersect("dx", "dy"))
+    p = params.percent
+    return (
+        pairs.join(one, ["reference", "x"])
+        .join(two, ["reference", "y"])
+        .where((100 + p) * apart <= (100 - p) * (F.col("nx") + F.col("ny")))
+        .select("x", "y")
+    )
 
 
 def near_duplicates(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFrame:
@@ -340,10 +368,8 @@ def near_duplicates(docs: DataFrame, params: JaccardParams = JaccardParams()) ->
     open_segments = _segments_of(still_open, segments)
     still_open = _able(still_open, open_segments, params)
     if not still_open.isEmpty():
-        with_references, across = _pairs_across(still_open, open_segments, params)
-        across = materialize(across.join(pairs, ["x", "y"], "left_anti"), "pairs")
-        links = links.unionAll(materialize(with_references, "links"))
-        links = links.unionAll(materialize(_links(across, open_segments, params), "links"))
+        across = _links_across(still_open, open_segments, params)
+        links = links.unionAll(materialize(across, "links"))
 
     texts = _with_component(texts.withColumnRenamed("text_id", "id"), links)
     texts = texts.select("digest", "component")
