@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm import decontamination, ngram_jaccard, packing, pii, quality_rules
-from footfall.llm.queries import DEMO_KEY, packing_params
+from footfall.llm.queries import DEMO_KEY, loaded_packing_params
 from footfall.llm.words import fresh_name
 from footfall.sources.workspace import materialize
 
@@ -60,7 +60,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of every document in the training sequences."""
-    return packing.pack_documents(docs, packing_params())
+    return packing.pack_documents(docs, loaded_packing_params())
 
 
 STAGES: list[tuple[str, Stage]] = [

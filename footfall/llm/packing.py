@@ -13,6 +13,9 @@ longest two that fit when no three do. Each fixed set shrinks the instance, so t
 repeated until nothing changes. What is left goes by best fit, longest first. Equal
 sets are planned once, with a multiplicity.
 
+Texts are cut at the tokenizer's added tokens, whose own ids stand for them; what lies
+between is encoded with the ranks.
+
 Defined cases: a NULL or empty text is its end mark alone. Repeated rows are packed
 one by one. An empty table gives an empty result.
 """
@@ -20,6 +23,7 @@ one by one. An empty table gives an empty result.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -43,6 +47,8 @@ class PackingParams:
     keep_ids: bool = False
     #: Pieces of one length that one task ranks.
     rank_rows: int = 200_000
+    #: Added tokens with their ids, as in the vocabulary's file.
+    added_tokens: tuple[tuple[str, int], ...] = ()
 
 
 def _encoder(params: PackingParams):
@@ -55,6 +61,22 @@ def _encoder(params: PackingParams):
     )
 
 
+def _encode(encoder, text: str, params: PackingParams) -> list[int]:
+    """Ids of a text: those of its added tokens, of the runs between them by the ranks.
+
+    Where two added tokens start at one place the longer one counts.
+    """
+    added = dict(params.added_tokens)
+    if not any(token in text for token in added):
+        return encoder.encode_ordinary(text)
+    longest_first = sorted(added, key=len, reverse=True)
+    parts = re.split(f"({'|'.join(map(re.escape, longest_first))})", text)
+    ids: list[int] = []
+    for k, part in enumerate(parts):
+        ids += [added[part]] if k % 2 else encoder.encode_ordinary(part)
+    return ids
+
+
 def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
     """Start and length of each piece of ``n`` tokens; only the first may be short."""
     first = n % capacity or capacity
@@ -74,7 +96,7 @@ def token_pieces(docs: DataFrame, params: PackingParams) -> DataFrame:
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = encoder.encode_ordinary(text or "")
+                ids = _encode(encoder, text or "", params)
                 ids = np.array([*ids, params.end_id], dtype="<u4")
                 for piece, (start, length) in enumerate(cuts(len(ids), params.capacity)):
                     own = ids[start : start + length]

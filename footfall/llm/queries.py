@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,10 +108,23 @@ def packing_params() -> packing.PackingParams:
     )
 
 
+def loaded_packing_params() -> packing.PackingParams:
+    """The same with the added tokens of ``byte_bpe_50k.json``: its ids as loaded."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    # Options that change what stands around a token would need more than a cut.
+    if any(t[x] for t in added for x in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("an added token with options")
+    tokens = tuple((t["content"], t["id"]) for t in added)
+    return replace(packing_params(), added_tokens=tokens)
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.pack_documents(docs, packing_params())
+    return packing.pack_documents(docs, loaded_packing_params())
 
 
 # A conversation made of control strings of a common chat template.

@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from footfall.llm import packing
-from footfall.llm.queries import packing_params
+from footfall.llm.queries import loaded_packing_params, op10_best_fit_packing, packing_params
 from tests.llm.rows import empty_table, odd_documents, odd_table, prose
 
 
@@ -27,6 +27,26 @@ def test_ids_are_those_of_the_json_vocabulary(text):
     assert ids == list(_ids(text)[:-1])
 
 
+ADDED = "a <|endoftext|> b"
+
+
+@pytest.mark.parametrize(
+    "text", [ADDED, "<|endoftext|>", "<|endoftext|><|endoftext|>x", "a\n<|endoftext|>\n b <|endoftext|", prose(100)]
+)
+def test_ids_are_those_of_the_tokenizer_as_loaded(text):
+    params = loaded_packing_params()
+    loaded = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = loaded.encode(text, add_special_tokens=False).ids
+    assert packing._encode(packing._encoder(params), text, params) == expected
+
+
+def test_the_query_gives_ids_as_loaded(spark, tmp_path):
+    spark.createDataFrame([(1, ADDED)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    row = op10_best_fit_packing(spark, str(tmp_path)).first()
+    ids = np.array([64, 220, 50256, 275, 2], dtype="<u4")
+    assert (row.length, row.ids_crc32) == (5, zlib.crc32(ids.tobytes()))
+
+
 def check_sequences(rows, capacity):
     """Gapless from 0 and never too long."""
     by_sequence = defaultdict(list)
