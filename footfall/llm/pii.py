@@ -17,6 +17,10 @@ found by grouping their surrogates, and all but the first entity of each group g
 to the next attempt until none is left. The texts that hold entities then take
 their surrogates in a join.
 
+A name is any number of capitalised words and initials behind a title. Where its document
+has it once more without a title, or its last word alone, that is replaced by the same
+surrogate, or the word of it at the same place; of two persons with one last word the first counts.
+
 Names come from lists; when a list's names are used up, initials are added.
 
 Defined cases: NULL and empty texts stay as they are and have no entities.
@@ -46,6 +50,8 @@ CYRILLIC_NAMES = {
     "female": ["Алла", "Белла", "Вера", "Галина", "Дарья", "Елена", "Ирина", "Клара"],
 }
 TITLED = "|".join(TITLES["male"] + TITLES["female"])
+# A capitalised word or an initial.
+NAME_WORD = r"(?:\p{Lu}[\p{L}'’-]+|\p{Lu}\.(?!\p{L}))"
 
 # Order matters: what an earlier pattern matches at a place, a later one doesn't get.
 PATTERNS = {
@@ -55,13 +61,24 @@ PATTERNS = {
     "key": r"(?<![A-Za-z0-9_-])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|(?:gh[pousr]|sk|pk|xox[abp])[_-][A-Za-z0-9_-]{16,255}|[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![A-Za-z0-9_-])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9])[1-9][0-9]{3}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9])",
-    "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])|(?<![0-9A-Za-z+])\+[0-9]{8,14}(?![0-9])",
-    "name": rf"(?<=\b(?:{TITLED})\.? )\p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+)?",
+    "phone": "|".join(
+        [
+            r"(?<![0-9A-Za-z+])\+(?=(?:[ .-]?[0-9]){8,15}(?![0-9]))[1-9][0-9]{0,2}(?:[ .-][0-9]{1,8}){2,6}(?![0-9])",
+            r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])",
+            r"(?<![0-9A-Za-z+])\+[0-9]{8,14}(?![0-9])",
+            r"(?<![0-9A-Za-z+.-])0[1-9](?:[ .-][0-9]{2}){4}(?![0-9])",
+            r"(?<![0-9A-Za-z+.-])0[1-9][0-9]{0,3}[ /-][0-9]{5,8}(?![0-9])",
+        ]
+    ),
+    "name": rf"(?<=\b(?:{TITLED})\.? ){NAME_WORD}(?: {NAME_WORD})*+",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
-# Without one of these no pattern can match: texts of letters alone are passed by.
-HINT = rf"[0-9@]|(?:{TITLED})\.? "
+# Without one of these no pattern can match. Keys alone match without digit or title.
+HINT = (
+    rf"[0-9@]|(?:{TITLED})\.? |(?:AKIA|ASIA)[A-Z]{{16}}"
+    r"|(?:gh[pousr]|sk|pk|xox[abp])[_-][A-Za-z_-]{16}|[a-f]{32}|[A-F]{32}"
+)
 
 
 def _type(entity: Column) -> Column:
@@ -153,7 +170,14 @@ def _name(entity: Column, digest: Column, attempt: Column) -> Column:
         name = F.when(c.rlike(r"\p{IsCyrillic}"), pick(CYRILLIC_NAMES, i)).otherwise(
             pick(LATIN_NAMES, i)
         )
-        return F.when(c.rlike(r"\A[\p{Lu}'’-]{2,}\z"), F.upper(name)).otherwise(name)
+        cyrillic = _letter(digest, i, "АБВГДЕИКЛМНОПРСТ")
+        latin = _letter(digest, i, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+        initial = F.concat(F.when(c.rlike(r"\p{IsCyrillic}"), cyrillic).otherwise(latin), F.lit("."))
+        return (
+            F.when(c.rlike(r"\A\p{Lu}\.\z"), initial)
+            .when(c.rlike(r"\A[\p{Lu}'’-]{2,}\z"), F.upper(name))
+            .otherwise(name)
+        )
 
     words = F.array_join(F.transform(F.split(entity, " "), word), " ")
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -303,6 +327,40 @@ def surrogates(docs: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     return found, resolve_collisions(distinct, key)
 
 
+def _mentions(places: Column) -> Column:
+    """What untitled mentions of a text's names look like (``seen``), and their ``surrogate``."""
+    names = F.filter(places, lambda x: x.person.isNotNull())
+    whole = F.transform(names, lambda x: F.struct(x.person.alias("seen"), x.surrogate.alias("surrogate")))
+
+    def last(x: Column) -> Column:
+        words = F.split(x.person, " ")
+        own = F.get(F.split(x.surrogate, " "), F.size(words) - 1)
+        return F.struct(F.element_at(words, -1).alias("seen"), own.alias("surrogate"))
+
+    # Initials alone say nothing.
+    return F.filter(
+        F.concat(whole, F.transform(names, last)), lambda x: x.seen.rlike(r"\p{L}{2}")
+    )
+
+
+def _mention_pattern(mentions: Column) -> Column:
+    """A regular expression for all of them, the longest first."""
+    seen = F.array_distinct(F.transform(mentions, lambda x: x.seen))
+    by_length = F.array_sort(F.transform(seen, lambda x: F.struct((-F.length(x)).alias("n"), x.alias("x"))))
+    # Names hold no other character that means something in a pattern.
+    parts = F.transform(by_length, lambda x: F.replace(x.x, F.lit("."), F.lit("\\.")))
+    return F.concat(
+        F.lit(r"(?<![\p{L}\p{N}_])(?:"), F.array_join(parts, "|"), F.lit(r")(?![\p{L}\p{N}_])")
+    )
+
+
+def _interleaved(pieces: Column, between: Column) -> Column:
+    """``pieces`` with one of ``between`` behind each but the last."""
+    return F.array_join(
+        F.flatten(F.zip_with(pieces, between, lambda x, s: F.array_compact(F.array(x, s)))), ""
+    )
+
+
 def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with rewritten ``text`` and one more column, ``n_entities``.
 
@@ -310,29 +368,41 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     and the new one gets a longer name. Only texts that may hold an entity are
     shuffled. Entities belong to a text, by its digest, so copies share the work.
     """
-    places, digest, count, other = (
-        fresh_name(docs, c) for c in ("places_", "digest_", "n_entities", "found_in_")
+    places, digest, count, other, mentions, pattern = (
+        fresh_name(docs, c)
+        for c in ("places_", "digest_", "n_entities", "found_in_", "mentions_", "pattern_")
     )
     hinted = F.coalesce(F.col("text").rlike(HINT), F.lit(False))
     found, chosen = surrogates(
         docs.where(hinted).select(F.md5("text").alias("id"), "text"), key
     )
+    person = F.when(F.col("type") == "name", F.col("entity")).alias("person")
     by_text = (
         found.dropDuplicates(["id", "place"])
         .join(chosen, ["type", "gender", "entity"])
         .groupBy(F.col("id").alias(other))
-        .agg(F.array_sort(F.collect_list(F.struct("place", "surrogate"))).alias(places))
+        .agg(F.array_sort(F.collect_list(F.struct("place", "surrogate", person))).alias(places))
+        .withColumn(mentions, _mentions(F.col(places)))
+        .withColumn(pattern, F.when(F.size(mentions) > 0, _mention_pattern(F.col(mentions))))
     )
     by_text = materialize(by_text, "by_text")
-    rewritten = F.array_join(
-        F.flatten(
-            F.zip_with(
-                F.split("text", ANY, -1),
-                F.transform(F.col(places), lambda x: x.surrogate),
-                lambda piece, s: F.array_compact(F.array(piece, s)),
-            )
-        ),
-        "",
+    pieces = F.split("text", ANY, -1)
+
+    def seen(piece: Column) -> Column:
+        return F.regexp_extract_all(piece, F.col(pattern), F.lit(0))
+
+    def surrogate_of(mention: Column) -> Column:
+        return F.get(F.filter(mentions, lambda m: m.seen == mention), F.lit(0)).surrogate
+
+    def without_names(piece: Column) -> Column:
+        return _interleaved(F.split(piece, F.col(pattern), -1), F.transform(seen(piece), surrogate_of))
+
+    untitled = F.transform(pieces, without_names)
+    n_untitled = F.aggregate(pieces, F.lit(0), lambda n, piece: n + F.size(seen(piece)))
+    n_untitled = F.when(F.col(pattern).isNull(), 0).otherwise(n_untitled)
+    rewritten = _interleaved(
+        F.when(F.col(pattern).isNull(), pieces).otherwise(untitled),
+        F.transform(F.col(places), lambda x: x.surrogate),
     )
     new_text = F.when(F.col(places).isNull(), F.col("text")).otherwise(rewritten).alias("text")
     cols = [F.col(f"`{c}`") for c in docs.columns]
@@ -342,7 +412,7 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
         .join(by_text, F.col(digest) == F.col(other), "left")
         .select(
             *[new_text if c == "text" else F.col(f"`{c}`") for c in docs.columns],
-            F.coalesce(F.size(places), F.lit(0)).cast("long").alias(count),
+            F.coalesce(F.size(places) + n_untitled, F.lit(0)).cast("long").alias(count),
         )
     )
     untouched = docs.where(~hinted).select(*cols, F.lit(0).cast("long").alias(count))
