@@ -2,7 +2,9 @@
 
 ``run`` applies them in order; what a stage returns is written as Parquet in the
 shared folder and read again as the documents of the next one. Documents are told
-apart by ``doc_id``.
+apart by ``doc_id``, those without one by their texts (a digest): they pass all stages like
+others, equal ones like repeated rows. Of near duplicates one with an id is kept before one
+without.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from footfall.llm import decontamination, ngram_jaccard, packing, pii, quality_rules
 from footfall.llm.queries import DEMO_KEY, loaded_packing_params
-from footfall.llm.words import fresh_name
+from footfall.llm.words import doc_key, fresh_name
 from footfall.sources.workspace import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -35,21 +37,26 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of near duplicates."""
-    found = ngram_jaccard.near_duplicates(docs.select(F.col("doc_id").alias("id"), "text"), NEAR)
-    first = found.where("id = component").select(F.col("id").alias("doc_id"))
+    # Ids made of texts lie above 2^62, so that given ids come first.
+    made = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1))
+    own = F.coalesce(F.col("doc_id"), made.bitwiseOR(F.lit(1 << 62)))
+    found = ngram_jaccard.near_duplicates(docs.select(own.alias("id"), "text"), NEAR)
+    key = fresh_name(docs, "key_")
+    first = found.where("id = component").select(F.col("id").alias(key))
     # Nearly as many ids as documents: not to be broadcast at any size.
     first = materialize(first, "first").hint("shuffle_hash")
-    return docs.join(first, "doc_id", "left_semi").select(*_columns(docs))
+    return docs.withColumn(key, own).join(first, key, "left_semi").select(*_columns(docs))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without too much of the benchmark in them."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    name, key = fresh_name(docs, "key_"), doc_key(F.col("doc_id"), F.col("text"))
     found = decontamination.decontaminate(
-        docs.select("doc_id", "text"), items.select("item_id", "text")
+        docs.select(key.alias("doc_id"), "text"), items.select("item_id", "text")
     )
-    bad = materialize(found.where("contaminated").select("doc_id"), "contaminated")
-    return docs.join(bad, "doc_id", "left_anti").select(*_columns(docs))
+    bad = materialize(found.where("contaminated").select(F.col("doc_id").alias(name)), "contaminated")
+    return docs.withColumn(name, key).join(bad, name, "left_anti").select(*_columns(docs))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

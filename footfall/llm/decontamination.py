@@ -14,7 +14,8 @@ its own ``k`` and ``w``.
 
 Defined cases: NULL and texts without words have no fingerprints and are hit by
 nothing. Items with the same text all count. Repeated document ids count as one
-document whose texts are looked at one by one; repeated item ids as one item. Empty
+document whose texts are looked at one by one; repeated item ids as one item. Documents
+without an id are told apart by their texts: one row with a NULL id for each text. Empty
 tables give an empty result, or one without hits.
 """
 
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.words import alnum_words, ascii_lower
+from footfall.llm.words import alnum_words, ascii_lower, doc_key
 from footfall.sources.workspace import materialize
 
 
@@ -192,6 +193,14 @@ def decontaminate(
 
     ``item_ids`` lists the items as strings, in order.
     """
+    # An id of a document without one is the digest of its text.
+    id_type = docs.schema["doc_id"].dataType
+    nameless = docs.where("doc_id is null")
+    if not nameless.isEmpty():
+        key = doc_key(F.col("doc_id"), F.col("text"))
+        keyed = decontaminate(docs.withColumn("doc_id", key), items, params)
+        own = F.when(F.col("doc_id").startswith("i"), F.substring("doc_id", 2, 1 << 30))
+        return keyed.withColumn("doc_id", own.cast(id_type))
     spans, counts = hit_spans(docs, items, params)
     in_order = Window.partitionBy("doc").orderBy("first", "last", "item")
     reached = F.max("last").over(in_order.rowsBetween(Window.unboundedPreceding, -1))

@@ -174,6 +174,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
             "page_id",
             "record_type",
             "refers_to",
+            "digest",
             F.octet_length("payload").cast("long").alias("bytes"),
             F.sha2("payload", 256).alias("sha"),
         ),
@@ -182,7 +183,9 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     full = facts.where("record_type = 'response'").select(
         F.col("page_id").alias("full_id"), F.col("bytes").alias("n"), F.col("sha").alias("s")
     ).distinct()
-    return facts.join(full, F.coalesce("refers_to", "page_id") == F.col("full_id")).select(
+    # Pages without an id, and several payloads of one id, meet their own by the digest.
+    own_id = F.coalesce("refers_to", "page_id").eqNullSafe(F.col("full_id"))
+    return facts.join(full, own_id & (F.col("digest") == F.col("s"))).select(
         "page_id",
         F.col("n").alias("payload_bytes"),
         F.col("s").alias("payload_digest"),

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from footfall.llm import pii
+from footfall.llm import decontamination, pii
 from footfall.llm.quality_rules import CHAR_CLASSES, COMMON_WORDS, UNIT, QualityParams
 from tests.llm import test_decontamination, test_ngram_jaccard, test_packing, test_quality_rules
 from tests.llm.rows import empty_table, odd_table
@@ -125,6 +125,26 @@ def test_odd_and_empty_documents(spark, name, stage):
         assert ids <= {r.doc_id for r in docs.select("doc_id").collect()}
 
 
+def test_documents_without_id_pass_like_others(spark):
+    """Row counts with ids left out, against the same documents with ids."""
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet").cache()
+    judged = corpus_pipeline.drop_contaminated(spark, docs, TABLES)
+    bad = docs.join(judged.select("doc_id"), "doc_id", "left_anti").limit(1)
+    clean = judged.orderBy("doc_id").limit(20)
+    some = clean.unionAll(bad).cache()
+    nameless = some.withColumn("doc_id", F.lit(None).cast("long"))
+    assert some.count() == 21
+    for stage in (corpus_pipeline.drop_contaminated, corpus_pipeline.keep_one_of_each_group):
+        expected, found = (sorted(r.text for r in stage(spark, d, TABLES).collect()) for d in (some, nameless))
+        assert set(found) == set(expected) and len(expected) > 1
+    items = spark.read.parquet(f"{TABLES}/benchmark.parquet").select("item_id", "text")
+    hits = decontamination.decontaminate(nameless.select("doc_id", "text"), items).collect()
+    assert len(hits) == some.select("text").distinct().count()
+    assert {r.doc_id for r in hits} == {None} and sum(r.contaminated for r in hits) == 1
+    mixed = decontamination.decontaminate(clean.unionAll(nameless).select("doc_id", "text"), items)
+    assert {r.doc_id for r in mixed.collect()} == {r.doc_id for r in clean.collect()} | {None}
+
+
 def test_run_is_the_stages_in_turn(spark, outputs):
     found = corpus_pipeline.run(spark, TABLES)
     order = [F.col(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")]

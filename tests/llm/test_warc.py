@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from footfall.llm import warc
+from footfall.llm.queries import op4_warc
 from footfall.llm.warc import WarcParams, coalesced
 
 SCHEMA = "page_id long, url string, html string"
@@ -61,6 +62,20 @@ def test_null_and_large_ids(spark):
         (None, "revisit", 2**60 + 1), (2**60 + 1, "response", None)}
 
 
+def test_the_query_keeps_pages_without_id_and_tells_payloads_of_one_id_apart(spark, tmp_path):
+    pages = [(None, "u", "only"), (None, "u", "x" * 200), (5, "u", "x" * 200), (7, "u", "one"), (7, "u", "two")]
+    spark.createDataFrame(pages, SCHEMA).write.parquet(f"{tmp_path}/pages.parquet")
+    rows = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in op4_warc(spark, str(tmp_path)).collect()]
+    sha = {t: hashlib.sha256(t.encode()).hexdigest() for t in ("only", "one", "two", "x" * 200)}
+    assert sorted(rows, key=str) == sorted(
+        [
+            (None, 4, sha["only"], "response", None), (None, 200, sha["x" * 200], "revisit", 5),
+            (5, 200, sha["x" * 200], "response", None), (7, 3, sha["one"], "response", None), (7, 3, sha["two"], "response", None),
+        ],
+        key=str,
+    )
+
+
 def test_selected_records_only(spark):
     folder, index, _ = _rows(spark, PAGES)
     some = warc.read_records(folder, index.where("page_id in (3, 7)")).collect()
