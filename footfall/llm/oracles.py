@@ -198,6 +198,76 @@ FROM far
 """
 
 
+#: CRC-32 of the decimal ``doc_id``, bit by bit: a digit to mix in, then eight shifts (-1).
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+    range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: list_concat(
+      [ascii(substr(CAST(doc_id AS VARCHAR), i, 1))::BIGINT], [-1::BIGINT, -1, -1, -1, -1, -1, -1, -1])))),
+  lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END))"""
+
+OP13 = rf"""
+WITH RECURSIVE shown AS (
+  SELECT *, row_number() OVER () AS k,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-')
+    || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+    || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') AS head,
+    replace(text, chr(10), '') AS short
+  FROM documents
+), leaves AS (
+  SELECT doc_id, source, k, head,
+    sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(short) || ':' || short, '-')) AS short_leaf
+  FROM shown
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+  FROM leaves
+), levels(source, h, hs) AS (
+  SELECT source, 0, list(leaf ORDER BY place) FROM placed GROUP BY source
+  UNION ALL
+  SELECT source, h + 1, list_transform(range(0, (len(hs) + 2) // 3),
+    lambda i: sha256(array_to_string(list_slice(hs, 3 * i + 1, 3 * i + 3), '')))
+  FROM levels WHERE len(hs) > 1
+), subroots AS (
+  SELECT source, hs[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS nth
+  FROM levels WHERE len(hs) = 1
+), upper_levels(h, hs) AS (
+  SELECT 0, list(subroot ORDER BY nth) FROM subroots
+  UNION ALL
+  SELECT h + 1, list_transform(range(0, (len(hs) + 2) // 3),
+    lambda i: sha256(array_to_string(list_slice(hs, 3 * i + 1, 3 * i + 3), '')))
+  FROM upper_levels WHERE len(hs) > 1
+), steps AS (
+  SELECT k, h AS step, array_to_string(list_slice(hs, p // 3 * 3 + 1, p), '') AS before,
+    array_to_string(list_slice(hs, p + 2, p // 3 * 3 + 3), '') AS after
+  FROM (SELECT k, h, hs, place // CAST(pow(3, h) AS BIGINT) AS p
+        FROM placed JOIN levels ON placed.source IS NOT DISTINCT FROM levels.source
+        WHERE len(hs) > 1) AS own
+  UNION ALL
+  SELECT k, 1000 + h, array_to_string(list_slice(hs, p // 3 * 3 + 1, p), ''),
+    array_to_string(list_slice(hs, p + 2, p // 3 * 3 + 3), '')
+  FROM (SELECT k, h, hs, nth // CAST(pow(3, h) AS BIGINT) AS p
+        FROM placed JOIN subroots ON placed.source IS NOT DISTINCT FROM subroots.source,
+          upper_levels
+        WHERE len(hs) > 1) AS own
+), paths AS (
+  SELECT k, list(before ORDER BY step) AS befores, list(after ORDER BY step) AS afters
+  FROM steps GROUP BY k
+), folds(k, i, acc) AS (
+  SELECT k, 0, CASE WHEN {_CRC32} % 2 = 0 THEN short_leaf ELSE leaf END FROM placed
+  UNION ALL
+  SELECT k, i + 1, sha256(befores[i + 1] || acc || afters[i + 1])
+  FROM folds JOIN paths USING (k) WHERE i < len(befores)
+), ends AS (
+  SELECT k, max_by(acc, i) AS folded_root FROM folds GROUP BY k
+), r AS (SELECT hs[1] AS root FROM upper_levels WHERE len(hs) = 1)
+SELECT doc_id, leaf, subroot, root, folded_root,
+  sha256(coalesce(array_to_string(list_transform(range(1, len(befores) + 1),
+    lambda i: befores[i] || afters[i]), ''), '')) AS proof_sha256,
+  folded_root = root AS verified
+FROM placed JOIN ends USING (k) LEFT JOIN paths USING (k)
+  JOIN subroots ON placed.source IS NOT DISTINCT FROM subroots.source, r
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": OP1,
     "op3_chat_format": OP3,
@@ -205,4 +275,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_ngram_jaccard": OP5,
     "op7_url_filter": OP7,
     "op9_quality_rules": _op9(),
+    "op13_merkle_manifest": OP13,
 }

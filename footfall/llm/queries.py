@@ -14,6 +14,7 @@ from footfall.llm import (
     decontamination,
     language_model,
     licenses,
+    merkle,
     ngram_jaccard,
     packing,
     pii,
@@ -206,3 +207,32 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
+# The fields of a document that its leaf covers.
+LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, and what it says on a copy that lost line breaks."""
+    docs = table(spark, sf_dir, "documents").select(*LEAF_FIELDS)
+    changed = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    kept = F.when(changed, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    others = [F.col(c) for c in LEAF_FIELDS[:-1]]
+    rows = docs.select(
+        "doc_id",
+        "source",
+        merkle.row_digest(*others, F.col("text")).alias("leaf"),
+        merkle.row_digest(*others, kept).alias("found"),
+    )
+    proven = merkle.build_manifest(rows, "source", "doc_id", "leaf")
+    root = merkle.folded(F.col("node.row.found"), F.col("path"))
+    return proven.select(
+        F.col("node.row.doc_id").alias("doc_id"),
+        F.col("node.digest").alias("leaf"),
+        "subroot",
+        "root",
+        merkle.proof(F.col("path")).alias("proof_sha256"),
+        root.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
