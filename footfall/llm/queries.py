@@ -21,6 +21,7 @@ from footfall.llm import (
     quality_rules,
     url_filter,
     warc,
+    whitening,
 )
 from footfall.sources.workspace import materialize
 
@@ -236,3 +237,18 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         merkle.proof(F.col("path")).alias("proof_sha256"),
         root.alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    white = whitening.whiten(rows, "embedding")
+    return white.select(
+        F.col("row.vec_id").alias("vec_id"),
+        "component",
+        "n",
+        "deviation",
+        "whitened",
+        "explained",
+        "identity_error",
+    )
