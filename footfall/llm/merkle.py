@@ -5,7 +5,8 @@ more tree. While a tree has several nodes, every ``fanout`` consecutive ones bec
 parent; a last run may be shorter, even a single node.
 
 Levels are built by a slot pivot: one aggregate per parent spreads its children over
-``fanout`` columns. The concatenated columns hash to the parent; the columns left and right
+``fanout`` columns (the grandchildren over their square: a pivot covers two levels). The
+concatenated columns hash to the parent; the columns left and right
 of a slot are that child's siblings, so a pivot row gives all its children their step of
 the proof without any lookup of neighbours. Going down, each pivot row meets the path of
 its own node and hands it on to the children.
@@ -22,6 +23,7 @@ several leaves with one digest, in any order. A field that is NULL is hashed as
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -36,6 +38,8 @@ POSITION_BITS = 33
 @dataclass(frozen=True)
 class MerkleParams:
     fanout: int = 3
+    #: Levels that one pivot covers, in ``fanout ** levels`` slots; changes no result.
+    levels: int = 2
 
 
 def row_digest(*fields: Column) -> Column:
@@ -81,53 +85,78 @@ def _placed(nodes: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
-def _slots(fanout: int) -> list[str]:
-    return [f"slot{i}" for i in range(fanout)]
+def _slots(params: MerkleParams) -> list[str]:
+    return [f"slot{i}" for i in range(params.fanout**params.levels)]
 
 
-def _pivot(children: DataFrame, fanout: int, child: str) -> DataFrame:
-    """One row per parent: its place, ``n`` nodes on its level, and its children by slot."""
-    slot = F.col("place") % fanout
-    spread = [
-        F.max(F.when(slot == i, F.col(child))).alias(name) for i, name in enumerate(_slots(fanout))
-    ]
-    parent = F.floor(F.col("place") / fanout)
-    level = F.max(F.floor((F.col("n") + (fanout - 1)) / fanout)).alias("n")
-    return children.where("n > 1").groupBy("key", parent.alias("place")).agg(level, *spread)
+def _size(level: int, fanout: int) -> Column:
+    """Nodes of the key ``level`` levels above those that a pivot's ``n`` counts."""
+    return F.floor((F.col("n") + (fanout**level - 1)) / fanout**level)
 
 
-def _digests(fanout: int, nested: bool) -> list[Column]:
-    """The children's digests; an empty slot is an empty text."""
-    path = ".digest" if nested else ""
-    return [F.coalesce(F.col(f"{s}{path}"), F.lit("")) for s in _slots(fanout)]
+def _names(level: int, params: MerkleParams, nested: bool) -> list[str]:
+    """The columns of a pivot that hold the digests of its nodes of a level."""
+    if level == 0:
+        return [f"{s}.digest" if nested else s for s in _slots(params)]
+    return [f"level{level}_{i}" for i in range(params.fanout ** (params.levels - level))]
 
 
-def _parents(pivot: DataFrame, fanout: int, nested: bool) -> DataFrame:
-    digest = F.sha2(F.concat(*_digests(fanout, nested)), 256)
-    return pivot.select("key", "place", "n", digest.alias("digest"))
+def _joined(names: list[str]) -> Column:
+    """The digests one after the other; an empty slot is an empty text."""
+    return F.concat(*[F.coalesce(F.col(c), F.lit("")) for c in names]) if names else F.lit("")
 
 
-def _children(pivot: DataFrame, paths: DataFrame, fanout: int, nested: bool) -> DataFrame:
-    """Every child of every pivot row, with its path: its siblings, then its parent's path."""
-    digests = _digests(fanout, nested)
+def _pivot(children: DataFrame, params: MerkleParams, nested: bool) -> DataFrame:
+    """One row per node ``levels`` levels up: the nodes below by slot, ``n`` children of the key.
 
-    def joined(parts: list[Column]) -> Column:
-        return F.concat(*parts) if parts else F.lit("")
+    The digests of the levels between stand beside the slots. Where a key has one node left,
+    the levels above that are empty, and the node itself moves up.
+    """
+    fanout, slots = params.fanout, _slots(params)
+    child, place = "node" if nested else "digest", F.col("place")
+    spread = [F.max(F.when(place % len(slots) == i, F.col(child))).alias(c) for i, c in enumerate(slots)]
+    parent = F.floor(place / len(slots)).alias("place")
+    table = children.where("n > 1").groupBy("key", parent).agg(F.max("n").alias("n"), *spread)
+    for level in range(params.levels):
+        below, above = _names(level, params, nested), _names(level + 1, params, nested)
+        digests = {}
+        for i, name in enumerate(above):
+            run = below[i * fanout : (i + 1) * fanout]
+            hashed = F.when(_size(level, fanout) > 1, F.sha2(_joined(run), 256)).otherwise(F.col(run[0]))
+            digests[name] = F.when(F.col(run[0]).isNotNull(), hashed)
+        table = table.withColumns(digests)
+    return table
+
+
+def _parents(pivot: DataFrame, params: MerkleParams) -> DataFrame:
+    (top,) = _names(params.levels, params, False)
+    return pivot.select(
+        "key", "place", _size(params.levels, params.fanout).alias("n"), F.col(top).alias("digest")
+    )
 
+
+def _children(pivot: DataFrame, paths: DataFrame, params: MerkleParams, nested: bool) -> DataFrame:
+    """Every child of every pivot row, with its path: its own steps, then its parent's path."""
+    fanout, slots = params.fanout, _slots(params)
+    none = F.array().cast("array<struct<before: string, after: string>>")
     options = []
-    for i, name in enumerate(_slots(fanout)):
-        step = F.struct(
-            joined(digests[:i]).alias("before"), joined(digests[i + 1 :]).alias("after")
-        )
+    for i, name in enumerate(slots):
+        steps = []
+        for level in range(params.levels):
+            names, at = _names(level, params, nested), i // fanout**level
+            run = at // fanout * fanout
+            step = F.struct(
+                _joined(names[run:at]).alias("before"),
+                _joined(names[at + 1 : run + fanout]).alias("after"),
+            )
+            steps.append(F.when(_size(level, fanout) > 1, F.array(step)).otherwise(none))
         here = F.struct(
-            F.lit(i).alias("slot"),
-            F.col(name).alias("child"),
-            F.concat(F.array(step), F.col("path")).alias("path"),
+            F.lit(i).alias("slot"), F.col(name).alias("child"), F.concat(*steps, F.col("path")).alias("path")
         )
         options.append(F.when(F.col(name).isNotNull(), here))
     exploded = pivot.join(paths, ["key", "place"]).select(
         "key",
-        (F.col("place") * fanout).alias("start"),
+        (F.col("place") * len(slots)).alias("start"),
         "subroot",
         "root",
         F.explode(F.filter(F.array(*options), lambda x: x.isNotNull())).alias("x"),
@@ -150,36 +179,35 @@ class _Tree:
     tops: DataFrame
 
 
-def _build(leaves: DataFrame, fanout: int) -> _Tree:
+def _build(leaves: DataFrame, params: MerkleParams) -> _Tree:
     """All levels above ``leaves`` (``key``, ``place``, ``n``, ``node`` with its ``digest``)."""
     nodes = leaves.select("key", "place", "n", F.col("node.digest").alias("digest"))
     tops = nodes.where("n = 1").withColumn("height", F.lit(0))
     pivots, size = [], leaves.agg(F.max("n")).first()[0] or 0
     while size > 1:
         nested = not pivots
-        children = leaves if nested else nodes
-        pivot = _pivot(children, fanout, "node" if nested else "digest")
+        pivot = _pivot(leaves if nested else nodes, params, nested)
         pivots.append(materialize(pivot, "pivot"))
-        nodes = _parents(pivots[-1], fanout, nested)
+        nodes = _parents(pivots[-1], params)
         tops = tops.unionAll(nodes.where("n = 1").withColumn("height", F.lit(len(pivots))))
-        size = -(-size // fanout)
+        size = -(-size // params.fanout**params.levels)
     return _Tree(leaves, pivots, materialize(tops.select("key", "digest", "height"), "tops"))
 
 
-def _paths(tree: _Tree, starts: DataFrame, fanout: int) -> DataFrame:
+def _paths(tree: _Tree, starts: DataFrame, params: MerkleParams) -> DataFrame:
     """``node``, ``subroot``, ``root`` and ``path`` of every leaf.
 
-    ``starts`` holds these for the top node of every key, with its height.
+    ``starts`` holds these for the top node of every key, with its height in pivots.
     """
     columns = ["key", "subroot", "root", "path"]
     paths = None
-    for level in range(len(tree.pivots), 0, -1):
-        tops = starts.where(F.col("height") == level)
+    for height in range(len(tree.pivots), 0, -1):
+        tops = starts.where(F.col("height") == height)
         here = tops.select("key", F.lit(0).cast("long").alias("place"), *columns[1:])
         if paths is not None:
             here = here.unionByName(paths.drop("child"))
-        found = _children(tree.pivots[level - 1], here, fanout, nested=level == 1)
-        paths = found if level == 1 else materialize(found, "paths")
+        found = _children(tree.pivots[height - 1], here, params, nested=height == 1)
+        paths = found if height == 1 else materialize(found, "paths")
     single = starts.where("height = 0").join(tree.leaves.where("n = 1"), "key")
     single = single.select("key", F.col("node"), *columns[1:])
     if paths is None:
@@ -192,44 +220,44 @@ def build_manifest(
     group: str,
     order: str,
     digest: str,
+    carry: Sequence[str] = (),
     params: MerkleParams = MerkleParams(),
 ) -> DataFrame:
-    """The rows with ``subroot``, ``root`` and ``path``.
+    """Every row's ``node`` with ``subroot``, ``root`` and ``path``.
 
-    ``rows`` has a column of digests (hex), see ``row_digest``; all its columns come back
-    in the struct ``node`` under ``row``. ``path`` lists, from the leaf to the root, the
+    ``rows`` has a column of digests (hex), see ``row_digest``. ``node`` has ``digest``, and
+    under ``row`` the columns to ``carry``, the order column first. ``path`` lists, from the leaf to the root, the
     concatenated digests of the siblings ``before`` and ``after`` the node.
     """
-    fanout = params.fanout
-    if fanout < 2:
-        raise ValueError("a node needs at least two slots")
-    own = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    if params.fanout < 2 or params.levels < 1:
+        raise ValueError("a node needs two slots at least, a pivot one level")
+    own = F.struct(*[F.col(f"`{c}`") for c in (order, *carry)])
     leaves = rows.select(
         _group_key(F.col(f"`{group}`")).alias("key"),
         F.col(f"`{order}`").alias("order"),
         F.struct(F.col(f"`{digest}`").alias("digest"), own.alias("row")).alias("node"),
     )
     leaves = materialize(_placed(leaves, ["order", "node.digest"]).drop("order"), "leaves")
-    groups = _build(leaves, fanout)
+    groups = _build(leaves, params)
     # The subroots are the leaves of a tree of one key.
     subroots = groups.tops.select(
         F.lit("").alias("key"),
         F.col("key").alias("group"),
         F.struct("digest", "key", "height").alias("node"),
     )
-    upper = _build(materialize(_placed(subroots, ["group"]).drop("group"), "subroots"), fanout)
+    upper = _build(materialize(_placed(subroots, ["group"]).drop("group"), "subroots"), params)
     no_path = F.array().cast("array<struct<before: string, after: string>>")
     start = upper.tops.select(
         "key", "height", F.lit("").alias("subroot"), F.col("digest").alias("root"), no_path.alias("path")
     )
-    starts = _paths(upper, start, fanout).select(
+    starts = _paths(upper, start, params).select(
         F.col("node.key").alias("key"),
         F.col("node.height").alias("height"),
         F.col("node.digest").alias("subroot"),
         "root",
         "path",
     )
-    return _paths(groups, materialize(starts, "starts"), fanout).drop("key")
+    return _paths(groups, materialize(starts, "starts"), params).drop("key")
 
 
 def proof(path: Column) -> Column:

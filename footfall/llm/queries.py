@@ -218,20 +218,23 @@ LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's proof, and what it says on a copy that lost line breaks."""
     docs = table(spark, sf_dir, "documents").select(*LEAF_FIELDS)
-    changed = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
-    kept = F.when(changed, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    cut = F.when(
+        (F.crc32(F.col("doc_id").cast("string")) % 2 == 0) & F.contains("text", F.lit("\n")),
+        F.replace("text", F.lit("\n"), F.lit("")),
+    )
     others = [F.col(c) for c in LEAF_FIELDS[:-1]]
     rows = docs.select(
         "doc_id",
         "source",
         merkle.row_digest(*others, F.col("text")).alias("leaf"),
-        merkle.row_digest(*others, kept).alias("found"),
+        F.when(cut.isNotNull(), merkle.row_digest(*others, cut)).alias("changed"),
     )
-    proven = merkle.build_manifest(rows, "source", "doc_id", "leaf")
-    root = merkle.folded(F.col("node.row.found"), F.col("path"))
+    proven = merkle.build_manifest(rows, "source", "doc_id", "leaf", carry=["changed"])
+    leaf = F.col("node.digest")
+    root = merkle.folded(F.coalesce("node.row.changed", leaf), F.col("path"))
     return proven.select(
         F.col("node.row.doc_id").alias("doc_id"),
-        F.col("node.digest").alias("leaf"),
+        leaf.alias("leaf"),
         "subroot",
         "root",
         merkle.proof(F.col("path")).alias("proof_sha256"),
