@@ -19,6 +19,7 @@ from footfall.llm import (
     packing,
     pii,
     quality_rules,
+    secret_scan,
     url_filter,
     warc,
     whitening,
@@ -255,3 +256,18 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         "explained",
         "identity_error",
     )
+
+
+@query
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = secret_scan.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s.kind == kind)).cast("long")
+
+    return scanned.select(
+        F.col("row.doc_id").alias("doc_id"),
+        *[count(k).alias(f"n_{k}") for k in (secret_scan.ASSIGN, secret_scan.ACCESS, secret_scan.HEX)],
+        F.sha2(secret_scan.shown(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.shown(F.col("spans")).alias("spans"),
+    )
