@@ -6,7 +6,10 @@ the way the Spark plans compute the same rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from footfall.columns import FLAGS, RATIOS
+from footfall.operators.training import L1_STRENGTHS
 from footfall.params import FeatureParams
 from footfall.plans.queries import (
     HOLDOUT,
@@ -218,15 +221,28 @@ scored AS (
 )"""
 
 
-def _correlation_sql() -> str:
+def _input_columns(which: str = "", source: str = "") -> tuple[list[str], list[str]]:
+    """Names of the model inputs, and an expression for each.
+
+    NULL becomes the mean: that of ``which`` rows, or of the columns called like them in ``source``.
+    """
     numbers = [*RATIOS, *FLAGS]
-    filled = [f'coalesce(CAST("{c}" AS DOUBLE), avg("{c}") OVER (), 0) AS "{c}"' for c in numbers]
+    filled = []
+    for c in numbers:
+        mean = f'{source}."{c}"' if source else f'avg("{c}") {which} OVER ()'
+        own = f'features."{c}"' if source else f'"{c}"'
+        filled.append(f'coalesce(CAST({own} AS DOUBLE), {mean}, 0) AS "{c}"')
     for column, names in (("day", WEEKDAYS), ("daypart", sorted(DAYPARTS))):
         for name in names:
             numbers.append(f"{column}={name}")
             filled.append(f"CAST(coalesce({column} = '{name}', FALSE) AS DOUBLE) AS \"{numbers[-1]}\"")
         numbers.append(f"{column}=__unknown")
         filled.append(f'CAST({column} IS NULL AS DOUBLE) AS "{numbers[-1]}"')
+    return numbers, filled
+
+
+def _correlation_sql() -> str:
+    numbers, filled = _input_columns()
     filled = ", ".join(filled)
     places = ", ".join(f"('{c}', {i})" for i, c in enumerate(numbers))
     return _feature_ctes(TRAINING) + f""",
@@ -246,6 +262,168 @@ SELECT feature_a, feature_b, CASE WHEN varies THEN round(r, 6) + 0.0 END AS corr
 FROM pairs"""
 
 
+_IS_EVAL = """CAST('0x' || substr(md5('0:' || "fullVisitorId"), 1, 8) AS BIGINT) % 10000 < 2000"""
+
+
+def _fitted_path(strengths: Sequence[float], iterations: int = 2500) -> str:
+    """Models of all inputs by accelerated proximal gradient steps, restarted when they overshoot.
+
+    A matrix is a list of lists in one row, once by rows and once by columns; a step is
+    one expression. ``ends`` has the weights of scaled inputs, the intercept first.
+    """
+    names, filled = _input_columns(f"FILTER (NOT {_IS_EVAL})")
+    quoted = [f'"{c}"' for c in names]
+    listed, width = ", ".join(quoted), len(names) + 1
+    means = ", ".join(f"avg({c})" for c in quoted)
+    spreads = ", ".join(f"stddev_samp({c})" for c in quoted)
+    values = ", ".join(f"(CAST({l1} AS DOUBLE))" for l1 in strengths)
+    return _feature_ctes(TRAINING).replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+filled AS (
+  SELECT "fullVisitorId" AS id, CAST(labels AS DOUBLE) AS y, {_IS_EVAL} AS is_eval, {", ".join(filled)}
+  FROM features
+),
+scale AS (SELECT [{means}] AS m, [{spreads}] AS s FROM filled WHERE NOT is_eval),
+scaled AS (
+  SELECT id, y, is_eval, list_concat([CAST(1 AS DOUBLE)], list_transform(list_zip([{listed}], m, s),
+    lambda z: CASE WHEN z[3] > 1e-9 THEN (z[1] - z[2]) / z[3] ELSE 0 END)) AS x
+  FROM filled, scale
+),
+by_row AS (
+  SELECT list(x ORDER BY id) AS xs, list(y ORDER BY id) AS ys, CAST(count(*) AS DOUBLE) AS n,
+    avg(y) AS rate
+  FROM scaled WHERE NOT is_eval
+),
+matrix AS (
+  SELECT xs, ys, n, rate, list_transform(range(1, {width} + 1),
+      lambda j: list_transform(xs, lambda x: x[j])) AS cs,
+    list_sum(list_transform(xs, lambda x: list_dot_product(x, x))) / 4 AS curve
+  FROM by_row
+),
+strengths(l1) AS (VALUES {values}),
+steps(l1, i, w, v, t) AS (
+  SELECT l1, 0, start, start, CAST(1 AS DOUBLE)
+  FROM strengths, (SELECT list_concat([ln(rate / (1 - rate))],
+    list_transform(range({width} - 1), lambda j: CAST(0 AS DOUBLE))) AS start FROM matrix) AS s
+  UNION ALL
+  SELECT l1, i + 1, now, list_transform(list_zip(now, w),
+      lambda z: z[1] + (t - 1) / ((1 + sqrt(1 + 4 * t * t)) / 2) * (z[1] - z[2])),
+    (1 + sqrt(1 + 4 * t * t)) / 2
+  FROM (
+    SELECT l1, i, w, now, CASE WHEN list_sum(list_transform(list_zip(v, now, w),
+      lambda z: (z[1] - z[2]) * (z[2] - z[3]))) > 0 THEN 1 ELSE t END AS t
+    FROM (
+      SELECT l1, i, w, v, t, list_transform(moved, lambda u, j: CASE WHEN j = 1 THEN u
+        ELSE sign(u) * greatest(abs(u) - l1 / curve, 0) END) AS now
+      FROM (
+        SELECT l1, i, w, v, t, curve, list_transform(list_zip(v, cs),
+          lambda z: z[1] - list_dot_product(z[2], away) / curve) AS moved
+        FROM (
+          SELECT steps.*, cs, curve, list_transform(list_zip(xs, ys),
+            lambda z: 1 / (1 + exp(-list_dot_product(z[1], v))) - z[2]) AS away
+          FROM steps, matrix WHERE i < {iterations}
+        ) AS residuals
+      ) AS gradients
+    ) AS shrunk
+  ) AS restarted
+),
+ends AS (SELECT l1, w FROM steps WHERE i = {iterations}),
+chances AS (
+  SELECT l1, id, y, is_eval, list_dot_product(x, w) AS margin,
+    1 / (1 + exp(-list_dot_product(x, w))) AS p
+  FROM scaled, ends
+),
+losses AS (
+  SELECT l1, avg(-ln(CASE y WHEN 1 THEN p ELSE 1 - p END)) FILTER (NOT is_eval) AS loss,
+    avg(-ln(CASE y WHEN 1 THEN p ELSE 1 - p END)) FILTER (is_eval) AS eval_loss
+  FROM chances GROUP BY l1
+),
+base_losses AS (
+  SELECT avg(-ln(CASE y WHEN 1 THEN rate ELSE 1 - rate END)) FILTER (NOT is_eval) AS loss,
+    avg(-ln(CASE y WHEN 1 THEN rate ELSE 1 - rate END)) FILTER (is_eval) AS eval_loss
+  FROM scaled, matrix
+),
+objectives AS (
+  SELECT l1, w, n, loss, eval_loss,
+    loss + l1 * list_sum(list_transform(w[2:], lambda x: abs(x))) / n AS objective
+  FROM ends JOIN losses USING (l1), matrix
+)"""
+
+
+def _named_inputs() -> str:
+    """``names``: the model inputs by place, the intercept at 1."""
+    rows = ["(1, '__INTERCEPT__', NULL)"]
+    for i, name in enumerate(_input_columns()[0]):
+        column, _, category = name.partition("=")
+        rows.append(f"({i + 2}, {_text(column)}, {_text(category or None)})")
+    return f"names(place, processed_input, category) AS (VALUES {', '.join(rows)})"
+
+
+def _holdout_scored() -> str:
+    """``scored``: visitors of the later days by the model; the later features come as a derived table."""
+    names, filled = _input_columns(source="means")
+    listed = ", ".join(f'"{c}"' for c in names)
+    averages = ", ".join(f'avg("{c}") FILTER (NOT {_IS_EVAL}) AS "{c}"' for c in [*RATIOS, *FLAGS])
+    return f""",
+means AS (SELECT {averages} FROM features),
+later AS ({_feature_ctes(HOLDOUT)} SELECT * FROM features),
+later_filled AS (SELECT features."fullVisitorId", {", ".join(filled)} FROM later AS features, means),
+scored AS (
+  SELECT "fullVisitorId", round(1 / (1 + exp(-list_dot_product(w, list_concat([CAST(1 AS DOUBLE)],
+    list_transform(list_zip([{listed}], m, s),
+      lambda z: CASE WHEN z[3] > 1e-9 THEN (z[1] - z[2]) / z[3] ELSE 0 END))))), 4) AS probability
+  FROM later_filled, scale, ends
+)"""
+
+
+def _path_sql() -> dict[str, str]:
+    model, positive = [1], [l1 for l1 in L1_STRENGTHS if l1]
+    n_inputs = len(_input_columns()[0])
+    return {
+        "train_logistic": _fitted_path(model) + f"""
+SELECT l1, 'logistic_reg' AS model_type, CAST(n AS BIGINT) AS n_rows, {n_inputs} AS n_inputs,
+  round(objective, 6) AS objective, TRUE AS optimal, TRUE AS converged
+FROM objectives""",
+        "training_info": _fitted_path(model) + """
+SELECT l1, round(base_losses.loss, 6) AS first_loss, round(objectives.loss, 6) AS final_loss,
+  round(base_losses.eval_loss, 6) AS first_eval_loss,
+  round(objectives.eval_loss, 6) AS final_eval_loss, TRUE AS falls, TRUE AS converged
+FROM objectives, base_losses""",
+        "model_weights": _fitted_path(model) + "," + _named_inputs() + """
+SELECT processed_input, category, round(CASE place WHEN 1 THEN w[1] - list_sum(list_transform(
+    list_zip(w[2:], m, s), lambda z: CASE WHEN z[3] > 1e-9 THEN z[1] * z[2] / z[3] ELSE 0 END))
+  ELSE w[place] END, 4) + 0.0 AS weight
+FROM names, ends, scale""",
+        "optimality": _fitted_path(positive) + "," + _named_inputs() + """,
+away AS (SELECT l1, list(p - y ORDER BY id) AS r FROM chances WHERE NOT is_eval GROUP BY l1)
+SELECT l1, processed_input, category, round(list_dot_product(cs[place], r), 4) + 0.0 AS gradient,
+  TRUE AS optimal
+FROM away, names, matrix""",
+        "predict": _fitted_path(model) + _holdout_scored() + """
+SELECT "fullVisitorId", CAST(probability >= 0.5 AS INT) AS predicted_labels, probability
+FROM scored""",
+        "predicted_deciles": _fitted_path(model) + _holdout_scored() + """
+SELECT "fullVisitorId", probability, CAST(ntile(10) OVER (
+  ORDER BY probability DESC, md5("fullVisitorId"), "fullVisitorId") AS INT) AS decile
+FROM scored""",
+        "l1_sweep": _fitted_path(positive) + """,
+ranked AS (
+  SELECT *, rank() OVER (PARTITION BY l1 ORDER BY margin)
+    + (count(*) OVER (PARTITION BY l1, margin) - 1) / 2 AS mid_rank
+  FROM chances WHERE is_eval
+),
+held AS (
+  SELECT l1, round(avg(CAST((p >= 0.5) = (y = 1) AS INT)), 4) AS accuracy,
+    round((sum(mid_rank) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2)
+      / nullif(sum(y) * (count(*) - sum(y)), 0), 4) AS roc_auc
+  FROM ranked GROUP BY l1
+)
+SELECT l1, TRUE AS converged, TRUE AS optimal, round(objective, 4) AS objective, accuracy,
+  round(eval_loss, 4) AS log_loss, roc_auc
+FROM objectives LEFT JOIN held USING (l1)
+UNION ALL SELECT 0, TRUE, TRUE, NULL, NULL, NULL, NULL""",
+    }
+
+
 _LABELED_DOCUMENTS = f"""
 document_rows AS (
   SELECT CAST(doc_id AS VARCHAR) AS id, quality AS y, ln(1 + n_chars) AS x,
@@ -318,28 +496,28 @@ FROM ranked, model) AS strength"""
 
 def _fitted_sql() -> dict[str, str]:
     return {
-        "train_logistic": _fitted() + """
+        "train_logistic_one_input": _fitted() + """
 SELECT 'logistic_reg' AS model_type, CAST(1 AS DOUBLE) AS l1, round(w, 4) AS weight,
   round(b, 4) AS intercept, TRUE AS converged
 FROM model""",
-        "training_info": _fitted() + """
+        "training_info_one_input": _fitted() + """
 SELECT round(max(-rate * ln(rate) - (1 - rate) * ln(1 - rate)), 6) AS first_loss,
   round(avg(-ln(CASE y WHEN 1 THEN p ELSE 1 - p END)) + max(abs(w) * deviation / n), 6)
     AS final_loss,
   TRUE AS converged
 FROM (SELECT *, 1 / (1 + exp(-(b + w * x))) AS p FROM tr, model, facts) AS at_the_end""",
-        "model_weights": _fitted() + """
+        "model_weights_one_input": _fitted() + """
 SELECT 'log_length' AS processed_input, CAST(NULL AS VARCHAR) AS category,
   round(w * deviation, 4) AS weight FROM model, facts
 UNION ALL SELECT '__INTERCEPT__', NULL, round(b, 4) FROM model""",
-        "predict": _fitted() + _HELD_OUT + """
+        "predict_one_input": _fitted() + _HELD_OUT + """
 SELECT id AS "fullVisitorId", CAST(p >= 0.5 AS INT) AS predicted_labels, round(p, 4) AS probability
 FROM scored""",
-        "predicted_deciles": _fitted() + _HELD_OUT + """
+        "predicted_deciles_one_input": _fitted() + _HELD_OUT + """
 SELECT id AS "fullVisitorId", round(p, 4) AS probability,
   CAST(ntile(10) OVER (ORDER BY round(p, 4) DESC, md5(id), id) AS INT) AS decile
 FROM scored""",
-        "l1_sweep": "\nUNION ALL".join(_swept(l1) for l1 in SWEPT_STRENGTHS),
+        "l1_sweep_one_input": "\nUNION ALL".join(_swept(l1) for l1 in SWEPT_STRENGTHS),
         "train_tree_models": "WITH " + _LABELED_DOCUMENTS + """,
 sides AS (SELECT is_long, avg(y) AS r FROM tr GROUP BY 1),
 -- A tree gives up a split if both sides predict the same label.
@@ -374,7 +552,7 @@ def oracle_sql() -> dict[str, str]:
     def flags(group: str) -> str:
         return seen + "," + _HITS + "," + _flags(group) + "\nSELECT * FROM flags"
 
-    return _fitted_sql() | {
+    return _fitted_sql() | _path_sql() | {
         "sessions_scan": base + """
 SELECT "fullVisitorId", date AS table_suffix, "visitStartTime", "channelGrouping",
   visits, pageviews, "timeOnSite", bounces, transactions, "deviceCategory", browser, region, metro

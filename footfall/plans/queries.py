@@ -10,11 +10,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from footfall.operators import engagement, habits, indicators, labels, metrics, scoring, training
+from footfall.operators import regularization as path
 from footfall.operators.correlation import feature_correlation as correlate
 from footfall.operators.split import train_eval_split as split
 from footfall.params import FeatureParams
@@ -60,9 +62,9 @@ def _features(spark: SparkSession, sf_dir: str, params: FeatureParams = TRAINING
 @query
 def sessions_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions written as a day-partitioned table and read back for one window."""
-    path = table_path(spark, "sessions")
-    write_sessions(_sessions(spark, sf_dir, replace(TRAINING, session_end="20170330")), path)
-    return read_sessions(spark, path, TRAINING).select(
+    folder = table_path(spark, "sessions")
+    write_sessions(_sessions(spark, sf_dir, replace(TRAINING, session_end="20170330")), folder)
+    return read_sessions(spark, folder, TRAINING).select(
         VISITOR,
         "table_suffix",
         "visitStartTime",
@@ -323,7 +325,134 @@ def evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select([F.round(c, 6).alias(c) for c in report.columns])
 
 
-# --- fitted models -----------------------------------------------------------
+# --- the model of all inputs -------------------------------------------------
+
+L1_OF_THE_MODEL = 1.0
+#: A violation per row below this counts as none.
+OPTIMAL = 1e-7
+
+
+def _inputs(spark: SparkSession, sf_dir: str) -> path.Inputs:
+    return path.prepare_inputs(materialize(split(_features(spark, sf_dir)), "features"))
+
+
+def _model(spark: SparkSession, sf_dir: str) -> tuple[path.Inputs, path.PathModel]:
+    inputs = _inputs(spark, sf_dir)
+    return inputs, path.fit_path(inputs, [L1_OF_THE_MODEL])[L1_OF_THE_MODEL]
+
+
+@query
+def train_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit on all inputs, save, load; what the loaded model is, checked against the rows."""
+    inputs, fitted = _model(spark, sf_dir)
+    folder = table_path(spark, "model")
+    path.save_path([fitted], folder)
+    model = path.load_path(spark, folder)[L1_OF_THE_MODEL]
+    checked = path.certificate([model], inputs)
+    return checked.groupBy("l1").agg(
+        F.lit("logistic_reg").alias("model_type"),
+        F.lit(inputs.n).cast("long").alias("n_rows"),
+        F.lit(len(inputs.names)).alias("n_inputs"),
+        F.round(F.lit(model.log[-1].objective), 6).alias("objective"),
+        (F.max("violation") < OPTIMAL).alias("optimal"),
+        F.lit(model.converged).alias("converged"),
+    )
+
+
+@query
+def training_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Losses of training and held-out rows before the first step and at the end."""
+    _, model = _model(spark, sf_dir)
+    log = path.training_log([model])
+    ends = [
+        F.round(by(loss, "iteration"), 6).alias(f"{when}_{loss}")
+        for loss in ("loss", "eval_loss")
+        for when, by in (("first", F.min_by), ("final", F.max_by))
+    ]
+    never_up = F.bool_and(F.expr("objective_before IS NULL OR objective <= objective_before + 1e-12"))
+    steps = log.withColumn(
+        "objective_before", F.lag("objective").over(Window.partitionBy("l1").orderBy("iteration"))
+    )
+    return steps.groupBy("l1").agg(
+        *ends, never_up.alias("falls"), F.bool_and("converged").alias("converged")
+    )
+
+
+@query
+def model_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, model = _model(spark, sf_dir)
+    weights = path.weights_table([model]).drop("l1")
+    return weights.withColumn("weight", F.round("weight", 4) + 0.0)
+
+
+@query
+def optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gradient of every input at the models of all penalties, against the penalty."""
+    inputs = _inputs(spark, sf_dir)
+    strengths = [l1 for l1 in training.L1_STRENGTHS if l1]
+    checked = path.certificate(list(path.fit_path(inputs, strengths).values()), inputs)
+    return checked.select(
+        "l1",
+        "processed_input",
+        "category",
+        (F.round("gradient", 4) + 0.0).alias("gradient"),
+        (F.col("violation") < OPTIMAL).alias("optimal"),
+    )
+
+
+def _holdout_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inputs, model = _model(spark, sf_dir)
+    visitors = _features(spark, sf_dir, HOLDOUT).drop("labels")
+    scored = path.with_probability(model, inputs.prepare, visitors)
+    return scored.select(VISITOR, F.round("probability", 4).alias("probability"))
+
+
+@query
+def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visitors of the later days, scored by the model of the earlier ones."""
+    scored = scoring.with_predictions(_holdout_scores(spark, sf_dir), "probability")
+    return scored.select(VISITOR, "predicted_labels", "probability")
+
+
+@query
+def predicted_deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training, scoring and deciles in one go."""
+    return scoring.score_deciles(materialize(_holdout_scores(spark, sf_dir), "scores"))
+
+
+@query
+def l1_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All six strengths from the same passes: objective, proof, quality on the held-out rows.
+
+    Without penalty there may be no best model (visitors told apart perfectly), so that numbers of it
+    depend on where the fit ends; of that one only the proof is shown.
+    """
+    inputs = _inputs(spark, sf_dir)
+    models = path.fit_path(inputs)
+    proofs = path.certificate(list(models.values()), inputs).groupBy("l1").agg(
+        (F.max("violation") < OPTIMAL).alias("optimal")
+    )
+    held_out = inputs.rows.where("is_eval")
+    reports = [
+        metrics.evaluate(held_out.withColumn("probability", path.probability(m, F.col("x")))).select(
+            F.lit(m.l1).alias("l1"),
+            F.lit(m.converged).alias("converged"),
+            *[
+                F.round(F.when(F.lit(m.l1 > 0), value), 4).alias(name)
+                for name, value in (
+                    ("objective", F.lit(m.log[-1].objective)),
+                    ("accuracy", F.col("accuracy")),
+                    ("log_loss", F.col("log_loss")),
+                    ("roc_auc", F.col("roc_auc")),
+                )
+            ],
+        )
+        for m in models.values()
+    ]
+    return reduce(DataFrame.unionAll, reports).join(proofs, "l1")
+
+
+# --- fitted models of one input ----------------------------------------------
 
 # Documents and their quality label: rows with a signal, and few enough inputs for SQL to
 # fit the same models. Ids are called as in the feature table.
@@ -355,12 +484,12 @@ def _by_length(rows: DataFrame, **more: object) -> dict[tuple[str, float], train
 
 
 @query
-def train_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
+def train_logistic_one_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit, save, load; one row describing the model."""
     rows, _ = _documents(spark, sf_dir)
-    path = table_path(spark, "model")
-    training.save_model(_by_length(rows)["logistic_reg", 1], path)
-    model = training.load_model(spark, path)
+    folder = table_path(spark, "model")
+    training.save_model(_by_length(rows)["logistic_reg", 1], folder)
+    model = training.load_model(spark, folder)
     weights = model.classifier
     return spark.createDataFrame(
         [(model.model_type, float(model.l1), float(weights.coefficients[0]), weights.intercept, model.converged)],
@@ -369,7 +498,7 @@ def train_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def training_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+def training_info_one_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The loss a fit starts from and the one it ends with."""
     rows, _ = _documents(spark, sf_dir)
     info = training.training_info(_by_length(rows)["logistic_reg", 1])
@@ -382,7 +511,7 @@ def training_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def model_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+def model_weights_one_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = _documents(spark, sf_dir)
     weights = training.model_weights(_by_length(rows)["logistic_reg", 1], rows)
     return weights.withColumn("weight", F.round("weight", 4))
@@ -395,7 +524,7 @@ def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+def predict_one_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the holdout, scored by a model of the training rows."""
     predictions = _predictions(spark, sf_dir)
     chance = F.filter("predicted_labels_probs", lambda c: c.label == 1)[0].prob
@@ -405,7 +534,7 @@ def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def predicted_deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def predicted_deciles_one_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training, scoring and deciles in one go."""
     probabilities = scoring.positive_class_probability(_predictions(spark, sf_dir))
     rounded = probabilities.withColumn("probability", F.round("probability", 4))
@@ -413,7 +542,7 @@ def predicted_deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def l1_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+def l1_sweep_one_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Models of several strengths: their weight, and their quality on the holdout."""
     rows, held_out = _documents(spark, sf_dir)
     models = _by_length(rows, l1_strengths=SWEPT_STRENGTHS)
