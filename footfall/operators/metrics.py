@@ -11,6 +11,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from footfall.sources.workspace import materialize
+
 ROC_THRESHOLDS = tuple(i / 100 for i in range(101))
 
 
@@ -107,6 +109,7 @@ def evaluate(
         .groupBy(p.alias("p"))
         .agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
     )
+    per_score = materialize(per_score, "per-score")
     p, pos, neg = F.col("p"), F.col("pos"), F.col("neg")
     called = p >= threshold
     inside = F.greatest(F.lit(1e-15), F.least(F.lit(1 - 1e-15), p))
@@ -137,19 +140,68 @@ def evaluate(
     )
 
 
-def negatives_below(per_score: DataFrame, cells: int = 4096) -> DataFrame:
-    """``p``, ``pos``, ``neg`` and how many negatives have a smaller score.
+def running_counts(per_score: DataFrame) -> DataFrame:
+    """``p``, ``pos``, ``neg``, and how many of both have a larger score (``pos_above``, ``neg_above``).
 
-    The running sum goes over ``cells`` ranges of scores, and within each of them.
+    Distinct scores are dealt out by range, however they are spread, so every task sorts an
+    equal share of them; what lies above its range comes from one count per task. Counts
+    don't depend on where the ranges end.
     """
-    cell = F.least(F.floor(F.col("p") * cells), F.lit(cells - 1)).cast("int")
-    placed = per_score.withColumn("cell", cell)
-    before = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed.groupBy("cell").agg(F.sum("neg").alias("n"))
-    starts = starts.select("cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("cell").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = per_score.repartitionByRange("p").withColumn("part", F.spark_partition_id())
+    # Written down: the number of a range must not change between its two readers.
+    ranged = materialize(ranged, "scores")
+    above = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("part").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    starts = starts.select(
+        "part", *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_start") for c in ("pos", "neg")]
+    )
+    inside = Window.partitionBy("part").orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, -1)
+    counts = {
+        f"{c}_above": F.col(f"{c}_start") + F.coalesce(F.sum(c).over(inside), F.lit(0))
+        for c in ("pos", "neg")
+    }
+    # One row per task of the shuffle before.
+    counted = ranged.join(F.broadcast(starts), "part").withColumns(counts)
+    return counted.drop("part", "pos_start", "neg_start")
+
+
+def negatives_below(per_score: DataFrame) -> DataFrame:
+    """``p``, ``pos``, ``neg`` and how many negatives have a smaller score (``below``)."""
+    everything = per_score.agg(F.sum("neg").alias("all_neg"))
     return (
-        placed.join(F.broadcast(starts), "cell")
-        .withColumn("below", F.col("start") + F.coalesce(F.sum("neg").over(inside), F.lit(0)))
-        .drop("cell", "start")
+        running_counts(per_score)
+        .join(F.broadcast(everything))
+        .withColumn("below", F.col("all_neg") - F.col("neg_above") - F.col("neg"))
+        .select("p", "pos", "neg", "below")
+    )
+
+
+def roc_at_quantiles(
+    scored: DataFrame, label: str = "labels", probability: str = "probability", steps: int = 100
+) -> DataFrame:
+    """The ROC curve at the scores that split the positives evenly.
+
+    For each of ``steps`` shares of the positives the highest threshold that finds them: where
+    buyers are rare and all scores small, a fixed grid of thresholds would show one step. At
+    most ``steps`` rows; fewer where many positives share a score. Empty without positives.
+    """
+    y = F.col(label) == 1
+    per_score = (
+        _known(scored, label, probability)
+        .groupBy(F.col(probability).alias("p"))
+        .agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
+    )
+    per_score = materialize(per_score, "per-score")
+    totals = per_score.agg(F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
+    counted = running_counts(per_score).join(F.broadcast(totals))
+    tp, fp = F.col("pos_above") + F.col("pos"), F.col("neg_above") + F.col("neg")
+    before, now = (F.floor(n * steps / F.col("positives")) for n in (F.col("pos_above"), tp))
+    return counted.where((F.col("pos") > 0) & (now > before)).select(
+        F.col("p").alias("threshold"),
+        (tp / F.col("positives")).alias("recall"),
+        F.try_divide(fp, F.col("negatives")).alias("false_positive_rate"),
+        tp.alias("true_positives"),
+        fp.alias("false_positives"),
+        (F.col("negatives") - fp).alias("true_negatives"),
+        (F.col("positives") - tp).alias("false_negatives"),
     )

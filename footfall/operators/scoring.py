@@ -76,3 +76,33 @@ def segment_summary(scores: DataFrame) -> DataFrame:
     return segments.withColumns(
         {"conversion_rate": rate, "lift": F.try_divide(rate, overall)}
     )
+
+
+def decile_borders(deciles: DataFrame, id_col: str = VISITOR) -> DataFrame:
+    """The last row of every decile but the last, in the order of ``score_deciles``; to keep with a model.
+
+    One row per decile, whatever the number of visitors.
+    """
+    digest = F.md5(F.col(id_col).cast("string"))
+    key = F.struct((-F.col("probability")).alias("p"), digest.alias("digest"), F.col(id_col).alias("id"))
+    last = deciles.groupBy("decile").agg(F.max(key).alias("last"))
+    return last.where("decile < 10").select(
+        "decile", (-F.col("last.p")).alias("probability"), "last.digest", "last.id"
+    )
+
+
+def rate_by_borders(probabilities: DataFrame, borders: DataFrame, id_col: str = VISITOR) -> DataFrame:
+    """Deciles of new visitors by stored borders: no ranking, one look at nine rows per visitor.
+
+    Visitors of the scores that the borders come from get the deciles they had, ties included.
+    A visitor without a probability is in the last decile.
+    """
+    kept = borders.orderBy("decile").collect()
+    rank = F.lit(1)
+    digest = F.md5(F.col(id_col).cast("string"))
+    for row in kept:
+        p = F.col("probability")
+        tied = F.struct(digest, F.col(id_col)) > F.struct(F.lit(row.digest), F.lit(row.id))
+        after = p.isNull() | (p < row.probability) | ((p == row.probability) & tied)
+        rank = rank + F.when(after, 1).otherwise(0)
+    return probabilities.withColumn("decile", rank)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from footfall.columns import FLAGS, RATIOS
+from footfall.operators.correlation import SINGULAR
 from footfall.operators.training import L1_STRENGTHS
 from footfall.params import FeatureParams
 from footfall.plans.queries import (
@@ -375,6 +376,33 @@ scored AS (
 )"""
 
 
+def _collinearity_sql() -> str:
+    """Regressions by sweeping the correlation matrix: for every input, all pivots but itself."""
+    return _fitted_path([1], iterations=0) + "," + _named_inputs() + f""",
+varying AS (SELECT list_filter(range(2, len(cs) + 1), lambda j: s[j - 1] > 1e-9) AS js FROM matrix, scale),
+correlations AS (
+  SELECT js, list_transform(js, lambda a: list_transform(js,
+    lambda b: list_dot_product(cs[a], cs[b]) / (n - 1))) AS r
+  FROM matrix, varying
+),
+swept(target, k, r) AS (
+  SELECT target, 1, r FROM (SELECT r, unnest(range(1, len(js) + 1)) AS target FROM correlations) AS t
+  UNION ALL
+  SELECT target, k + 1, CASE WHEN k = target OR r[k][k] < {SINGULAR} THEN r
+    ELSE list_transform(r, lambda x, i: CASE WHEN i = k THEN x
+      ELSE list_transform(x, lambda y, j: y - x[k] * r[k][j] / r[k][k]) END) END
+  FROM swept WHERE k <= len(r)
+),
+rest AS (
+  SELECT js[target] AS place, swept.r[target][target] AS left_over
+  FROM swept, correlations WHERE k = len(swept.r) + 1
+)
+SELECT processed_input, category,
+  CASE WHEN left_over < {SINGULAR} THEN 0 ELSE round(left_over, 6) END AS tolerance,
+  coalesce(left_over < {SINGULAR}, FALSE) AS singular
+FROM names LEFT JOIN rest USING (place) WHERE place > 1"""
+
+
 def _path_sql() -> dict[str, str]:
     model, positive = [1], [l1 for l1 in L1_STRENGTHS if l1]
     n_inputs = len(_input_columns()[0])
@@ -620,6 +648,47 @@ SELECT decile, count(*) AS visitors, min(probability) AS min_probability,
   CAST(sum(labels) AS BIGINT) AS buyers, round(avg(labels), 6) AS conversion_rate,
   round(avg(labels) / nullif((SELECT avg(labels) FROM scored), 0), 6) AS lift
 FROM banded GROUP BY decile""",
+        "collinearity": _collinearity_sql(),
+        "daily_tables_scan": base + """
+SELECT date AS table_suffix, count(*) AS sessions, CAST(sum(pageviews) AS BIGINT) AS pageviews,
+  CAST(22 - (SELECT count(DISTINCT day) FROM visits
+    WHERE day BETWEEN '20170301' AND '20170322') AS BIGINT) AS missing_days
+FROM base GROUP BY 1""",
+        "roc_at_quantiles": scored + """,
+counted AS (
+  SELECT probability AS p, sum(labels) AS own,
+    sum(sum(labels)) OVER w AS tp, sum(count(*) - sum(labels)) OVER w AS fp,
+    sum(sum(labels)) OVER () AS positives, sum(count(*) - sum(labels)) OVER () AS negatives
+  FROM scored GROUP BY 1 WINDOW w AS (ORDER BY probability DESC)
+)
+SELECT p AS threshold, tp / positives AS recall, fp / nullif(negatives, 0) AS false_positive_rate,
+  CAST(tp AS BIGINT) AS true_positives, CAST(fp AS BIGINT) AS false_positives,
+  CAST(negatives - fp AS BIGINT) AS true_negatives, CAST(positives - tp AS BIGINT) AS false_negatives
+FROM counted WHERE own > 0 AND floor(tp * 100 / positives) > floor((tp - own) * 100 / positives)""",
+        "rated_by_borders": scored + f""",
+banded AS (
+  SELECT *, CAST(ntile(10) OVER (
+    ORDER BY probability DESC, md5("fullVisitorId"), "fullVisitorId") AS INT) AS decile
+  FROM scored
+),
+borders AS (
+  SELECT decile, arg_max(probability, o) AS p, max(o) AS o FROM (
+    SELECT *, row_number() OVER (ORDER BY probability DESC, md5("fullVisitorId"), "fullVisitorId") AS o
+    FROM banded) AS ordered
+  WHERE decile < 10 GROUP BY decile
+),
+border_ids AS (
+  SELECT b.decile, b.p, md5("fullVisitorId") AS digest FROM borders AS b JOIN (
+    SELECT *, row_number() OVER (ORDER BY probability DESC, md5("fullVisitorId"), "fullVisitorId") AS o
+    FROM banded) AS ordered USING (o)
+),
+later AS ({_feature_ctes(HOLDOUT)} SELECT * FROM features),
+later_scored AS (
+  SELECT "fullVisitorId", round(1 / (1 + exp(-({linear_logit()}))), 6) AS probability FROM later
+)
+SELECT "fullVisitorId", probability, CAST(1 + count(*) FILTER (probability < p
+  OR (probability = p AND md5("fullVisitorId") > digest)) AS INT) AS decile
+FROM later_scored LEFT JOIN border_ids ON TRUE GROUP BY 1, 2""",
         "confusion_matrix": scored + """
 SELECT labels AS expected_label, count(*) FILTER (probability < 0.5) AS predicted_0,
   count(*) FILTER (probability >= 0.5) AS predicted_1

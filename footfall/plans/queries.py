@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from footfall.operators import engagement, habits, indicators, labels, metrics, scoring, training
 from footfall.operators import regularization as path
+from footfall.operators.correlation import collinearity as collinear
 from footfall.operators.correlation import feature_correlation as correlate
 from footfall.operators.split import train_eval_split as split
 from footfall.params import FeatureParams
@@ -24,7 +25,13 @@ from footfall.plans import feature_table as features
 from footfall.plans.staged import feature_table_staged as staged
 from footfall.sources.event_log import sessions_from_events
 from footfall.sources.lookup import state_lookup as lookup
-from footfall.sources.sessions import read_sessions, select_sessions, write_sessions
+from footfall.sources.sessions import (
+    read_daily_tables,
+    read_sessions,
+    select_sessions,
+    write_daily_tables,
+    write_sessions,
+)
 from footfall.sources.tables import read_table, replace_table
 from footfall.sources.workspace import materialize, table_path
 from footfall.vocabulary import VISITOR
@@ -88,6 +95,19 @@ def state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def daily_tables_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions written as one table per day, those of one window read back by their names."""
+    root = table_path(spark, "daily")
+    write_daily_tables(_sessions(spark, sf_dir, replace(TRAINING, session_end="20170330")), root)
+    sessions, missing = read_daily_tables(spark, root, TRAINING)
+    return sessions.groupBy("table_suffix").agg(
+        F.count("*").alias("sessions"),
+        F.sum("totals.pageviews").alias("pageviews"),
+        F.lit(len(missing)).cast("long").alias("missing_days"),
+    )
+
+
 # --- labels and windows ------------------------------------------------------
 
 
@@ -252,6 +272,19 @@ def feature_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.withColumn("correlation", F.round("correlation", 6) + 0.0)
 
 
+@query
+def collinearity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the other inputs leave of each one; exact relations named, not failing."""
+    found = collinear(_inputs(spark, sf_dir))
+    left = F.round("tolerance", 6) + 0.0
+    return found.select(
+        "processed_input",
+        "category",
+        left.alias("tolerance"),
+        F.col("singular_group").isNotNull().alias("singular"),
+    )
+
+
 # --- scoring and metrics with fixed weights ----------------------------------
 
 # A logistic model with made-up weights: SQL can compute the same scores.
@@ -319,6 +352,19 @@ def roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.roc_curve(_linear_scores(spark, sf_dir))
 
 
+@query
+def roc_at_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.roc_at_quantiles(_linear_scores(spark, sf_dir))
+
+
+@query
+def rated_by_borders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visitors of the later days, rated by decile borders of the earlier ones."""
+    borders = scoring.decile_borders(scoring.score_deciles(_linear_scores(spark, sf_dir).drop("labels")))
+    visitors = _features(spark, sf_dir, HOLDOUT).select(VISITOR, _linear_probability().alias("probability"))
+    return scoring.rate_by_borders(visitors, borders)
+
+
 @query
 def evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = metrics.evaluate(_linear_scores(spark, sf_dir))

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from footfall.params import FeatureParams
+from footfall.sources.workspace import folder_names
 from footfall.vocabulary import VISITOR
 
 # Declared, never inferred: partition discovery would turn the day into an
@@ -46,6 +51,41 @@ def write_sessions(sessions: DataFrame, path: str) -> None:
     )
 
 
+def write_daily_tables(sessions: DataFrame, root: str, prefix: str = "sessions_") -> None:
+    """One table per day below ``root``, the day at the end of its name; days there are replaced."""
+    days = [r[0] for r in sessions.select("table_suffix").distinct().orderBy("table_suffix").collect()]
+    for day in days:
+        rows = sessions.where(F.col("table_suffix") == day).drop("table_suffix")
+        rows.write.mode("overwrite").parquet(f"{root}/{prefix}{day}")
+
+
+def read_daily_tables(
+    spark: SparkSession, root: str, params: FeatureParams, prefix: str = "sessions_"
+) -> tuple[DataFrame, list[str]]:
+    """Sessions of the days asked for, from one table per day; and days without a table.
+
+    Tables are chosen by name: those outside the range are never opened. Columns are taken
+    by name, what a table lacks is NULL and what it has besides is left out. Days without a table hold
+    no sessions.
+    """
+    found = {
+        name.removeprefix(prefix): name
+        for name in folder_names(spark, root)
+        if re.fullmatch(re.escape(prefix) + r"\d{8}", name)
+    }
+    first, last = (datetime.strptime(d, "%Y%m%d") for d in (params.session_start, params.session_end))
+    wanted = [f"{first + timedelta(days=i):%Y%m%d}" for i in range((last - first).days + 1)]
+    present = [d for d in wanted if d in found]
+    schema = StructType.fromDDL(SESSION_SCHEMA)
+    if not present:
+        return spark.createDataFrame([], schema), wanted
+    stored = StructType([f for f in schema if f.name != "table_suffix"])
+    tables = spark.read.schema(stored).parquet(*[f"{root}/{found[d]}" for d in present])
+    day = F.regexp_extract(F.col("_metadata.file_path"), rf"/{re.escape(prefix)}(\d{{8}})/[^/]*$", 1)
+    sessions = tables.withColumn("table_suffix", day).select(*schema.names)
+    return select_sessions(sessions, params), [d for d in wanted if d not in found]
+
+
 def select_sessions(sessions: DataFrame, params: FeatureParams) -> DataFrame:
     """Day range (partition filter), country (pushed filter), known visitor."""
     return sessions.where(

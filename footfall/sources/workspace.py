@@ -41,6 +41,15 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return store.exists(target)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders inside a folder; none if there is no such folder."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in store.listStatus(target) if s.isDirectory())
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder of any store Spark writes to; a missing one is no error."""
     jvm = spark.sparkContext._jvm
