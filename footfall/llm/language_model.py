@@ -8,9 +8,11 @@ their number grows with the corpus. The chance of such a word is the chance
 of the class times its add-one share in it, so the chances of all words and one
 unknown word add up to one.
 
-The counts cover all training documents. The network's weights alone are fitted on a
-bounded sample of whole training documents, ``train_documents`` of them, the ones with
-the smallest hashes. Every document is scored whole, state carried from its first
+Counts and weights are learned from all training documents. In an epoch every Spark partition
+runs truncated backpropagation over its own documents, from the same weights, and the
+results are averaged, each by the tokens it learned from; partial sums of weights meet in a second, smaller
+stage before they reach the driver. A partition takes its documents as they come and holds as many
+as run side by side. Every document is scored whole, state carried from its first
 word to its end mark.
 
 Words are compared by 64-bit hashes.
@@ -22,12 +24,13 @@ all counts are 0. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import pickle
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,9 +48,12 @@ class LanguageModelParams:
     class_size: int = 32
     classes: int = 32
     hidden: int = 16
-    #: Bounds the fit of the weights, and nothing else.
-    train_documents: int = 2000
-    epochs: int = 2
+    epochs: int = 1
+    #: Documents side by side in training, at most; fewer where a partition is so small
+    #: that it would make less than ``updates`` steps.
+    side: int = 256
+    window: int = 32
+    updates: int = 400
 
 
 @dataclass(frozen=True)
@@ -78,9 +84,9 @@ def _tokens(docs: DataFrame, params: LanguageModelParams) -> DataFrame:
     )
 
 
-def word_counts(docs: DataFrame, params: LanguageModelParams) -> DataFrame:
+def word_counts(tokens: DataFrame) -> DataFrame:
     """``word`` (hash) and ``n`` over all training documents."""
-    rows = _tokens(docs, params).where("not held_out").select(F.explode("hashes").alias("word"))
+    rows = tokens.where("not held_out").select(F.explode("hashes").alias("word"))
     return materialize(rows.groupBy("word").agg(F.count("*").alias("n")), "counts")
 
 
@@ -99,13 +105,13 @@ def _for_network(ranks: np.ndarray, n_network: int) -> np.ndarray:
     return np.append(np.where(inside, ranks + 1, n_network + 1), 0)
 
 
-def fit(docs: DataFrame, counts: DataFrame, params: LanguageModelParams) -> LanguageModel:
+def fit(tokens: DataFrame, counts: DataFrame, params: LanguageModelParams) -> LanguageModel:
     totals = counts.agg(F.count("*").alias("types"), F.sum("n").alias("tokens")).first()
-    tokens = _tokens(docs.select("doc_id", "text"), params)
-    training = tokens.where("not held_out")
-    n_ends = training.select("doc_id").count()
-    # A fixed number of rows reaches the driver.
-    top = counts.orderBy(F.desc("n"), "word").limit(params.listed).collect()
+    training = tokens.where("not held_out").select("hashes")
+    n_ends = training.count()
+    # A fixed number of words: each task sends no more of its own than the result has.
+    top = counts.orderBy(F.desc("n"), "word").limit(params.listed)
+    top = materialize(top, "listed").orderBy(F.desc("n"), "word").collect()
     words = np.array([r.word for r in top], dtype=np.int64)
     n = np.array([r.n for r in top], dtype=np.int64)
     n_network = params.class_size * params.classes - 1
@@ -129,26 +135,44 @@ def fit(docs: DataFrame, counts: DataFrame, params: LanguageModelParams) -> Lang
         np.append(n_ends, in_network), others, params.class_size, params.hidden, seed=1
     )
 
-    def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [row for batch in batches for row in batch["hashes"]]
-        texts = [_for_network(_indices(np.asarray(r, np.int64), model)[0], n_network) for r in rows]
-        trained = recurrent.train(start, texts, 0, params.epochs)
-        yield pd.DataFrame({"weights": [pickle.dumps(trained)]})
-
-    ids = training.select("doc_id", "text_hash").orderBy(
-        F.xxhash64("doc_id", "text_hash"), "doc_id", "text_hash"
-    )
-    ids = materialize(ids.limit(params.train_documents), "sample")
-    sample = docs.select("doc_id", "text").join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
-    texts = _tokens(sample, params).select("doc_id", "hashes")
-    # One task, over the bounded sample, in an order of its own.
-    fitted = texts.repartition(1).sortWithinPartitions("doc_id").select("hashes")
-    row = fitted.mapInPandas(train, "weights binary").first()
-    weights = pickle.loads(row.weights) if row else start
+    weights = start
+    for _ in range(params.epochs if n_ends else 0):
+        weights = _epoch(training, model, weights, params)
     return LanguageModel(**{**vars(model), "weights": weights})
 
 
-def _scored(docs: DataFrame, model: LanguageModel, params: LanguageModelParams) -> DataFrame:
+def _epoch(
+    training: DataFrame, model: LanguageModel, start: recurrent.Weights, params: LanguageModelParams
+) -> recurrent.Weights:
+    """Weights after every partition has learned from its documents, averaged by tokens."""
+    partitions = training.rdd.getNumPartitions()
+    share = model.train_tokens // (partitions * params.window * params.updates)
+    side = max(8, min(params.side, share))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = (
+            _for_network(_indices(np.asarray(row.values.to_numpy(zero_copy_only=False), np.int64), model)[0], model.n_network)
+            for batch in batches
+            for row in batch.column(0)
+        )
+        learned, n = recurrent.train(start, texts, 0, side, params.window)
+        total = np.append(recurrent.packed(learned) * n, n)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0
+        for batch in batches:
+            for value in batch.column(0):
+                total = total + np.frombuffer(value.as_buffer())
+        if np.ndim(total):
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    sums = training.mapInArrow(learn, "sums binary").repartition(max(1, math.isqrt(partitions)))
+    total = sum(np.frombuffer(r.sums) for r in sums.mapInArrow(add, "sums binary").collect())
+    return recurrent.unpacked(total[:-1] / max(total[-1], 1), start)
+
+
+def _scored(tokens: DataFrame, model: LanguageModel) -> DataFrame:
     """Per row: the network's part, sums over listed words, and the unlisted words."""
     schema = (
         "doc_id string, text_hash string, held_out boolean, n_tokens long, n_listed long, network double,"
@@ -178,8 +202,7 @@ def _scored(docs: DataFrame, model: LanguageModel, params: LanguageModelParams)
 
     # Keys travel as text: pandas would turn those of a batch with a NULL into doubles.
     keys = [F.col(c).cast("string").alias(c) for c in ("doc_id", "text_hash")]
-    tokens = _tokens(docs, params).select(*keys, "held_out", "hashes")
-    scored = tokens.mapInPandas(run, schema)
+    scored = tokens.select(*keys, "held_out", "hashes").mapInPandas(run, schema)
     numbers = {c: F.col(c).cast("long") for c in ("doc_id", "text_hash")}
     return materialize(scored.withColumns(numbers), "scored")
 
@@ -188,10 +211,10 @@ def score_documents(
     docs: DataFrame, params: LanguageModelParams = LanguageModelParams()
 ) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``text``): base and model scores, in powers of ten."""
-    docs = docs.select("doc_id", "text")
-    counts = word_counts(docs, params)
-    model = fit(docs, counts, params)
-    scored = _scored(docs, model, params)
+    tokens = materialize(_tokens(docs.select("doc_id", "text"), params), "tokens")
+    counts = word_counts(tokens)
+    model = fit(tokens, counts, params)
+    scored = _scored(tokens, model)
     keys = ["doc_id", "text_hash"]
     # Rows with one key have the same words, so their shares are alike.
     found = (

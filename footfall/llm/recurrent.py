@@ -12,7 +12,7 @@ window, so it spans whole documents in training and scoring alike.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -166,53 +166,66 @@ def _gradients(
 
 def train(
     weights: Weights,
-    documents: list[np.ndarray],
+    documents: Iterable[np.ndarray],
     start: int,
-    epochs: int = 2,
     side: int = 48,
     window: int = 32,
     rate: float = 0.01,
-    seed: int = 1,
-) -> Weights:
-    """Adam over truncated windows of whole documents, side by side.
+) -> tuple[Weights, int]:
+    """Adam over truncated windows of whole documents, side by side; the tokens learned from.
 
-    A place whose document has ended takes the next one, with a new state.
+    A place whose document has ended takes the next one, with a new state. Documents are
+    taken as they come, so no more than ``side`` of them are held.
     """
     weights = {name: w.copy() for name, w in weights.items()}
     first = {name: np.zeros_like(w) for name, w in weights.items()}
     second = {name: np.zeros_like(w) for name, w in weights.items()}
-    rng, n_tokens = np.random.default_rng(seed), sum(map(len, documents))
-    total, updates = max(1, epochs * n_tokens // (side * window)), 0
-    for _ in range(epochs):
-        waiting = [documents[i] for i in rng.permutation(len(documents)) if len(documents[i])]
-        own: list[np.ndarray | None] = [None] * side
-        at = np.zeros(side, int)
-        h = np.zeros((side, weights["u"].shape[0]), np.float32)
-        while True:
-            for k in range(side):
-                if (own[k] is None or at[k] >= len(own[k])) and waiting:
-                    own[k], at[k], h[k] = waiting.pop(), 0, 0
-            targets = np.full((side, window), -1)
-            inputs = np.full((side, window), -1)
-            for k, doc in enumerate(own):
-                if doc is not None and at[k] < len(doc):
-                    part = doc[at[k] : at[k] + window]
-                    targets[k, : len(part)] = part
-                    inputs[k, 0] = doc[at[k] - 1] if at[k] else start
-                    inputs[k, 1 : len(part)] = part[:-1]
-            if not (targets >= 0).any():
-                break
-            grads, h = _gradients(weights, inputs, targets, h)
-            at += window
-            updates += 1
-            norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
-            clip = min(1.0, 1.0 / (norm + 1e-9))
-            pace = rate * max(0.05, 1 - updates / (total * 1.2))
-            for name, g in grads.items():
-                g = g * np.float32(clip)
-                first[name] += np.float32(0.1) * (g - first[name])
-                second[name] += np.float32(0.01) * (g * g - second[name])
-                m = first[name] / np.float32(1 - 0.9**updates)
-                v = second[name] / np.float32(1 - 0.99**updates)
-                weights[name] -= np.float32(pace) * m / (np.sqrt(v) + np.float32(1e-8))
+    waiting = (d for d in documents if len(d))
+    own: list[np.ndarray | None] = [None] * side
+    at = np.zeros(side, int)
+    h = np.zeros((side, weights["u"].shape[0]), np.float32)
+    updates, learned = 0, 0
+    while True:
+        for k in range(side):
+            if own[k] is None or at[k] >= len(own[k]):
+                own[k], at[k], h[k] = next(waiting, None), 0, 0
+        busy = [k for k in range(side) if own[k] is not None]
+        if not busy:
+            return weights, learned
+        targets = np.full((len(busy), window), -1)
+        inputs = np.full((len(busy), window), -1)
+        for row, k in enumerate(busy):
+            doc = own[k]
+            part = doc[at[k] : at[k] + window]
+            targets[row, : len(part)] = part
+            inputs[row, 0] = doc[at[k] - 1] if at[k] else start
+            inputs[row, 1 : len(part)] = part[:-1]
+        grads, h[busy] = _gradients(weights, inputs, targets, h[busy])
+        at[busy] += window
+        updates += 1
+        learned += int((targets >= 0).sum())
+        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        clip = min(1.0, 1.0 / (norm + 1e-9))
+        pace = rate / np.sqrt(1 + updates / 100)
+        for name, g in grads.items():
+            g = g * np.float32(clip)
+            first[name] += np.float32(0.1) * (g - first[name])
+            second[name] += np.float32(0.01) * (g * g - second[name])
+            m = first[name] / np.float32(1 - 0.9**updates)
+            v = second[name] / np.float32(1 - 0.99**updates)
+            weights[name] -= np.float32(pace) * m / (np.sqrt(v) + np.float32(1e-8))
+
+
+def packed(weights: Weights) -> np.ndarray:
+    """All weights as one vector, in order of their names."""
+    return np.concatenate([weights[name].ravel() for name in sorted(weights)]).astype(float)
+
+
+def unpacked(vector: np.ndarray, like: Weights) -> Weights:
+    """The weights in ``vector``, shaped like those given."""
+    weights, at = {}, 0
+    for name in sorted(like):
+        part = vector[at : at + like[name].size]
+        weights[name] = part.reshape(like[name].shape).astype(like[name].dtype)
+        at += like[name].size
     return weights

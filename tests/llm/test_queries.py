@@ -22,6 +22,6 @@ def test_same_rows(spark, duck, name):
 
 def test_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(registered.queries())
     assert set(ORACLE_SQL) <= set(registered.oracle_sql())
