@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm.words import ascii_lower
+from footfall.llm.words import ascii_lower, fresh_name
 from footfall.sources.workspace import materialize
 
 # The rules of the registered query.
@@ -130,12 +130,12 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> D
     host, path = host_and_path(F.col("url"))
     split = pages.select(*[F.col(f"`{c}`") for c in kept], host.alias("host"), path.alias("path"))
     best = matched_rules(split.select("host", "path"), rules)
+    own_host, own_path = fresh_name(split, "host_"), fresh_name(split, "path_")
     mine = best.select(
-        F.col("host").alias("host_"), F.col("path").alias("path_"), "rule", "rule_verdict"
-    )
-    joined = split.join(
-        mine, (F.col("host") == F.col("host_")) & (F.col("path") == F.col("path_")), "left"
+        F.col("host").alias(own_host), F.col("path").alias(own_path), "rule", "rule_verdict"
     )
+    same = (split["host"] == mine[own_host]) & (split["path"] == mine[own_path])
+    joined = split.join(mine, same, "left")
     return joined.select(
         *[split[f"`{c}`"] for c in kept],
         split["host"],

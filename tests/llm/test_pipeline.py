@@ -11,7 +11,7 @@ import corpus_pipeline
 from footfall.llm import decontamination, pii
 from footfall.llm.quality_rules import CHAR_CLASSES, COMMON_WORDS, UNIT, QualityParams
 from tests.llm import test_decontamination, test_ngram_jaccard, test_packing, test_quality_rules
-from tests.llm.rows import empty_table, odd_table
+from tests.llm.rows import SCHEMA, empty_table, odd_table, prose
 
 TABLES = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -145,6 +145,17 @@ def test_documents_without_id_pass_like_others(spark):
     assert {r.doc_id for r in mixed.collect()} == {r.doc_id for r in clean.collect()} | {None}
 
 
+def test_one_row_stays_of_equal_ones(spark):
+    """Equal rows with and without id, many times over; different texts of one id are no copies."""
+    texts = [prose(40, i) for i in range(4)]
+    rows = [(1, texts[0])] * 5 + [(None, texts[1])] * 4 + [(2, texts[2]), (None, texts[2]), (3, None), (3, None)]
+    rows += [(None, None)] * 2 + [(4, texts[3]), (5, texts[3])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA).repartition(3)
+    kept = corpus_pipeline.keep_one_of_each_group(spark, docs, TABLES).collect()
+    found = sorted(((r.doc_id, r.text) for r in kept), key=str)
+    assert found == sorted([(1, texts[0]), (None, texts[1]), (2, texts[2]), (3, None), (None, None), (4, texts[3])], key=str)
+
+
 def test_run_is_the_stages_in_turn(spark, outputs):
     found = corpus_pipeline.run(spark, TABLES)
     order = [F.col(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")]

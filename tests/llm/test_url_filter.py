@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from footfall.llm import url_filter
 from footfall.llm.url_filter import CONTRACT_RULES, filter_urls, rules_table
 
 SCHEMA = "page_id long, url string"
@@ -62,3 +63,13 @@ def test_odd_tables(spark):
 def test_deep_urls_are_not_blown_up(spark):
     url = "http://" + ".".join(["x"] * 2000) + ".a.com/" + "y/" * 2000
     assert _judged(spark, [url], [("a.com", "/y/", "block")])[0][2:] == ("a.com/y/", "block")
+
+
+def test_input_columns_called_like_inner_ones(spark):
+    """Any names pass through, those of the results are replaced."""
+    names = ["host_", "path_", "host__", "rule_verdict", "digest", "suffix", "host", "verdict"]
+    pages = spark.createDataFrame([("http://a.net/x", *names)], ["url", *names])
+    rules = url_filter.rules_table(spark, url_filter.CONTRACT_RULES)
+    row = url_filter.filter_urls(pages, rules).collect()[0].asDict()
+    assert [row[c] for c in names[:6]] == names[:6]
+    assert (row["host"], row["path"], row["rule"], row["verdict"]) == ("a.net", "/x", "net/", "block")
