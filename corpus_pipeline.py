@@ -36,16 +36,29 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near duplicates."""
+    """One document of every group of near duplicates, that with the smallest id.
+
+    Of equal rows (same id, or none, and same text) any one stays, with or without an id.
+    """
     # Ids made of texts lie above 2^62, so that given ids come first.
     made = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1))
     own = F.coalesce(F.col("doc_id"), made.bitwiseOR(F.lit(1 << 62)))
     found = ngram_jaccard.near_duplicates(docs.select(own.alias("id"), "text"), NEAR)
-    key = fresh_name(docs, "key_")
-    first = found.where("id = component").select(F.col("id").alias(key))
+    first = found.where("id = component").select("id").distinct()
+    key, digest, row = (fresh_name(docs, c) for c in ("key_", "digest_", "row_"))
+    text_digest = F.sha2(F.coalesce("text", F.lit("")), 256)
     # Nearly as many ids as documents: not to be broadcast at any size.
-    first = materialize(first, "first").hint("shuffle_hash")
-    return docs.withColumn(key, own).join(first, key, "left_semi").select(*_columns(docs))
+    kept = (
+        docs.select(own.alias("id"), text_digest.alias(digest))
+        .distinct()
+        .join(first.hint("shuffle_hash"), "id")
+        .withColumnRenamed("id", key)
+    )
+    kept = materialize(kept, "kept").hint("shuffle_hash")
+    # Equal rows meet as one per task already; the join finds them dealt out by its own keys.
+    whole = F.any_value(F.struct(*_columns(docs))).alias(row)
+    once = docs.groupBy(own.alias(key), text_digest.alias(digest)).agg(whole)
+    return once.join(kept, [key, digest], "left_semi").select(f"{row}.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
