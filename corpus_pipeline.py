@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from footfall.llm import decontamination, ngram_jaccard, packing, pii, quality_rules
 from footfall.llm.queries import DEMO_KEY, loaded_packing_params
 from footfall.llm.words import doc_key, fresh_name
-from footfall.sources.workspace import materialize
+from footfall.sources.workspace import materialize, scope, table_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -43,21 +43,25 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     # Ids made of texts lie above 2^62, so that given ids come first.
     made = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1))
     own = F.coalesce(F.col("doc_id"), made.bitwiseOR(F.lit(1 << 62)))
-    found = ngram_jaccard.near_duplicates(docs.select(own.alias("id"), "text"), NEAR)
-    first = found.where("id = component").select("id").distinct()
     key, digest, row = (fresh_name(docs, c) for c in ("key_", "digest_", "row_"))
     text_digest = F.sha2(F.coalesce("text", F.lit("")), 256)
-    # Nearly as many ids as documents: not to be broadcast at any size.
-    kept = (
-        docs.select(own.alias("id"), text_digest.alias(digest))
-        .distinct()
-        .join(first.hint("shuffle_hash"), "id")
-        .withColumnRenamed("id", key)
-    )
-    kept = materialize(kept, "kept").hint("shuffle_hash")
+    path = table_path(spark, "kept")
+    # What the search wrote down goes before the texts are shuffled, which takes the most disk.
+    with scope(spark):
+        found = ngram_jaccard.near_duplicates(docs.select(own.alias("id"), "text"), NEAR)
+        first = found.where("id = component").select("id").distinct()
+        # Nearly as many ids as documents: not to be broadcast at any size.
+        kept = (
+            docs.select(own.alias("id"), F.unhex(text_digest).alias(digest))
+            .distinct()
+            .join(first.hint("shuffle_hash"), "id")
+            .withColumnRenamed("id", key)
+        )
+        kept.write.parquet(path)
+    kept = spark.read.schema(kept.schema).parquet(path).hint("shuffle_hash")
     # Equal rows meet as one per task already; the join finds them dealt out by its own keys.
     whole = F.any_value(F.struct(*_columns(docs))).alias(row)
-    once = docs.groupBy(own.alias(key), text_digest.alias(digest)).agg(whole)
+    once = docs.groupBy(own.alias(key), F.unhex(text_digest).alias(digest)).agg(whole)
     return once.join(kept, [key, digest], "left_semi").select(f"{row}.*")
 
 
