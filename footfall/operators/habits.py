@@ -68,6 +68,11 @@ def _bucket_aggregates(kind: str, names: Sequence[str]) -> list[Column]:
     return [F.expr(f"bit_or(shiftleft(1, {kind}_bucket)) AS {kind}_seen"), *views]
 
 
+def _merged_buckets(kind: str, names: Sequence[str]) -> list[Column]:
+    views = [f"{kind}_views_{i}" for i in range(len(names) + 1)]
+    return [F.bit_or(f"{kind}_seen").alias(f"{kind}_seen"), *[F.sum(v).alias(v) for v in views]]
+
+
 def _favourite(kind: str, names: Sequence[str]) -> Column:
     """Name of the bucket with most views; ties go to the earlier bucket.
 
@@ -91,6 +96,16 @@ def daypart_aggregates() -> list[Column]:
     return _bucket_aggregates("daypart", clock.DAYPART_NAMES)
 
 
+def merged_weekdays() -> list[Column]:
+    """The results of ``weekday_aggregates`` over parts, put together."""
+    return _merged_buckets("weekday", WEEKDAYS)
+
+
+def merged_dayparts() -> list[Column]:
+    """The results of ``daypart_aggregates`` over parts, put together."""
+    return _merged_buckets("daypart", clock.DAYPART_NAMES)
+
+
 def favourite_weekday() -> Column:
     return _favourite("weekday", WEEKDAYS).alias("day")
 

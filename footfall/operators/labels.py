@@ -35,6 +35,13 @@ def label_aggregates() -> list[Column]:
     ]
 
 
+def merged_labels() -> list[Column]:
+    """Aggregates: the results of ``label_aggregates`` over parts, put together."""
+    least = ("first_visit", "first_conversion_session")
+    most = ("labels", "last_conversion", "last_visit")
+    return [*[F.max(c).alias(c) for c in most], *[F.min(c).alias(c) for c in least]]
+
+
 def users_labeled(sessions: DataFrame, params: FeatureParams) -> DataFrame:
     """One row per visitor with at least one session that is not a bounce."""
     visits = select_sessions(sessions, params).where(is_visit())

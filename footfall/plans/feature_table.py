@@ -38,12 +38,12 @@ def feature_table(sessions: DataFrame, params: FeatureParams) -> DataFrame:
     if params.lookback_filter:
         return _inside_windows(base, params)
     folded = (
-        _prepared(base, params)
+        prepared(base, params)
         .groupBy(VISITOR)
-        .agg(_had_visit(), *labels.label_aggregates(), *_behaviour_aggregates(fold_words(INDICATORS)))
+        .agg(had_visit(), *labels.label_aggregates(), *_behaviour_aggregates(fold_words(INDICATORS)))
     )
-    windows = _with_windows(folded.where(_kept()), params)
-    return windows.select(*USER_COLUMNS, *_behaviour_columns())
+    windows = with_windows(folded.where(kept()), params)
+    return windows.select(*USER_COLUMNS, *behaviour_columns())
 
 
 def _inside_windows(base: DataFrame, params: FeatureParams) -> DataFrame:
@@ -53,13 +53,13 @@ def _inside_windows(base: DataFrame, params: FeatureParams) -> DataFrame:
     bucket numbers and three numbers to sum, rows of one size whatever the hits.
     """
     labeled = base.groupBy(VISITOR).agg(
-        _had_visit(), F.count("*").alias("n_sessions"), *labels.label_aggregates()
+        had_visit(), F.count("*").alias("n_sessions"), *labels.label_aggregates()
     )
-    visitors = _with_windows(labeled, params).select(
-        *USER_COLUMNS, "n_sessions", _kept().alias("kept")
+    visitors = with_windows(labeled, params).select(
+        *USER_COLUMNS, "n_sessions", kept().alias("kept")
     )
     visitors = materialize(visitors, "windows")
-    packed = _prepared(base, params).select(
+    packed = prepared(base, params).select(
         VISITOR,
         "visitStartTime",
         *session_words(INDICATORS),
@@ -72,26 +72,26 @@ def _inside_windows(base: DataFrame, params: FeatureParams) -> DataFrame:
         .withColumn("totals", F.struct(*SUMMED))
         .groupBy(VISITOR)
         .agg(*_behaviour_aggregates(fold_session_words(INDICATORS)))
-        .select(VISITOR, *_behaviour_columns())
+        .select(VISITOR, *behaviour_columns())
     )
     return visitors.where("kept").select(*USER_COLUMNS).join(behaviour, VISITOR, "left")
 
 
-def _kept() -> Column:
+def kept() -> Column:
     return F.col("had_visit") & labels.bought_later_or_never()
 
 
-def _with_windows(labeled: DataFrame, params: FeatureParams) -> DataFrame:
+def with_windows(labeled: DataFrame, params: FeatureParams) -> DataFrame:
     return labels.lookback_window(labels.anchor_timestamp(labels.with_timestamps(labeled)), params)
 
 
-def _prepared(sessions: DataFrame, params: FeatureParams) -> DataFrame:
+def prepared(sessions: DataFrame, params: FeatureParams) -> DataFrame:
     """Sessions with everything the behaviour aggregates read, computed once per row."""
     local = habits.with_daypart_bucket(sessions, params)
     return with_page_levels(habits.with_weekday_bucket(local))
 
 
-def _had_visit() -> Column:
+def had_visit() -> Column:
     return F.bool_or(labels.is_visit()).alias("had_visit")
 
 
@@ -104,7 +104,7 @@ def _behaviour_aggregates(words: list[Column]) -> list[Column]:
     ]
 
 
-def _behaviour_columns() -> list[Column]:
+def behaviour_columns() -> list[Column]:
     return [
         *[F.col(c) for c in RATIOS],
         *unpack_words(INDICATORS),

@@ -17,6 +17,7 @@ from footfall.plans.queries import (
     LONG_DOCUMENT,
     SWEPT_STRENGTHS,
     TRAINING,
+    WINDOWS,
     linear_logit,
 )
 from footfall.sources import event_log as log
@@ -615,6 +616,11 @@ SELECT "fullVisitorId", date, "visitStartTime", region, h AS hour_of_day_localiz
         "feature_table": features,
         "feature_table_staged": features,
         "feature_table_write": features,
+        "feature_table_from_days": features,
+        "features_of_windows": " UNION ALL ".join(
+            f"SELECT '{label}' AS window_name, * FROM ({_feature_ctes(window)} SELECT * FROM features)"
+            for label, window in WINDOWS.items()
+        ),
         "feature_table_lookback": _feature_ctes(lookback, _SEEN_LOOKBACK)
         + "\nSELECT * FROM features",
         "holdout_features": _feature_ctes(HOLDOUT) + "\nSELECT * FROM features",

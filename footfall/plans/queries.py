@@ -21,6 +21,7 @@ from footfall.operators.correlation import collinearity as collinear
 from footfall.operators.correlation import feature_correlation as correlate
 from footfall.operators.split import train_eval_split as split
 from footfall.params import FeatureParams
+from footfall.plans import daily_state
 from footfall.plans import feature_table as features
 from footfall.plans.staged import feature_table_staged as staged
 from footfall.sources.event_log import sessions_from_events
@@ -237,6 +238,35 @@ def holdout_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _epochs(_features(spark, sf_dir, HOLDOUT))
 
 
+# The last window shares days with both others.
+WINDOWS = {
+    "training": TRAINING,
+    "holdout": HOLDOUT,
+    "middle": FeatureParams(session_start="20170315", session_end="20170326"),
+}
+
+
+def _visitor_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of all days of the windows, written in two lots and read back."""
+    folder = table_path(spark, "visitor-days")
+    for days in (TRAINING, HOLDOUT):
+        states = daily_state.visitor_days(_sessions(spark, sf_dir, days), days)
+        daily_state.write_visitor_days(states, folder)
+    return daily_state.read_visitor_days(spark, folder)
+
+
+@query
+def feature_table_from_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table from stored daily states, sessions not read again."""
+    return _epochs(daily_state.feature_table_from_days(_visitor_days(spark, sf_dir), TRAINING))
+
+
+@query
+def features_of_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training, holdout and an overlapping window from one scan of the daily states."""
+    return _epochs(daily_state.features_of_windows(_visitor_days(spark, sf_dir), WINDOWS))
+
+
 def _written_features(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return replace_table(_features(spark, sf_dir), name, table_path(spark, name))
 

@@ -37,13 +37,18 @@ def read_sessions(spark: SparkSession, path: str, params: FeatureParams | None =
 
 
 def write_sessions(sessions: DataFrame, path: str) -> None:
-    """Write sessions as one folder per day; only the days they hold are replaced.
+    """Write sessions as one folder per day; only the days they hold are replaced."""
+    write_by_day(sessions, path)
+
+
+def write_by_day(rows: DataFrame, path: str) -> None:
+    """Write rows as one folder per ``table_suffix``, in place of the folders of these days.
 
     The rebalance hint gathers a day in few files and still splits a day that
     holds much more than the others.
     """
     (
-        sessions.hint("rebalance", "table_suffix")
+        rows.hint("rebalance", "table_suffix")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("table_suffix")

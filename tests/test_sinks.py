@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from footfall.operators import training
+from footfall.sources import tables
 from footfall.sources.sessions import read_sessions, write_sessions
 from footfall.sources.tables import read_table, replace_table
 from footfall.sources.workspace import folder_exists, materialize, scope, shared_folder
@@ -50,10 +51,56 @@ def test_table_replaced_by_a_query_over_itself(spark, tmp_path):
     replace_table(spark.range(3), "own_table", str(tmp_path / "t"))
     replace_table(read_table(spark, "own_table").where("id > 0"), "own_table", str(tmp_path / "t"))
     assert sorted(r.id for r in read_table(spark, "own_table").collect()) == [1, 2]
-    assert len(list((tmp_path / "t").iterdir())) == 1
+    replace_table(read_table(spark, "own_table").where("id > 1"), "own_table", str(tmp_path / "t"))
+    assert [r.id for r in read_table(spark, "own_table").collect()] == [2]
+    # The present version and the one before, for those who still read it.
+    assert len(list((tmp_path / "t").iterdir())) == 2
     spark.sql("DROP TABLE own_table")
 
 
+@pytest.mark.parametrize("columns", ["id", "id + 1 AS other"])
+def test_running_readers_keep_their_version(spark, tmp_path, columns):
+    reader = replace_table(spark.range(3), "read_on", str(tmp_path / "t"))
+    replace_table(spark.range(9).selectExpr(columns), "read_on", str(tmp_path / "t"))
+    assert reader.count() == 3
+    assert read_table(spark, "read_on").count() == 9
+    spark.sql("DROP TABLE read_on")
+
+
+@pytest.mark.parametrize("columns", ["id", "id + 1 AS other"])
+def test_tables_of_others_keep_their_files(spark, tmp_path, columns):
+    spark.range(5).write.parquet(str(tmp_path / "theirs"))
+    spark.catalog.createTable("of_others", path=str(tmp_path / "theirs"), source="parquet")
+    for _ in range(3):
+        replace_table(spark.range(2).selectExpr(columns), "of_others", str(tmp_path / "t"))
+    assert read_table(spark, "of_others").count() == 2
+    assert spark.read.parquet(str(tmp_path / "theirs")).count() == 5
+    spark.sql("DROP TABLE of_others")
+
+
+def test_managed_table_of_others_keeps_its_rows(spark, tmp_path):
+    spark.range(5).write.saveAsTable("managed_one")
+    replace_table(spark.range(2).selectExpr("id + 1 AS other"), "managed_one", str(tmp_path / "t"))
+    assert read_table(spark, "managed_one").count() == 2
+    aside = [t.name for t in spark.catalog.listTables() if t.name.startswith("managed_one__former")]
+    assert [spark.table(t).count() for t in aside] == [5]
+    for name in ("managed_one", *aside):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_program_that_ended_while_the_name_passed(spark, tmp_path, monkeypatch):
+    replace_table(spark.range(3), "passing", str(tmp_path / "t"))
+    with monkeypatch.context() as broken:
+        # Called at the start, and again once the former table is gone: there it ends.
+        calls = iter([None])
+        broken.setattr(tables, "_finish_switch", lambda *_: next(calls))
+        with pytest.raises(StopIteration):
+            replace_table(spark.range(4).selectExpr("id AS other"), "passing", str(tmp_path / "t"))
+    assert read_table(spark, "passing").columns == ["other"]
+    assert read_table(spark, "passing").count() == 4
+    spark.sql("DROP TABLE passing")
+
+
 @pytest.fixture(scope="module")
 def two_models(spark):
     rows = spark.range(40).select(
