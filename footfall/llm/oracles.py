@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from footfall.llm.quality_rules import COMMON_WORDS, UNIT, QualityParams
+from footfall.llm.quality_rules import (
+    COMMON_WORDS,
+    DISTANCE_UNIT,
+    MOST_NOISE,
+    NOISE_UNIT,
+    UNIT,
+    QualityParams,
+)
 
 OP4 = r"""
 WITH p AS (
@@ -176,23 +183,35 @@ WITH t AS (
   FROM counted
 ), full_words AS (
   SELECT * REPLACE (list_append(words, ({UNIT} - list_sum(words))::BIGINT) AS words) FROM judged
-), refs AS (
-  SELECT lang, {sums('chars', 6)} AS ref_chars, {sums('words', 13)} AS ref_words
+), kinds AS (
+  SELECT DISTINCT lang, n_words, n_chars, classes, common, chars, words
   FROM full_words
-  WHERE NOT base_failed AND n_chars >= {params.min_chars_compared}
+  WHERE lang IS NOT NULL AND NOT base_failed AND n_chars >= {params.min_chars_compared}
     AND n_words >= {params.min_words_compared}
-  GROUP BY 1
+), refs AS (
+  SELECT lang, {sums('chars', 6)} AS ref_chars, {sums('words', 13)} AS ref_words
+  FROM kinds GROUP BY 1
+), medians AS (
+  SELECT lang,
+    quantile_disc(least(floor({distance('words', 'ref_words')} * sqrt(n_words) * {NOISE_UNIT}),
+      {MOST_NOISE}), 0.5) / {NOISE_UNIT} AS noise,
+    quantile_disc(floor({distance('chars', 'ref_chars')} * {DISTANCE_UNIT}), 0.5)
+      / {DISTANCE_UNIT} AS middle
+  FROM kinds JOIN refs USING (lang) GROUP BY 1
 ), far AS (
   SELECT f.*,
+    greatest({params.least_word_limit}, noise * {params.word_spread} / sqrt(n_words)) AS word_limit,
+    greatest({params.least_char_limit},
+      middle * (1 + {params.char_widening} / sqrt(n_chars))) AS char_limit,
     CASE WHEN n_chars >= {params.min_chars_compared}
       THEN {distance('chars', 'ref_chars')} END AS cd,
     CASE WHEN n_words >= {params.min_words_compared}
       THEN {distance('words', 'ref_words')} END AS wd
-  FROM full_words AS f LEFT JOIN refs USING (lang)
+  FROM full_words AS f LEFT JOIN refs USING (lang) LEFT JOIN medians USING (lang)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND coalesce(cd, 0) <= {params.max_char_distance}
-    AND coalesce(wd, 0) <= {params.max_word_distance} AS kept,
+  NOT base_failed AND coalesce(cd <= char_limit, true)
+    AND coalesce(wd <= word_limit, true) AS kept,
   round(cd, 6) AS char_distance, round(wd, 6) AS word_distance
 FROM far
 """

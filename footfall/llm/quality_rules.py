@@ -3,12 +3,19 @@
 Two histograms describe a document: its characters by class, and how often each
 of its language's most common words occurs. The reference of a language is the
 mean of both over all its documents that pass the base rules and are long
-enough. A document whose Jensen-Shannon distance from the reference is too large
-is rejected; a histogram over too few characters or words says nothing and is
-not held against it.
+enough. A document too far from the reference by Jensen-Shannon distance is rejected; a histogram over
+too few characters or words says nothing and is not held against it.
 
-Everything but the references is computed row by row in one pass, without a
-shuffle. The references are one small row per language.
+What is too far follows from the language's own distances. Counting n words moves a document
+away from its reference by about noise / sqrt(n), and the language's noise is the median of
+distance * sqrt(n) over its documents: a document may be ``word_spread`` times as far as that of its
+length. Character classes hardly vary by chance, but short texts hold headings, numbers
+or addresses, so the median distance is widened by 1 + ``char_widening`` / sqrt(characters). Below the
+two least limits nothing is far. References and medians count documents with equal measures once, so that
+a group of copies has no more say than one of them, however large it is.
+
+Counts are computed row by row without a shuffle. The documents' measures are shuffled
+once to find the equal ones; references and medians are one small row per language.
 
 Defined cases: a NULL or blank text has no words and fails the base rules. A
 document of no or an unlisted language has no common-word test; one whose
@@ -20,7 +27,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.llm.words import SPACE_CHARS, SPACES, fresh_name, space_words
@@ -49,7 +56,11 @@ SYMBOLS = r"[#*$%&|<>]+"
 # and don't depend on the order of the rows.
 UNIT = 1_000_000
 
-REFERENCE_COLUMNS = ("ref_lang", "ref_chars", "ref_words")
+# Distances become whole numbers of these fractions to take their medians by counting.
+NOISE_UNIT, DISTANCE_UNIT = 1_000, 10_000
+MOST_NOISE = 20 * NOISE_UNIT
+
+REFERENCE_COLUMNS = ("ref_lang", "ref_chars", "ref_words", "ref_noise", "ref_middle")
 
 
 @dataclass(frozen=True)
@@ -57,10 +68,12 @@ class QualityParams:
     min_words: int = 10
     max_repeat_percent: int = 20
     window: int = 5
-    min_chars_compared: int = 400
-    min_words_compared: int = 100
-    max_char_distance: float = 0.29
-    max_word_distance: float = 0.28
+    min_chars_compared: int = 200
+    min_words_compared: int = 50
+    word_spread: float = 1.8
+    char_widening: float = 110.0
+    least_word_limit: float = 0.15
+    least_char_limit: float = 0.1
 
 
 def _numbered(keys: Column) -> Column:
@@ -184,25 +197,68 @@ def _histograms(measures: Column) -> tuple[Column, Column]:
     return shares(measures.chars, measures.n_chars), F.concat(of_words, F.array(rest))
 
 
-def language_references(
-    df: DataFrame, measures: str, params: QualityParams = QualityParams()
-) -> DataFrame:
-    """One row per language: sums of the shares over its acceptable documents."""
+def _kinds(df: DataFrame, measures: str, params: QualityParams) -> DataFrame:
+    """The acceptable documents' languages, lengths and histograms, equal ones once."""
     m = F.col(measures)
     long_enough = (m.n_chars >= params.min_chars_compared) & (
         m.n_words >= params.min_words_compared
     )
-    chars, words = _histograms(m)
     good = df.where(F.col("lang").isNotNull() & ~base_failed(m, params) & long_enough)
-    shares = good.select(F.col("lang").alias("ref_lang"), chars.alias("c"), words.alias("w"))
+    fields = ("n_words", "n_chars", "chars", "common")
+    kinds = good.select("lang", *[m[f].alias(f) for f in fields]).distinct()
+    chars, words = _histograms(F.struct(*fields))
+    return kinds.select("lang", "n_words", "n_chars", chars.alias("chars"), words.alias("words"))
+
+
+def language_references(kinds: DataFrame) -> DataFrame:
+    """One row per language: sums of the shares over its acceptable documents."""
 
     def sums(column: str, n: int) -> Column:
         return F.array(*[F.sum(F.get(F.col(column), F.lit(i))) for i in range(n)])
 
-    return shares.groupBy("ref_lang").agg(
-        sums("c", len(CHAR_CLASSES) + 1).alias("ref_chars"),
-        sums("w", N_COMMON + 1).alias("ref_words"),
+    return kinds.groupBy(F.col("lang").alias("ref_lang")).agg(
+        sums("chars", len(CHAR_CLASSES) + 1).alias("ref_chars"),
+        sums("words", N_COMMON + 1).alias("ref_words"),
+    )
+
+
+def with_medians(kinds: DataFrame, references: DataFrame) -> DataFrame:
+    """``references`` with ``ref_noise`` and ``ref_middle``, the medians over the language's documents.
+
+    Exact over the whole numbers that are counted; of two in the middle the lower one.
+    """
+    joined = kinds.join(references, F.col("lang") == F.col("ref_lang"))
+    by_chars = _distance(_normalised(F.col("chars")), _normalised(F.col("ref_chars")))
+    by_words = _distance(_normalised(F.col("words")), _normalised(F.col("ref_words")))
+    noise = F.floor(by_words * F.sqrt("n_words") * NOISE_UNIT).cast("long")
+    noise = F.when(noise > MOST_NOISE, MOST_NOISE).otherwise(noise)
+    middle = F.floor(by_chars * DISTANCE_UNIT).cast("long")
+    numbers = F.explode(
+        F.array(
+            F.struct(F.lit("ref_noise").alias("which"), noise.alias("value")),
+            F.struct(F.lit("ref_middle").alias("which"), middle.alias("value")),
+        )
     )
+    counts = (
+        joined.select("ref_lang", numbers.alias("x"))
+        .where("x.value IS NOT NULL")
+        .groupBy("ref_lang", "x.which", "x.value")
+        .count()
+    )
+    # At most MOST_NOISE + DISTANCE_UNIT rows of a language, whatever the number of documents.
+    all_of = Window.partitionBy("ref_lang", "which")
+    so_far = F.sum("count").over(all_of.orderBy("value"))
+    placed = counts.withColumns({"so_far": so_far, "total": F.sum("count").over(all_of)})
+
+    def median(which: str) -> Column:
+        return F.min(F.when(F.col("which") == which, F.col("value"))).alias(which)
+
+    medians = (
+        placed.where("2 * so_far >= total")
+        .groupBy("ref_lang")
+        .agg(median("ref_noise"), median("ref_middle"))
+    )
+    return references.join(medians, "ref_lang", "left").select(*REFERENCE_COLUMNS)
 
 
 def _normalised(shares: Column) -> Column:
@@ -222,10 +278,25 @@ def _distance(mine: Column, theirs: Column) -> Column:
     return F.sqrt(F.when(total > 0, total / 2).when(total <= 0, 0.0))
 
 
+def _word_limit(m: Column, params: QualityParams) -> Column:
+    noise = F.col("ref_noise") / NOISE_UNIT
+    return F.greatest(
+        F.lit(params.least_word_limit), noise * params.word_spread / F.sqrt(m.n_words.cast("double"))
+    )
+
+
+def _char_limit(m: Column, params: QualityParams) -> Column:
+    middle = F.col("ref_middle") / DISTANCE_UNIT
+    return F.greatest(
+        F.lit(params.least_char_limit),
+        middle * (1 + params.char_widening / F.sqrt(m.n_chars.cast("double"))),
+    )
+
+
 def judge(
     df: DataFrame, measures: str, references: DataFrame, params: QualityParams = QualityParams()
 ) -> DataFrame:
-    """``df`` with ``base_failed``, both distances and ``kept`` inside the struct."""
+    """``df`` with ``base_failed``, both distances, their limits and ``kept`` inside the struct."""
     m = F.col(measures)
     chars, words = _histograms(m)
     cols = [c for c in df.columns if c != measures]
@@ -234,6 +305,8 @@ def judge(
         "ref_lang",
         _normalised(F.col("ref_chars")).alias("ref_chars"),
         _normalised(F.col("ref_words")).alias("ref_words"),
+        "ref_noise",
+        "ref_middle",
     )
     joined = df.join(references, F.col("lang") == F.col("ref_lang"), "left").withColumn(
         mine, F.struct(chars.alias("chars"), words.alias("words"))
@@ -252,14 +325,18 @@ def judge(
         F.struct(
             F.when(m.n_chars >= params.min_chars_compared, by_chars).alias("chars"),
             F.when(m.n_words >= params.min_words_compared, by_words).alias("words"),
+            _char_limit(m, params).alias("char_limit"),
+            _word_limit(m, params).alias("word_limit"),
         ),
     )
     d = F.col(far)
-    too_far = (F.coalesce(d.chars, F.lit(0.0)) > params.max_char_distance) | (
-        F.coalesce(d.words, F.lit(0.0)) > params.max_word_distance
+    # A distance that is not compared is NULL and above no limit.
+    too_far = F.coalesce(d.chars > d.char_limit, F.lit(False)) | F.coalesce(
+        d.words > d.word_limit, F.lit(False)
     )
     verdict = m.withField("base_failed", base_failed(m, params))
     verdict = verdict.withField("char_distance", d.chars).withField("word_distance", d.words)
+    verdict = verdict.withField("char_limit", d.char_limit).withField("word_limit", d.word_limit)
     verdict = verdict.withField("kept", ~base_failed(m, params) & ~too_far)
     return judged.select(*[F.col(f"`{c}`") for c in cols], verdict.alias(measures))
 
@@ -279,6 +356,7 @@ def quality_rules(
     if not keep_text:
         measured = measured.drop("text")
     measured = materialize(measured, "quality")
-    references = materialize(language_references(measured, name, params), "references")
+    kinds = materialize(_kinds(measured, name, params), "kinds")
+    references = materialize(with_medians(kinds, language_references(kinds)), "references")
     judged = judge(measured, name, references, params)
     return judged.withColumnsRenamed({new: old for old, new in clash.items()}), name

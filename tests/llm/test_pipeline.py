@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from footfall.llm import decontamination, pii
-from footfall.llm.quality_rules import CHAR_CLASSES, COMMON_WORDS, UNIT, QualityParams
+from footfall.llm.quality_rules import (
+    CHAR_CLASSES,
+    COMMON_WORDS,
+    DISTANCE_UNIT,
+    MOST_NOISE,
+    NOISE_UNIT,
+    UNIT,
+    QualityParams,
+)
 from tests.llm import test_decontamination, test_ngram_jaccard, test_packing, test_quality_rules
 from tests.llm.rows import SCHEMA, empty_table, odd_table, prose
 
@@ -56,16 +64,31 @@ def test_quality(outputs):
     histograms = {i: _histograms(r.text, r.lang) for i, r in docs.items()}
     long_chars = {i for i, r in docs.items() if len(r.text) >= params.min_chars_compared}
     long_words = {i for i in docs if base[i][0] >= params.min_words_compared}
-    references = defaultdict(lambda: [Counter(), Counter()])
+    kinds = defaultdict(dict)
     for i in long_chars & long_words:
         if not base[i][-1]:
-            for sums, shares in zip(references[docs[i].lang], histograms[i]):
-                sums.update(dict(enumerate(shares)))
+            key = (len(docs[i].text), base[i][0], repr(histograms[i]))
+            kinds[docs[i].lang][key] = (len(docs[i].text), base[i][0], histograms[i])
+    references, medians = {}, {}
+    for lang, of_lang in kinds.items():
+        sums = [[sum(x) for x in zip(*(h[k] for *_, h in of_lang.values()))] for k in (0, 1)]
+        noise = sorted(
+            min(math.floor(_distance(h[1], sums[1]) * math.sqrt(n) * NOISE_UNIT), MOST_NOISE)
+            for _, n, h in of_lang.values()
+        )
+        middle = sorted(math.floor(_distance(h[0], sums[0]) * DISTANCE_UNIT) for *_, h in of_lang.values())
+        references[lang] = sums
+        low = (len(of_lang) - 1) // 2
+        medians[lang] = noise[low] / NOISE_UNIT, middle[low] / DISTANCE_UNIT
     expected = set()
     for i, r in docs.items():
-        chars, words = ([sums[k] for k in range(len(h))] for sums, h in zip(references[r.lang], histograms[i]))
-        far = i in long_chars and _distance(histograms[i][0], chars) > params.max_char_distance
-        far |= i in long_words and _distance(histograms[i][1], words) > params.max_word_distance
+        chars, words = references[r.lang]
+        noise, middle = medians[r.lang]
+        of_words = max(params.least_word_limit, noise * params.word_spread / math.sqrt(max(base[i][0], 1)))
+        widened = middle * (1 + params.char_widening / math.sqrt(max(len(r.text), 1)))
+        of_chars = max(params.least_char_limit, widened)
+        far = i in long_chars and _distance(histograms[i][0], chars) > of_chars
+        far |= i in long_words and _distance(histograms[i][1], words) > of_words
         if not base[i][-1] and not far:
             expected.add(i)
     assert set(_rows(outputs[1])) == expected

@@ -91,3 +91,34 @@ def test_references_do_not_depend_on_partitions(spark):
         judged, name = quality_rules(docs.repartition(n), keep_text=False)
         results.append(sorted(judged.select("doc_id", f"{name}.char_distance", f"{name}.word_distance").collect()))
     assert results[0] == results[1]
+
+
+def _kept(judged, name):
+    return {r.doc_id for r in judged.where(F.col(name).kept).select("doc_id").collect()}
+
+
+def test_copies_do_not_move_references_and_limits(spark):
+    """A text that a third of all rows hold has one say; other verdicts stay as they were."""
+    extra = [(100, " ".join(f"zq{i}x" for i in range(300)), "en"), (101, prose(2000, 5), "en")]
+    copies = [(200 + i, extra[1][1], "en") for i in range(30)]
+    fields = ("char_distance", "word_distance", "char_limit", "word_limit", "kept")
+    found = []
+    for more in ([], copies):
+        judged, name = quality_rules(_corpus(spark, extra + more))
+        rows = judged.where("doc_id < 200").select("doc_id", *[f"{name}.{f}" for f in fields])
+        found.append(sorted(rows.collect()))
+    assert found[0] == found[1]
+
+
+def test_limits_widen_as_texts_get_shorter(spark):
+    lengths = [(100 + n, prose(n, n), "en") for n in (60, 120, 1000)]
+    judged, name = quality_rules(_corpus(spark, lengths), QualityParams(least_char_limit=0))
+    limits = {r.doc_id: r for r in judged.select("doc_id", f"{name}.*").where("doc_id > 99").collect()}
+    assert limits[160].word_limit > limits[220].word_limit >= limits[1100].word_limit
+    assert limits[160].char_limit > limits[220].char_limit > limits[1100].char_limit
+
+
+def test_one_document_of_a_language_and_two(spark):
+    rows = [(1, prose(200, 1), "fr"), (2, prose(200, 2), "de"), (3, prose(200, 3), "de")]
+    judged, name = quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert _kept(judged, name) == {1, 2, 3}
