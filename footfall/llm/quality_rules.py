@@ -357,6 +357,8 @@ def quality_rules(
         measured = measured.drop("text")
     measured = materialize(measured, "quality")
     kinds = materialize(_kinds(measured, name, params), "kinds")
-    references = materialize(with_medians(kinds, language_references(kinds)), "references")
+    # Written down, so that the planner knows how small they are and joins without a shuffle by language.
+    sums = materialize(language_references(kinds), "sums")
+    references = materialize(with_medians(kinds, sums), "references")
     judged = judge(measured, name, references, params)
     return judged.withColumnsRenamed({new: old for old, new in clash.items()}), name
