@@ -1,12 +1,12 @@
 """Personal data replaced by keyed surrogates.
 
-Entities are found by patterns: e-mail addresses, IPv4 addresses, card numbers,
+Entities are found by patterns: e-mail addresses, IPv4 and IPv6 addresses, card numbers,
 telephone numbers, social security numbers, IBANs, access keys and names after a
 form of address. Each is replaced by a made-up one of the same type and format: a
 letter by a letter of the same script and case, a digit by a digit; a name by a name of the
 same gender and script in the same case; a card number keeps its first digit and, if it had
-one, a valid check digit; mail domains end in ``.example`` and IPv4 addresses lie
-in the range that is never routed.
+one, a valid check digit; mail domains end in ``.example`` and IP addresses lie
+in ranges that are never routed.
 
 The surrogate is a function of the key, the type, the entity and an attempt
 number, so an entity gets the same one in every document and run (coreference), also
@@ -17,11 +17,15 @@ found by grouping their surrogates, and all but the first entity of each group g
 to the next attempt until none is left. The texts that hold entities then take
 their surrogates in a join.
 
-A name is any number of capitalised words and initials behind a title. Where its document
-has it once more without a title, or its last word alone, that is replaced by the same
-surrogate, or the word of it at the same place; of two persons with one last word the first counts.
+A name is up to ``MAX_NAME_WORDS`` capitalised words and initials behind a title. Its words are what
+gets surrogates: each word one of its own per gender, in lower case and collision-checked
+like all entities; the name's surrogate has theirs in its own case, word by word, and initials go
+through a keyed permutation of their alphabet (Latin, accented Latin, Cyrillic, Greek; others stay).
+So names of different words differ, in every part that a mention shows, and "Mr Smith" agrees
+with "Mr John Smith" in all documents. Where a document has one of its names once more without a title, or
+its last word alone, that is replaced likewise; of persons of both genders with one last word the first counts.
 
-Names come from lists; when a list's names are used up, initials are added.
+Name words come from short lists first, then from syllables, one more with every attempt.
 
 Defined cases: NULL and empty texts stay as they are and have no entities.
 Repeated rows are rewritten alike. Overlapping matches: the one that starts first,
@@ -30,6 +34,8 @@ then the first in the order of ``PATTERNS``. An empty table gives an empty resul
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +44,8 @@ from footfall.sources.workspace import materialize
 
 # Forms of address and given names, by gender.
 TITLES = {
-    "male": ["Mr", "Herr", "Monsieur", "Señor", "Sr"],
-    "female": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra"],
+    "male": ["Mr", "Herr", "Monsieur", "Señor", "Sr", "г-н", "Г-н", "господин", "Господин"],
+    "female": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "г-жа", "Г-жа", "госпожа", "Госпожа"],
 }
 LATIN_NAMES = {
     "male": ["Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Georg", "Hugo", "Ivan", "Jonas", "Karl", "Leo"],
@@ -49,14 +55,39 @@ CYRILLIC_NAMES = {
     "male": ["Адам", "Борис", "Виктор", "Глеб", "Денис", "Егор", "Иван", "Кирилл"],
     "female": ["Алла", "Белла", "Вера", "Галина", "Дарья", "Елена", "Ирина", "Клара"],
 }
+# Further names: syllables of these consonants and vowels, and a last letter by gender.
+SYLLABLES = {"latin": ("bdfgklmnprstvz", "aeiou"), "cyrillic": ("бвгдзклмнпрст", "аеиоу")}
+LAST_LETTERS = {"latin": {"male": "lnrs", "female": "a"}, "cyrillic": {"male": "лнрс", "female": "а"}}
+# Initials, by alphabet.
+ALPHABETS = [
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝ",
+    "АБВГДЕЁЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ",
+    "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
+]
+
 TITLED = "|".join(TITLES["male"] + TITLES["female"])
+# The word boundary of regular expressions may know ASCII letters only.
+NO_LETTER = r"(?<![\p{L}\p{N}_])"
+# An apostrophe belongs to a word, but not that of a genitive.
+APOSTROPHE = r"(?:['’](?!s(?!\p{L}))[\p{L}-]++)"
 # A capitalised word or an initial.
-NAME_WORD = r"(?:\p{Lu}[\p{L}'’-]+|\p{Lu}\.(?!\p{L}))"
+NAME_WORD = rf"(?:\p{{Lu}}(?:[\p{{L}}-]++{APOSTROPHE}*+|{APOSTROPHE}++)|\p{{Lu}}\.(?!\p{{L}}))"
+
+# A longer run of capitalised words, a heading say, isn't all a name. (Java matches groups
+# by recursion, so a run of any length would also overflow its stack.)
+MAX_NAME_WORDS = 16
 
 # Order matters: what an earlier pattern matches at a place, a later one doesn't get.
 PATTERNS = {
     "email": r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
     "ipv4": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?![0-9])(?!\.[0-9])",
+    "ipv6": (
+        r"(?<![0-9A-Za-z:.])(?=[A-Fa-f:]*[0-9])"
+        r"(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+        r"|(?=(?:[0-9A-Fa-f]*:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:]))(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})"
+        r"(?![0-9A-Za-z:])"
+    ),
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "key": r"(?<![A-Za-z0-9_-])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|(?:gh[pousr]|sk|pk|xox[abp])[_-][A-Za-z0-9_-]{16,255}|[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![A-Za-z0-9_-])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
@@ -68,9 +99,11 @@ PATTERNS = {
             r"(?<![0-9A-Za-z+])\+[0-9]{8,14}(?![0-9])",
             r"(?<![0-9A-Za-z+.-])0[1-9](?:[ .-][0-9]{2}){4}(?![0-9])",
             r"(?<![0-9A-Za-z+.-])0[1-9][0-9]{0,3}[ /-][0-9]{5,8}(?![0-9])",
+            # Without separators only behind a word that announces a number.
+            r"(?<=\b(?:[Tt]el|[Pp]hone|[Cc]all|[Mm]obile|[Ff]ax)[.:]{0,2} )[0-9]{9,15}(?![0-9])",
         ]
     ),
-    "name": rf"(?<=\b(?:{TITLED})\.? ){NAME_WORD}(?: {NAME_WORD})*+",
+    "name": rf"(?<={NO_LETTER}(?:{TITLED})\.? ){NAME_WORD}(?: {NAME_WORD}){{0,{MAX_NAME_WORDS - 1}}}+",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
@@ -84,9 +117,10 @@ HINT = (
 def _type(entity: Column) -> Column:
     """The first pattern that fits the whole entity.
 
-    Names stand behind a title that isn't part of the match, so they are what is left.
+    Names and bare telephone numbers stand behind a word that isn't part of the match, so
+    they are what is left.
     """
-    found = F.lit("name")
+    found = F.when(entity.rlike(r"\A[0-9]+\z"), "phone").otherwise("name")
     for name, pattern in reversed(list(PATTERNS.items())):
         if name != "name":
             found = F.when(entity.rlike(rf"\A(?:{pattern})\z"), name).otherwise(found)
@@ -156,39 +190,42 @@ def _with_check_digit(entity: Column, drawn: Column) -> Column:
     return F.when(_luhn_sum(own, parity) % 10 == 0, valid).otherwise(drawn)
 
 
-def _name(entity: Column, digest: Column, attempt: Column) -> Column:
-    """A listed name of the same gender and script per word, in the same case."""
+def _name_word(word: Column, digest: Column, attempt: Column) -> Column:
+    """A name of the same gender and script, in lower case: a listed one first, then syllables."""
 
-    def pick(names: dict[str, list[str]], i: Column) -> Column:
-        options = [
-            F.element_at(F.lit(x), (_number(digest, i, len(x)) + 1).cast("int"))
-            for x in (names["female"], names["male"])
-        ]
-        return F.when(F.col("gender") == "female", options[0]).otherwise(options[1])
+    def listed(names: dict[str, list[str]], gender: str) -> Column:
+        options = [x.lower() for x in names[gender]]
+        return F.element_at(F.lit(options), (_number(digest, 0, len(options)) + 1).cast("int"))
 
-    def word(c: Column, i: Column) -> Column:
-        name = F.when(c.rlike(r"\p{IsCyrillic}"), pick(CYRILLIC_NAMES, i)).otherwise(
-            pick(LATIN_NAMES, i)
-        )
-        cyrillic = _letter(digest, i, "АБВГДЕИКЛМНОПРСТ")
-        latin = _letter(digest, i, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
-        initial = F.concat(F.when(c.rlike(r"\p{IsCyrillic}"), cyrillic).otherwise(latin), F.lit("."))
-        return (
-            F.when(c.rlike(r"\A\p{Lu}\.\z"), initial)
-            .when(c.rlike(r"\A[\p{Lu}'’-]{2,}\z"), F.upper(name))
-            .otherwise(name)
+    def made(script: str, gender: str) -> Column:
+        consonants, vowels = SYLLABLES[script]
+        syllables = F.transform(
+            F.sequence(F.lit(1), F.least(attempt, F.lit(6)) + 2),
+            lambda i: F.concat(_letter(digest, i * 4, consonants), _letter(digest, i * 4 + 2, vowels)),
         )
+        end = _letter(digest, F.lit(0), LAST_LETTERS[script][gender])
+        # Those of women end in a vowel, so its place has a consonant before it.
+        before = _letter(digest, F.lit(2), consonants) if gender == "female" else F.lit("")
+        return F.concat(F.array_join(syllables, ""), before, end)
 
-    words = F.array_join(F.transform(F.split(entity, " "), word), " ")
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    # Every attempt after the first adds two more initials to choose from.
-    initials = F.transform(
-        F.sequence(F.lit(1), F.least(attempt, F.lit(6)) * 2),
-        lambda i: F.concat(_letter(digest, i + 7, upper), F.lit(".")),
-    )
-    return F.when(attempt == 0, words).otherwise(
-        F.concat_ws(" ", words, F.array_join(initials, " "))
-    )
+    def of_gender(gender: str) -> Column:
+        cyrillic = word.rlike(r"\p{IsCyrillic}")
+        return F.when(
+            attempt == 0,
+            F.when(cyrillic, listed(CYRILLIC_NAMES, gender)).otherwise(listed(LATIN_NAMES, gender)),
+        ).otherwise(F.when(cyrillic, made("cyrillic", gender)).otherwise(made("latin", gender)))
+
+    return F.when(F.col("gender") == "female", of_gender("female")).otherwise(of_gender("male"))
+
+
+def _initial(initial: Column, key: str) -> Column:
+    """Another initial; different ones stay different."""
+    given, drawn = "", ""
+    for letters in ALPHABETS:
+        digest = hashlib.sha256(f"{key}\x1f{letters}".encode()).digest()
+        shift = 1 + int.from_bytes(digest[:8], "big") % (len(letters) - 1)
+        given, drawn = given + letters, drawn + letters[shift:] + letters[:shift]
+    return F.translate(initial, given, drawn)
 
 
 # What of an entity is kept in front of the part that is drawn anew, by type.
@@ -208,7 +245,7 @@ def with_surrogates(entities: DataFrame, key: str) -> DataFrame:
         kept = F.when(kind == name, F.regexp_extract(entity, f"({pattern})?", 1)).otherwise(kept)
     domain = F.lower(F.substring_index(entity, "@", -1))
     # Case and separators don't make another entity.
-    same = F.when(kind.isin("name", "email"), F.lower(entity)).when(
+    same = F.when(kind.isin("email", "ipv6"), F.lower(entity)).when(
         kind.isin("card", "phone", "ssn", "iban"), F.regexp_replace(entity, "[^A-Z0-9]", "")
     )
     parts = entities.withColumns(
@@ -223,7 +260,7 @@ def with_surrogates(entities: DataFrame, key: str) -> DataFrame:
         }
     )
     core = (
-        F.when(kind.isin("name", "ipv4"), "")
+        F.when(kind.isin("word", "ipv4", "ipv6"), "")
         .when(kind == "email", F.substring_index(entity, "@", 1))
         .otherwise(F.expr("substring(entity, char_length(kept) + 1)"))
     )
@@ -240,11 +277,16 @@ def with_surrogates(entities: DataFrame, key: str) -> DataFrame:
         *[_number(digest, i, 256).cast("string") for i in (1, 2)],
         (_number(digest, 3, 254) + 1).cast("string"),
     )
+    # Set aside for documentation.
+    groups = [F.substring(digest, 4 * i + 1, 4) for i in range(6)]
+    ipv6 = F.concat_ws(":", F.lit("2001:db8"), *groups)
+    ipv6 = F.when(entity.rlike("[A-F]"), F.upper(ipv6)).otherwise(ipv6)
     surrogate = (
         F.when(kind == "email", F.concat("drawn", F.lit("@"), "domain", F.lit(".example")))
         .when(kind == "ipv4", ip)
+        .when(kind == "ipv6", ipv6)
         .when(kind == "card", _with_check_digit(entity, F.col("drawn")))
-        .when(kind == "name", _name(entity, digest, F.col("attempt")))
+        .when(kind == "word", _name_word(entity, digest, F.col("attempt")))
         .otherwise(F.col("drawn"))
     )
     helpers = ["digest", "domain_digest", "kept", "is_hex", "core", "labels", "drawn", "domain"]
@@ -258,7 +300,7 @@ def found_entities(docs: DataFrame) -> DataFrame:
     text between the matches.
     """
     text = F.col("text")
-    female = rf"\b(?:{'|'.join(TITLES['female'])})\.? \z"
+    female = rf"{NO_LETTER}(?:{'|'.join(TITLES['female'])})\.? \z"
     matched = docs.where(text.rlike(HINT)).select(
         "id",
         F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1)).alias("entities"),
@@ -323,8 +365,34 @@ def resolve_collisions(entities: DataFrame, key: str) -> DataFrame:
 def surrogates(docs: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """The entities of all documents by place, and the surrogate of each distinct one."""
     found = materialize(_canonical(found_entities(docs)), "found")
-    distinct = found.select("type", "gender", "entity").distinct()
-    return found, resolve_collisions(distinct, key)
+    distinct = materialize(found.select("type", "gender", "entity").distinct(), "distinct")
+    is_name = F.col("type") == "name"
+    words = distinct.where(is_name).select(
+        "gender", "entity", F.posexplode(F.split("entity", " ")).alias("place", "word")
+    )
+    initial, word = F.col("word").rlike(r"\A\p{Lu}\.\z"), F.lower("word")
+    own = words.where(~initial).select(F.lit("word").alias("type"), "gender", word.alias("entity"))
+    settled = resolve_collisions(distinct.where(~is_name).unionAll(own.distinct()), key)
+    of_word = settled.where("type = 'word'").select(
+        F.col("gender").alias("g_"), F.col("entity").alias("w_"), "surrogate", "attempt"
+    )
+    title = F.concat(F.upper(F.substring("surrogate", 1, 1)), F.expr("substring(surrogate, 2)"))
+    shown = (
+        F.when(initial, _initial(F.col("word"), key))
+        .when(F.col("word").rlike(r"\A[\p{Lu}'’-]{2,}\z"), F.upper("surrogate"))
+        .otherwise(title)
+    )
+    by_place = F.array_sort(F.collect_list(F.struct("place", shown.alias("shown"))))
+    names = (
+        words.join(of_word, (F.col("gender") == F.col("g_")) & (word == F.col("w_")), "left")
+        .groupBy("gender", "entity")
+        .agg(
+            F.coalesce(F.max("attempt"), F.lit(0)).alias("attempt"),
+            F.array_join(F.transform(by_place, lambda x: x.shown), " ").alias("surrogate"),
+        )
+        .select(F.lit("name").alias("type"), "gender", "entity", "attempt", "surrogate")
+    )
+    return found, settled.where("type <> 'word'").unionByName(names)
 
 
 def _mentions(places: Column) -> Column:

@@ -100,6 +100,7 @@ def test_hint_is_implied_by_every_pattern(spark):
     texts = {
         "email": "a@b.cd", "ipv4": "1.2.3.4", "iban": "DE89 3704 0044 0532 0130 00", "ssn": "123-45-6789",
         "card": "4785 3805 9239 1139", "phone": "+33 1 42 68 53 00", "name": "Mr Kennedy", "key": "sk-abcdefghijklmnopqr",
+        "ipv6": "fe80::1ff:fe23:4567:890a",
     }
     assert set(texts) == set(pii.PATTERNS)
     rows = spark.createDataFrame(list(texts.items()), "kind string, text string")
@@ -132,6 +133,81 @@ def test_telephone_groups(spark):
         assert _shape(done[i][0]) == _shape(f"call {number}, now")
 
 
+def _plain_persons(text):
+    """Names of a text, found word by word without the patterns: what each word stands for."""
+    titles = {t: g for g, words in pii.TITLES.items() for t in words}
+    words, out, gender = text.split(" "), [], None
+    for before, word in zip(["", *words], words):
+        if before.rstrip(".") in titles:
+            gender = titles[before.rstrip(".")]
+        elif not (gender and word[:1].isupper()):
+            gender = None
+        out.append((gender, word.lower()) if gender and word[:1].isupper() else None)
+    return out
+
+
+def test_persons_keep_their_words(spark):
+    """Titled mentions agree in every word, different words never do: against a plain reading."""
+    given, last = ["John", "Paul", "Peter", "Anna", "Maria", "Иван"], ["Smith", "Brown", "Miller", "Stone", "Петров"]
+    title = {"Anna": "Mrs", "Maria": "Frau", "Иван": "г-н"}
+    texts = {}
+    for i in range(120):
+        a, b = given[i % 6], last[i % 5]
+        c, d = given[(i // 3 + 1) % 6], last[(i // 5 + 2) % 5]
+        ta, tc = title.get(a, "Mr"), title.get(c, "Mr")
+        texts[i] = f"then {ta} {a} {b} met {tc} {c} {d} and {ta} {b} paid {tc} {d} again"
+    done = _rewritten(spark, texts)
+    stands_for = {}
+    for i, text in texts.items():
+        old, new = text.split(" "), done[i][0].split(" ")
+        assert len(old) == len(new) and done[i][1] == 4
+        for person, x, y in zip(_plain_persons(text), old, new):
+            if person is None:
+                assert x == y
+            else:
+                assert x != y and stands_for.setdefault(person, y) == y
+    assert len(set(stands_for.values())) == len(stands_for)
+    assert not {w for _, w in stands_for} & {y.lower() for y in stands_for.values()}
+
+
+def test_names_past_the_lists_keep_their_form(spark):
+    texts = {i: f"Mr Q{chr(97 + i % 26)}{chr(97 + i // 26)}l O'Brien's hat, Mrs JEAN-{chr(65 + i % 26)}K Д. Zed." for i in range(100)}
+    done = _rewritten(spark, texts)
+    firsts = set()
+    for i in texts:
+        first, last, other, dot, end = re.match(
+            r"Mr (\p{Lu}\p{Ll}+) (\p{Lu}\p{Ll}+)'s hat, Mrs (\p{Lu}+) (\p{Lu}\.) (\p{Lu}\p{Ll}+)\.$".replace(r"\p{Lu}", "[A-ZА-Я]").replace(r"\p{Ll}", "[a-zа-я]"),
+            done[i][0],
+        ).groups()
+        firsts.add(first)
+    assert len(firsts) == 100
+
+
+def test_addresses_and_bare_numbers(spark):
+    texts = {
+        1: "from fe80::1ff:fe23:4567:890a or 2001:0DB8:0000:0000:0000:8A2E:0370:7334.",
+        2: "see FE80::1FF:fe23:4567:890A",
+        3: "std::vector<a::b> at 10:30:45, order 5551234567",
+        4: "please call 5551234567 today",
+    }
+    done = _rewritten(spark, texts)
+    assert {i: n for i, (_, n) in done.items()} == {1: 2, 2: 1, 3: 0, 4: 1}
+    assert done[3][0] == texts[3] and re.fullmatch(r"please call \d{10} today", done[4][0])
+    address = r"2001:db8(?::[0-9a-f]{4}){6}"
+    first, second = re.fullmatch(rf"from ({address}) or ((?i:{address}))\.", done[1][0]).groups()
+    assert second == second.upper()
+    # Written in the other case, it is the same address.
+    assert done[2][0] == f"see {first.upper()}" and "5551234567" not in done[4][0]
+
+
+def test_very_long_name(spark):
+    """The first words are the name; the text behind them has them no more either as a whole."""
+    text = "Mr " + "Word Other " * 20_000 + "ends"
+    done = _rewritten(spark, {1: text})
+    assert done[1][0].startswith("Mr ") and "Word" not in done[1][0].split()[1 : 1 + pii.MAX_NAME_WORDS]
+    assert len(done[1][0].split()) == 40_002 and done[1][1] >= 1
+
+
 def test_odd_documents_and_other_columns(spark):
     table = odd_table(spark)
     done = pii.replace_pii(table, "k")
