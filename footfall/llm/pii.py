@@ -78,6 +78,11 @@ NAME_WORD = rf"(?:\p{{Lu}}(?:[\p{{L}}-]++{APOSTROPHE}*+|{APOSTROPHE}++)|\p{{Lu}}
 # by recursion, so a run of any length would also overflow its stack.)
 MAX_NAME_WORDS = 16
 
+# Behind a word that announces a telephone number (of one length each, as some engines demand).
+ANNOUNCED = "|".join(
+    rf"(?<=\b{word}{end})" for word in ("[Tt]el", "[Pp]hone", "[Cc]all", "[Mm]obile", "[Ff]ax") for end in (" ", "[.:] ")
+)
+
 # Order matters: what an earlier pattern matches at a place, a later one doesn't get.
 PATTERNS = {
     "email": r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
@@ -100,10 +105,10 @@ PATTERNS = {
             r"(?<![0-9A-Za-z+.-])0[1-9](?:[ .-][0-9]{2}){4}(?![0-9])",
             r"(?<![0-9A-Za-z+.-])0[1-9][0-9]{0,3}[ /-][0-9]{5,8}(?![0-9])",
             # Without separators only behind a word that announces a number.
-            r"(?<=\b(?:[Tt]el|[Pp]hone|[Cc]all|[Mm]obile|[Ff]ax)[.:]{0,2} )[0-9]{9,15}(?![0-9])",
+            rf"(?=[0-9]{{9,15}}(?![0-9]))(?:{ANNOUNCED})[0-9]{{9,15}}",
         ]
     ),
-    "name": rf"(?<={NO_LETTER}(?:{TITLED})\.? ){NAME_WORD}(?: {NAME_WORD}){{0,{MAX_NAME_WORDS - 1}}}+",
+    "name": rf"(?=\p{{Lu}})(?<={NO_LETTER}(?:{TITLED})\.? ){NAME_WORD}(?: {NAME_WORD}){{0,{MAX_NAME_WORDS - 1}}}+",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
