@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from footfall.llm import decontamination, ngram_jaccard, packing, pii, quality_rules
 from footfall.llm.queries import DEMO_KEY, loaded_packing_params
-from footfall.llm.words import doc_key, fresh_name
+from footfall.llm.words import fresh_name
 from footfall.sources.workspace import materialize, scope, table_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -66,9 +66,10 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without too much of the benchmark in them."""
+    """Documents without too much of the benchmark in them; those of one id are judged by their texts."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    name, key = fresh_name(docs, "key_"), doc_key(F.col("doc_id"), F.col("text"))
+    text_digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    name, key = fresh_name(docs, "key_"), F.concat_ws("|", F.col("doc_id").cast("string"), text_digest)
     found = decontamination.decontaminate(
         docs.select(key.alias("doc_id"), "text"), items.select("item_id", "text")
     )
