@@ -13,10 +13,10 @@ occurs in the benchmark (at most ``span - 1``) there is a set of fingerprints wi
 its own ``k`` and ``w``.
 
 Defined cases: NULL and texts without words have no fingerprints and are hit by
-nothing. Items with the same text all count. Repeated document ids count as one
-document whose texts are looked at one by one; repeated item ids as one item. Documents
-without an id are told apart by their texts: one row with a NULL id for each text. Empty
-tables give an empty result, or one without hits.
+nothing. Items with the same text all count. Texts that share a document id are judged one by
+one; the id has the row of the worst: a contaminated one before others, then that with most words hit.
+Repeated item ids count as one item. Documents without an id are told apart by their texts: one
+row with a NULL id for each text. Empty tables give an empty result, or one without hits.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.words import alnum_words, ascii_lower, doc_key
+from footfall.llm.words import alnum_words, ascii_lower
 from footfall.sources.workspace import materialize
 
 
@@ -193,14 +193,10 @@ def decontaminate(
 
     ``item_ids`` lists the items as strings, in order.
     """
-    # An id of a document without one is the digest of its text.
-    id_type = docs.schema["doc_id"].dataType
-    nameless = docs.where("doc_id is null")
-    if not nameless.isEmpty():
-        key = doc_key(F.col("doc_id"), F.col("text"))
-        keyed = decontaminate(docs.withColumn("doc_id", key), items, params)
-        own = F.when(F.col("doc_id").startswith("i"), F.substring("doc_id", 2, 1 << 30))
-        return keyed.withColumn("doc_id", own.cast(id_type))
+    # A document is an id and a text: texts of one id, or of none, aren't one document.
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+    own = F.struct(F.col("doc_id").alias("id"), digest.alias("digest"))
+    docs = docs.select(own.alias("doc_id"), "text")
     spans, counts = hit_spans(docs, items, params)
     in_order = Window.partitionBy("doc").orderBy("first", "last", "item")
     reached = F.max("last").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
@@ -216,13 +212,20 @@ def decontaminate(
     )
     counts = counts.groupBy("id").agg(F.max("n_words").alias("n_words"))
     none = F.array().cast("array<string>")
-    found = counts.join(hits, F.col("id") == F.col("doc"), "left").select(
-        F.col("id").alias("doc_id"),
+    n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
+    enough = n_hit * 100 >= F.col("n_words") * params.min_hit_percent
+    verdict = F.struct(
+        ((n_hit > 0) & enough).alias("contaminated"),
+        n_hit.alias("n_hit"),
         "n_words",
-        F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("item_ids", none).alias("item_ids"),
     )
-    contaminated = (F.col("n_hit") > 0) & (
-        F.col("n_hit") * 100 >= F.col("n_words") * params.min_hit_percent
+    worst = (
+        counts.join(hits, F.col("id") == F.col("doc"), "left")
+        .select("id.id", F.when(F.col("id.id").isNull(), F.col("id.digest")).alias("own"), verdict.alias("v"))
+        .groupBy("id", "own")
+        .agg(F.max("v").alias("v"))
+    )
+    return worst.select(
+        F.col("id").alias("doc_id"), "v.n_words", "v.n_hit", "v.item_ids", "v.contaminated"
     )
-    return found.withColumn("contaminated", contaminated)

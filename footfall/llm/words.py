@@ -35,14 +35,6 @@ def alnum_words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), NOT_ALNUM), "")
 
 
-def doc_key(doc_id: Column, text: Column) -> Column:
-    """The id as text, never NULL: a document without an id is known by its text's digest."""
-    digest = F.sha2(F.coalesce(text, F.lit("")), 256)
-    return F.coalesce(
-        F.concat(F.lit("i"), doc_id.cast("string")), F.concat(F.lit("t"), digest)
-    )
-
-
 def fresh_name(df: DataFrame, name: str) -> str:
     """``name``, or a longer one where ``df`` has a column called so already."""
     taken = {c.lower() for c in df.columns}

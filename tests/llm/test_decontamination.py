@@ -63,6 +63,18 @@ def test_every_shared_span_is_seen(spark):
     assert {v[1] for v in found.values()} == {13}
 
 
+def test_texts_of_one_id_are_judged_one_by_one(spark):
+    copied, clean = " ".join(f"i{i}" for i in range(20)), " ".join(f"w{i}" for i in range(2000))
+    docs = [(1, copied), (1, clean), (2, clean), (None, copied), (None, clean), (3, copied), (3, copied)]
+    rows = decontaminate(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, copied)], ITEMS)
+    ).collect()
+    hit, unhit = (20, 20, ["7"], True), (2000, 0, [], False)
+    found = sorted((str(r.doc_id), r.n_words, r.n_hit, list(r.item_ids), r.contaminated) for r in rows)
+    expected = [("1", *hit), ("2", *unhit), ("3", *hit), ("None", *hit), ("None", *unhit)]
+    assert found == sorted(expected)
+
+
 def test_odd_documents(spark):
     items = [(1, odd_documents()[6][1]), (2, "one"), (3, None), (3, ""), (4, "a a a")]
     found = _found(odd_table(spark), spark.createDataFrame(items, ITEMS))
