@@ -457,6 +457,7 @@ _LABELED_DOCUMENTS = f"""
 document_rows AS (
   SELECT CAST(doc_id AS VARCHAR) AS id, quality AS y, ln(1 + n_chars) AS x,
     CAST(n_chars >= {LONG_DOCUMENT} AS INT) AS is_long,
+    CAST(coalesce(lang = 'en', FALSE) AS INT) AS is_english,
     CAST('0x' || substr(md5('0:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 10000 < 2000
       AS is_eval
   FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL
@@ -558,6 +559,10 @@ leaves AS (
 SELECT 'boosted_tree_classifier' AS model_type, is_long,
   round(1 / (1 + exp(-2 * (2 * r - 1))), 6) AS probability FROM leaves
 UNION ALL SELECT 'random_forest_classifier', is_long, round(kept, 6) FROM leaves""",
+        "train_deep_models": "WITH " + _LABELED_DOCUMENTS + """
+SELECT model_type, is_long, is_english, round(avg(y), 3) AS probability
+FROM tr, (VALUES ('wide_and_deep_classifier'), ('deep_classifier')) AS families(model_type)
+GROUP BY ALL""",
         "strong_penalty": _feature_ctes(TRAINING) + f""",
 base_rate AS (
   SELECT round(avg(labels), 4) AS probability FROM features

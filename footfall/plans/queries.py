@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from footfall.operators import engagement, habits, indicators, labels, metrics, scoring, training
+from footfall.operators import engagement, habits, indicators, labels, metrics, scoring, training, wide_deep
 from footfall.operators import regularization as path
 from footfall.operators.correlation import collinearity as collinear
 from footfall.operators.correlation import feature_correlation as correlate
@@ -541,7 +541,7 @@ STRONG_PENALTY = 50
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Training and holdout rows: logarithm of the length, whether it is long, label."""
+    """Training and holdout rows: logarithm of the length, whether it is long or English, label."""
     labeled = spark.read.parquet(f"{sf_dir}/labels.parquet").join(
         spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id"
     )
@@ -550,6 +550,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         F.col("quality").alias("labels"),
         F.log1p("n_chars").alias("log_length"),
         (F.col("n_chars") >= LONG_DOCUMENT).cast("int").alias("is_long"),
+        F.coalesce(F.col("lang") == "en", F.lit(False)).cast("int").alias("is_english"),
     )
     rows = materialize(split(rows.where("quality IS NOT NULL")), "documents")
     return rows.where("not is_eval"), rows.where("is_eval")
@@ -650,6 +651,25 @@ def train_tree_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored[0].unionAll(scored[1])
 
 
+# Without penalty the best model of two binary inputs gives each of the four cells its own rate.
+SATURATED = wide_deep.DeepOptions(hidden=6, l2=0.0, tolerance=1e-6, max_passes=1000)
+
+
+@query
+def train_deep_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide-and-deep and deep classifier on two inputs and what they say together."""
+    training_rows, held_out = _documents(spark, sf_dir)
+    cell = ["is_long", "is_english"]
+    inputs = path.prepare_inputs(training_rows.unionAll(held_out), cell, {})
+    scored = []
+    for wide in (True, False):
+        model = wide_deep.fit(inputs, replace(SATURATED, wide=wide))
+        cells = wide_deep.with_probability(model, inputs.prepare, training_rows.select(*cell).distinct())
+        rounded = F.round("probability", 3).alias("probability")
+        scored.append(cells.select(F.lit(model.model_type).alias("model_type"), *cell, rounded))
+    return scored[0].unionAll(scored[1])
+
+
 @query
 def strong_penalty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All model inputs, and a penalty that leaves none: everybody gets the base rate."""
