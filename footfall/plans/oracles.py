@@ -560,7 +560,7 @@ SELECT 'boosted_tree_classifier' AS model_type, is_long,
   round(1 / (1 + exp(-2 * (2 * r - 1))), 6) AS probability FROM leaves
 UNION ALL SELECT 'random_forest_classifier', is_long, round(kept, 6) FROM leaves""",
         "train_deep_models": "WITH " + _LABELED_DOCUMENTS + """
-SELECT model_type, is_long, is_english, round(avg(y), 3) AS probability
+SELECT model_type, is_long, is_english, count(*) AS n, CAST(sum(y) AS BIGINT) AS expected_positives
 FROM tr, (VALUES ('wide_and_deep_classifier'), ('deep_classifier')) AS families(model_type)
 GROUP BY ALL""",
         "strong_penalty": _feature_ctes(TRAINING) + f""",
