@@ -3,9 +3,11 @@
 Word n-grams (single words and pairs) of a paragraph are hashed into a sparse
 vector, and a multinomial logistic regression names the licence family, ``unknown``
 being one of them. It is trained on variants of the templates (words left out or
-replaced, text before and after) and on a bounded sample of the corpus's own
-paragraphs as ``unknown``. Its threshold is calibrated on held-out paragraphs of
-that sample: the probability of a licence that only a small share of them exceeds.
+replaced, text before and after) and on the corpus's own paragraphs as ``unknown``: all
+lines it can be asked about (those with a key word, see below) that are no notice. Lines with
+the same features travel as one row with their number as its weight. The threshold is calibrated on
+a half of these lines that is held out, all of it: the probability of a licence that only
+a small share exceeds, in steps of ``STEP``.
 A prediction counts once it is confirmed: enough of the words of one of the family's
 templates have to stand in the paragraph, one that no other family has among them (if the
 template has such words), so that the licence of a family that isn't listed takes no listed name.
@@ -26,7 +28,8 @@ Only what can be confirmed is classified. A window with a share ``s`` of a templ
 different words lacks at most ``m - ceil(s m)`` of them, so it has one of any ``m - ceil(s m) + 1``
 at least: the key words, chosen among the less common ones. Windows without a key word
 are passed over, then those that reach the share with no template. Both follow from the
-condition for confirming, so that changes no result.
+condition for confirming, so that changes no result. Texts are cut into words once, and those
+with a key word are written down for training and scan.
 
 Everything on the main path is a DataFrame operation or a model of Spark's own
 library. Defined cases: NULL and empty texts have no paragraphs. A paragraph is a line with a word in
@@ -40,6 +43,7 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
@@ -136,8 +140,6 @@ MARKS = r"(?i)licen[cs]e|redistribution|permission|waived|public domain|free sof
 @dataclass(frozen=True)
 class LicenseParams:
     n_features: int = 1 << 14
-    #: Paragraphs of the corpus used as the unknown class; bounds the training.
-    max_unknown: int = 4000
     variants: int = 60
     false_positive_rate: float = 0.01
     min_template_share: float = 0.6
@@ -149,6 +151,10 @@ def _template_words() -> list[list[str]]:
     return [list(dict.fromkeys(w for w in re.split(NOT_ALNUM, t.lower()) if w)) for t in texts]
 
 
+def _known_words() -> list[str]:
+    return sorted({w for words in _template_words() for w in words})
+
+
 def _own_words(family: str, line: str) -> list[str]:
     """The template's words that no template of another family has."""
     split = lambda text: {w for w in re.split(NOT_ALNUM, text.lower()) if w}
@@ -182,24 +188,49 @@ def _has_key(words: Column, params: LicenseParams) -> Column:
 
 
 def _confirmable(words: Column, params: LicenseParams) -> Column:
-    """Whether the words have the share of some template, of any family."""
-    by_template = [
-        F.size(F.array_intersect(F.lit(t), words)) / len(t) >= params.min_template_share
-        for t in _template_words()
-    ]
-    confirmable = by_template[0]
-    for one in by_template[1:]:
-        confirmable = confirmable | one
-    return confirmable
+    """Whether the words have the share of some template, of any family.
+
+    The template words among them become bits, looked at once for all templates.
+    """
+    known = _known_words()
+    parts = [known[i : i + 63] for i in range(0, len(known), 63)]
+
+    def bits(part: list[str]) -> Column:
+        places = F.lit(part)
+        return F.aggregate(
+            F.array_intersect(places, words),
+            F.lit(0).cast("long"),
+            lambda seen, w: seen.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), (F.array_position(places, w) - 1).cast("int"))),
+        )
 
+    def enough(found: Column) -> Column:
+        """Whether the bits of all parts hold the share of a template's."""
+        tests = []
+        for template in _template_words():
+            masks = [sum(1 << part.index(w) for w in template if w in part) for part in parts]
+            n = [F.bit_count(F.get(found, k).bitwiseAND(F.lit(mask).cast("long"))) for k, mask in enumerate(masks) if mask]
+            tests.append(reduce(Column.__add__, n) / len(template) >= params.min_template_share)
+        return reduce(Column.__or__, tests)
 
-def windows(docs: DataFrame, params: LicenseParams = LicenseParams()) -> DataFrame:
-    """``doc_id``, ``of_text``, ``paragraph``, ``n_lines`` and ``words`` of windows with a key word."""
-    between = _most_words()
+    # In an array of one, so that the bits are found once and not for every template.
+    found = F.array(F.array(*[bits(part) for part in parts]))
+    return F.coalesce(F.exists(found, enough), F.lit(False))
+
+
+def keyed_lines(docs: DataFrame, params: LicenseParams = LicenseParams()) -> DataFrame:
+    """Texts with a key word, cut up: ``doc_id``, ``of_text``, words by line, which have a key word."""
     lines = F.transform(F.split(ascii_lower(F.col("text")), "\n"), lambda x: alnum_words(x))
     keyed = F.transform("lines", lambda w: _has_key(w, params))
     rows = docs.select("doc_id", F.xxhash64("text").alias("of_text"), lines.alias("lines"))
-    rows = rows.withColumn("keyed", keyed).where(F.array_contains("keyed", True))
+    return rows.withColumn("keyed", keyed).where(F.array_contains("keyed", True))
+
+
+def windows(rows: DataFrame, params: LicenseParams = LicenseParams()) -> DataFrame:
+    """``doc_id``, ``of_text``, ``paragraph``, ``n_lines`` and ``words`` of windows with a key word.
+
+    ``rows`` are those of ``keyed_lines``.
+    """
+    between = _most_words()
     rows = rows.withColumn("sizes", F.transform("lines", lambda w: F.size(w)))
 
     def reach(i: Column) -> Column:
@@ -282,13 +313,18 @@ def _grams(words: Column) -> Column:
     return F.concat(words, pairs)
 
 
+def _gram_set(words: Column) -> Column:
+    """The different grams, words that no template has standing for each other; in order."""
+    known = _known_words()
+    seen = F.transform(words, lambda w: F.when(w.isin(known), w).otherwise(OTHER_WORD))
+    return F.array_sort(F.array_distinct(_grams(seen)))
+
+
 def _vectors(rows: DataFrame, params: LicenseParams) -> DataFrame:
     hashing = HashingTF(
         inputCol="grams", outputCol="features", numFeatures=params.n_features, binary=True
     )
-    known = sorted({w for words in _template_words() for w in words})
-    seen = F.transform("words", lambda w: F.when(w.isin(known), w).otherwise(OTHER_WORD))
-    return hashing.transform(rows.withColumn("seen", seen).withColumn("grams", _grams(F.col("seen"))))
+    return hashing.transform(rows)
 
 
 def _template_rows(spark: SparkSession) -> DataFrame:
@@ -301,13 +337,23 @@ def _template_rows(spark: SparkSession) -> DataFrame:
     return made.withColumn("words", alnum_words(ascii_lower(F.col("line"))))
 
 
-def training_rows(spark: SparkSession, unknown: DataFrame, params: LicenseParams) -> DataFrame:
-    """``family`` and ``words``: variants of every template, and the unknown paragraphs.
+def unknown_lines(rows: DataFrame, params: LicenseParams = LicenseParams()) -> DataFrame:
+    """``words`` of all lines with a key word that are no notice; ``rows`` are those of ``keyed_lines``."""
+    words = F.col("words")
+    lines = rows.select(F.inline(F.arrays_zip(F.col("lines").alias("words"), "keyed")))
+    return lines.where(
+        F.col("keyed") & ~F.array_join(words, " ").rlike(MARKS) & ~_confirmable(words, params)
+    ).select("words")
+
 
-    A variant leaves out one word in eight, by a hash, and stands between words of some
-    unknown paragraph, up to as many on each side as a piece of a long line can hold.
+def template_variants(unknown: DataFrame, params: LicenseParams) -> DataFrame:
+    """``family`` and ``words``: variants of every template.
+
+    A variant leaves out one word in eight, by a hash, and stands between words of a long
+    unknown line (other words, where there is none), up to as many on each side as a piece of a
+    long line can hold.
     """
-    templates = _template_rows(spark).withColumn(
+    templates = _template_rows(unknown.sparkSession).withColumn(
         "variant", F.explode(F.sequence(F.lit(0), F.lit(params.variants - 1)))
     )
     left_out = lambda x, i: F.pmod(F.xxhash64(x, i, F.col("variant")), F.lit(8)) != 0
@@ -315,22 +361,28 @@ def training_rows(spark: SparkSession, unknown: DataFrame, params: LicenseParams
         "words",
         F.when(F.col("variant") == 0, F.col("words")).otherwise(F.filter("words", left_out)),
     )
-    numbered = unknown.withColumn("number", F.col("number") % params.variants)
-    # The longest of some paragraphs.
-    longest = F.max(F.struct(F.size("words").alias("n"), "words")).words
-    surroundings = numbered.groupBy("number").agg(longest.alias("around"))
-    around = F.coalesce("around", F.array().cast("array<string>"))
+    # One line per variant; as many of its words as can stand around a notice.
+    most = 4 * _most_words()
+    place = F.xxhash64("words")
+    around = F.max_by(
+        F.slice("words", F.lit(1), F.lit(most)), F.struct(F.least(F.size("words"), F.lit(most)), place)
+    )
+    surroundings = unknown.groupBy(F.pmod(place, F.lit(params.variants)).alias("number")).agg(around.alias("around"))
+    around = F.coalesce("around", F.lit([OTHER_WORD] * most))
     # Half of the variants stand alone or nearly so.
     most = F.when(F.col("variant") % 2 == 0, 5).otherwise(2 * _most_words())
     n_before = F.pmod(F.xxhash64("variant", "line"), most).cast("int")
     n_after = F.pmod(F.xxhash64("line", "variant"), most).cast("int")
-    known = varied.join(surroundings, F.col("variant") == F.col("number"), "left").select(
+    return varied.join(surroundings, F.col("variant") == F.col("number"), "left").select(
         "family",
         F.concat(
             F.slice(around, F.lit(1), n_before), "words", F.slice(around, n_before + 1, n_after)
         ).alias("words"),
     )
-    return known.unionAll(unknown.select(F.lit(UNKNOWN).alias("family"), "words"))
+
+
+# Steps in which the threshold is found.
+STEP = 1 / 4096
 
 
 @dataclass(frozen=True)
@@ -341,44 +393,55 @@ class LicenseModel:
 
 
 def train(docs: DataFrame, params: LicenseParams = LicenseParams()) -> LicenseModel:
-    """Fits and calibrates on ``docs`` and the templates.
-
-    The sample is the unmarked lines that can't be confirmed with the smallest hashes, so it doesn't
-    depend on the order of rows; every other one of them is held out for calibration.
-    """
-    spark = docs.sparkSession
-    order = F.xxhash64("doc_id", "paragraph", "line")
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-    # One look at the number of lines tells which hashes can be among the smallest; no task
-    # holds more than its part of a few times the sample.
-    n_lines = docs.agg(F.sum(F.size(F.split("text", "\n")))).first()[0] or 0
-    most = int(min(1.0, 4 * params.max_unknown / max(n_lines, 1)) * (1 << 40))
-    lines = lines.where(F.pmod(order, F.lit(1 << 40)) <= most).distinct()
-    # Words once for the filter, and again only for the lines that were chosen.
-    words = alnum_words(ascii_lower(F.col("line")))
-    is_notice = F.when(_has_key(words, params), _confirmable(words, params)).otherwise(False)
-    sample = (
-        lines.where(F.col("line").rlike(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"))
-        .where(~F.col("line").rlike(MARKS) & ~is_notice)
-        .orderBy(F.pmod(order, F.lit(1 << 40)), "doc_id", "paragraph", "line")
-        .limit(params.max_unknown)
-        .select("doc_id", "paragraph", words.alias("words"), F.pmod(order, F.lit(1 << 20)).alias("number"))
-    )
-    sample = materialize(sample, "unknown")
+    """Fits and calibrates on ``docs`` and the templates."""
+    return train_on(materialize(keyed_lines(docs, params), "lines"), params)
+
+
+def train_on(rows: DataFrame, params: LicenseParams = LicenseParams()) -> LicenseModel:
+    """The same from the rows of ``keyed_lines``; every unknown line counts in the fit or the threshold."""
+    unknown = unknown_lines(rows, params)
+    grams = _gram_set(F.col("words")).alias("grams")
+    # Equal lines are all in one half.
+    held = F.pmod(F.xxhash64("grams"), F.lit(2)) == 1
+    kinds = unknown.select(grams).groupBy("grams").agg(F.count("*").alias("n")).withColumn("held", held)
+    kinds = materialize(kinds, "unknown")
+    variants = materialize(template_variants(unknown, params).select("family", grams), "variants")
     families = [*sorted(TEMPLATES), UNKNOWN]
     label = F.array_position(F.lit(families), F.col("family")) - 1
-    rows = training_rows(spark, sample.where("number % 2 = 0"), params)
-    rows = materialize(_vectors(rows, params).select(label.cast("double").alias("label"), "features"))
+    # The unknown lines weigh no more than the variants together, however many there are.
+    n_taught = kinds.where("NOT held").agg(F.sum("n")).first()[0] or 0
+    weight = min(1.0, variants.count() / max(n_taught, 1))
+    # Lines without a word of any template, for a corpus that has no line to learn from.
+    plain = rows.sparkSession.createDataFrame(
+        [([OTHER_WORD], float(params.variants)), ([OTHER_WORD, f"{OTHER_WORD} {OTHER_WORD}"], float(params.variants))],
+        "grams array<string>, weight double",
+    )
+    taught = (
+        kinds.where("NOT held")
+        .select("grams", (F.col("n") * weight).alias("weight"))
+        .unionAll(plain)
+        .select(F.lit(UNKNOWN).alias("family"), "grams", "weight")
+        .unionAll(variants.select("family", "grams", F.lit(1.0)))
+    )
+    taught = _vectors(taught, params).select(label.cast("double").alias("label"), "features", "weight")
     fitted = LogisticRegression(
-        family="multinomial", regParam=0.001, maxIter=200, tol=1e-6
-    ).fit(rows)
-    held_out = _vectors(sample.where("number % 2 = 1"), params)
-    chance = _license_chance(fitted.transform(held_out), len(families))
-    edge = held_out_edge = chance.agg(
-        F.percentile("chance", F.lit(1 - params.false_positive_rate)).alias("edge")
-    ).first()[0]
-    edge = 0.5 if held_out_edge is None else edge
-    return LicenseModel(fitted, families, max(0.3, min(0.9, float(edge))))
+        family="multinomial", regParam=0.001, maxIter=200, tol=1e-6, weightCol="weight"
+    ).fit(materialize(taught))
+    held_out = _license_chance(fitted.transform(_vectors(kinds.where("held"), params)), len(families))
+    return LicenseModel(fitted, families, max(0.3, min(0.9, _edge(held_out, params))))
+
+
+def _edge(held_out: DataFrame, params: LicenseParams) -> float:
+    """The least step that no more than ``false_positive_rate`` of the lines exceed; 0.5 without any."""
+    step = F.ceil(F.col("chance") / STEP)
+    # A bounded number of rows: one per step.
+    counts = held_out.groupBy(step.alias("step")).agg(F.sum("n").alias("n")).orderBy("step").collect()
+    above = total = sum(r.n for r in counts)
+    for r in counts:
+        above -= r.n
+        if above <= params.false_positive_rate * total:
+            return r.step * STEP
+    return 0.5
 
 
 def _license_chance(scored: DataFrame, n: int) -> DataFrame:
@@ -390,10 +453,15 @@ def _license_chance(scored: DataFrame, n: int) -> DataFrame:
 
 def scan(docs: DataFrame, model: LicenseModel, params: LicenseParams = LicenseParams()) -> DataFrame:
     """Confirmed licence paragraphs: ``doc_id``, ``paragraph``, ``family``, ``chance``, ``share``."""
-    spark = docs.sparkSession
-    likely = windows(docs, params).where(_confirmable(F.col("words"), params))
+    return scan_rows(materialize(keyed_lines(docs, params), "lines"), model, params)
+
+
+def scan_rows(rows: DataFrame, model: LicenseModel, params: LicenseParams = LicenseParams()) -> DataFrame:
+    """The same from the rows of ``keyed_lines``."""
+    spark = rows.sparkSession
+    likely = windows(rows, params).where(_confirmable(F.col("words"), params))
     scored = _license_chance(
-        model.classifier.transform(_vectors(likely, params)), len(model.families)
+        model.classifier.transform(_vectors(likely.withColumn("grams", _gram_set(F.col("words"))), params)), len(model.families)
     )
     licence_only = F.slice(
         vector_to_array("probability"), F.lit(1), F.lit(len(model.families) - 1)
@@ -472,7 +540,8 @@ def scan_documents(
 ) -> DataFrame:
     """Per document: ``doc_id``, its licence ``families`` in order and ``n_paragraphs``."""
     docs = docs.select("doc_id", "text")
-    found = scan(docs, train(docs, params), params)
+    rows = materialize(keyed_lines(docs, params), "lines")
+    found = scan_rows(rows, train_on(rows, params), params)
     by_doc = found.groupBy("doc_id").agg(
         F.array_sort(F.collect_set("family")).alias("families"),
         F.countDistinct("paragraph").alias("n_paragraphs"),

@@ -129,3 +129,31 @@ def test_very_long_lists_of_notices(spark, corpus):
     found = licenses.scan(docs, model).groupBy("doc_id", "family").count().collect()
     assert {tuple(r) for r in found} == {(1, "mit", 10_000), (1, "gpl", 10_000), (2, "mit", 4), (2, "gpl", 3)}
     assert time.monotonic() - started < 60
+
+
+def test_every_unknown_line_counts(spark, monkeypatch):
+    """More lines with a key word than any bounded sample, many of them equal."""
+    tables, write = {}, licenses.materialize
+
+    def recorded(df, name="rows"):
+        tables[name] = write(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(licenses, "materialize", recorded)
+    words = ["river", "lamp", "the", "of", "and", "free", "person", "form"]
+    rows = [(i, "\n".join(f"the source {words[(i + k) % 8]} {words[k % 8]} of stone {i}" for k in range(30))) for i in range(300)]
+    licenses.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    unknown = tables["unknown"]
+    assert unknown.selectExpr("sum(n)" if "n" in unknown.columns else "count(*)").first()[0] == 9000
+
+
+def test_corpus_of_notices_alone(spark):
+    docs = spark.createDataFrame([(i, NOTICES["mit"]) for i in range(5)], "doc_id long, text string")
+    assert [list(r.families) for r in licenses.scan_documents(docs).collect()] == [["mit"]] * 5
+
+
+def test_threshold_is_the_least_that_few_lines_exceed(spark):
+    rows = [(i / 100, 1) for i in range(100)] + [(0.25, 900)]
+    edge = licenses._edge(spark.createDataFrame(rows, "chance double, n long"), licenses.LicenseParams())
+    assert sum(n for c, n in rows if c > edge) <= 10 < sum(n for c, n in rows if c > edge - 0.011)
+    assert licenses._edge(spark.createDataFrame([], "chance double, n long"), licenses.LicenseParams()) == 0.5
