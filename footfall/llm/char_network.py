@@ -76,6 +76,15 @@ def encode(windows: list[tuple[str, str, str]], window: WindowParams) -> np.ndar
     return codes
 
 
+@dataclass
+class Moments:
+    """What Adam carries from step to step."""
+
+    first: dict[str, np.ndarray]
+    second: dict[str, np.ndarray]
+    steps: int
+
+
 class CharNetwork:
     """Weights, forward pass and gradients."""
 
@@ -159,26 +168,30 @@ class CharNetwork:
         np.add.at(grads["embedding"], codes.reshape(-1), embedded.reshape(-1, p.embedding))
         return loss, grads
 
+    def new_moments(self) -> Moments:
+        zeros = {k: np.zeros_like(v) for k, v in self.weights.items()}
+        return Moments(zeros, dict(zeros), 0)
+
     def train(self, codes: np.ndarray, labels: np.ndarray) -> list[float]:
         """Adam over shuffled batches; the mean loss of each epoch."""
-        p = self.params
-        rng = np.random.default_rng(p.seed + 1)
-        first = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        second = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        steps, losses = 0, []
-        for _ in range(p.epochs):
-            of_epoch = []
-            for batch in _batches(rng.permutation(len(codes)), p.batch):
-                loss, grads = self.gradients(codes[batch], labels[batch])
-                of_epoch.append(loss)
-                steps += 1
-                for k, g in grads.items():
-                    first[k] = 0.9 * first[k] + 0.1 * g
-                    second[k] = 0.999 * second[k] + 0.001 * g * g
-                    step = (first[k] / (1 - 0.9**steps)) / (np.sqrt(second[k] / (1 - 0.999**steps)) + 1e-8)
-                    self.weights[k] = self.weights[k] - p.rate * (step + p.decay * self.weights[k])
-            losses.append(float(np.mean(of_epoch)) if of_epoch else 0.0)
-        return losses
+        rng, moments = np.random.default_rng(self.params.seed + 1), self.new_moments()
+        return [self.epoch(codes, labels, moments, rng) for _ in range(self.params.epochs)]
+
+    def epoch(self, codes: np.ndarray, labels: np.ndarray, moments: Moments, rng: np.random.Generator) -> float:
+        """One pass; weights and moments go on from where they are."""
+        p, first, second, of_epoch = self.params, moments.first, moments.second, []
+        for batch in _batches(rng.permutation(len(codes)), p.batch):
+            loss, grads = self.gradients(codes[batch], labels[batch])
+            of_epoch.append(loss)
+            moments.steps += 1
+            for k, g in grads.items():
+                first[k] = 0.9 * first[k] + 0.1 * g
+                second[k] = 0.999 * second[k] + 0.001 * g * g
+                step = (first[k] / (1 - 0.9**moments.steps)) / (
+                    np.sqrt(second[k] / (1 - 0.999**moments.steps)) + 1e-8
+                )
+                self.weights[k] = self.weights[k] - p.rate * (step + p.decay * self.weights[k])
+        return float(np.mean(of_epoch)) if of_epoch else 0.0
 
 
 def _batches(order: np.ndarray, size: int) -> Iterator[np.ndarray]:
