@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from footfall.params import FeatureParams
-from footfall.sources.workspace import folder_names
+from footfall.sources.workspace import folder_names, scope, table_path
 from footfall.vocabulary import VISITOR
 
 # Declared, never inferred: partition discovery would turn the day into an
@@ -57,11 +57,20 @@ def write_by_day(rows: DataFrame, path: str) -> None:
 
 
 def write_daily_tables(sessions: DataFrame, root: str, prefix: str = "sessions_") -> None:
-    """One table per day below ``root``, the day at the end of its name; days there are replaced."""
-    days = [r[0] for r in sessions.select("table_suffix").distinct().orderBy("table_suffix").collect()]
-    for day in days:
-        rows = sessions.where(F.col("table_suffix") == day).drop("table_suffix")
-        rows.write.mode("overwrite").parquet(f"{root}/{prefix}{day}")
+    """One table per day below ``root``, the day at the end of its name; days there are replaced.
+
+    The sessions are computed once, into a folder by day. Each table is then a copy of its day's
+    files, so what a day costs doesn't depend on how the sessions are found.
+    """
+    spark = sessions.sparkSession
+    with scope(spark):
+        folder = table_path(spark, "by_day")
+        write_by_day(sessions, folder)
+        by_day = spark.read.schema(sessions.schema).parquet(folder)
+        days = [r[0] for r in by_day.select("table_suffix").distinct().orderBy("table_suffix").collect()]
+        for day in days:
+            rows = by_day.where(F.col("table_suffix") == day).drop("table_suffix")
+            rows.write.mode("overwrite").parquet(f"{root}/{prefix}{day}")
 
 
 def read_daily_tables(

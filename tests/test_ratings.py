@@ -77,3 +77,17 @@ def test_running_counts_do_not_depend_on_the_ranges(spark):
     total = table.agg(F.sum("pos"), F.sum("neg")).first()
     top = metrics.running_counts(table).orderBy("p").first()
     assert (top.pos_above + top.pos, top.neg_above + top.neg) == tuple(total)
+
+
+def test_daily_tables_compute_the_sessions_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+    sessions = queries._sessions(spark, TABLES)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    n = sessions.count()
+    write_daily_tables(sessions.mapInArrow(count, sessions.schema), f"{tmp_path}/once")
+    assert seen.value == n
