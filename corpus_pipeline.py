@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from footfall.llm import decontamination, ngram_jaccard, packing, pii, quality_rules
 from footfall.llm.queries import DEMO_KEY, loaded_packing_params
 from footfall.llm.words import fresh_name
-from footfall.sources.workspace import materialize, scope, table_path
+from footfall.sources.workspace import is_few, materialize, scope, table_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -74,6 +74,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
         docs.select(key.alias("doc_id"), "text"), items.select("item_id", "text")
     )
     bad = materialize(found.where("contaminated").select(F.col("doc_id").alias(name)), "contaminated")
+    # Few keys, so that the texts of all documents needn't be shuffled.
+    bad = F.broadcast(bad) if is_few(bad) else bad
     return docs.withColumn(name, key).join(bad, name, "left_anti").select(*_columns(docs))
 
 
@@ -103,5 +105,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        # Texts are most of what the stages leave behind.
+        docs = materialize(stage(spark, docs, sf_dir), name, compression="zstd")
     return docs

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.llm.words import alnum_words, ascii_lower
-from footfall.sources.workspace import materialize
+from footfall.sources.workspace import materialize, with_few
 
 
 @dataclass(frozen=True)
@@ -173,7 +173,8 @@ def hit_spans(
         .agg(F.collect_set("print").alias("shared"))
     )
     shared = materialize(shared, "shared")
-    doc_words = _words(docs.join(shared.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi"), "doc_id")
+    wanted = shared.select(F.col("doc").alias("doc_id"))
+    doc_words = _words(with_few(docs, wanted, "doc_id").join(wanted, "doc_id", "left_semi"), "doc_id")
     pairs = (
         shared.join(doc_words.select(F.col("id").alias("doc"), F.col("words").alias("doc_words")), "doc")
         .join(items.select(F.col("id").alias("item"), F.col("words").alias("item_words")), "item")

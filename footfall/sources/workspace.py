@@ -15,6 +15,7 @@ from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _open_scopes: ContextVar[tuple[str, ...]] = ContextVar("open_scopes", default=())
 
@@ -79,14 +80,35 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{parent}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "rows") -> DataFrame:
+def materialize(df: DataFrame, name: str = "rows", **options: str) -> DataFrame:
     """Compute ``df`` once, for consumers that read it several times.
 
     The rows become a table in the shared folder: they survive the loss of an
     executor, nothing later goes back to the lineage, and every reader takes
     only the columns it needs. It stays until its ``scope`` ends, or, outside
-    of one, until somebody clears the folder.
+    of one, until somebody clears the folder. ``options`` are those of the Parquet writer.
     """
     path = table_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# So many keys of one long each may go to every task.
+FEW_KEYS = 1_000_000
+
+
+def is_few(keys: DataFrame) -> bool:
+    """Whether ``keys``, a table written before, may be broadcast whatever the planner thinks of its size."""
+    return keys.count() <= FEW_KEYS
+
+
+def with_few(rows: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """``rows`` without most of those whose ``name`` isn't among ``keys``, and with all others.
+
+    Where keys are few, their hashes reach all tasks, so that rows without a key aren't shuffled
+    by the exact join that has to follow. Where they are many, ``rows`` stays as it is.
+    """
+    if not is_few(keys):
+        return rows
+    hashes = keys.select(F.xxhash64(name).alias("hash_of_key")).distinct()
+    return rows.join(F.broadcast(hashes), F.xxhash64(rows[name]) == F.col("hash_of_key"), "left_semi")

@@ -5,6 +5,7 @@ from collections import defaultdict
 import pytest
 
 from footfall.llm.decontamination import DecontaminationParams, decontaminate
+from footfall.sources import workspace
 from tests.llm.rows import LOWER, empty_table, odd_documents, odd_table
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -88,3 +89,14 @@ def test_empty_tables(spark):
     clean = _found(odd_table(spark), none)
     assert len(clean) == len({r[0] for r in odd_documents()})
     assert not any(v[3] for v in clean.values())
+
+
+def test_few_hit_documents_are_found_without_shuffling_the_others(spark, monkeypatch):
+    """Whatever the planner thinks of sizes; beyond the bound the plain join gives the same."""
+    rows = [(i, f"text {i}") for i in range(50)] + [(None, "x"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keys = spark.createDataFrame([(3,), (7,), (7,), (99,)], "doc_id long")
+    few = workspace.with_few(docs, keys, "doc_id")
+    assert sorted(r.doc_id for r in few.collect()) == [3, 3, 7]
+    monkeypatch.setattr(workspace, "FEW_KEYS", 3)
+    assert workspace.with_few(docs, keys, "doc_id").count() == len(rows)
