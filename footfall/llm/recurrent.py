@@ -12,7 +12,8 @@ window, so it spans whole documents in training and scoring alike.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import math
+from collections.abc import Iterable
 
 import numpy as np
 
@@ -43,43 +44,100 @@ def new_weights(counts: np.ndarray, other: float, n_class: int, hidden: int, see
     }
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return np.float32(0.5) * np.tanh(np.float32(0.5) * x) + np.float32(0.5)
+def _by_gate(w: np.ndarray) -> np.ndarray:
+    """``x`` or ``u`` with one matrix per gate (update, reset, candidate).
 
+    Both sigmoids are taken as ``tanh(a / 2) / 2 + 1 / 2``, so theirs are halved.
+    """
+    half = np.array([0.5, 0.5, 1], w.dtype)[:, None, None]
+    return np.multiply(w.reshape(len(w), 3, -1).swapaxes(0, 1), half, order="C")
 
-def _step(weights: Weights, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The next state, and what its gradient needs."""
-    n = h.shape[1]
-    from_h = h @ weights["u"]
-    gates = _sigmoid(x[:, : 2 * n] + from_h[:, : 2 * n])
-    z, r = gates[:, :n], gates[:, n:]
-    candidate = np.tanh(x[:, 2 * n :] + r * from_h[:, 2 * n :])
-    return candidate + z * (h - candidate), z, r, candidate, from_h[:, 2 * n :]
 
+def _advance(x: np.ndarray, u: np.ndarray, states: np.ndarray, from_h: np.ndarray) -> None:
+    """Fills ``states`` after the first, one per step.
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    ``x`` (gate, step, place, unit) holds the inputs and becomes the gates; ``from_h`` (the same, or
+    with a single step that is used again) receives the products with the states. Steps and
+    places lie side by side in memory, so that each operation is one over all places.
+    """
+    last = from_h.shape[1] - 1
+    for t in range(len(states) - 1):
+        h, after, gates, candidate = states[t], states[t + 1], x[:2, t], x[2, t]
+        product = from_h[:, min(t, last)]
+        np.matmul(h, u, out=product)
+        gates += product[:2]
+        np.tanh(gates, out=gates)
+        gates *= 0.5
+        gates += 0.5
+        np.multiply(gates[1], product[2], out=after)
+        candidate += after
+        np.tanh(candidate, out=candidate)
+        np.subtract(h, candidate, out=after)
+        after *= gates[0]
+        after += candidate
 
 
-def _by_class(targets: np.ndarray, n_class: int, n_classes: int) -> Iterator[tuple[int, np.ndarray]]:
-    """The positions of the targets of each class that has words of its own."""
+def _step(weights: Weights, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The next state and its gates, of one step."""
+    x = _by_gate(x)[:, None]
+    states = np.stack([h, h]).astype(np.result_type(x, h))
+    _advance(x, _by_gate(weights["u"]), states, np.empty_like(x))
+    return states[1], *x[:, 0]
+
+
+def _by_class(targets: np.ndarray, n_class: int, n_classes: int) -> tuple[np.ndarray, list[int]]:
+    """The positions of the targets, less those of -1, in order of their classes, and where each class begins."""
     classes = targets // n_class
+    if n_classes < 2**15:
+        classes = classes.astype(np.int16)  # sorted by radix
     order = np.argsort(classes, kind="stable")
-    edges = np.searchsorted(classes[order], np.arange(n_classes))
-    for c in range(n_classes - 1):
-        if edges[c] < edges[c + 1]:
-            yield c, order[edges[c] : edges[c + 1]]
+    edges = np.searchsorted(classes[order], np.arange(n_classes + 1))
+    return order[edges[0] :], (edges - edges[0]).tolist()
+
+
+def _with_ones(states: np.ndarray) -> np.ndarray:
+    """One more unit, always 1, to multiply the biases by."""
+    out = np.ones((len(states), states.shape[1] + 1), states.dtype)
+    out[:, :-1] = states
+    return out
+
+
+def _logits(
+    weights: Weights, states: np.ndarray, edges: list[int]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Of the classes, and of the words inside each state's own class; the last class has none.
+
+    ``states`` are in order of their classes, with ones. The largest of each row is 0.
+    """
+    outer = states @ np.vstack([weights["c"], weights["c0"]])
+    words = np.concatenate([weights["w"], weights["w0"][:, None]], axis=1)
+    inner = np.empty((edges[-2], words.shape[2]), outer.dtype)
+    for of_class, begin, end in zip(words, edges, edges[1:]):
+        if begin < end:
+            np.dot(states[begin:end], of_class, out=inner[begin:end])
+    for logits in (outer, inner):
+        logits -= logits.max(axis=1, keepdims=True)
+    return outer, inner
+
+
+def _totals(chances: np.ndarray) -> np.ndarray:
+    """Sums of the rows; a product takes less time than a sum of short rows."""
+    return chances @ np.ones(chances.shape[1], chances.dtype)
 
 
 def _log_chances(weights: Weights, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    """Natural logarithm of each target's chance given its state."""
+    """Natural logarithm of each target's chance given its state; 0 for targets of -1."""
     n_class, n_classes = weights["w0"].shape[1], len(weights["c0"])
-    rows = np.arange(len(targets))
-    out = _log_softmax(states @ weights["c"] + weights["c0"])[rows, targets // n_class]
-    for c, at in _by_class(targets, n_class, n_classes):
-        inside = _log_softmax(states[at] @ weights["w"][c] + weights["w0"][c])
-        out[at] += inside[np.arange(len(at)), targets[at] - c * n_class]
+    order, edges = _by_class(targets, n_class, n_classes)
+    outer, inner = _logits(weights, _with_ones(states[order]), edges)
+    y = targets[order]
+    logs = []
+    for logits, at in ((outer, y // n_class), (inner, y[: len(inner)] % n_class)):
+        hit = logits[np.arange(len(at)), at]
+        logs.append(hit - np.log(_totals(np.exp(logits, out=logits))))
+    logs[0][: len(inner)] += logs[1]
+    out = np.zeros(len(targets), outer.dtype)
+    out[order] = logs[0]
     return out
 
 
@@ -89,11 +147,12 @@ def score(
     """Log-likelihood of each whole document (word indices); ``start`` is fed in first."""
     order = np.argsort([-len(d) for d in documents], kind="stable")
     out = np.zeros(len(documents))
-    hidden = weights["u"].shape[0]
+    table, u = _by_gate(weights["x"]), _by_gate(weights["u"])
+    hidden = u.shape[1]
     for first in range(0, len(order), side):
         group = order[first : first + side]
         lengths = np.array([len(documents[i]) for i in group])
-        h = np.zeros((len(group), hidden), np.float32)
+        h = np.zeros((len(group), hidden), u.dtype)
         before = np.full(len(group), start)
         for begin in range(0, int(lengths[0]) if len(lengths) else 0, window):
             alive = int((lengths > begin).sum())
@@ -102,17 +161,26 @@ def score(
             for row, i in enumerate(group[:alive]):
                 part = documents[i][begin : begin + steps]
                 targets[row, : len(part)] = part
-            h, before = h[:alive], before[:alive]
-            inputs = np.concatenate([before[:, None], targets[:, :-1]], axis=1)
-            x = weights["x"][np.maximum(inputs, 0)]
-            states = np.empty((alive, steps, hidden), np.float32)
-            for t in range(steps):
-                h = _step(weights, x[:, t], h)[0]
-                states[:, t] = h
-            before = targets[:, -1]
-            row, _ = found = np.nonzero(targets >= 0)
-            logs = _log_chances(weights, states[found], targets[found])
-            out[group[:alive]] += np.bincount(row, weights=logs, minlength=alive)
+            targets = targets.T.copy()
+            inputs = np.concatenate([before[None, :alive], targets[:-1]])
+            x = table.take(np.maximum(inputs, 0), axis=1)
+            states = np.empty((steps + 1, alive, hidden), u.dtype)
+            states[0] = h[:alive]
+            _advance(x, u, states, np.empty_like(x[:, :1]))
+            h, before = states[-1], targets[-1]
+            logs = _log_chances(weights, states[1:].reshape(-1, hidden), targets.ravel())
+            out[group[:alive]] += logs.reshape(steps, alive).sum(axis=0, dtype=float)
+    return out
+
+
+def _added(rows: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
+    """``n`` rows: at each place the sum of the rows with that place."""
+    out = np.zeros((n, rows.shape[1]), rows.dtype)
+    if len(rows):
+        order = np.argsort(places.astype(np.int16) if n < 2**15 else places, kind="stable")
+        found = places[order]
+        firsts = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+        out[found[firsts]] = np.add.reduceat(rows[order], firsts, axis=0)
     return out
 
 
@@ -122,46 +190,58 @@ def _gradients(
     """Gradients of one window's mean loss, and the state at its end."""
     side, steps = targets.shape
     n = h0.shape[1]
-    x = weights["x"][np.maximum(inputs, 0)]
-    h, kept = h0, []
-    states = np.empty((side, steps, n), np.float32)
-    for t in range(steps):
-        before = h
-        h, *inner = _step(weights, x[:, t], h)
-        kept.append((before, *inner))
-        states[:, t] = h
-    grads = {name: np.zeros_like(w) for name, w in weights.items()}
-    found = np.nonzero(targets >= 0)
-    s, y = states[found], targets[found]
-    share = np.float32(1 / max(len(y), 1))
+    inputs, targets = np.maximum(inputs.T, 0), targets.T.ravel()
+    x = _by_gate(weights["x"]).take(inputs, axis=1)
+    states = np.empty((steps + 1, side, n), x.dtype)
+    states[0] = h0
+    from_h = np.empty_like(x)
+    _advance(x, _by_gate(weights["u"]), states, from_h)
+    grads = {}
     n_class, n_classes = weights["w0"].shape[1], len(weights["c0"])
-    d = np.exp(_log_softmax(s @ weights["c"] + weights["c0"]))
-    d[np.arange(len(y)), y // n_class] -= 1
-    d *= share
-    grads["c"], grads["c0"] = s.T @ d, d.sum(axis=0)
-    d_s = d @ weights["c"].T
-    for c, at in _by_class(y, n_class, n_classes):
-        d = np.exp(_log_softmax(s[at] @ weights["w"][c] + weights["w0"][c]))
-        d[np.arange(len(at)), y[at] - c * n_class] -= 1
-        d *= share
-        grads["w"][c], grads["w0"][c] = s[at].T @ d, d.sum(axis=0)
-        d_s[at] += d @ weights["w"][c].T
-    d_states = np.zeros_like(states)
-    d_states[found] = d_s
-    d_x = np.zeros_like(x)
-    d_h = np.zeros_like(h0)
+    order, edges = _by_class(targets, n_class, n_classes)
+    s, y = _with_ones(states[1:].reshape(-1, n)[order]), targets[order]
+    share = 1 / max(len(y), 1)
+
+    outer, inner = _logits(weights, s, edges)
+    for d, at in ((outer, y // n_class), (inner, y[: len(inner)] % n_class)):
+        np.exp(d, out=d)
+        d *= (share / _totals(d))[:, None]
+        d[np.arange(len(at)), at] -= share
+    of_c = np.dot(s.T, outer)
+    grads["c"], grads["c0"] = of_c[:-1], of_c[-1]
+    d_s = np.dot(outer, weights["c"].T)
+    of_w = np.zeros((n_classes - 1, n + 1, n_class), s.dtype)
+    d_inner = np.empty((len(inner), n), s.dtype)
+    for c, (begin, end) in enumerate(zip(edges[:-2], edges[1:])):
+        if begin < end:
+            d = inner[begin:end]
+            np.dot(s[begin:end].T, d, out=of_w[c])
+            np.dot(d, weights["w"][c].T, out=d_inner[begin:end])
+    grads["w"], grads["w0"] = of_w[:, :-1], of_w[:, -1]
+    d_s[: len(inner)] += d_inner
+    d_states = np.zeros_like(states[1:])
+    d_states.reshape(-1, n)[order] = d_s
+
+    # What the gradient of a state is multiplied by on its way to the gates, for all steps at once.
+    before, (z, r, candidate) = states[:-1], x
+    to_candidate = (1 - z) * (1 - candidate * candidate)
+    d_u = np.empty((steps, side, 3, n), x.dtype)
+    np.multiply((before - candidate) * z, 1 - z, out=d_u[:, :, 0])
+    reset = np.multiply(to_candidate, r, out=d_u[:, :, 2])
+    np.multiply(from_h[2] * reset, 1 - r, out=d_u[:, :, 1])
+    back = weights["u"].T.copy()
+    d_h = np.zeros_like(states[0])
     for t in reversed(range(steps)):
-        before, z, r, candidate, from_h = kept[t]
-        d_h = d_h + d_states[:, t]
-        d_candidate = d_h * (1 - z) * (1 - candidate * candidate)
-        d_z = d_h * (before - candidate) * z * (1 - z)
-        d_r = d_candidate * from_h * r * (1 - r)
-        d_x[:, t] = np.concatenate([d_z, d_r, d_candidate], axis=1)
-        d_from_h = np.concatenate([d_z, d_r, d_candidate * r], axis=1)
-        grads["u"] += before.T @ d_from_h
-        d_h = d_h * z + d_from_h @ weights["u"].T
-    np.add.at(grads["x"], np.maximum(inputs, 0).ravel(), d_x.reshape(-1, 3 * n))
-    return grads, h
+        total, to_gates = d_states[t], d_u[t]
+        total += d_h
+        to_gates *= total[:, None]
+        np.dot(to_gates.reshape(side, -1), back, out=d_h)
+        d_h += total * z[t]
+    flat = d_u.reshape(-1, 3 * n)
+    grads["u"] = np.dot(before.reshape(-1, n).T, flat)
+    np.multiply(d_states, to_candidate, out=d_u[:, :, 2])
+    grads["x"] = _added(flat, inputs.ravel(), len(weights["x"]))
+    return grads, states[-1]
 
 
 def train(
@@ -177,9 +257,9 @@ def train(
     A place whose document has ended takes the next one, with a new state. Documents are
     taken as they come, so no more than ``side`` of them are held.
     """
-    weights = {name: w.copy() for name, w in weights.items()}
-    first = {name: np.zeros_like(w) for name, w in weights.items()}
-    second = {name: np.zeros_like(w) for name, w in weights.items()}
+    vector = packed(weights, np.float32)
+    weights = unpacked(vector, weights)  # parts of the vector
+    first, second, scratch = (np.zeros_like(vector) for _ in range(3))
     waiting = (d for d in documents if len(d))
     own: list[np.ndarray | None] = [None] * side
     at = np.zeros(side, int)
@@ -195,37 +275,42 @@ def train(
         targets = np.full((len(busy), window), -1)
         inputs = np.full((len(busy), window), -1)
         for row, k in enumerate(busy):
-            doc = own[k]
-            part = doc[at[k] : at[k] + window]
+            doc, begin = own[k], int(at[k])
+            part = doc[begin : begin + window]
             targets[row, : len(part)] = part
-            inputs[row, 0] = doc[at[k] - 1] if at[k] else start
+            inputs[row, 0] = doc[begin - 1] if begin else start
             inputs[row, 1 : len(part)] = part[:-1]
+            learned += len(part)
         grads, h[busy] = _gradients(weights, inputs, targets, h[busy])
         at[busy] += window
         updates += 1
-        learned += int((targets >= 0).sum())
-        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
-        clip = min(1.0, 1.0 / (norm + 1e-9))
-        pace = rate / np.sqrt(1 + updates / 100)
-        for name, g in grads.items():
-            g = g * np.float32(clip)
-            first[name] += np.float32(0.1) * (g - first[name])
-            second[name] += np.float32(0.01) * (g * g - second[name])
-            m = first[name] / np.float32(1 - 0.9**updates)
-            v = second[name] / np.float32(1 - 0.99**updates)
-            weights[name] -= np.float32(pace) * m / (np.sqrt(v) + np.float32(1e-8))
-
-
-def packed(weights: Weights) -> np.ndarray:
+        g = packed(grads, np.float32)
+        norm = math.sqrt(g @ g)
+        g *= min(1.0, 1.0 / (norm + 1e-9))
+        pace = rate / math.sqrt(1 + updates / 100)
+        for moment, value, share in ((first, g, 0.1), (second, np.multiply(g, g, out=scratch), 0.01)):
+            moment *= 1 - share
+            value *= share
+            moment += value
+        # Both moments' corrections for their start at 0, taken out of the division.
+        spread = math.sqrt(1 - 0.99**updates)
+        np.sqrt(second, out=scratch)
+        scratch += 1e-8 * spread
+        np.divide(first, scratch, out=scratch)
+        scratch *= pace * spread / (1 - 0.9**updates)
+        vector -= scratch
+
+
+def packed(weights: Weights, kind: type = float) -> np.ndarray:
     """All weights as one vector, in order of their names."""
-    return np.concatenate([weights[name].ravel() for name in sorted(weights)]).astype(float)
+    return np.concatenate([weights[name].ravel() for name in sorted(weights)], dtype=kind)
 
 
 def unpacked(vector: np.ndarray, like: Weights) -> Weights:
-    """The weights in ``vector``, shaped like those given."""
+    """The weights in ``vector``, shaped like those given; parts of it where the type is the same."""
     weights, at = {}, 0
     for name in sorted(like):
         part = vector[at : at + like[name].size]
-        weights[name] = part.reshape(like[name].shape).astype(like[name].dtype)
+        weights[name] = part.reshape(like[name].shape).astype(like[name].dtype, copy=False)
         at += like[name].size
     return weights
