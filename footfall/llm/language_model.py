@@ -11,8 +11,8 @@ unknown word add up to one.
 Counts and weights are learned from all training documents. In an epoch every Spark partition
 runs truncated backpropagation over its own documents, from the same weights, and the
 results are averaged, each by the tokens it learned from; partial sums of weights meet in a second, smaller
-stage before they reach the driver. A partition takes its documents as they come and holds as many
-as run side by side. Every document is scored whole, state carried from its first
+stage before they reach the driver. A partition takes its documents batch by batch, of each batch the
+long ones first. Every document is scored whole, state carried from its first
 word to its end mark.
 
 Words are compared by 64-bit hashes.
@@ -29,13 +29,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm import recurrent
-from footfall.llm.words import ascii_lower, space_words
+from footfall.llm.words import SPACES, ascii_lower
 from footfall.sources.workspace import materialize
 
 
@@ -73,13 +72,15 @@ class LanguageModel:
 
 def _tokens(docs: DataFrame, params: LanguageModelParams) -> DataFrame:
     """``doc_id``, ``held_out`` and the hashes of the words."""
-    words = F.transform(space_words(ascii_lower(F.col("text"))), lambda w: F.xxhash64(w))
+    # Each text is cut up just once: around a lambda, Spark evaluates what occurs twice twice.
+    text = F.coalesce(ascii_lower(F.col("text")), F.lit(""))
+    words = F.array_remove(F.split(text, SPACES), "")
+    words = F.transform(words, lambda w: F.xxhash64(w))
     fold = F.crc32(F.col("doc_id").cast("string")) % params.folds
     held_out = F.coalesce(fold == params.held_out_fold, F.lit(False))
     return docs.select(
         "doc_id",
         held_out.alias("held_out"),
-        F.xxhash64("text").alias("text_hash"),
         words.alias("hashes"),
     )
 
@@ -90,19 +91,66 @@ def word_counts(tokens: DataFrame) -> DataFrame:
     return materialize(rows.groupBy("word").agg(F.count("*").alias("n")), "counts")
 
 
-def _indices(hashes: np.ndarray, model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
-    """Rank of each word, ``-1`` where it isn't listed, and its count."""
-    if not len(model.hashes):
-        return np.full(len(hashes), -1), np.zeros(len(hashes), int)
-    at = np.minimum(np.searchsorted(model.hashes, hashes), len(model.hashes) - 1)
-    known = model.hashes[at] == hashes
-    return np.where(known, model.ranks[at], -1), np.where(known, model.counts[at], 0)
+class _Lookup:
+    """Finds listed words by their hashes, from the first place that their leading bits allow."""
+
+    def __init__(self, model: LanguageModel, bits: int = 16) -> None:
+        self.shift, self.half = 64 - bits, 1 << (bits - 1)
+        self.n = len(model.hashes)
+        leading = (model.hashes >> self.shift) + self.half
+        sizes = np.bincount(leading, minlength=2 * self.half)
+        self.first = np.cumsum(sizes) - sizes
+        self.most = int(sizes.max())
+        # One more place, for words behind the last.
+        self.hashes = np.append(model.hashes, np.iinfo(np.int64).max)
+        self.ranks = np.append(model.ranks, -1)
+        self.logs = np.append(np.log10(model.counts + 1.0), 0)
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Of each word among the listed ones; the last place where it isn't listed."""
+        at = self.first.take((hashes >> self.shift) + self.half)
+        for _ in range(self.most):
+            at += self.hashes.take(at) < hashes
+        at[self.hashes.take(at) != hashes] = self.n
+        return at
+
+
+def _parts(lists: pa.ListArray, words: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The words of some rows at a time, and where each row ends; about so many words, or one row."""
+    ends = np.asarray(lists.offsets, np.int64)
+    flat, ends = lists.flatten().to_numpy(zero_copy_only=False), ends - ends[0]
+    row = 0
+    while row < len(lists):
+        begin = ends[row]
+        after = max(row + 1, int(np.searchsorted(ends, begin + words, side="right")) - 1)
+        yield flat[begin : ends[after]], ends[row + 1 : after + 1] - begin
+        row = after
+
+
+def _for_network(ranks: np.ndarray, ends: np.ndarray, n_network: int) -> list[np.ndarray]:
+    """Network indices of each row with the end mark last; 0 is the end mark itself."""
+    inside = (ranks >= 0) & (ranks < n_network)
+    words = np.insert(np.where(inside, ranks + 1, n_network + 1).astype(np.int32), ends, 0)
+    edges = np.append(0, ends + np.arange(1, len(ends) + 1)).tolist()
+    return [words[begin:end] for begin, end in zip(edges, edges[1:])]
 
 
-def _for_network(ranks: np.ndarray, n_network: int) -> np.ndarray:
-    """Network indices with the end mark last; 0 is the end mark itself."""
-    inside = (ranks >= 0) & (ranks < n_network)
-    return np.append(np.where(inside, ranks + 1, n_network + 1), 0)
+def _texts(lists: pa.ListArray, lookup: _Lookup, n_network: int) -> list[np.ndarray]:
+    return [
+        text
+        for hashes, ends in _parts(lists)
+        for text in _for_network(lookup.ranks[lookup.places(hashes)], ends, n_network)
+    ]
+
+
+def _long_ones_first(texts: list[np.ndarray], side: int) -> list[np.ndarray]:
+    """Texts in their order, but first those that alone are an eighth of what a place gets.
+
+    Taken last, a long one would go on by itself when all others have ended: as many steps
+    as it has windows, each taught by one document.
+    """
+    long = sum(map(len, texts)) / (8 * side)
+    return sorted(texts, key=lambda text: len(text) <= long)
 
 
 def fit(tokens: DataFrame, counts: DataFrame, params: LanguageModelParams) -> LanguageModel:
@@ -150,10 +198,11 @@ def _epoch(
     side = max(8, min(params.side, share))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = _Lookup(model)
         texts = (
-            _for_network(_indices(np.asarray(row.values.to_numpy(zero_copy_only=False), np.int64), model)[0], model.n_network)
+            text
             for batch in batches
-            for row in batch.column(0)
+            for text in _long_ones_first(_texts(batch.column(0), lookup, model.n_network), side)
         )
         learned, n = recurrent.train(start, texts, 0, side, params.window)
         total = np.append(recurrent.packed(learned) * n, n)
@@ -175,36 +224,45 @@ def _epoch(
 def _scored(tokens: DataFrame, model: LanguageModel) -> DataFrame:
     """Per row: the network's part, sums over listed words, and the unlisted words."""
     schema = (
-        "doc_id string, text_hash string, held_out boolean, n_tokens long, n_listed long, network double,"
+        "row long, doc_id long, held_out boolean, n_tokens long, n_listed long, network double,"
         " listed_log double, listed_other_log double, n_other long, unlisted array<long>"
     )
     columns = [part.split()[0] for part in schema.split(",")]
     n_network = model.n_network
     end_log = float(np.log10(model.n_ends + 1))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = _Lookup(model)
         for batch in batches:
-            texts, rows = [], []
-            for doc_id, text_hash, held_out, hashes in batch.itertuples(index=False):
-                hashes = np.asarray(hashes, np.int64)
-                ranks, counts = _indices(hashes, model)
-                logs = np.log10(counts + 1.0)
-                other = (ranks < 0) | (ranks >= n_network)
-                texts.append(_for_network(ranks, n_network))
-                rows.append([
-                    doc_id, text_hash, held_out, len(hashes) + 1, int((ranks >= 0).sum()), 0.0,
-                    float(logs.sum()) + end_log, float(logs[other].sum()), int(other.sum()),
-                    hashes[ranks < 0],
-                ])
-            out = pd.DataFrame(rows, columns=columns)
-            out["network"] = recurrent.score(model.weights, texts, 0)
-            yield out
-
-    # Keys travel as text: pandas would turn those of a batch with a NULL into doubles.
-    keys = [F.col(c).cast("string").alias(c) for c in ("doc_id", "text_hash")]
-    scored = tokens.select(*keys, "held_out", "hashes").mapInPandas(run, schema)
-    numbers = {c: F.col(c).cast("long") for c in ("doc_id", "text_hash")}
-    return materialize(scored.withColumns(numbers), "scored")
+            texts, parts, unlisted = [], [np.empty((5, 0))], [np.empty(0, np.int64)]
+            for hashes, ends in _parts(batch.column("hashes")):
+                places = lookup.places(hashes)
+                ranks, logs = lookup.ranks[places], lookup.logs[places]
+                texts += _for_network(ranks, ends, n_network)
+                lengths = np.diff(ends, prepend=0)
+                row = np.repeat(np.arange(len(ends)), lengths)
+                listed, other = ranks >= 0, (ranks < 0) | (ranks >= n_network)
+                sums = (np.bincount(row, w, len(ends)) for w in (listed, logs, logs * other, other))
+                parts.append(np.vstack([lengths, *sums]))
+                unlisted.append(hashes[~listed])
+            lengths, n_listed, logs, other_logs, n_other = np.concatenate(parts, axis=1)
+            ends = np.append(0, np.cumsum(lengths - n_listed))
+            values = [
+                *(batch.column(c) for c in columns[:3]),
+                pa.array(lengths.astype(int) + 1),
+                pa.array(n_listed.astype(int)),
+                pa.array(recurrent.score(model.weights, texts, 0)),
+                pa.array(logs + end_log),
+                pa.array(other_logs),
+                pa.array(n_other.astype(int)),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), np.concatenate(unlisted)),
+            ]
+            yield pa.RecordBatch.from_arrays(values, columns)
+
+    doc_id = F.col("doc_id").cast("long")
+    # Written down with the rest, so each row keeps its number.
+    rows = tokens.select(F.monotonically_increasing_id().alias("row"), doc_id, "held_out", "hashes")
+    return materialize(rows.mapInArrow(run, schema), "scored")
 
 
 def score_documents(
@@ -215,22 +273,13 @@ def score_documents(
     counts = word_counts(tokens)
     model = fit(tokens, counts, params)
     scored = _scored(tokens, model)
-    keys = ["doc_id", "text_hash"]
-    # Rows with one key have the same words, so their shares are alike.
+    # Counts of a share of the words fit a task, and rows needn't be sorted to meet them.
     found = (
-        scored.select(*keys, F.explode("unlisted").alias("word"))
-        .join(counts, "word")
-        .groupBy(*keys)
+        scored.select("row", F.explode("unlisted").alias("word"))
+        .join(counts.hint("shuffle_hash"), "word")
+        .groupBy("row")
         .agg(F.count("*").alias("n_found"), F.sum(F.log10(F.col("n") + 1.0)).alias("found_log"))
     )
-    copies = scored.groupBy(*keys).agg(F.count("*").alias("copies"))
-    found = found.join(copies, (found.doc_id.eqNullSafe(copies.doc_id)) & (
-        found.text_hash.eqNullSafe(copies.text_hash))).select(
-        found.doc_id.alias("of"), found.text_hash.alias("of_text"),
-        (F.col("n_found") / F.col("copies")).cast("long").alias("n_found"),
-        (F.col("found_log") / F.col("copies")).alias("found_log"),
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("of")) & F.col("text_hash").eqNullSafe(F.col("of_text"))
     n, v = model.train_tokens, model.train_types
     unlisted = F.coalesce("found_log", F.lit(0.0))
     base = F.col("listed_log") + unlisted - F.col("n_tokens") * float(np.log10(n + v + 1))
@@ -241,7 +290,7 @@ def score_documents(
         - F.col("n_other") * float(np.log10(model.others))
     )
     n_known = F.col("n_listed") + F.coalesce("n_found", F.lit(0)) + int(model.n_ends > 0)
-    return scored.drop("unlisted").join(found, same, "left").select(
+    return scored.drop("unlisted").join(found, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",

@@ -13,7 +13,7 @@ window, so it spans whole documents in training and scoring alike.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -95,10 +95,11 @@ def _by_class(targets: np.ndarray, n_class: int, n_classes: int) -> tuple[np.nda
     return order[edges[0] :], (edges - edges[0]).tolist()
 
 
-def _with_ones(states: np.ndarray) -> np.ndarray:
-    """One more unit, always 1, to multiply the biases by."""
-    out = np.ones((len(states), states.shape[1] + 1), states.dtype)
-    out[:, :-1] = states
+def _with_ones(states: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Some of the states, with one more unit, always 1, to multiply the biases by."""
+    out = np.empty((len(order), states.shape[1] + 1), states.dtype)
+    out[:, :-1] = states.take(order, axis=0)
+    out[:, -1] = 1
     return out
 
 
@@ -107,7 +108,8 @@ def _logits(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Of the classes, and of the words inside each state's own class; the last class has none.
 
-    ``states`` are in order of their classes, with ones. The largest of each row is 0.
+    ``states`` are in order of their classes, with ones. The exponents of the logits can be
+    added up: where any is too large or too small for that, the largest of each row is 0.
     """
     outer = states @ np.vstack([weights["c"], weights["c0"]])
     words = np.concatenate([weights["w"], weights["w0"][:, None]], axis=1)
@@ -116,7 +118,8 @@ def _logits(
         if begin < end:
             np.dot(states[begin:end], of_class, out=inner[begin:end])
     for logits in (outer, inner):
-        logits -= logits.max(axis=1, keepdims=True)
+        if logits.size and max(logits.max(), -logits.min()) > 60:
+            logits -= logits.max(axis=1, keepdims=True)
     return outer, inner
 
 
@@ -129,7 +132,7 @@ def _log_chances(weights: Weights, states: np.ndarray, targets: np.ndarray) -> n
     """Natural logarithm of each target's chance given its state; 0 for targets of -1."""
     n_class, n_classes = weights["w0"].shape[1], len(weights["c0"])
     order, edges = _by_class(targets, n_class, n_classes)
-    outer, inner = _logits(weights, _with_ones(states[order]), edges)
+    outer, inner = _logits(weights, _with_ones(states, order), edges)
     y = targets[order]
     logs = []
     for logits, at in ((outer, y // n_class), (inner, y[: len(inner)] % n_class)):
@@ -141,46 +144,87 @@ def _log_chances(weights: Weights, states: np.ndarray, targets: np.ndarray) -> n
     return out
 
 
+def _keep_freed_memory() -> None:
+    """So that the arrays of each window aren't new pages of the system.
+
+    The C library's allocator keeps what is freed, by the size of the largest block freed so far;
+    this one isn't written to and takes no memory.
+    """
+    np.empty(31 << 20, np.uint8)
+
+
+def _windows(
+    documents: Iterable[np.ndarray], start: int, side: int, window: int
+) -> Iterator[tuple[np.ndarray, ...]]:
+    """Of the documents side by side: places, documents' numbers, whether they begin, inputs and targets.
+
+    A place whose document has ended takes the next one. Documents are taken as they come, so no
+    more than ``side`` of them are held. Behind the end of a document, targets are -1.
+    """
+    waiting = ((i, d) for i, d in enumerate(documents) if len(d))
+    nothing = (-1, np.empty(0, int))
+    own, at, before = [nothing] * side, [0] * side, np.full(side, start)
+    while True:
+        ended = [k for k, (_, d) in enumerate(own) if at[k] >= len(d)]
+        for k in ended:
+            own[k], at[k] = next(waiting, nothing), 0
+        before[ended] = start
+        busy = np.array([k for k, (i, _) in enumerate(own) if i >= 0], int)
+        if not len(busy):
+            return
+        numbers, docs = zip(*(own[k] for k in busy))
+        begins = [at[k] for k in busy]
+        parts = [d[i : i + window] for d, i in zip(docs, begins)]
+        lengths = np.array([len(p) for p in parts])
+        targets = np.full((len(parts), lengths.max()), -1)
+        targets[np.arange(targets.shape[1]) < lengths[:, None]] = np.concatenate(parts)
+        yield busy, np.array(numbers), np.array(begins) == 0, np.column_stack([before[busy], targets[:, :-1]]), targets
+        before[busy] = targets[:, -1]
+        at = [i + window for i in at]
+
+
 def score(
     weights: Weights, documents: list[np.ndarray], start: int, side: int = 256, window: int = 64
 ) -> np.ndarray:
     """Log-likelihood of each whole document (word indices); ``start`` is fed in first."""
+    _keep_freed_memory()
     order = np.argsort([-len(d) for d in documents], kind="stable")
     out = np.zeros(len(documents))
     table, u = _by_gate(weights["x"]), _by_gate(weights["u"])
-    hidden = u.shape[1]
-    for first in range(0, len(order), side):
-        group = order[first : first + side]
-        lengths = np.array([len(documents[i]) for i in group])
-        h = np.zeros((len(group), hidden), u.dtype)
-        before = np.full(len(group), start)
-        for begin in range(0, int(lengths[0]) if len(lengths) else 0, window):
-            alive = int((lengths > begin).sum())
-            steps = int(min(window, lengths[0] - begin))
-            targets = np.full((alive, steps), -1)
-            for row, i in enumerate(group[:alive]):
-                part = documents[i][begin : begin + steps]
-                targets[row, : len(part)] = part
-            targets = targets.T.copy()
-            inputs = np.concatenate([before[None, :alive], targets[:-1]])
-            x = table.take(np.maximum(inputs, 0), axis=1)
-            states = np.empty((steps + 1, alive, hidden), u.dtype)
-            states[0] = h[:alive]
-            _advance(x, u, states, np.empty_like(x[:, :1]))
-            h, before = states[-1], targets[-1]
-            logs = _log_chances(weights, states[1:].reshape(-1, hidden), targets.ravel())
-            out[group[:alive]] += logs.reshape(steps, alive).sum(axis=0, dtype=float)
+    h = np.zeros((side, u.shape[1]), u.dtype)
+    longest_first = (documents[i] for i in order)
+    for places, numbers, begins, inputs, targets in _windows(longest_first, start, side, window):
+        h[places[begins]] = 0
+        inputs, targets = np.maximum(inputs.T, 0), targets.T
+        x = table.take(inputs, axis=1)
+        states = np.empty((len(targets) + 1, len(places), h.shape[1]), u.dtype)
+        states[0] = h[places]
+        _advance(x, u, states, np.empty_like(x[:, :1]))
+        h[places] = states[-1]
+        logs = _log_chances(weights, states[1:].reshape(-1, h.shape[1]), targets.ravel())
+        out[order[numbers]] += logs.reshape(targets.shape).sum(axis=0, dtype=float)
     return out
 
 
-def _added(rows: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
-    """``n`` rows: at each place the sum of the rows with that place."""
-    out = np.zeros((n, rows.shape[1]), rows.dtype)
-    if len(rows):
-        order = np.argsort(places.astype(np.int16) if n < 2**15 else places, kind="stable")
-        found = places[order]
-        firsts = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
-        out[found[firsts]] = np.add.reduceat(rows[order], firsts, axis=0)
+def _added(rows: np.ndarray, words: np.ndarray, like: np.ndarray, n_class: int) -> np.ndarray:
+    """Shaped ``like`` the table of inputs: for each word the sum of its rows.
+
+    Class by class, as a product with a table that has a 1 where a row is of a word; the
+    last class has one word.
+    """
+    n_classes = len(like) // n_class + 1
+    order, edges = _by_class(words, n_class, n_classes)
+    last = (words == len(like) - 1).astype(rows.dtype)
+    order = order[: edges[-2]]
+    is_word = np.zeros((len(order), n_class), rows.dtype)
+    is_word[np.arange(len(order)), words[order] % n_class] = 1
+    own = rows.take(order, axis=0)
+    out = np.zeros(like.shape, rows.dtype)
+    for c, (begin, end) in enumerate(zip(edges[:-2], edges[1:])):
+        if begin < end:
+            of_class = out[c * n_class : (c + 1) * n_class]
+            np.dot(is_word[begin:end].T, own[begin:end], out=of_class)
+    out[-1] = last @ rows
     return out
 
 
@@ -199,7 +243,7 @@ def _gradients(
     grads = {}
     n_class, n_classes = weights["w0"].shape[1], len(weights["c0"])
     order, edges = _by_class(targets, n_class, n_classes)
-    s, y = _with_ones(states[1:].reshape(-1, n)[order]), targets[order]
+    s, y = _with_ones(states[1:].reshape(-1, n), order), targets[order]
     share = 1 / max(len(y), 1)
 
     outer, inner = _logits(weights, s, edges)
@@ -240,7 +284,7 @@ def _gradients(
     flat = d_u.reshape(-1, 3 * n)
     grads["u"] = np.dot(before.reshape(-1, n).T, flat)
     np.multiply(d_states, to_candidate, out=d_u[:, :, 2])
-    grads["x"] = _added(flat, inputs.ravel(), len(weights["x"]))
+    grads["x"] = _added(flat, inputs.ravel(), weights["x"], n_class)
     return grads, states[-1]
 
 
@@ -254,35 +298,18 @@ def train(
 ) -> tuple[Weights, int]:
     """Adam over truncated windows of whole documents, side by side; the tokens learned from.
 
-    A place whose document has ended takes the next one, with a new state. Documents are
-    taken as they come, so no more than ``side`` of them are held.
+    Documents are taken as they come.
     """
     vector = packed(weights, np.float32)
     weights = unpacked(vector, weights)  # parts of the vector
     first, second, scratch = (np.zeros_like(vector) for _ in range(3))
-    waiting = (d for d in documents if len(d))
-    own: list[np.ndarray | None] = [None] * side
-    at = np.zeros(side, int)
+    _keep_freed_memory()
     h = np.zeros((side, weights["u"].shape[0]), np.float32)
     updates, learned = 0, 0
-    while True:
-        for k in range(side):
-            if own[k] is None or at[k] >= len(own[k]):
-                own[k], at[k], h[k] = next(waiting, None), 0, 0
-        busy = [k for k in range(side) if own[k] is not None]
-        if not busy:
-            return weights, learned
-        targets = np.full((len(busy), window), -1)
-        inputs = np.full((len(busy), window), -1)
-        for row, k in enumerate(busy):
-            doc, begin = own[k], int(at[k])
-            part = doc[begin : begin + window]
-            targets[row, : len(part)] = part
-            inputs[row, 0] = doc[begin - 1] if begin else start
-            inputs[row, 1 : len(part)] = part[:-1]
-            learned += len(part)
-        grads, h[busy] = _gradients(weights, inputs, targets, h[busy])
-        at[busy] += window
+    for places, _, begins, inputs, targets in _windows(documents, start, side, window):
+        h[places[begins]] = 0
+        learned += int((targets >= 0).sum())
+        grads, h[places] = _gradients(weights, inputs, targets, h[places])
         updates += 1
         g = packed(grads, np.float32)
         norm = math.sqrt(g @ g)
@@ -299,6 +326,7 @@ def train(
         np.divide(first, scratch, out=scratch)
         scratch *= pace * spread / (1 - 0.9**updates)
         vector -= scratch
+    return weights, learned
 
 
 def packed(weights: Weights, kind: type = float) -> np.ndarray:

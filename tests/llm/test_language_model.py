@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from footfall.llm import recurrent
+from footfall.llm import language_model, recurrent
 from footfall.llm.language_model import LanguageModelParams, score_documents
 from tests.llm.rows import LOWER, empty_table, odd_documents, odd_table
 
@@ -115,3 +115,41 @@ def test_no_training_document(spark):
 
 def test_empty_table(spark):
     assert score_documents(empty_table(spark), SMALL).collect() == []
+
+
+def test_texts_are_lowered_and_cut_up_once(spark):
+    docs = spark.createDataFrame([(1, " A\tb "), (2, None), (3, " \n")], "doc_id long, text string")
+    tokens = language_model._tokens(docs, SMALL)
+    plan = tokens._jdf.queryExecution().optimizedPlan().toString()
+    assert [plan.count(f"{name}(") for name in ("lower", "split")] == [1, 1]
+    assert sorted(len(r.hashes) for r in tokens.collect()) == [0, 0, 2]
+
+
+def test_a_long_text_does_not_go_on_by_itself():
+    texts = [np.ones(20, int)] * 160 + [np.ones(400, int)]
+    ordered = language_model._long_ones_first(texts, 16)
+    assert sorted(map(len, ordered)) == sorted(map(len, texts))
+    steps = len(list(recurrent._windows(ordered, 0, 16, 20)))
+    assert steps == 20 < len(list(recurrent._windows(texts, 0, 16, 20)))
+
+
+def test_lookup_finds_listed_words_only():
+    rng = random.Random(4)
+    ends = [-(2**63), -(2**63) + 1, -1, 0, 1, 2**63 - 2, 2**63 - 1]
+    words = ends[::2] + [rng.randrange(-(2**63), 2**63) for _ in range(300)] + list(range(50, 70))
+    hashes = np.array(sorted(words), np.int64)
+    ranks = np.random.default_rng(5).permutation(len(words))
+    for n in (len(words), 1, 0):
+        model = language_model.LanguageModel({}, hashes[:n], ranks[:n], ranks[:n] + 1, 3, 0, 0, 0, 0.0)
+        lookup = language_model._Lookup(model)
+        listed = dict(zip(hashes[:n].tolist(), ranks.tolist()))
+        asked = np.array(words + ends + [71, -5], np.int64)
+        assert lookup.ranks[lookup.places(asked)].tolist() == [listed.get(w, -1) for w in asked.tolist()]
+
+
+def test_equal_rows_with_unlisted_words(spark):
+    """Each of them gets the counts of its own words, whatever its id."""
+    few = LanguageModelParams(listed=2, class_size=2, classes=1, hidden=4)
+    docs = [(1, "a b c d e d"), (1, "a b c d e d"), (1, "e f"), (None, "c c c"), (None, "c c c"), (4, None)]
+    rows = score_documents(spark.createDataFrame(docs, "doc_id long, text string"), few).collect()
+    _same_base(rows, docs)
