@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from footfall.llm.components import connected_components
 from footfall.llm.words import ascii_lower, space_words
-from footfall.sources.workspace import materialize
+from footfall.sources.workspace import materialize, scope, table_path
 
 
 @dataclass(frozen=True)
@@ -89,10 +89,12 @@ def _starts(docs: DataFrame, params: JaccardParams) -> DataFrame:
 def _postings(starts: DataFrame, texts: DataFrame, params: JaccardParams) -> DataFrame:
     """``h``, ``id``, ``n`` and how typical: what can link texts, rare shingles only."""
     rows = starts.select("id", "n", F.explode("start").alias("h"))
-    shared = (
-        rows.groupBy("h").agg(F.count("*").alias("df")).where("df > 1").withColumnRenamed("h", "h_")
-    )
+    # The starts are most of what is shuffled: once to count them, then to find what is shared, then
+    # (written down, else whole starts are shuffled for the last join) only that.
+    shared = rows.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+    shared = materialize(shared.withColumnRenamed("h", "h_"), "shared")
     found = rows.join(shared, F.col("h") == F.col("h_")).select("id", "n", "h", "df")
+    found = materialize(found, "found")
     # One text per group of copies; ids are unique there, so windows hold one text each.
     found = found.join(texts.select(F.col("text_id").alias("id")), "id", "left_semi")
     own = Window.partitionBy("id")
@@ -103,7 +105,22 @@ def _postings(starts: DataFrame, texts: DataFrame, params: JaccardParams) -> Dat
         .where(F.col("rank") <= F.col("shared") - least + 1)
     )
     typical = F.floor(F.col("shared") * 1000 / F.col("n")).cast("int")
-    return materialize(kept.select("h", "id", "n", typical.alias("typical")), "postings")
+    return kept.select("h", "id", "n", typical.alias("typical"))
+
+
+def _written(docs: DataFrame, params: JaccardParams) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All documents (``id``, ``digest``, ``n``), their texts and the postings.
+
+    The starts go before anything else is shuffled.
+    """
+    spark = docs.sparkSession
+    paths = [table_path(spark, name) for name in ("heads", "texts", "postings")]
+    with scope(spark):
+        starts = materialize(_starts(docs, params), "starts")
+        heads = materialize(starts.drop("start"), path=paths[0])
+        copies = heads.groupBy("digest").agg(F.min("id").alias("text_id"))
+        texts = materialize(copies, path=paths[1])
+        return heads, texts, materialize(_postings(starts, texts, params), path=paths[2])
 
 
 def _near_in_size(a: str, b: str, params: JaccardParams) -> Column:
@@ -347,10 +364,7 @@ def near_duplicates(docs: DataFrame, params: JaccardParams = JaccardParams()) ->
     ``component`` is the smallest id that a chain of links reaches.
     """
     docs = docs.select("id", "text")
-    starts = materialize(_starts(docs, params), "starts")
-    copies = starts.groupBy("digest").agg(F.min("id").alias("text_id"))
-    texts = materialize(copies, "texts")
-    postings = _postings(starts, texts, params)
+    heads, texts, postings = _written(docs, params)
     sizes = postings.groupBy("h").agg(F.count("*").alias("size")).where("size > 1")
     postings = materialize(postings.join(sizes, "h"), "groups")
 
@@ -374,7 +388,7 @@ def near_duplicates(docs: DataFrame, params: JaccardParams = JaccardParams()) ->
     texts = _with_component(texts.withColumnRenamed("text_id", "id"), links)
     texts = texts.select("digest", "component")
     return (
-        starts.select("id", "digest", F.col("n").cast("long").alias("n_shingles"))
+        heads.select("id", "digest", F.col("n").cast("long").alias("n_shingles"))
         .join(texts, "digest")
         .select(
             "id",

@@ -353,9 +353,11 @@ def quality_rules(
     own = [c for c in df.columns if keep_text or c != "text"]
     clash = {c: fresh_name(df, f"own_{c}_") for c in own if c.lower() in REFERENCE_COLUMNS}
     measured, name = with_measures(df.withColumnsRenamed(clash), params)
-    if not keep_text:
-        measured = measured.drop("text")
-    measured = materialize(measured, "quality")
+    if keep_text:
+        # The texts stay on disk until the caller's scope ends.
+        measured = materialize(measured, "quality", compression="zstd")
+    else:
+        measured = materialize(measured.drop("text"), "quality")
     kinds = materialize(_kinds(measured, name, params), "kinds")
     # Written down, so that the planner knows how small they are and joins without a shuffle by language.
     sums = materialize(language_references(kinds), "sums")

@@ -80,15 +80,18 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{parent}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "rows", **options: str) -> DataFrame:
+def materialize(
+    df: DataFrame, name: str = "rows", path: str | None = None, **options: str
+) -> DataFrame:
     """Compute ``df`` once, for consumers that read it several times.
 
     The rows become a table in the shared folder: they survive the loss of an
     executor, nothing later goes back to the lineage, and every reader takes
     only the columns it needs. It stays until its ``scope`` ends, or, outside
-    of one, until somebody clears the folder. ``options`` are those of the Parquet writer.
+    of one, until somebody clears the folder. ``path``, a ``table_path`` from before a scope, lets it
+    outlive that one. ``options`` are those of the Parquet writer.
     """
-    path = table_path(df.sparkSession, name)
+    path = path or table_path(df.sparkSession, name)
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

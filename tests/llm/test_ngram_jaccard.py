@@ -1,10 +1,13 @@
 import random
 import re
+from pathlib import Path
 
 import pytest
 
+from footfall.llm import ngram_jaccard
 from footfall.llm.components import connected_components
 from footfall.llm.ngram_jaccard import JaccardParams, near_duplicates
+from footfall.sources.workspace import shared_folder
 from tests.llm.rows import LOWER, empty_table, odd_documents, odd_table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -81,3 +84,29 @@ def test_components_of_a_long_chain(spark):
     edges = list(zip(order, order[1:])) + [(100, 101), (101, 100), (7, 7)]
     found = connected_components(spark.createDataFrame(edges, "u long, v long")).collect()
     assert {r.node: r.component for r in found} == {**{i: 0 for i in range(1, 60)}, 101: 100}
+
+
+def test_starts_are_shuffled_once_at_a_time_and_gone_before_the_texts(spark, monkeypatch):
+    """No query explodes them twice or shuffles them whole; none is on disk when texts are cut up."""
+    plans, left, write, cut = {}, [], ngram_jaccard.materialize, ngram_jaccard._segments
+
+    def starts():
+        return {p for name in ("starts", "shared", "found") for p in Path(shared_folder(spark)).rglob(f"{name}-*")}
+
+    def written(df, name="rows", *args, **options):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(df, name, *args, **options)
+
+    def segments(*args):
+        left.append(starts() - before)
+        return cut(*args)
+
+    monkeypatch.setattr(ngram_jaccard, "materialize", written)
+    monkeypatch.setattr(ngram_jaccard, "_segments", segments)
+    docs, before = spark.createDataFrame(_copies(2), "id long, text string"), starts()
+    found = {r.id: (r.n_shingles, r.component) for r in near_duplicates(docs).collect()}
+    assert found == plain(_copies(2))
+    exploding = [plan.split("Generate explode(start")[1:] for plan in plans.values()]
+    assert max(map(len, exploding)) == 1
+    assert not any("Join" in below.partition("Relation")[0] for parts in exploding for below in parts)
+    assert left == [set()]
