@@ -17,7 +17,7 @@ a group of copies has no more say than one of them, however large it is.
 Counts are computed row by row without a shuffle. The documents' measures are shuffled
 once to find the equal ones; references and medians are one small row per language.
 
-Defined cases: a NULL or blank text has no words and fails the base rules. A
+Defined cases: a NULL, empty or blank text has no words, fails the base rules and has no distances. A
 document of no or an unlisted language has no common-word test; one whose
 language has no reference (nothing of it is long enough) has no test at all.
 Repeated rows are judged one by one. An empty table gives an empty result.
@@ -262,8 +262,9 @@ def with_medians(kinds: DataFrame, references: DataFrame) -> DataFrame:
 
 
 def _normalised(shares: Column) -> Column:
+    """Shares of 1; NULLs where there is nothing to share out, as in a text without characters."""
     total = F.aggregate(shares, F.lit(0).cast("long"), lambda a, x: a + x).cast("double")
-    return F.transform(shares, lambda x: x / total)
+    return F.transform(shares, lambda x: F.try_divide(x.cast("double"), total))
 
 
 def _distance(mine: Column, theirs: Column) -> Column:
@@ -278,18 +279,21 @@ def _distance(mine: Column, theirs: Column) -> Column:
     return F.sqrt(F.when(total > 0, total / 2).when(total <= 0, 0.0))
 
 
+def _root(n: Column) -> Column:
+    """Square root to divide by: texts of nothing have the limits of texts of one."""
+    return F.sqrt(F.greatest(n, F.lit(1).cast("long")).cast("double"))
+
+
 def _word_limit(m: Column, params: QualityParams) -> Column:
     noise = F.col("ref_noise") / NOISE_UNIT
-    return F.greatest(
-        F.lit(params.least_word_limit), noise * params.word_spread / F.sqrt(m.n_words.cast("double"))
-    )
+    return F.greatest(F.lit(params.least_word_limit), noise * params.word_spread / _root(m.n_words))
 
 
 def _char_limit(m: Column, params: QualityParams) -> Column:
     middle = F.col("ref_middle") / DISTANCE_UNIT
     return F.greatest(
         F.lit(params.least_char_limit),
-        middle * (1 + params.char_widening / F.sqrt(m.n_chars.cast("double"))),
+        middle * (1 + params.char_widening / _root(m.n_chars)),
     )
 
 

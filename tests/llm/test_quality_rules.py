@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from footfall.llm.quality_rules import QualityParams, quality_rules
+from footfall.llm.queries import QUERIES
 from tests.llm.rows import empty_table, odd_documents, odd_table, prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -84,6 +85,27 @@ def test_short_or_unknown_is_not_compared(spark):
     assert far[102].kept and far[102].char_distance is None
 
 
+def test_texts_without_words_or_characters_are_judged_like_others(spark):
+    """All that is judged is read here, beside a language whose limits follow from its documents."""
+    table = _corpus(spark, [(100, None, "en"), (101, "", "en"), (102, " \n", "en"), (103, "###", "en"), (104, "", None)])
+    judged, name = quality_rules(table, QualityParams(least_char_limit=0))
+    found = {r.doc_id: r for r in judged.select("doc_id", f"{name}.*").collect()}
+    assert len(found) == 65 and found[0].kept
+    for i in range(100, 105):
+        assert (found[i].base_failed, found[i].kept) == (True, False)
+        assert found[i].char_distance is None and found[i].word_distance is None
+    assert found[100].word_limit == found[101].word_limit == found[103].word_limit > found[0].word_limit
+    assert found[100].char_limit == found[101].char_limit > found[103].char_limit > found[0].char_limit
+
+
+def test_query_on_texts_without_characters(spark, tmp_path):
+    table = _corpus(spark, [(100, None, "en"), (101, "", "en"), (102, "\n", "de")])
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: r for r in QUERIES["op9_quality_rules"](spark, str(tmp_path)).collect()}
+    assert len(found) == 63 and not any(found[i].kept for i in (100, 101, 102))
+    assert (found[101].n_words, found[101].char_distance, found[101].word_distance) == (0, None, None)
+
+
 def test_references_do_not_depend_on_partitions(spark):
     docs = _corpus(spark, [])
     results = []
