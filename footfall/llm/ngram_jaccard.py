@@ -51,6 +51,15 @@ class JaccardParams:
     fragment_bits: int = 4
 
 
+def _shuffled(rows: DataFrame) -> DataFrame:
+    """``rows`` as a side of a join in which neither side is broadcast, whatever the planner thinks of its size.
+
+    It goes by the bytes of the files. Rows cut out of arrays or made per fragment take 20 to 70 times
+    as much, those of ids and hashes that repeat 10 times; a broadcast has to pass through the driver.
+    """
+    return rows.hint("merge")
+
+
 def _ceil_percent(n: Column, percent: int) -> Column:
     return F.ceil(n * percent / F.lit(100.0) - 1e-9).cast("int")
 
@@ -93,7 +102,7 @@ def _postings(starts: DataFrame, texts: DataFrame, params: JaccardParams) -> Dat
     # (written down, else whole starts are shuffled for the last join) only that.
     shared = rows.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     shared = materialize(shared.withColumnRenamed("h", "h_"), "shared")
-    found = rows.join(shared, F.col("h") == F.col("h_")).select("id", "n", "h", "df")
+    found = rows.join(_shuffled(shared), F.col("h") == F.col("h_")).select("id", "n", "h", "df")
     found = materialize(found, "found")
     # One text per group of copies; ids are unique there, so windows hold one text each.
     found = found.join(texts.select(F.col("text_id").alias("id")), "id", "left_semi")
@@ -165,8 +174,8 @@ def _links(pairs: DataFrame, segments: DataFrame, params: JaccardParams) -> Data
     fragments = F.explode(F.sequence(F.lit(0), F.lit((1 << params.fragment_bits) - 1)))
     partial = (
         pairs.withColumn("fragment", fragments)
-        .join(one, ["x", "fragment"])
-        .join(two, ["y", "fragment"])
+        .join(_shuffled(one), ["x", "fragment"])
+        .join(_shuffled(two), ["y", "fragment"])
         .select("x", "y", "nx", "ny", F.size(F.array_intersect("segment", "other")).alias("part"))
     )
     union = F.col("nx") + F.col("ny") - F.col("overlap")
@@ -225,7 +234,7 @@ def _able(groups: DataFrame, segments: DataFrame, params: JaccardParams) -> Data
     rows = segments.where(F.col("fragment") < half)
     rows = rows.select("id", F.explode("segment").alias("s"))
     several = rows.groupBy("s").agg(F.count("*").alias("c")).where("c > 1").select("s")
-    alone = rows.join(several, "s", "left_anti").groupBy("id").agg(F.count("*").alias("alone"))
+    alone = rows.join(_shuffled(several), "s", "left_anti").groupBy("id").agg(F.count("*").alias("alone"))
     most = F.col("n") - F.coalesce("alone", F.lit(0))
     able = groups.join(alone, "id", "left").withColumn("most", most).drop("alone")
     return materialize(able.where(F.col("most") * 100 >= F.col("n") * params.percent), "able")
@@ -289,7 +298,8 @@ def _links_across(
 
     elements = differences.select("reference", "id", F.explode("differing").alias("e"))
     common = elements.groupBy("reference", "e").agg(F.count("*").alias("df")).where("df > 1")
-    shared = elements.join(common, ["reference", "e"]).join(sizes, ["reference", "id"])
+    shared = elements.join(_shuffled(common), ["reference", "e"])
+    shared = shared.join(_shuffled(sizes), ["reference", "id"])
     own = Window.partitionBy("reference", "id")
     r = (100 - p) / (100 + p)
     half = F.floor((F.col("d") + r * (F.col("ref_n") - F.col("n"))) / 2 - 1e-9) + 1
@@ -317,10 +327,10 @@ def _links_across(
     )
     unlinked = kept.where("NOT linked")
     both = side(unlinked.where("few"), "x").join(
-        side(unlinked.where("few"), "y"), ["reference", "e"]
+        _shuffled(side(unlinked.where("few"), "y")), ["reference", "e"]
     )
     one = side(unlinked.where("many"), "x").join(
-        side(kept.where("linked AND few"), "y"), ["reference", "e"]
+        _shuffled(side(kept.where("linked AND few"), "y")), ["reference", "e"]
     )
     pairs = both.where("idx < idy").unionByName(one).where(can_link)
     pairs = pairs.groupBy(F.col("idx").alias("x"), F.col("idy").alias("y")).agg(
@@ -351,8 +361,8 @@ def _links_by_differences(
     apart = F.size("dx") + F.size("dy") - 2 * F.size(F.array_intersect("dx", "dy"))
     p = params.percent
     return (
-        pairs.join(one, ["reference", "x"])
-        .join(two, ["reference", "y"])
+        pairs.join(_shuffled(one), ["reference", "x"])
+        .join(_shuffled(two), ["reference", "y"])
         .where((100 + p) * apart <= (100 - p) * (F.col("nx") + F.col("ny")))
         .select("x", "y")
     )

@@ -110,3 +110,28 @@ def test_starts_are_shuffled_once_at_a_time_and_gone_before_the_texts(spark, mon
     assert max(map(len, exploding)) == 1
     assert not any("Join" in below.partition("Relation")[0] for parts in exploding for below in parts)
     assert left == [set()]
+
+
+def test_rows_that_outgrow_their_files_are_not_broadcast(spark, monkeypatch):
+    """Exploded and compressed rows look small to the planner; broadcasts of them pass through the driver."""
+    plans, write = [], ngram_jaccard.materialize
+
+    def written(df, name="rows", *args, **options):
+        plans.append((name, df._jdf.queryExecution().sparkPlan().toString()))
+        return write(df, name, *args, **options)
+
+    monkeypatch.setattr(ngram_jaccard, "materialize", written)
+    docs = _copies(3)
+    params = JaccardParams(small_group=1)
+    found = near_duplicates(spark.createDataFrame(docs, "id long, text string"), params)
+    assert {r.id: (r.n_shingles, r.component) for r in found.collect()} == plain(docs)
+    names = [name for name, _ in plans]
+    assert names.count("pairs") == names.count("links") == 2
+    _, across = [plan for name, plan in plans if name == "pairs"]
+    large = [plan for name, plan in plans if name in ("found", "links", "elements")]
+    assert len(large) == 4
+    for plan in [*large, across]:
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    # Of those that can link, only the postings' own join is left to the planner.
+    (able,) = [plan for name, plan in plans if name == "able"]
+    assert not any("LeftAnti" in x and "Broadcast" in x for x in able.splitlines())
